@@ -130,16 +130,24 @@ def attribute_to_segments(records_agg: DataFrame, sides: DataFrame, *,
         raise ValueError(f"compare must be one of {COMPARE_MODES}")
     narrow, wide = _split_sides(sides, bucket_width, max_bucket_span, compare)
     narrow_b, is_bc = maybe_broadcast(narrow, broadcast_rows, broadcast)
-    wide_b, _ = maybe_broadcast(wide, broadcast_rows, broadcast)
+    # Wide ranges are rare; a bounded check on the (small) segment side lets
+    # the common case read the records once, through a single join.
+    has_wide = wide.limit(1).count() > 0
+    wide_b = maybe_broadcast(wide, broadcast_rows, broadcast)[0] if has_wide else None
 
     r = records_agg.withColumn("bucket", F.floor(F.col("number") / F.lit(bucket_width))).alias("r")
     keys = ("street", "borough", "parity")
     cond_n = _equi("r", "s", keys + ("bucket",)) & _range_condition("r", "s", compare)
     cond_w = _equi("r", "s", keys) & _range_condition("r", "s", compare)
     pick = [F.col("s.physical_id").alias("physical_id")] + [F.col(f"r.{c}") for c in count_cols]
-    hits = (r.join(narrow_b.alias("s"), cond_n, "inner").select(*pick)
-            .unionByName(r.join(wide_b.alias("s"), cond_w, "inner").select(*pick)))
     sums = [F.sum(c).cast("bigint").alias(c) for c in count_cols]
+    if keep == "records" and not has_wide:
+        # One left join: unmatched house-number keys land in the null group.
+        return r.join(narrow_b.alias("s"), cond_n, "left").select(*pick) \
+                .groupBy("physical_id").agg(*sums)
+    hits = r.join(narrow_b.alias("s"), cond_n, "inner").select(*pick)
+    if has_wide:
+        hits = hits.unionByName(r.join(wide_b.alias("s"), cond_w, "inner").select(*pick))
     matched = hits.groupBy("physical_id").agg(*sums)
     if keep == "matched":
         return matched

@@ -39,18 +39,22 @@ def segment_sides(segments: DataFrame, *, mode: str = "pair",
                   sides: Sequence[tuple[str, str, str]] = (("L", "l_low", "l_high"),
                                                            ("R", "r_low", "r_high")),
                   borough: str = "borough", id_col: str = "physical_id",
-                  parity_of: str = "low", keep_invalid: bool = False) -> DataFrame:
+                  parity_of: str = "low", keep_invalid: bool = False,
+                  dedup: bool = True) -> DataFrame:
     """U1 + U2 + A7: one row per (side, street name) of every segment.
 
     Parity of a side is that of its low number (``parity_of='high'`` for the
     high one).  A side whose bounds do not parse, or a null name, gives no
     row; ``keep_invalid=True`` keeps one all-null row for such segments so a
-    segment-preserving join still sees them.
+    segment-preserving join still sees them.  ``dedup=False`` keeps the
+    double row of a segment whose two names are equal (plain U2).
     """
     cols = segments.columns
     rows = [_side_struct(cols, s, lo, hi, n, borough, mode, parity_of)
             for s, lo, hi in sides for n in names]
-    arr = F.array_distinct(F.array(*rows))
+    arr = F.array(*rows)
+    if dedup:
+        arr = F.array_distinct(arr)
     valid = F.filter(arr, lambda r: r["street"].isNotNull() & r["low_number"].isNotNull()
                      & r["high_number"].isNotNull() & r["parity"].isNotNull())
     if keep_invalid:

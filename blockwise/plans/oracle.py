@@ -8,6 +8,8 @@ constants) are shared with the Spark side.
 
 from __future__ import annotations
 
+import math
+
 from blockwise.functions.geometry import lcc_constants
 from blockwise.functions.normalize import COUNTY_CODES, year_window
 from blockwise.sources.tables import PENTAGON, RECORD_FIRST_YEAR
@@ -104,16 +106,16 @@ def records_clean(mode: str, years=YEARS) -> str:
     AND year BETWEEN {min(years)} AND {max(years)})"""
 
 
-def segment_sides_sql(mode: str) -> str:
+def segment_sides_sql(mode: str, names=("st_name", "full_street"), distinct: bool = True) -> str:
     lo_ok, lo_b, lo_n = house_sql("lo", mode)
     hi_ok, hi_b, hi_n = house_sql("hi", mode)
     unions = " UNION ALL ".join(
         f"SELECT physical_id, '{side}' AS side, {name} AS name, borough, {lo} AS lo, {hi} AS hi "
         f"FROM segments_v"
         for side, lo, hi in (("L", "l_low", "l_high"), ("R", "r_low", "r_high"))
-        for name in ("st_name", "full_street"))
+        for name in names)
     return f"""sides AS (
-  SELECT DISTINCT physical_id, side, street, borough, {parity_sql('low_number')} AS parity,
+  SELECT {'DISTINCT' if distinct else ''} physical_id, side, street, borough, {parity_sql('low_number')} AS parity,
     low_block, low_number, high_block, high_number FROM (
     SELECT physical_id, side, upper(name) AS street, cast(borough AS integer) AS borough,
       CASE WHEN {lo_ok} THEN {lo_b} END AS low_block, CASE WHEN {lo_ok} THEN {lo_n} END AS low_number,
@@ -164,11 +166,166 @@ def trend_sql(mode: str, keep: str, compare: str = "component", null_policy: str
             f"coalesce({slope_sql()}, 0.0) AS ols_coeff FROM counts")
 
 
+def w(*ctes: str) -> str:
+    return "WITH " + ", ".join(ctes) + " "
+
+
+def _house_q(mode: str) -> str:
+    ok, block, number = house_sql("house_no", mode)
+    return (w(RECORDS) + f"SELECT record_id, house_no, CASE WHEN {ok} THEN {block} END AS block, "
+            f"CASE WHEN {ok} THEN {number} END AS number FROM records_v")
+
+
+def _yearly(keys: str, years=YEARS) -> str:
+    cols = ", ".join(f"cast(count_if(year = {y}) AS bigint) AS count_{y}" for y in years)
+    return f"SELECT {keys}, {cols} FROM rec GROUP BY {keys}"
+
+
+def _pip(points: str, pid: str, px: str, py: str, layer: str, name: str) -> str:
+    """(pid, zone_id, zone_name) of points strictly inside a zone (even-odd).
+
+    ``layer`` is a CTE with zone_id, zone_name, x1, y1, x2, y2; the first
+    zone by id wins; points on an edge are outside.
+    """
+    return f"""{name}_cand AS (
+  SELECT p.{pid} AS pid, e.zone_id, e.zone_name FROM {points} p JOIN {layer} e
+    ON (e.y1 > p.{py}) <> (e.y2 > p.{py})
+   AND p.{px} < (e.x2 - e.x1) * (p.{py} - e.y1) / (e.y2 - e.y1) + e.x1
+  GROUP BY p.{pid}, e.zone_id, e.zone_name HAVING count(*) % 2 = 1),
+{name}_edge AS (
+  SELECT DISTINCT p.{pid} AS pid, e.zone_id FROM {points} p JOIN {layer} e
+    ON (p.{px} - e.x1) * (e.y2 - e.y1) = (p.{py} - e.y1) * (e.x2 - e.x1)
+   AND p.{px} BETWEEN least(e.x1, e.x2) AND greatest(e.x1, e.x2)
+   AND p.{py} BETWEEN least(e.y1, e.y2) AND greatest(e.y1, e.y2)),
+{name} AS (
+  SELECT pid, arg_min(zone_id, zone_id) AS zone_id, arg_min(zone_name, zone_id) AS zone_name
+  FROM (SELECT c.* FROM {name}_cand c ANTI JOIN {name}_edge x ON c.pid = x.pid AND c.zone_id = x.zone_id) t
+  GROUP BY pid)"""
+
+
+NBH = "nbh_v AS (SELECT zone_id, zone_name, x1, y1, x2, y2 FROM zone_edges_v)"
+BORO = "boro_v AS (SELECT group_id AS zone_id, group_name AS zone_name, x1, y1, x2, y2 FROM zone_edges_v)"
+TERMS_SQL = "['the', 'of']"
+HITS = f"hits AS (SELECT * FROM posts_v WHERE list_has_any(string_split(text, ' '), {TERMS_SQL}))"
+PAIRS = (f"pairs AS (SELECT pu.zone_name AS group_name, dd.zone_name, count(*) AS n "
+         f"FROM pu JOIN dd ON pu.pid = dd.pid GROUP BY pu.zone_name, dd.zone_name)")
+RANKED = ("ranked AS (SELECT group_name, zone_name, n, row_number() OVER "
+          "(PARTITION BY group_name ORDER BY n DESC, zone_name ASC) AS rank FROM pairs)")
+TOP3 = [ZONE_EDGES, TRIPS, BORO, NBH, _pip("trips_v", "trip_id", "px", "py", "boro_v", "pu"),
+        _pip("trips_v", "trip_id", "dx", "dy", "nbh_v", "dd"), PAIRS, RANKED]
+
+
+def lcc_sql(lon: str, lat: str) -> tuple[str, str]:
+    k = lcc_constants()
+    phi = f"radians({lat})"
+    es = f"({k['e']!r} * sin({phi}))"
+    t = f"(tan({math.pi / 4!r} - {phi} / 2) / pow((1.0 - {es}) / (1.0 + {es}), {k['e'] / 2!r}))"
+    rho = f"({k['aF']!r} * pow({t}, {k['n']!r}))"
+    theta = f"({k['n']!r} * (radians({lon}) - {k['lon0']!r}))"
+    x = f"(({rho} * sin({theta}) + {k['fe']!r}) / {k['unit']!r})"
+    y = f"(({k['rho0']!r} - {rho} * cos({theta}) + {k['fn']!r}) / {k['unit']!r})"
+    return x, y
+
+
+_lx, _ly = lcc_sql("-74.25 + px * 0.1", "40.5 + py * 0.1")
+_ok_pair = house_sql("house_no", "pair")
+
 ORACLE: dict[str, str] = {
     "segment_trend": trend_sql("pair", "matched"),
     "range_join_keep_records": trend_sql("concat_int", "records"),
     "range_join_keep_segments": trend_sql("concat_text", "segments", null_policy="zero_slope"),
     "range_join_split": trend_sql("pair", "matched", compare="lexicographic"),
+    "proj_prune": w(RECORDS) + "SELECT record_id, street_name AS street, house_no FROM records_v",
+    "str_normalize": "SELECT p_partkey AS physical_id, upper(p_name) AS street FROM part",
+    "map_code_lookup": w(RECORDS) + f"SELECT record_id, county, {county_case('county')} AS borough "
+                                    "FROM records_v",
+    "date_year": """WITH d AS (
+  SELECT o_orderkey AS record_id,
+    CASE o_orderkey % 8 WHEN 0 THEN '13/45/2017' WHEN 1 THEN ''
+      WHEN 2 THEN cast(year(o_orderdate) AS varchar)
+      WHEN 3 THEN strftime(o_orderdate, '%m/%d/%Y')
+      WHEN 4 THEN strftime(o_orderdate, '%Y-%m-%d')
+      ELSE concat(cast(month(o_orderdate) AS varchar), '/', cast(day(o_orderdate) AS varchar), '/',
+                  cast(year(o_orderdate) AS varchar)) END AS issue_date
+  FROM orders)
+SELECT record_id, issue_date, year(try_strptime(issue_date, '%m/%d/%Y')) AS year_strict,
+  year(coalesce(try_strptime(issue_date, '%m/%d/%Y'), try_strptime(issue_date, '%Y-%m-%d'))) AS year_lenient,
+  year(try_strptime(issue_date, '%m/%d/%Y')) BETWEEN 1996 AND 2000 AS in_window
+FROM d""",
+    "safe_cast": w(RECORDS) + "SELECT record_id, try_cast(house_no AS integer) AS house_int, "
+                              "try_cast(house_no AS double) AS house_double FROM records_v",
+    "house_concat_text": _house_q("concat_text"),
+    "house_concat_int": _house_q("concat_int"),
+    "house_split": _house_q("pair"),
+    "parity_label": w(RECORDS) + f"SELECT record_id, number, {parity_sql('number')} AS parity FROM "
+                    f"(SELECT record_id, CASE WHEN {_ok_pair[0]} THEN {_ok_pair[2]} END AS number "
+                    f"FROM records_v) t",
+    "onehot_year": w(RECORDS) + "SELECT record_id, " + ", ".join(
+        f"CASE WHEN issue_year = {y} THEN 1 ELSE 0 END AS y{y}" for y in YEARS)
+    + f" FROM records_v WHERE issue_year BETWEEN {min(YEARS)} AND {max(YEARS)}",
+    "seg_year_counts": w(RECORDS, records_clean("concat_text")) + _yearly("street, borough, parity"),
+    "count_all_cols": w(RECORDS, records_clean("concat_text"))
+    + "SELECT street, borough, parity, block, number, year, count(*) AS n FROM rec "
+      "GROUP BY street, borough, parity, block, number, year",
+    "pivot_year": w(RECORDS, records_clean("concat_text"),
+                    "c AS (SELECT street, borough, parity, block, number, year, count(*) AS n FROM rec "
+                    "GROUP BY ALL)")
+    + "SELECT street, borough, parity, block, number, " + ", ".join(
+        f"max(CASE WHEN year = {y} THEN n END) AS count_{y}" for y in YEARS)
+    + " FROM c GROUP BY street, borough, parity, block, number",
+    "slope_wide": w(RECORDS, records_clean("concat_text"), f"c AS ({_yearly('street, borough')})")
+    + f"SELECT street, borough, {slope_sql()} AS ols_coeff FROM c",
+    "slope_long": w(RECORDS, records_clean("concat_text"), f"c AS ({_yearly('street')})",
+                    "l AS (" + " UNION ALL ".join(
+                        f"SELECT street, {y} AS year, cast(count_{y} AS double) AS n FROM c"
+                        for y in YEARS) + ")")
+    + "SELECT street, round(regr_slope(n, year), 6) + cast(0 AS double) AS ols_coeff "
+      "FROM l GROUP BY street",
+    "dropna_any": w(RECORDS) + "SELECT record_id, house_no FROM records_v WHERE house_no IS NOT NULL "
+                               "AND street_name IS NOT NULL AND county IS NOT NULL",
+    "fillna_zero": "SELECT physical_id, " + ", ".join(f"coalesce(count_{y}, 0) AS count_{y}" for y in YEARS)
+    + " FROM (" + trend_sql("concat_text", "segments", null_policy="zero_slope") + ") t",
+    "reject_split": w(RECORDS) + f"SELECT NOT coalesce({_ok_pair[0]} AND {county_case('county')} "
+                                 f"IS NOT NULL, false) AS rejected, count(*) AS n FROM records_v GROUP BY 1",
+    "segment_sides": w(SEGMENTS, segment_sides_sql("pair", names=("st_name",), distinct=False))
+    + "SELECT physical_id, side, street, borough, parity, low_number, high_number FROM sides",
+    "segment_alias_explode": w(SEGMENTS, segment_sides_sql("pair", distinct=False))
+    + "SELECT physical_id, side, street, parity, low_number, high_number FROM sides",
+    "dedup_rows": w(SEGMENTS, segment_sides_sql("pair", distinct=False))
+    + "SELECT DISTINCT physical_id, side, street, parity, low_number, high_number FROM sides",
+    "pip_assign": w(ZONE_EDGES, TRIPS, NBH, _pip("trips_v", "trip_id", "px", "py", "nbh_v", "pu"))
+    + "SELECT t.trip_id, pu.zone_id, pu.zone_name FROM trips_v t LEFT JOIN pu ON t.trip_id = pu.pid",
+    "pip_zone_count": w(ZONE_EDGES, TRIPS, BORO, _pip("trips_v", "trip_id", "px", "py", "boro_v", "pu"))
+    + "SELECT zone_name, count(*) AS n FROM pu GROUP BY zone_name",
+    "pip_pair_count": w(*TOP3[:-1]) + "SELECT group_name, zone_name, n FROM pairs",
+    "project_lcc": w(TRIPS) + f"SELECT trip_id, round({_lx}, 3) AS x_ft, round({_ly}, 3) AS y_ft "
+                              "FROM trips_v",
+    "keyword_filter": w(POSTS, HITS) + "SELECT post_id FROM hits",
+    "keyword_semi_join": w(POSTS, HITS) + "SELECT post_id, x, y FROM hits",
+    "keyword_zone_count": w(POSTS, HITS, ZONE_EDGES, NBH,
+                            _pip("hits", "post_id", "x", "y", "nbh_v", "kz"))
+    + "SELECT zone_id, count(*) AS n FROM kz GROUP BY zone_id",
+    "zone_rate": w(POSTS, HITS, ZONE_EDGES, NBH, _pip("hits", "post_id", "x", "y", "nbh_v", "kz"),
+                   "cnt AS (SELECT zone_id, count(*) AS n FROM kz GROUP BY zone_id)",
+                   "pop AS (SELECT cast(c_nationkey AS bigint) AS zone_id, count(*) AS population "
+                   "FROM customer GROUP BY 1)")
+    + "SELECT c.zone_id, c.n, p.population, "
+      "cast(c.n AS double) / nullif(cast(p.population AS double), 0) AS rate "
+      "FROM cnt c LEFT JOIN pop p ON c.zone_id = p.zone_id",
+    "topk_per_group": w(*TOP3) + "SELECT group_name, rank, zone_name, n FROM ranked WHERE rank <= 3",
+    "topk_nested": w(*TOP3)
+    + "SELECT group_name, string_agg(zone_name, '|' ORDER BY rank) AS names, "
+      "string_agg(cast(n AS varchar), '|' ORDER BY rank) AS counts "
+      "FROM ranked WHERE rank <= 3 GROUP BY group_name",
+    "fmt_topk_line": w(*TOP3)
+    + "SELECT group_name, group_name || ',[' || string_agg("
+      "'(' || chr(39) || zone_name || chr(39) || ', ' || cast(n AS varchar) || ')', ', ' "
+      "ORDER BY rank) || ']' AS line FROM ranked WHERE rank <= 3 GROUP BY group_name",
+    "sum_by_key": "SELECT o_orderpriority, sum(cast(round(o_totalprice * 100) AS bigint)) AS total_cents "
+                  "FROM orders GROUP BY o_orderpriority",
+    "sort_by_key": w(RECORDS) + "SELECT record_id, issue_year FROM records_v ORDER BY issue_year, record_id",
+    "limit_sorted": "SELECT o_orderkey, o_totalprice FROM orders "
+                    "ORDER BY o_totalprice DESC, o_orderkey ASC LIMIT 10",
 }
 
 
