@@ -27,6 +27,7 @@ COUNTY_CODES = {
 # Accepted house-number shape after trimming: digits, optionally one run of
 # blanks/hyphens and more digits.  ``\z`` so a trailing newline is rejected.
 HOUSE_NUMBER_PATTERN = r"^[0-9]+([ -]+[0-9]+)?\z"
+HOUSE_NUMBER_GROUPS = r"^([0-9]+)(?:[ -]+([0-9]+))?\z"
 HOUSE_SEPARATORS = r"[ -]+"
 # Date formats tried in order by the lenient year parser.
 LENIENT_DATE_FORMATS = ("M/d/yyyy", "yyyy-MM-dd", "yyyy/M/d", "M-d-yyyy",
@@ -103,23 +104,25 @@ def parse_house_number(c: Column | str, mode: str = "pair") -> Column:
     if mode not in HOUSE_MODES:
         raise ValueError(f"mode must be one of {HOUSE_MODES}, got {mode!r}")
     s = F.trim(_col(c).cast("string"))
-    ok = s.rlike(HOUSE_NUMBER_PATTERN)
-    parts = F.split(s, HOUSE_SEPARATORS)
-    two = F.size(parts) == 2
-    first = parts.getItem(0).try_cast("int")
-    last = F.element_at(parts, -1).try_cast("int")
+    # regexp_extract compiles its (literal) pattern once per task; a regex
+    # ``split`` would recompile it for every row.  No match gives ''.
+    first_txt = F.regexp_extract(s, HOUSE_NUMBER_GROUPS, 1)
+    second_txt = F.regexp_extract(s, HOUSE_NUMBER_GROUPS, 2)
+    two = second_txt != F.lit("")
+    first = first_txt.try_cast("int")
+    second = second_txt.try_cast("int")
     zero = F.lit(0)
     if mode == "concat_text":
-        block, number = zero, F.regexp_replace(s, HOUSE_SEPARATORS, "").try_cast("int")
+        block, number = zero, F.concat(first_txt, second_txt).try_cast("int")
     elif mode == "concat_int":
         glued = F.concat(first.cast("string"),
-                         F.when(two, last.cast("string")).otherwise(F.lit("")))
+                         F.when(two, second.cast("string")).otherwise(F.lit("")))
         block, number = zero, glued.try_cast("int")
     else:
         block = F.when(two, first).otherwise(zero)
-        number = last
+        number = F.when(two, second).otherwise(first)
     value = F.struct(block.cast("int").alias("block"), number.cast("int").alias("number"))
-    return F.when(ok & block.isNotNull() & number.isNotNull(), value)
+    return F.when(block.isNotNull() & number.isNotNull(), value)
 
 
 def parity(n: Column | str, even: str = "even", odd: str = "odd") -> Column:

@@ -2,11 +2,11 @@
 
 Plan shape (segment trend):
 
-1. ``prepare_records`` cleans the raw columns (narrow, codegen only).
-2. ``aggregate_records`` pre-counts records by (street, borough, parity,
-   block, number) with one count column per year.  Partial aggregation runs
-   map-side, so even a street holding a third of all records shuffles one row
-   per distinct house number, not one row per record.
+1. ``count_raw_records`` pre-counts records by their raw address text with
+   one count column per year.  Partial aggregation runs map-side, so even a
+   street holding a third of all records shuffles one row per distinct
+   address, not one row per record.
+2. ``normalize_addresses`` parses and looks up each distinct address once.
 3. ``attribute_to_segments`` joins those counts to segment sides on
    (street, borough, parity, range bucket) with the range test as residual.
    The bucket (``number // bucket_width``) bounds the pairs compared inside a
@@ -57,6 +57,50 @@ def prepare_records(df: DataFrame, years: Sequence[int], *, mode: str = "pair",
             .select(*RECORD_KEYS, "year"))
 
 
+def count_raw_records(df: DataFrame, years: Sequence[int], *, street: str = "street_name",
+                      county: str = "county", house: str = "house_no",
+                      year: str | None = "issue_year", date: str | None = None,
+                      date_format: str = "M/d/yyyy") -> DataFrame:
+    """Pre-aggregate raw records by their raw address text, one count per year.
+
+    Runs before any text normalisation: partial aggregation map-side cuts
+    records to distinct (street, county, house text) keys, so the regex and
+    lookup work of ``normalize_addresses`` runs once per distinct address,
+    not once per record.  A hot street costs one row per distinct address.
+    """
+    yr = F.col(year).cast("int") if date is None else year_from_text(F.col(date), date_format)
+    lo, hi = min(years), max(years)
+    keyed = df.select(F.col(street).alias("street_raw"), F.col(county).alias("county_raw"),
+                      F.col(house).alias("house_raw"), yr.alias("year"))
+    keyed = keyed.where(F.col("year").between(lo, hi))
+    aggs = [F.count_if(F.col("year") == F.lit(y)).alias(c)
+            for y, c in zip(years, count_columns(years))]
+    return keyed.groupBy("street_raw", "county_raw", "house_raw").agg(*aggs)
+
+
+def normalize_addresses(raw_counts: DataFrame, *, mode: str = "pair",
+                        county_map: dict | None = None) -> DataFrame:
+    """Raw address keys -> (street, borough, parity, block, number) + counts.
+
+    Keys that do not normalise (null street, unknown county, malformed house
+    number) are dropped.
+    """
+    counts = [c for c in raw_counts.columns if c.startswith("count_")]
+    key = F.struct(F.upper(F.col("street_raw")).alias("street"),
+                   code_lookup(F.col("county_raw"), county_map).cast("int").alias("borough"),
+                   parse_house_number(F.col("house_raw"), mode).alias("hn"))
+    # The key is built once per row inside a one-element array and invalid
+    # keys drop out of the explode.  A plain filter would be pushed below the
+    # aggregate by the optimizer and re-run the parse once per raw record.
+    valid = F.filter(F.array(key), lambda k: k["street"].isNotNull()
+                     & k["borough"].isNotNull() & k["hn"].isNotNull())
+    out = raw_counts.select(F.explode(valid).alias("k"), *counts)
+    return out.select(F.col("k.street").alias("street"), F.col("k.borough").alias("borough"),
+                      parity(F.col("k.hn.number")).alias("parity"),
+                      F.col("k.hn.block").alias("block"), F.col("k.hn.number").alias("number"),
+                      *counts)
+
+
 def count_columns(years: Sequence[int]) -> list[str]:
     return [f"count_{y}" for y in years]
 
@@ -87,8 +131,8 @@ def _equi(r: str, s: str, cols: Sequence[str]) -> Column:
     return cond
 
 
-def _split_sides(sides: DataFrame, bucket_width: int, max_bucket_span: int,
-                 compare: str) -> tuple[DataFrame, DataFrame]:
+def _side_classes(bucket_width: int, max_bucket_span: int, compare: str):
+    """Bucket bounds and the bucketed / wide predicates of a side row."""
     lo_b = F.floor(F.col("low_number") / F.lit(bucket_width))
     hi_b = F.floor(F.col("high_number") / F.lit(bucket_width))
     ordered = F.col("low_number") <= F.col("high_number")
@@ -96,16 +140,34 @@ def _split_sides(sides: DataFrame, bucket_width: int, max_bucket_span: int,
     if compare == "lexicographic":
         # Numbers are ordered only within one block; ranges across blocks go
         # to the un-bucketed join, whatever their numbers.
-        same_block = F.col("low_block") == F.col("high_block")
-        bucketable = bucketable & same_block
+        bucketable = bucketable & (F.col("low_block") == F.col("high_block"))
         wide_rows = ~bucketable
     else:
         wide_rows = ordered & ~bucketable
-    base = sides.where(F.col("street").isNotNull() & F.col("low_number").isNotNull()
+    return lo_b, hi_b, bucketable, wide_rows
+
+
+def _valid_sides(sides: DataFrame) -> DataFrame:
+    return sides.where(F.col("street").isNotNull() & F.col("low_number").isNotNull()
                        & F.col("high_number").isNotNull())
+
+
+def _split_sides(sides: DataFrame, bucket_width: int, max_bucket_span: int,
+                 compare: str) -> tuple[DataFrame, DataFrame]:
+    lo_b, hi_b, bucketable, wide_rows = _side_classes(bucket_width, max_bucket_span, compare)
+    base = _valid_sides(sides)
     narrow = base.where(bucketable).withColumn("bucket", F.explode(F.sequence(lo_b, hi_b)))
-    wide = base.where(wide_rows)
-    return narrow, wide
+    return narrow, base.where(wide_rows)
+
+
+def _side_sizes(sides: DataFrame, bucket_width: int, max_bucket_span: int,
+                compare: str) -> tuple[int, int]:
+    """(rows of the bucketed side, rows of the wide side) in one small job."""
+    lo_b, hi_b, bucketable, wide_rows = _side_classes(bucket_width, max_bucket_span, compare)
+    row = _valid_sides(sides).agg(
+        F.sum(F.when(bucketable, hi_b - lo_b + 1).otherwise(0)).alias("n"),
+        F.count_if(wide_rows).alias("w")).first()
+    return int(row["n"] or 0), int(row["w"] or 0)
 
 
 def attribute_to_segments(records_agg: DataFrame, sides: DataFrame, *,
@@ -129,11 +191,15 @@ def attribute_to_segments(records_agg: DataFrame, sides: DataFrame, *,
     if compare not in COMPARE_MODES:
         raise ValueError(f"compare must be one of {COMPARE_MODES}")
     narrow, wide = _split_sides(sides, bucket_width, max_bucket_span, compare)
-    narrow_b, is_bc = maybe_broadcast(narrow, broadcast_rows, broadcast)
-    # Wide ranges are rare; a bounded check on the (small) segment side lets
-    # the common case read the records once, through a single join.
-    has_wide = wide.limit(1).count() > 0
-    wide_b = maybe_broadcast(wide, broadcast_rows, broadcast)[0] if has_wide else None
+    # One pass over the segment side: rows the bucketed side will have and
+    # rows needing the un-bucketed join.  Wide ranges are rare, so the common
+    # case reads the records once, through a single join.
+    n_narrow, n_wide = _side_sizes(sides, bucket_width, max_bucket_span, compare)
+    has_wide = n_wide > 0
+    if broadcast is None:
+        broadcast = broadcast_rows is not None and n_narrow + n_wide <= broadcast_rows
+    narrow_b, is_bc = maybe_broadcast(narrow, None, broadcast)
+    wide_b = maybe_broadcast(wide, None, broadcast)[0] if has_wide else None
 
     r = records_agg.withColumn("bucket", F.floor(F.col("number") / F.lit(bucket_width))).alias("r")
     keys = ("street", "borough", "parity")

@@ -19,15 +19,24 @@ SIDE_COLUMNS = ("physical_id", "side", "street", "borough", "parity",
                 "low_block", "low_number", "high_block", "high_number")
 
 
-def _side_struct(df_cols, side: str, low: str, high: str, name: str, borough: str,
-                 mode: str, parity_of: str):
-    lo = parse_house_number(F.col(low), mode)
-    hi = parse_house_number(F.col(high), mode)
+def _parse_bounds(segments: DataFrame, sides, names, borough: str, id_col: str,
+                  mode: str) -> DataFrame:
+    """Parse every bound once, in its own projection (names upper-cased once)."""
+    cols = [F.col(id_col).alias("physical_id"), F.col(borough).cast("int").alias("_borough")]
+    cols += [F.upper(F.col(n)).alias(f"_name_{i}") for i, n in enumerate(names)]
+    for side, lo, hi in sides:
+        cols += [parse_house_number(F.col(lo), mode).alias(f"_lo_{side}"),
+                 parse_house_number(F.col(hi), mode).alias(f"_hi_{side}")]
+    return segments.select(*cols)
+
+
+def _side_struct(side: str, name_col: str, parity_of: str):
+    lo, hi = F.col(f"_lo_{side}"), F.col(f"_hi_{side}")
     par_src = lo if parity_of == "low" else hi
     return F.struct(
         F.lit(side).alias("side"),
-        F.upper(F.col(name)).alias("street"),
-        F.col(borough).cast("int").alias("borough"),
+        F.col(name_col).alias("street"),
+        F.col("_borough").alias("borough"),
         parity(par_src["number"]).alias("parity"),
         lo["block"].alias("low_block"), lo["number"].alias("low_number"),
         hi["block"].alias("high_block"), hi["number"].alias("high_number"),
@@ -49,9 +58,9 @@ def segment_sides(segments: DataFrame, *, mode: str = "pair",
     segment-preserving join still sees them.  ``dedup=False`` keeps the
     double row of a segment whose two names are equal (plain U2).
     """
-    cols = segments.columns
-    rows = [_side_struct(cols, s, lo, hi, n, borough, mode, parity_of)
-            for s, lo, hi in sides for n in names]
+    parsed = _parse_bounds(segments, sides, names, borough, id_col, mode)
+    rows = [_side_struct(s, f"_name_{i}", parity_of)
+            for s, _, _ in sides for i, _ in enumerate(names)]
     arr = F.array(*rows)
     if dedup:
         arr = F.array_distinct(arr)
@@ -64,7 +73,7 @@ def segment_sides(segments: DataFrame, *, mode: str = "pair",
                                 ("parity", "string"), ("low_block", "int"),
                                 ("low_number", "int"), ("high_block", "int"),
                                 ("high_number", "int"))])))
-    out = segments.select(F.col(id_col).alias("physical_id"), F.explode(valid).alias("s"))
+    out = parsed.select("physical_id", F.explode(valid).alias("s"))
     return out.select("physical_id", "s.*")
 
 
@@ -75,10 +84,12 @@ def segment_sides_union(segments: DataFrame, *, mode: str = "pair", name: str =
     The union form of ``segment_sides`` for a single name column; duplicates
     are kept (union all).
     """
+    sides = (("L", "l_low", "l_high"), ("R", "r_low", "r_high"))
+    parsed = _parse_bounds(segments, sides, (name,), borough, id_col, mode)
     parts = []
-    for side, lo, hi in (("L", "l_low", "l_high"), ("R", "r_low", "r_high")):
-        s = _side_struct(segments.columns, side, lo, hi, name, borough, mode, "low")
-        parts.append(segments.select(F.col(id_col).alias("physical_id"), s.alias("s"))
+    for side, _, _ in sides:
+        s = _side_struct(side, "_name_0", "low")
+        parts.append(parsed.select("physical_id", s.alias("s"))
                      .select("physical_id", "s.*")
                      .where(F.col("low_number").isNotNull() & F.col("high_number").isNotNull()))
     return parts[0].unionByName(parts[1])

@@ -13,8 +13,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from blockwise.operators.keywords import keyword_filter, zone_rate
-from blockwise.operators.range_join import (aggregate_records, attribute_to_segments,
-                                            count_columns, prepare_records)
+from blockwise.operators.range_join import (attribute_to_segments, count_columns,
+                                            count_raw_records, normalize_addresses)
 from blockwise.operators.ranking import format_topk_lines, nest_top_k, top_k
 from blockwise.operators.segments import segment_sides
 from blockwise.operators.spatial import ZoneIndex
@@ -24,16 +24,20 @@ from blockwise.operators.trend import add_slope
 def segment_trend(records: DataFrame, segments: DataFrame, years: Sequence[int], *,
                   mode: str = "pair", keep: str = "matched", compare: str = "component",
                   null_policy: str = "zero_fill", record_cols: dict | None = None,
-                  segment_cols: dict | None = None, bucket_width: int = 100,
+                  segment_cols: dict | None = None, county_map: dict | None = None,
+                  bucket_width: int = 100,
                   broadcast_rows: int | None = None) -> DataFrame:
     """Job A: per street segment, records per year and the OLS slope.
 
+    Records are counted per raw address first, normalised per distinct
+    address, then attributed to segment sides (see ``range_join``).
+
     Output: physical_id, count_<year> for each year, ols_coeff (double).
     """
     rc = dict(record_cols or {})
     sc = dict(segment_cols or {})
-    prepared = prepare_records(records, years, mode=mode, **rc)
-    agg = aggregate_records(prepared, years)
+    raw = count_raw_records(records, years, **rc)
+    agg = normalize_addresses(raw, mode=mode, county_map=county_map)
     sides = segment_sides(segments, mode=mode, **sc)
     kw = {} if broadcast_rows is None else {"broadcast_rows": broadcast_rows}
     id_col = sc.get("id_col", "physical_id")
