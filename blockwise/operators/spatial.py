@@ -72,13 +72,19 @@ class ZoneIndex:
                    attribute columns (constant per zone)
     ``attrs``      attribute columns carried into results
     ``cell_size``  grid step; default from the zone bboxes (one small job)
+    ``salt``       when the cell table is too large to broadcast, every cell
+                   row is replicated ``salt`` times and each point goes to one
+                   replica chosen by a hash of its columns, so a cell holding a
+                   third of all points is spread over ``salt`` tasks (AQE's
+                   skew-join splitting comes on top)
     """
 
     def __init__(self, edges: DataFrame, *, attrs: Sequence[str] = ("zone_name",),
                  cell_size: float | None = None, cells_per_zone: int = 256,
                  max_cells: int = 2_000_000,
                  broadcast_rows: int | None = DEFAULT_BROADCAST_ROWS,
-                 broadcast: bool | None = None):
+                 broadcast: bool | None = None, salt: int = 16):
+        self.salt = max(int(salt), 1)
         self.attrs = [a for a in attrs if a in edges.columns]
         self.edges = edges.select(*EDGE_COLUMNS, *self.attrs)
         if cell_size is None:
@@ -163,8 +169,17 @@ class ZoneIndex:
         cells = self._join_side()
         pts = points.withColumn("_gx", F.floor(F.col(x) / F.lit(s))) \
                     .withColumn("_gy", F.floor(F.col(y) / F.lit(s)))
-        j = pts.join(cells, (pts["_gx"] == cells["gx"]) & (pts["_gy"] == cells["gy"]),
-                     "inner" if how == "inner" else "left")
+        cond = (pts["_gx"] == cells["gx"]) & (pts["_gy"] == cells["gy"])
+        if not self._broadcast and self.salt > 1:
+            # Deterministic salt (a hash of the point's columns), so a retried
+            # task sends every point to the same replica again.
+            pts = pts.withColumn("_salt", F.pmod(F.xxhash64(*[F.col(c) for c in points.columns]),
+                                                 F.lit(self.salt)))
+            cells = cells.withColumn("salt", F.explode(F.sequence(F.lit(0).cast("long"),
+                                                                  F.lit(self.salt - 1).cast("long"))))
+            cond = (pts["_gx"] == cells["gx"]) & (pts["_gy"] == cells["gy"]) & \
+                (pts["_salt"] == cells["salt"])
+        j = pts.join(cells, cond, "inner" if how == "inner" else "left")
         px, py = F.col(x), F.col(y)
         hit = F.try_element_at(
             F.filter(F.col("zones"), lambda z: z["interior"] | contains(z["edges"], px, py)),

@@ -248,8 +248,9 @@ ORACLE: dict[str, str] = {
       ELSE concat(cast(month(o_orderdate) AS varchar), '/', cast(day(o_orderdate) AS varchar), '/',
                   cast(year(o_orderdate) AS varchar)) END AS issue_date
   FROM orders)
-SELECT record_id, issue_date, year(try_strptime(issue_date, '%m/%d/%Y')) AS year_strict,
-  year(coalesce(try_strptime(issue_date, '%m/%d/%Y'), try_strptime(issue_date, '%Y-%m-%d'))) AS year_lenient,
+SELECT record_id, issue_date, cast(year(try_strptime(issue_date, '%m/%d/%Y')) AS integer) AS year_strict,
+  cast(year(coalesce(try_strptime(issue_date, '%m/%d/%Y'), try_strptime(issue_date, '%Y-%m-%d'))) AS integer)
+    AS year_lenient,
   year(try_strptime(issue_date, '%m/%d/%Y')) BETWEEN 1996 AND 2000 AS in_window
 FROM d""",
     "safe_cast": w(RECORDS) + "SELECT record_id, try_cast(house_no AS integer) AS house_int, "
@@ -312,7 +313,8 @@ FROM d""",
     + "SELECT c.zone_id, c.n, p.population, "
       "cast(c.n AS double) / nullif(cast(p.population AS double), 0) AS rate "
       "FROM cnt c LEFT JOIN pop p ON c.zone_id = p.zone_id",
-    "topk_per_group": w(*TOP3) + "SELECT group_name, rank, zone_name, n FROM ranked WHERE rank <= 3",
+    "topk_per_group": w(*TOP3) + "SELECT group_name, cast(rank AS integer) AS rank, zone_name, n "
+                                 "FROM ranked WHERE rank <= 3",
     "topk_nested": w(*TOP3)
     + "SELECT group_name, string_agg(zone_name, '|' ORDER BY rank) AS names, "
       "string_agg(cast(n AS varchar), '|' ORDER BY rank) AS counts "
@@ -321,9 +323,10 @@ FROM d""",
     + "SELECT group_name, group_name || ',[' || string_agg("
       "'(' || chr(39) || zone_name || chr(39) || ', ' || cast(n AS varchar) || ')', ', ' "
       "ORDER BY rank) || ']' AS line FROM ranked WHERE rank <= 3 GROUP BY group_name",
-    "sum_by_key": "SELECT o_orderpriority, sum(cast(round(o_totalprice * 100) AS bigint)) AS total_cents "
+    "sum_by_key": "SELECT o_orderpriority, cast(sum(cast(round(o_totalprice * 100) AS bigint)) AS bigint) AS total_cents "
                   "FROM orders GROUP BY o_orderpriority",
-    "sort_by_key": w(RECORDS) + "SELECT record_id, issue_year FROM records_v ORDER BY issue_year, record_id",
+    "sort_by_key": w(RECORDS) + "SELECT record_id, cast(issue_year AS integer) AS issue_year FROM records_v "
+                              "ORDER BY issue_year, record_id",
     "limit_sorted": "SELECT o_orderkey, o_totalprice FROM orders "
                     "ORDER BY o_totalprice DESC, o_orderkey ASC LIMIT 10",
 }
