@@ -72,3 +72,25 @@ def test_sinks(spark, tmp_dir):
     lines = df.select(F.concat_ws(",", "physical_id", "ols_coeff").alias("line"))
     sinks.write_lines(lines, "line", f"{tmp_dir}/out_txt")
     assert sorted(r[0] for r in spark.read.text(f"{tmp_dir}/out_txt").collect()) == ["1,2.5", "2,0.0"]
+
+
+def test_segment_trend_from_files(spark, tmp_dir):
+    from blockwise.plans.jobs import segment_trend
+    header = ",".join(f"h{i}" for i in range(25))
+    lines = [violation_line("03/01/2015", "NY", "7", "main st"),
+             violation_line("1/2/2019", "MN", "9", "MAIN ST"),
+             violation_line("1/2/2019", "MN", "8", "MAIN ST"),      # even: right side
+             violation_line("1/2/2013", "MN", "9", "MAIN ST"),      # outside the window
+             violation_line("1/2/2019", "MN", "9A", "MAIN ST")]     # malformed number
+    _write(f"{tmp_dir}/v/a.csv", header + "\n" + "\n".join(lines[:3]) + "\n")
+    _write(f"{tmp_dir}/v/b.csv", header + "\n" + "\n".join(lines[3:]) + "\n")
+    cols = ["0"] * 30
+    cols[0], cols[2], cols[3], cols[4], cols[5], cols[13], cols[28], cols[29] = \
+        "17", "1", "99", "2", "98", "1", "MAIN STREET", "MAIN ST"
+    _write(f"{tmp_dir}/cl.csv", ",".join(f"h{i}" for i in range(30)) + "\n" + ",".join(cols) + "\n")
+    v = files.read_violations(spark, f"{tmp_dir}/v")
+    c = files.read_centerline(spark, f"{tmp_dir}/cl.csv")
+    out = segment_trend(v, c, [2015, 2016, 2017, 2018, 2019],
+                        record_cols={"date": "issue_date", "year": None}).collect()
+    assert [(r["physical_id"], r["count_2015"], r["count_2019"], r["ols_coeff"]) for r in out] == \
+        [(17, 1, 2, (-2 * 1 + 2 * 2) / 10)]
