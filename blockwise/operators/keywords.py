@@ -84,14 +84,12 @@ def union_terms(*lists: DataFrame) -> DataFrame:
 
 
 def zone_rate(counts: DataFrame, population: DataFrame, *, key: str = "zone_id",
-              n: str = "n", pop: str = "population", out: str = "rate",
-              broadcast_rows: int | None = DEFAULT_BROADCAST_ROWS) -> DataFrame:
+              n: str = "n", pop: str = "population", out: str = "rate") -> DataFrame:
     """Count / population per zone; population 0 or missing -> null.
 
-    Both sides have one row per zone; the population side is broadcast after
-    its size check.
+    Both inputs are per-zone aggregates, so no explicit broadcast: AQE sees
+    the measured size of both (small) shuffles and picks the join at run time.
     """
-    p, _ = maybe_broadcast(population.select(key, pop), broadcast_rows)
-    j = counts.join(p, key, "left")
+    j = counts.join(population.select(key, pop), key, "left")
     return j.select(key, n, pop, F.try_divide(F.col(n).cast("double"),
                                               F.col(pop).cast("double")).alias(out))

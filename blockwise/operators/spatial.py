@@ -36,16 +36,35 @@ EDGE_COLUMNS = ("zone_id", "x1", "y1", "x2", "y2")
 
 
 def _bbox_stats(edges: DataFrame) -> dict:
-    """One-row summary of the zone bounding boxes (bounded by the layer)."""
+    """One-row summary of the zone bounding boxes (bounded by the layer).
+
+    Besides the sums that choose the cell size it returns A = sum(w*h*(E+1)),
+    B = sum((w+h)*(E+1)), C = sum(E+1) over zones with E edges, from which
+    ``entry_bound`` bounds the cell table's size for any cell size.
+    """
     z = edges.groupBy("zone_id").agg(
         (F.max(F.greatest("x1", "x2")) - F.min(F.least("x1", "x2"))).alias("w"),
-        (F.max(F.greatest("y1", "y2")) - F.min(F.least("y1", "y2"))).alias("h"))
-    row = z.agg(F.count(F.lit(1)).alias("n"), F.sum(F.col("w") * F.col("h")).alias("area"),
-                F.sum(F.col("w") + F.col("h")).alias("perim"), F.max("w").alias("max_w"),
-                F.max("h").alias("max_h")).first()
+        (F.max(F.greatest("y1", "y2")) - F.min(F.least("y1", "y2"))).alias("h"),
+        (F.count(F.lit(1)) + 1).alias("e1"))
+    w, h, e1 = F.col("w"), F.col("h"), F.col("e1")
+    row = z.agg(F.count(F.lit(1)).alias("n"), F.sum(w * h).alias("area"),
+                F.sum(w + h).alias("perim"), F.max("w").alias("max_w"),
+                F.max("h").alias("max_h"), F.sum(w * h * e1).alias("A"),
+                F.sum((w + h) * e1).alias("B"), F.sum(e1).alias("C")).first()
     return row.asDict()
 
 
+def entry_bound(stats: dict, cell_size: float) -> float:
+    """Upper bound on the cell table's entries (zone rows + listed edges).
+
+    A zone's bbox covers at most (w/s + 3)(h/s + 3) cells and lists at most
+    its E edges plus one row in each, so entries <= A/s^2 + 3B/s + 9C.
+    """
+    s = cell_size
+    return (float(stats["A"] or 0) / (s * s) + 3 * float(stats["B"] or 0) / s
+            + 9 * float(stats["C"] or 0))
+
+
 def choose_cell_size(stats: dict, cells_per_zone: int = 256, max_cells: int = 2_000_000) -> float:
     """Grid step giving about ``cells_per_zone`` cells per zone bbox, capped.
 
@@ -87,12 +106,18 @@ class ZoneIndex:
         self.salt = max(int(salt), 1)
         self.attrs = [a for a in attrs if a in edges.columns]
         self.edges = edges.select(*EDGE_COLUMNS, *self.attrs)
+        self._broadcast_rows = broadcast_rows
+        self._broadcast = broadcast
         if cell_size is None:
-            cell_size = choose_cell_size(_bbox_stats(self.edges), cells_per_zone, max_cells)
+            stats = _bbox_stats(self.edges)
+            cell_size = choose_cell_size(stats, cells_per_zone, max_cells)
+            # A proven bound under the limit settles the broadcast without
+            # building the cell table an extra time.
+            if broadcast is None and broadcast_rows is not None and \
+                    entry_bound(stats, cell_size) <= broadcast_rows:
+                self._broadcast = True
         self.cell_size = float(cell_size)
         self.cells = self._build_cells()
-        self._broadcast_rows = broadcast_rows
-        self._broadcast = broadcast
 
     # -- cell table ---------------------------------------------------------
     def _build_cells(self) -> DataFrame:
@@ -158,13 +183,16 @@ class ZoneIndex:
 
     # -- assignment ---------------------------------------------------------
     def assign(self, points: DataFrame, *, x: str, y: str, carry: Sequence[str] = (),
-               prefix: str = "", how: str = "left") -> DataFrame:
+               prefix: str = "", how: str = "left", match: str = "first") -> DataFrame:
         """Add ``<prefix>zone_id`` (and carried attributes) to every point.
 
         ``how='left'`` keeps points in no zone with null; ``'inner'`` drops
-        them.  Overlapping zones resolve to the lowest zone id; points on an
-        edge are outside.
+        them.  ``match='first'`` resolves overlapping zones to the lowest zone
+        id (one row per point); ``match='all'`` gives one row per containing
+        zone.  Points on an edge are outside.
         """
+        if match not in ("first", "all"):
+            raise ValueError("match must be 'first' or 'all'")
         s = self.cell_size
         cells = self._join_side()
         pts = points.withColumn("_gx", F.floor(F.col(x) / F.lit(s))) \
@@ -181,10 +209,13 @@ class ZoneIndex:
                 (pts["_salt"] == cells["salt"])
         j = pts.join(cells, cond, "inner" if how == "inner" else "left")
         px, py = F.col(x), F.col(y)
-        hit = F.try_element_at(
-            F.filter(F.col("zones"), lambda z: z["interior"] | contains(z["edges"], px, py)),
-            F.lit(1))
-        out = j.select(*[F.col(c) for c in points.columns], hit.alias("_hit"))
+        hits = F.filter(F.col("zones"), lambda z: z["interior"] | contains(z["edges"], px, py))
+        if match == "first":
+            out = j.select(*[F.col(c) for c in points.columns],
+                           F.try_element_at(hits, F.lit(1)).alias("_hit"))
+        else:
+            gen = F.explode_outer if how != "inner" else F.explode
+            out = j.select(*[F.col(c) for c in points.columns], gen(hits).alias("_hit"))
         cols = [F.col(c) for c in points.columns]
         cols.append(F.col("_hit.zone_id").alias(f"{prefix}zone_id"))
         cols += [F.col(f"_hit.{a}").alias(f"{prefix}{a}") for a in carry]
@@ -213,3 +244,12 @@ def edges_from_rings(zones: DataFrame, *, id_col: str = "zone_id",
                     nxt["x"].alias("x2"), nxt["y"].alias("y2")) \
             .where(~((F.col("x1") == F.col("x2")) & (F.col("y1") == F.col("y2"))))
 
+
+
+def assign_zone(points: DataFrame, zones: ZoneIndex | DataFrame, *, x: str, y: str,
+                carry: Sequence[str] = (), how: str = "left", match: str = "first",
+                cell_size: float | None = None) -> DataFrame:
+    """Functional form of ``ZoneIndex.assign`` (``zones`` may be an edge list)."""
+    if not isinstance(zones, ZoneIndex):
+        zones = ZoneIndex(zones, attrs=carry, cell_size=cell_size)
+    return zones.assign(points, x=x, y=y, carry=carry, how=how, match=match)

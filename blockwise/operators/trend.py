@@ -65,3 +65,11 @@ def slope_long(df: DataFrame, key: str, year_col: str = "year", value_col: str =
     """``regr_slope`` over long rows; null values are skipped."""
     return df.groupBy(key).agg(F.regr_slope(F.col(value_col), F.col(year_col).cast("double"))
                                .alias(out))
+
+
+def yearly_trend(df: DataFrame, key: str | Sequence[str], year: str, years: Sequence[int], *,
+                 null_policy: str = "zero_fill", prefix: str = "count_") -> DataFrame:
+    """Per key: one count per year and the OLS slope over ``years``."""
+    keys = [key] if isinstance(key, str) else list(key)
+    counts = yearly_counts(df, keys, year, years, prefix=prefix)
+    return add_slope(counts, [f"{prefix}{y}" for y in years], years, null_policy=null_policy)

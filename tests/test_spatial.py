@@ -141,3 +141,29 @@ def test_lcc_reference_points(spark):
     r = df.select(x.alias("x"), y.alias("y")).first()
     assert abs(r["x"] - 988_200) < 1_500 and abs(r["y"] - 215_300) < 1_500
     assert k["n"] > 0.6
+
+
+def test_entry_bound_holds(spark):
+    from blockwise.operators.spatial import _bbox_stats, entry_bound
+    rnd = random.Random(3)
+    edges = []
+    for z in range(8):
+        edges += ring_edges(z, f"z{z}", random_polygon(rnd, rnd.uniform(0, 10), rnd.uniform(0, 10),
+                                                       rnd.uniform(0.5, 3), rnd.randint(3, 30)))
+    df = spark.createDataFrame(edges, EDGE_SCHEMA)
+    stats = _bbox_stats(df)
+    for cell in (0.05, 0.2, 1.0, 7.0):
+        exact = ZoneIndex(df, cell_size=cell).cell_stats()["entries"]
+        assert exact <= entry_bound(stats, cell)
+
+
+def test_match_all_and_functional_form(spark):
+    from blockwise.operators.spatial import assign_zone
+    pts = spark.createDataFrame(POINTS, "pid int, x double, y double")
+    edges = spark.createDataFrame(EDGES, EDGE_SCHEMA)
+    rows = assign_zone(pts, edges, x="x", y="y", carry=("zone_name",), match="all").collect()
+    got = sorted((r["pid"], r["zone_id"]) for r in rows if r["zone_id"] is not None)
+    assert got == [(1, 1), (3, 2), (6, 1), (6, 3), (9, 3)]
+    assert len(rows) == len(POINTS) + 1   # left: every point kept, point 6 twice
+    inner = assign_zone(pts, edges, x="x", y="y", how="inner", match="all").count()
+    assert inner == 5

@@ -54,3 +54,10 @@ def test_pivot_and_counts(spark):
     assert p == {"a": (2, None, 1), "b": (None, 1, None)}
     yc = {r["s"]: tuple(r[1:]) for r in T.yearly_counts(df, ["s"], "y", [2015, 2016, 2017]).collect()}
     assert yc == {"a": (2, 0, 1), "b": (0, 1, 0)}
+
+
+def test_yearly_trend(spark):
+    df = spark.createDataFrame([("a", 2015), ("a", 2019), ("a", 2019), ("b", 2017)], "s string, y int")
+    got = {r["s"]: (r["count_2015"], r["count_2019"], r["ols_coeff"])
+           for r in T.yearly_trend(df, "s", "y", YEARS).collect()}
+    assert got == {"a": (1, 2, (-2 + 4) / 10), "b": (0, 0, 0.0)}
