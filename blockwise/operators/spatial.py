@@ -65,16 +65,21 @@ def entry_bound(stats: dict, cell_size: float) -> float:
             + 9 * float(stats["C"] or 0))
 
 
-def choose_cell_size(stats: dict, cells_per_zone: int = 256, max_cells: int = 2_000_000) -> float:
+def choose_cell_size(stats: dict, cells_per_zone: int = 256, max_cells: int = 2_000_000,
+                     cells_per_edge: int = 4) -> float:
     """Grid step giving about ``cells_per_zone`` cells per zone bbox, capped.
 
-    Estimated cells for step s: sum over zones of (w/s + 1)(h/s + 1).
+    Complex layers get more cells (``cells_per_edge`` per polygon edge) so a
+    boundary cell's row holds few edges.  Estimated cells for step s: sum over
+    zones of (w/s + 1)(h/s + 1).
     """
     n = max(int(stats["n"] or 0), 1)
     area = float(stats["area"] or 0.0)
     perim = float(stats["perim"] or 0.0)
+    edges = float(stats.get("C") or 0.0)
+    target = max(n * cells_per_zone, edges * cells_per_edge)
     side = max(float(stats["max_w"] or 0.0), float(stats["max_h"] or 0.0), 1e-9)
-    s = math.sqrt(area / (n * cells_per_zone)) if area > 0 else side / math.sqrt(cells_per_zone)
+    s = math.sqrt(area / target) if area > 0 else side / math.sqrt(cells_per_zone)
     s = max(s, side * 1e-6)
 
     def estimate(step):
