@@ -11,7 +11,6 @@ from collections.abc import Iterable, Sequence
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
-from pyspark.sql.types import IntegerType, StructField, StructType
 
 # ---------------------------------------------------------------------------
 # Fixed values that must equal the source data's conventions.
@@ -28,7 +27,6 @@ COUNTY_CODES = {
 # blanks/hyphens and more digits.  ``\z`` so a trailing newline is rejected.
 HOUSE_NUMBER_PATTERN = r"^[0-9]+([ -]+[0-9]+)?\z"
 HOUSE_NUMBER_GROUPS = r"^([0-9]+)(?:[ -]+([0-9]+))?\z"
-HOUSE_SEPARATORS = r"[ -]+"
 # Date formats tried in order by the lenient year parser.
 LENIENT_DATE_FORMATS = ("M/d/yyyy", "yyyy-MM-dd", "yyyy/M/d", "M-d-yyyy",
                         "yyyy-MM-dd HH:mm:ss", "M/d/yyyy H:mm")
@@ -36,9 +34,6 @@ LENIENT_DATE_FORMATS = ("M/d/yyyy", "yyyy-MM-dd", "yyyy/M/d", "M-d-yyyy",
 
 HOUSE_MODES = ("pair", "concat_text", "concat_int")
 
-HOUSE_STRUCT = StructType([StructField("block", IntegerType()),
-                           StructField("number", IntegerType())])
-
 
 def _col(c: Column | str) -> Column:
     return F.col(c) if isinstance(c, str) else c

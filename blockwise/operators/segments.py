@@ -15,10 +15,6 @@ from pyspark.sql import functions as F
 
 from blockwise.functions.normalize import parity, parse_house_number
 
-SIDE_COLUMNS = ("physical_id", "side", "street", "borough", "parity",
-                "low_block", "low_number", "high_block", "high_number")
-
-
 def _parse_bounds(segments: DataFrame, sides, names, borough: str, id_col: str,
                   mode: str) -> DataFrame:
     """Parse every bound once, in its own projection (names upper-cased once)."""

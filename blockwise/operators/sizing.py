@@ -5,10 +5,13 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# Default row bound under which a side input may be broadcast.  A row of the
-# frames we broadcast (segment sides, grid cells, zone attributes, terms) is
-# well under 1 KiB, so this keeps a broadcast below a few hundred MiB.
-DEFAULT_BROADCAST_ROWS = 500_000
+# Default row bound under which a side input may be broadcast.  The rows we
+# broadcast are narrow: a segment side is ~120 bytes (ids, a street name,
+# four ints), a cell-table entry ~50 bytes (a cell key or one edge of four
+# doubles).  One million rows keeps a broadcast near 100 MiB, which fits an
+# executor comfortably; a real city's street centerline (~1e5 segments, up to
+# four sides each, about one range bucket per side) stays under it.
+DEFAULT_BROADCAST_ROWS = 1_000_000
 
 
 def row_count_at_most(df: DataFrame, max_rows: int) -> bool:
