@@ -126,39 +126,42 @@ class ZoneIndex:
 
     # -- cell table ---------------------------------------------------------
     def _build_cells(self) -> DataFrame:
+        """Cell table from the edge list: one aggregation per (zone, grid row).
+
+        Within one grid row of a zone, cells left of every edge's column range
+        or right of it are outside (a ray that way crosses nothing), so only
+        the columns between the row's extreme edge columns are generated.  A
+        column touched by an edge's (slightly widened) box is a boundary cell
+        and keeps the edges reaching it; any other column is wholly inside or
+        wholly outside, decided once at its centre.
+        """
         s = self.cell_size
         eps = s * 1e-6  # widen edge boxes so rounding never hides an edge
-        e = self.edges
         lo_x, hi_x = F.least("x1", "x2"), F.greatest("x1", "x2")
         lo_y, hi_y = F.least("y1", "y2"), F.greatest("y1", "y2")
-        e = e.select(
+        e = self.edges.select(
             "zone_id", *self.attrs,
             F.struct("x1", "y1", "x2", "y2").alias("edge"),
             F.floor((lo_x - eps) / s).alias("cx0"), F.floor((hi_x + eps) / s).alias("cx1"),
             F.floor((lo_y - eps) / s).alias("cy0"), F.floor((hi_y + eps) / s).alias("cy1"))
-        # Edge rows per grid row (an edge spans the rows of its y extent).
-        per_row = e.select("zone_id", "edge", "cx0", "cx1",
+        # An edge belongs to every grid row its y extent spans.
+        per_row = e.select("zone_id", *self.attrs, "edge", "cx0", "cx1",
                            F.explode(F.sequence("cy0", "cy1")).alias("gy"))
-        row_edges = per_row.groupBy("zone_id", "gy").agg(
-            F.collect_list(F.struct(F.col("cx1").alias("reach"), F.col("edge"))).alias("row_edges"))
-        boundary = (per_row.select("zone_id", "gy", F.explode(F.sequence("cx0", "cx1")).alias("gx"))
-                    .distinct().withColumn("is_boundary", F.lit(True)))
         attr_aggs = [F.first(a, ignorenulls=True).alias(a) for a in self.attrs]
-        bbox = e.groupBy("zone_id").agg(F.min("cx0").alias("cx0"), F.max("cx1").alias("cx1"),
-                                        F.min("cy0").alias("cy0"), F.max("cy1").alias("cy1"),
-                                        *attr_aggs)
-        grid = (bbox.select("zone_id", *self.attrs, "cy0", "cy1",
-                            F.explode(F.sequence("cx0", "cx1")).alias("gx"))
-                .select("zone_id", *self.attrs, "gx",
-                        F.explode(F.sequence("cy0", "cy1")).alias("gy")))
-        cells = (grid.join(boundary, ["zone_id", "gx", "gy"], "left")
-                 .join(row_edges, ["zone_id", "gy"], "left"))
-        is_b = F.coalesce(F.col("is_boundary"), F.lit(False))
-        all_row = F.transform(F.coalesce(F.col("row_edges"), F.array()), lambda r: r["edge"])
+        rows = per_row.groupBy("zone_id", "gy").agg(
+            F.collect_list(F.struct("cx0", "cx1", "edge")).alias("row_edges"),
+            F.min("cx0").alias("gx0"), F.max("cx1").alias("gx1"), *attr_aggs)
+        boundary = F.array_distinct(F.flatten(F.transform(
+            "row_edges", lambda r: F.sequence(r["cx0"], r["cx1"]))))
+        cells = rows.select("zone_id", *self.attrs, "gy", "row_edges",
+                            boundary.alias("boundary"),
+                            F.explode(F.sequence("gx0", "gx1")).alias("gx"))
+        is_b = F.array_contains("boundary", F.col("gx"))
+        all_row = F.transform("row_edges", lambda r: r["edge"])
         cx = (F.col("gx").cast("double") + F.lit(0.5)) * F.lit(s)
         cy = (F.col("gy").cast("double") + F.lit(0.5)) * F.lit(s)
         centre_in = (crossings(all_row, cx, cy) % 2) == 1
-        reach = F.transform(F.filter(F.col("row_edges"), lambda r: r["reach"] >= F.col("gx")),
+        reach = F.transform(F.filter("row_edges", lambda r: r["cx1"] >= F.col("gx")),
                             lambda r: r["edge"])
         zone = F.struct(F.col("zone_id"), *[F.col(a) for a in self.attrs],
                         (~is_b).alias("interior"),
