@@ -65,19 +65,22 @@ def entry_bound(stats: dict, cell_size: float) -> float:
             + 9 * float(stats["C"] or 0))
 
 
-def choose_cell_size(stats: dict, cells_per_zone: int = 256, max_cells: int = 2_000_000,
-                     cells_per_edge: int = 4) -> float:
-    """Grid step giving about ``cells_per_zone`` cells per zone bbox, capped.
-
-    Complex layers get more cells (``cells_per_edge`` per polygon edge) so a
-    boundary cell's row holds few edges.  Estimated cells for step s: sum over
-    zones of (w/s + 1)(h/s + 1).
+def choose_cell_size(stats: dict, cells_per_zone: int = 256, max_cells: int = 500_000,
+                     cells_per_edge: int = 4, min_cells: int = 32_768) -> float:
+    """Grid step for about ``cells_per_zone`` cells per zone bbox.
+
+    The budget grows with the layer's complexity (``cells_per_edge`` per
+    polygon edge, so a boundary cell lists few edges) and never drops below
+    ``min_cells`` (a few MB to broadcast; most points then land in interior
+    cells and need no test).  ``max_cells`` caps it so the cell table stays
+    broadcastable.  Estimated cells for step s: sum over zones of
+    (w/s + 1)(h/s + 1).
     """
     n = max(int(stats["n"] or 0), 1)
     area = float(stats["area"] or 0.0)
     perim = float(stats["perim"] or 0.0)
     edges = float(stats.get("C") or 0.0)
-    target = max(n * cells_per_zone, edges * cells_per_edge)
+    target = min(max(n * cells_per_zone, edges * cells_per_edge, min_cells), max_cells)
     side = max(float(stats["max_w"] or 0.0), float(stats["max_h"] or 0.0), 1e-9)
     s = math.sqrt(area / target) if area > 0 else side / math.sqrt(cells_per_zone)
     s = max(s, side * 1e-6)
@@ -105,7 +108,7 @@ class ZoneIndex:
 
     def __init__(self, edges: DataFrame, *, attrs: Sequence[str] = ("zone_name",),
                  cell_size: float | None = None, cells_per_zone: int = 256,
-                 max_cells: int = 2_000_000,
+                 max_cells: int = 500_000,
                  broadcast_rows: int | None = DEFAULT_BROADCAST_ROWS,
                  broadcast: bool | None = None, salt: int = 16):
         self.salt = max(int(salt), 1)
@@ -144,13 +147,31 @@ class ZoneIndex:
             F.struct("x1", "y1", "x2", "y2").alias("edge"),
             F.floor((lo_x - eps) / s).alias("cx0"), F.floor((hi_x + eps) / s).alias("cx1"),
             F.floor((lo_y - eps) / s).alias("cy0"), F.floor((hi_y + eps) / s).alias("cy1"))
-        # An edge belongs to every grid row its y extent spans.
+        # An edge belongs to every grid row its y extent spans; within a row
+        # only the part of the edge inside the (widened) row band counts, so
+        # its columns come from x at the band's bottom and top.
         per_row = e.select("zone_id", *self.attrs, "edge", "cx0", "cx1",
                            F.explode(F.sequence("cy0", "cy1")).alias("gy"))
+        x1, y1 = F.col("edge.x1"), F.col("edge.y1")
+        x2, y2 = F.col("edge.x2"), F.col("edge.y2")
+        band_lo = F.greatest(F.least(y1, y2), F.col("gy").cast("double") * F.lit(s) - F.lit(eps))
+        band_hi = F.least(F.greatest(y1, y2),
+                          (F.col("gy").cast("double") + F.lit(1.0)) * F.lit(s) + F.lit(eps))
+
+        def x_at(yv):
+            return x1 + (x2 - x1) * (yv - y1) / (y2 - y1)
+        flat = y1 == y2
+        xa = F.when(flat, F.least(x1, x2)).otherwise(x_at(band_lo))
+        xb = F.when(flat, F.greatest(x1, x2)).otherwise(x_at(band_hi))
+        per_row = per_row.select(
+            "zone_id", *self.attrs, "edge", "gy",
+            F.greatest(F.col("cx0"), F.floor((F.least(xa, xb) - eps) / s)).alias("rx0"),
+            F.least(F.col("cx1"), F.floor((F.greatest(xa, xb) + eps) / s)).alias("rx1"))
         attr_aggs = [F.first(a, ignorenulls=True).alias(a) for a in self.attrs]
         rows = per_row.groupBy("zone_id", "gy").agg(
-            F.collect_list(F.struct("cx0", "cx1", "edge")).alias("row_edges"),
-            F.min("cx0").alias("gx0"), F.max("cx1").alias("gx1"), *attr_aggs)
+            F.collect_list(F.struct(F.col("rx0").alias("cx0"), F.col("rx1").alias("cx1"), "edge"))
+            .alias("row_edges"),
+            F.min("rx0").alias("gx0"), F.max("rx1").alias("gx1"), *attr_aggs)
         boundary = F.array_distinct(F.flatten(F.transform(
             "row_edges", lambda r: F.sequence(r["cx0"], r["cx1"]))))
         cells = rows.select("zone_id", *self.attrs, "gy", "row_edges",
@@ -168,9 +189,15 @@ class ZoneIndex:
                         F.when(is_b, reach).otherwise(
                             F.array().cast("array<struct<x1:double,y1:double,x2:double,y2:double>>")
                         ).alias("edges"))
-        return (cells.where(is_b | centre_in)
-                .select("gx", "gy", zone.alias("z"))
-                .groupBy("gx", "gy").agg(F.array_sort(F.collect_list("z")).alias("zones")))
+        by_cell = (cells.where(is_b | centre_in)
+                   .select("gx", "gy", zone.alias("z"))
+                   .groupBy("gx", "gy").agg(F.array_sort(F.collect_list("z")).alias("zones")))
+        # When the lowest-id candidate covers the whole cell, every point of
+        # the cell belongs to it: no per-point test (the common case).
+        first = F.col("zones").getItem(0)
+        sure = F.when(first["interior"], F.struct(first["zone_id"].alias("zone_id"),
+                                                   *[first[a].alias(a) for a in self.attrs]))
+        return by_cell.select("gx", "gy", "zones", sure.alias("sure"))
 
     def cell_stats(self) -> dict:
         """Rows and edge entries of the cell table (one small job)."""
@@ -218,18 +245,22 @@ class ZoneIndex:
         j = pts.join(cells, cond, "inner" if how == "inner" else "left")
         px, py = F.col(x), F.col(y)
         hits = F.filter(F.col("zones"), lambda z: z["interior"] | contains(z["edges"], px, py))
+        found = F.transform(hits, lambda z: F.struct(
+            z["zone_id"].alias("zone_id"), *[z[a].alias(a) for a in self.attrs]))
         if match == "first":
-            out = j.select(*[F.col(c) for c in points.columns],
-                           F.try_element_at(hits, F.lit(1)).alias("_hit"))
-        else:
-            gen = F.explode_outer if how != "inner" else F.explode
-            out = j.select(*[F.col(c) for c in points.columns], gen(hits).alias("_hit"))
+            # The lambda test (interpreted by Spark) runs only where the cell
+            # has no sure zone.
+            found = F.when(F.col("sure").isNotNull(), F.array(F.col("sure"))) \
+                     .otherwise(F.slice(found, 1, 1))
+        # A generator materialises the match once: later projections and the
+        # inner join's null test read the column instead of re-running the
+        # test (a plain filter would be pushed below the projection).
+        gen = F.explode_outer if how != "inner" else F.explode
+        out = j.select(*[F.col(c) for c in points.columns], gen(found).alias("_hit"))
         cols = [F.col(c) for c in points.columns]
         cols.append(F.col("_hit.zone_id").alias(f"{prefix}zone_id"))
         cols += [F.col(f"_hit.{a}").alias(f"{prefix}{a}") for a in carry]
         out = out.select(*cols)
-        if how == "inner":
-            out = out.where(F.col(f"{prefix}zone_id").isNotNull())
         return out
 
 
