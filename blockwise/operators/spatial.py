@@ -1,24 +1,26 @@
 """Point-in-polygon assignment through a grid-cell equi-join.
 
 The polygon layer (edges: zone_id, x1, y1, x2, y2, attributes) is turned into
-a *cell table* keyed by integer grid cell (gx, gy).  Each cell row holds the
-zones whose bounding box covers it, sorted by zone id, each either
-
-* ``interior`` - no edge of the zone touches the cell and the cell centre is
-  inside, so every point of the cell is inside without any test, or
-* boundary - the zone's edges that can decide points of this cell: those
-  spanning the cell's row band and reaching its column (a ray towards +x
-  from a point in the cell can cross no other edge).
-
-Cells a zone's bbox covers but that lie wholly outside it are dropped.
-Points compute their cell with two ``floor`` calls and meet the cell table in
-an equi-join; the exact even-odd test then runs as a higher-order function
-inside the same row, and the first matching zone (lowest id) wins.  With the
-cell table broadcast (after a size check) the whole assignment is map-only:
-no shuffle of points at all, whatever their skew.  Beyond the bound the join
-shuffles on the cell key and AQE splits hot cells.
-
-The cell table is built by Spark from the edge list (layer-sized work).
+a *cell table* keyed by integer grid cell (gx, gy).  For every grid row of a
+zone, each edge is clipped to the row band; a column that a clipped edge
+passes through is a *boundary* cell and keeps the edges that can decide its
+points (those in the row band reaching its column: a ray towards +x from a
+point in the cell can cross no other edge).  Every other column between the
+row's outermost edges is wholly inside or wholly outside the zone, decided
+once at its centre; inside ones are *interior* cells, outside ones dropped.
+
+Each cell row holds its candidate zones sorted by id and, when the lowest-id
+candidate is interior, that zone as the cell's ``sure`` answer.  Points
+compute their cell with two ``floor`` calls and meet the cell table in an
+equi-join; a point in a cell with a sure zone needs no test, the others run
+the exact even-odd test (higher-order functions over the cell's few edges),
+and the first matching zone (lowest id) wins.  With the cell table broadcast
+(after a size check) the whole assignment is map-only: no shuffle of points
+at all, whatever their skew.  Beyond the bound the join shuffles on the cell
+key, salted, and AQE splits what remains skewed.
+
+The cell table is built by Spark from the edge list (layer-sized work: one
+aggregation per zone row, one per cell).
 """
 
 from __future__ import annotations
