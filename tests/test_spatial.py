@@ -167,3 +167,21 @@ def test_match_all_and_functional_form(spark):
     assert len(rows) == len(POINTS) + 1   # left: every point kept, point 6 twice
     inner = assign_zone(pts, edges, x="x", y="y", how="inner", match="all").count()
     assert inner == 5
+
+
+def test_sure_cells_and_single_test_in_plan(spark):
+    big = ring_edges(0, "big", [(0, 0), (10, 0), (10, 10), (0, 10)]) + \
+        ring_edges(1, "tilted", [(12, 0), (20, 4), (16, 12), (11, 6)])
+    idx = ZoneIndex(spark.createDataFrame(big, EDGE_SCHEMA))
+    cells = idx.cells.collect()
+    sure = sum(1 for r in cells if r["sure"] is not None)
+    assert sure > 0.8 * len(cells)           # clipped edges mark few boundary cells
+    pts = spark.createDataFrame([(1, 5.0, 5.0), (2, 15.0, 5.0), (3, 30.0, 30.0)], "pid int, x double, y double")
+    out = idx.assign(pts, x="x", y="y", how="inner")
+    assert sorted((r["pid"], r["zone_id"]) for r in out.collect()) == [(1, 0), (2, 1)]
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    # the per-point polygon test (over the cell's ``zones``) runs inside the
+    # generator only, never in a filter pushed below it
+    filters = [ln for ln in plan.splitlines() if "Filter" in ln]
+    assert not any("zones#" in ln for ln in filters)
+    assert any("Generate" in ln and "zones#" in ln for ln in plan.splitlines())
