@@ -232,8 +232,11 @@ class ZoneIndex:
             raise ValueError("match must be 'first' or 'all'")
         s = self.cell_size
         cells = self._join_side()
-        pts = points.withColumn("_gx", F.floor(F.col(x) / F.lit(s))) \
-                    .withColumn("_gy", F.floor(F.col(y) / F.lit(s)))
+        # NaN or infinite coordinates get no cell (floor(NaN) would be cell 0).
+        finite = ~F.isnan(F.col(x)) & ~F.isnan(F.col(y)) & \
+            (F.abs(F.col(x)) < F.lit(float("inf"))) & (F.abs(F.col(y)) < F.lit(float("inf")))
+        pts = points.withColumn("_gx", F.when(finite, F.floor(F.col(x) / F.lit(s)))) \
+                    .withColumn("_gy", F.when(finite, F.floor(F.col(y) / F.lit(s))))
         cond = (pts["_gx"] == cells["gx"]) & (pts["_gy"] == cells["gy"])
         if not self._broadcast and self.salt > 1:
             # Deterministic salt (a hash of the point's columns), so a retried

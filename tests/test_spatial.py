@@ -52,6 +52,8 @@ POINTS = [
     (7, 10.0, 10.0),  # outside everything
     (8, None, 1.0),   # unparseable
     (9, 4.5, 4.5),    # only zone 3
+    (10, float("nan"), 0.5),   # NaN: no cell, no zone
+    (11, 0.5, float("inf")),   # infinite
 ]
 
 
@@ -64,7 +66,7 @@ def test_edge_cases(spark, broadcast, cell):
            for r in idx.assign(pts, x="x", y="y", carry=("zone_name",)).collect()}
     assert got == {1: (1, "holed"), 2: (None, None), 3: (2, "multi"), 4: (None, None),
                    5: (None, None), 6: (1, "holed"), 7: (None, None), 8: (None, None),
-                   9: (3, "over")}
+                   9: (3, "over"), 10: (None, None), 11: (None, None)}
     inner = idx.assign(pts, x="x", y="y", how="inner").collect()
     assert sorted(r["pid"] for r in inner) == [1, 3, 6, 9]
 
