@@ -86,6 +86,17 @@ def keyword_rate(posts: DataFrame, zones: ZoneIndex, population: DataFrame,
     return zone_rate(counts, population)
 
 
+def keyword_rate_lines(rates: DataFrame, *, key: str = "zone_id", value: str = "rate") -> DataFrame:
+    """Job C as text lines ``key,rate`` in key order (K3 scalar form, O1).
+
+    Numbers print as Spark casts them to text (``1.0E-4`` style for small
+    values); a null rate (population 0) leaves the field empty.
+    """
+    line = F.concat(F.col(key).cast("string"), F.lit(","),
+                    F.coalesce(F.col(value).cast("string"), F.lit("")))
+    return rates.select(key, line.alias("line")).orderBy(key)
+
+
 def zone_count(points: DataFrame, zones: ZoneIndex, *, x: str, y: str,
                carry: str = "zone_name") -> DataFrame:
     """Job D: points per zone (by zone name).  Output: zone_name, n."""

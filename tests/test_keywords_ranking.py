@@ -85,3 +85,9 @@ def test_limit_sorted(spark):
     df = spark.createDataFrame([(i, float(i % 7)) for i in range(50)], "k int, v double")
     got = [r["k"] for r in R.limit_sorted(df, [F.col("v").desc(), F.col("k")], 3).collect()]
     assert got == [6, 13, 20]
+
+
+def test_rate_lines(spark):
+    from blockwise.plans.jobs import keyword_rate_lines
+    rates = spark.createDataFrame([(2, 0.25), (0, 0.5), (1, None)], "zone_id long, rate double")
+    assert [r["line"] for r in keyword_rate_lines(rates).collect()] == ["0,0.5", "1,", "2,0.25"]
