@@ -69,23 +69,32 @@ def project_lcc(lon: Column | str, lat: Column | str, params: dict = LCC_NY_LONG
     return x, y
 
 
+def edge_crossed(e: Column, px: Column, py: Column) -> Column:
+    """A ray from (px, py) towards +x crosses edge struct ``e`` (x1, y1, x2, y2).
+
+    Half-open in y, so a ray through a vertex counts it once.
+    """
+    straddles = (e["y1"] > py) != (e["y2"] > py)
+    x_at = (e["x2"] - e["x1"]) * (py - e["y1"]) / (e["y2"] - e["y1"]) + e["x1"]
+    # ``when`` keeps the division away from horizontal edges.
+    return F.when(straddles, px < x_at).otherwise(F.lit(False))
+
+
+def on_edge(e: Column, px: Column, py: Column) -> Column:
+    """(px, py) lies on edge struct ``e`` (collinear and within its box)."""
+    collinear = (px - e["x1"]) * (e["y2"] - e["y1"]) == (py - e["y1"]) * (e["x2"] - e["x1"])
+    return (collinear & px.between(F.least(e["x1"], e["x2"]), F.greatest(e["x1"], e["x2"]))
+            & py.between(F.least(e["y1"], e["y2"]), F.greatest(e["y1"], e["y2"])))
+
+
 def crossings(edges: Column, px: Column, py: Column) -> Column:
     """Number of edges a ray from (px, py) towards +x crosses (even-odd rule)."""
-    def crosses(e):
-        straddles = (e["y1"] > py) != (e["y2"] > py)
-        x_at = (e["x2"] - e["x1"]) * (py - e["y1"]) / (e["y2"] - e["y1"]) + e["x1"]
-        # ``when`` keeps the division away from horizontal edges.
-        return F.when(straddles, px < x_at).otherwise(F.lit(False))
-    return F.size(F.filter(edges, crosses))
+    return F.size(F.filter(edges, lambda e: edge_crossed(e, px, py)))
 
 
 def on_boundary(edges: Column, px: Column, py: Column) -> Column:
-    """True when (px, py) lies on one of the edges (collinear and within it)."""
-    def on(e):
-        collinear = (px - e["x1"]) * (e["y2"] - e["y1"]) == (py - e["y1"]) * (e["x2"] - e["x1"])
-        return (collinear & px.between(F.least(e["x1"], e["x2"]), F.greatest(e["x1"], e["x2"]))
-                & py.between(F.least(e["y1"], e["y2"]), F.greatest(e["y1"], e["y2"])))
-    return F.exists(edges, on)
+    """True when (px, py) lies on one of the edges."""
+    return F.exists(edges, lambda e: on_edge(e, px, py))
 
 
 def contains(edges: Column, px: Column, py: Column) -> Column:

@@ -77,7 +77,7 @@ def random_polygon(rnd, cx, cy, r, n):
             for a in angles]
 
 
-@settings(max_examples=4, deadline=None)
+@settings(max_examples=8, deadline=None)
 @given(st.integers(0, 10_000))
 def test_random_layers_match_brute_force(spark, seed):
     rnd = random.Random(seed)
@@ -187,3 +187,32 @@ def test_sure_cells_and_single_test_in_plan(spark):
     filters = [ln for ln in plan.splitlines() if "Filter" in ln]
     assert not any("zones#" in ln for ln in filters)
     assert any("Generate" in ln and "zones#" in ln for ln in plan.splitlines())
+
+
+def comb(x0, y0, teeth, w, h):
+    """A comb: ``teeth`` vertical teeth of width w and height h on a base bar."""
+    pts = [(x0, y0)]
+    for t in range(teeth):
+        pts += [(x0 + 2 * t * w, y0 + h), (x0 + (2 * t + 1) * w, y0 + h),
+                (x0 + (2 * t + 1) * w, y0 + 1.0)]
+    pts += [(x0 + (2 * teeth - 1) * w, y0)]
+    return pts
+
+
+@settings(max_examples=6, deadline=None)
+@given(st.integers(0, 10_000))
+def test_comb_with_hole_matches_brute_force(spark, seed):
+    rnd = random.Random(seed)
+    teeth = rnd.randint(3, 9)
+    w, h = rnd.uniform(0.2, 0.6), rnd.uniform(3, 8)
+    edges = ring_edges(0, "comb", comb(0.0, 0.0, teeth, w, h))
+    edges += ring_edges(0, "comb", [(0.05, 0.2), (w * 2 * teeth - w - 0.05, 0.2),
+                                    (w * 2 * teeth - w - 0.05, 0.6), (0.05, 0.6)])  # hole in the bar
+    edges += ring_edges(1, "blob", random_polygon(rnd, rnd.uniform(0, 6), rnd.uniform(0, 8), 2.0, 9))
+    pts = [(i, round(rnd.uniform(-1, 2 * teeth * w + 1), 3), round(rnd.uniform(-1, h + 1), 3))
+           for i in range(800)]
+    for cell in (None, rnd.uniform(0.05, 0.5)):
+        idx = ZoneIndex(spark.createDataFrame(edges, EDGE_SCHEMA), cell_size=cell)
+        got = {r["pid"]: r["zone_id"] for r in
+               idx.assign(spark.createDataFrame(pts, "pid int, x double, y double"), x="x", y="y").collect()}
+        assert got == {pid: brute_zone(edges, x, y) for pid, x, y in pts}, cell
