@@ -37,23 +37,35 @@ from blockwise.operators.sizing import DEFAULT_BROADCAST_ROWS
 EDGE_COLUMNS = ("zone_id", "x1", "y1", "x2", "y2")
 
 
-def _bbox_stats(edges: DataFrame) -> dict:
-    """One-row summary of the zone bounding boxes (bounded by the layer).
+def layer_stats(layers: dict[str, DataFrame]) -> dict[str, dict]:
+    """Zone-bbox summaries of several layers in one small job.
 
-    Besides the sums that choose the cell size it returns A = sum(w*h*(E+1)),
-    B = sum((w+h)*(E+1)), C = sum(E+1) over zones with E edges, from which
-    ``entry_bound`` bounds the cell table's size for any cell size.
+    Per layer: zone count, sums of bbox area and half-perimeter, largest
+    width/height, and A = sum(w*h*(E+1)), B = sum((w+h)*(E+1)), C = sum(E+1)
+    over zones with E edges, from which ``entry_bound`` bounds the cell
+    table's size for any cell size.  One row per layer reaches the driver.
     """
-    z = edges.groupBy("zone_id").agg(
+    tagged = None
+    for name, e in layers.items():
+        t = e.select(F.lit(name).alias("_layer"), *EDGE_COLUMNS)
+        tagged = t if tagged is None else tagged.unionByName(t)
+    z = tagged.groupBy("_layer", "zone_id").agg(
         (F.max(F.greatest("x1", "x2")) - F.min(F.least("x1", "x2"))).alias("w"),
         (F.max(F.greatest("y1", "y2")) - F.min(F.least("y1", "y2"))).alias("h"),
         (F.count(F.lit(1)) + 1).alias("e1"))
     w, h, e1 = F.col("w"), F.col("h"), F.col("e1")
-    row = z.agg(F.count(F.lit(1)).alias("n"), F.sum(w * h).alias("area"),
-                F.sum(w + h).alias("perim"), F.max("w").alias("max_w"),
-                F.max("h").alias("max_h"), F.sum(w * h * e1).alias("A"),
-                F.sum((w + h) * e1).alias("B"), F.sum(e1).alias("C")).first()
-    return row.asDict()
+    rows = z.groupBy("_layer").agg(
+        F.count(F.lit(1)).alias("n"), F.sum(w * h).alias("area"),
+        F.sum(w + h).alias("perim"), F.max("w").alias("max_w"), F.max("h").alias("max_h"),
+        F.sum(w * h * e1).alias("A"), F.sum((w + h) * e1).alias("B"),
+        F.sum(e1).alias("C")).collect()
+    return {r["_layer"]: {k: v for k, v in r.asDict().items() if k != "_layer"} for r in rows}
+
+
+def _bbox_stats(edges: DataFrame) -> dict:
+    return layer_stats({"layer": edges}).get("layer", {"n": 0, "area": 0.0, "perim": 0.0,
+                                                       "max_w": 0.0, "max_h": 0.0,
+                                                       "A": 0.0, "B": 0.0, "C": 0})
 
 
 def entry_bound(stats: dict, cell_size: float) -> float:
@@ -100,7 +112,8 @@ class ZoneIndex:
     ``edges``      DataFrame with zone_id, x1, y1, x2, y2 and optional
                    attribute columns (constant per zone)
     ``attrs``      attribute columns carried into results
-    ``cell_size``  grid step; default from the zone bboxes (one small job)
+    ``cell_size``  grid step; default from the zone bboxes (one small job,
+                   or ``stats`` from ``layer_stats`` shared by several layers)
     ``salt``       when the cell table is too large to broadcast, every cell
                    row is replicated ``salt`` times and each point goes to one
                    replica chosen by a hash of its columns, so a cell holding a
@@ -112,14 +125,14 @@ class ZoneIndex:
                  cell_size: float | None = None, cells_per_zone: int = 256,
                  max_cells: int = 500_000,
                  broadcast_rows: int | None = DEFAULT_BROADCAST_ROWS,
-                 broadcast: bool | None = None, salt: int = 16):
+                 broadcast: bool | None = None, salt: int = 16, stats: dict | None = None):
         self.salt = max(int(salt), 1)
         self.attrs = [a for a in attrs if a in edges.columns]
         self.edges = edges.select(*EDGE_COLUMNS, *self.attrs)
         self._broadcast_rows = broadcast_rows
         self._broadcast = broadcast
         if cell_size is None:
-            stats = _bbox_stats(self.edges)
+            stats = stats if stats is not None else _bbox_stats(self.edges)
             cell_size = choose_cell_size(stats, cells_per_zone, max_cells)
             # A proven bound under the limit settles the broadcast without
             # building the cell table an extra time.
@@ -218,6 +231,12 @@ class ZoneIndex:
             self._broadcast = ok
         return F.broadcast(self.cells) if self._broadcast else self.cells
 
+    @classmethod
+    def build_many(cls, layers: dict[str, DataFrame], **kw) -> dict[str, "ZoneIndex"]:
+        """Indexes for several layers with their statistics from one job."""
+        stats = layer_stats(layers)
+        return {name: cls(e, stats=stats.get(name), **kw) for name, e in layers.items()}
+
     # -- assignment ---------------------------------------------------------
     def assign(self, points: DataFrame, *, x: str, y: str, carry: Sequence[str] = (),
                prefix: str = "", how: str = "left", match: str = "first") -> DataFrame:

@@ -262,6 +262,14 @@ def boroughs(spark, sf) -> ZoneIndex:
     return ZoneIndex(TB.borough_edges(spark, sf), attrs=("zone_name",))
 
 
+def both_layers(spark, sf) -> tuple[ZoneIndex, ZoneIndex]:
+    """Borough and neighborhood indexes, statistics from one job."""
+    ix = ZoneIndex.build_many({"boroughs": TB.borough_edges(spark, sf),
+                               "neighborhoods": TB.neighborhood_edges(spark, sf)},
+                              attrs=("zone_name",))
+    return ix["boroughs"], ix["neighborhoods"]
+
+
 @query("pip_assign")
 def pip_assign(spark, sf):
     """Every trip's pickup neighborhood (null outside all zones)."""
@@ -280,10 +288,9 @@ def pip_zone_count(spark, sf):
 def pip_pair_count(spark, sf):
     """Trips per (pickup borough, drop-off neighborhood)."""
     t = TB.trips(spark, sf)
-    p = boroughs(spark, sf).assign(t, x="px", y="py", carry=("zone_name",), prefix="pu_",
-                                   how="inner")
-    d = neighborhoods(spark, sf).assign(p, x="dx", y="dy", carry=("zone_name",),
-                                        prefix="do_", how="inner")
+    b, n = both_layers(spark, sf)
+    p = b.assign(t, x="px", y="py", carry=("zone_name",), prefix="pu_", how="inner")
+    d = n.assign(p, x="dx", y="dy", carry=("zone_name",), prefix="do_", how="inner")
     return d.groupBy(F.col("pu_zone_name").alias("group_name"),
                      F.col("do_zone_name").alias("zone_name")).agg(F.count(F.lit(1)).alias("n"))
 
@@ -339,8 +346,7 @@ def zone_rate(spark, sf):
 # --------------------------------------------------------------------------
 
 def _ranked(spark, sf):
-    return jobs.zone_pair_top_k(TB.trips(spark, sf), boroughs(spark, sf),
-                                neighborhoods(spark, sf), k=3)
+    return jobs.zone_pair_top_k(TB.trips(spark, sf), *both_layers(spark, sf), k=3)
 
 
 @query("topk_per_group")
@@ -362,7 +368,7 @@ def topk_nested(spark, sf):
 @query("fmt_topk_line")
 def fmt_topk_line(spark, sf):
     """Job B / K3: ``borough,[('name', n), ...]`` lines in borough order."""
-    return jobs.zone_pair_lines(TB.trips(spark, sf), boroughs(spark, sf), neighborhoods(spark, sf))
+    return jobs.zone_pair_lines(TB.trips(spark, sf), *both_layers(spark, sf))
 
 
 # --------------------------------------------------------------------------
