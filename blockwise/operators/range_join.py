@@ -105,13 +105,6 @@ def count_columns(years: Sequence[int]) -> list[str]:
     return [f"count_{y}" for y in years]
 
 
-def aggregate_records(records: DataFrame, years: Sequence[int]) -> DataFrame:
-    """A4 pre-aggregation: one row per house-number key, one count per year."""
-    aggs = [F.count_if(F.col("year") == F.lit(y)).alias(c)
-            for y, c in zip(years, count_columns(years))]
-    return records.groupBy(*RECORD_KEYS).agg(*aggs)
-
-
 def _range_condition(r: str, s: str, compare: str) -> Column:
     rb, rn = F.col(f"{r}.block"), F.col(f"{r}.number")
     if compare == "component":

@@ -19,8 +19,7 @@ from blockwise.operators import ranking as R
 from blockwise.operators import segments as S
 from blockwise.operators import trend as T
 from blockwise.operators.cleaning import drop_incomplete, fill_zero, split_rejects
-from blockwise.operators.range_join import (aggregate_records, attribute_to_segments,
-                                            count_columns, prepare_records)
+from blockwise.operators.range_join import count_columns, prepare_records
 from blockwise.operators.spatial import ZoneIndex
 from blockwise.plans import jobs
 from blockwise.sources import tables as TB

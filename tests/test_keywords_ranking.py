@@ -1,6 +1,5 @@
 """Keyword matching, zone rates, top-k and the golden line format."""
 
-import pytest
 from pyspark.sql import functions as F
 
 from blockwise.operators import keywords as K
