@@ -31,7 +31,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from blockwise.functions.geometry import contains, crossings
+from blockwise.functions.geometry import LCC_NY_LONG_ISLAND, contains, crossings, project_lcc
 from blockwise.operators.sizing import DEFAULT_BROADCAST_ROWS
 
 EDGE_COLUMNS = ("zone_id", "x1", "y1", "x2", "y2")
@@ -316,3 +316,19 @@ def assign_zone(points: DataFrame, zones: ZoneIndex | DataFrame, *, x: str, y: s
     if not isinstance(zones, ZoneIndex):
         zones = ZoneIndex(zones, attrs=carry, cell_size=cell_size)
     return zones.assign(points, x=x, y=y, carry=carry, how=how, match=match)
+
+
+def project_edges(edges: DataFrame, params: dict = LCC_NY_LONG_ISLAND) -> DataFrame:
+    """P16 for a layer: both end points of every edge (lon/lat degrees) to
+    planar coordinates, so containment is tested in the projected plane."""
+    x1, y1 = project_lcc("x1", "y1", params)
+    x2, y2 = project_lcc("x2", "y2", params)
+    others = [c for c in edges.columns if c not in ("x1", "y1", "x2", "y2")]
+    return edges.select(*others, x1.alias("x1"), y1.alias("y1"), x2.alias("x2"), y2.alias("y2"))
+
+
+def project_points(points: DataFrame, lon: str, lat: str, *, x: str = "x", y: str = "y",
+                   params: dict = LCC_NY_LONG_ISLAND) -> DataFrame:
+    """P16 for points: add planar ``x``, ``y`` computed from ``lon``, ``lat``."""
+    px, py = project_lcc(lon, lat, params)
+    return points.withColumn(x, px).withColumn(y, py)

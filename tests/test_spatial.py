@@ -216,3 +216,17 @@ def test_comb_with_hole_matches_brute_force(spark, seed):
         got = {r["pid"]: r["zone_id"] for r in
                idx.assign(spark.createDataFrame(pts, "pid int, x double, y double"), x="x", y="y").collect()}
         assert got == {pid: brute_zone(edges, x, y) for pid, x, y in pts}, cell
+
+
+def test_projected_layer_and_points(spark):
+    from blockwise.operators.spatial import project_edges, project_points
+    # two lon/lat squares around Manhattan and Brooklyn
+    edges = (ring_edges(0, "north", [(-74.02, 40.70), (-73.93, 40.70), (-73.93, 40.80), (-74.02, 40.80)])
+             + ring_edges(1, "south", [(-74.02, 40.60), (-73.93, 40.60), (-73.93, 40.69), (-74.02, 40.69)]))
+    pts = spark.createDataFrame([(1, -73.98, 40.75), (2, -73.98, 40.65), (3, -73.98, 40.695),
+                                 (4, -75.0, 40.0)], "pid int, lon double, lat double")
+    idx = ZoneIndex(project_edges(spark.createDataFrame(edges, EDGE_SCHEMA)))
+    out = idx.assign(project_points(pts, "lon", "lat"), x="x", y="y", carry=("zone_name",))
+    got = {r["pid"]: r["zone_name"] for r in out.collect()}
+    assert got == {1: "north", 2: "south", 3: None, 4: None}
+    assert idx.cell_size > 1.0   # grid in feet
