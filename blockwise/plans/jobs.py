@@ -49,13 +49,13 @@ def segment_trend(records: DataFrame, segments: DataFrame, years: Sequence[int],
 
 
 def zone_pair_top_k(trips: DataFrame, boroughs: ZoneIndex, neighborhoods: ZoneIndex, *,
-                    pickup=("px", "py"), dropoff=("dx", "dy"), k: int = 3,
-                    id_col: str = "trip_id") -> DataFrame:
+                    pickup=("px", "py"), dropoff=("dx", "dy"), k: int = 3) -> DataFrame:
     """Job B: for each pickup borough, the k drop-off neighborhoods with most trips.
 
+    Both lookups run on the same row, so no trip id is needed.
     Output: group_name, rank, zone_name, n (one row per kept pair).
     """
-    p = boroughs.assign(trips.select(id_col, *pickup, *dropoff), x=pickup[0], y=pickup[1],
+    p = boroughs.assign(trips.select(*pickup, *dropoff), x=pickup[0], y=pickup[1],
                         carry=("zone_name",), prefix="pu_", how="inner")
     d = neighborhoods.assign(p, x=dropoff[0], y=dropoff[1], carry=("zone_name",),
                              prefix="do_", how="inner")

@@ -94,3 +94,40 @@ def test_segment_trend_from_files(spark, tmp_dir):
                         record_cols={"date": "issue_date", "year": None}).collect()
     assert [(r["physical_id"], r["count_2015"], r["count_2019"], r["ols_coeff"]) for r in out] == \
         [(17, 1, 2, (-2 * 1 + 2 * 2) / 10)]
+
+
+def test_zone_pair_lines_from_files(spark, tmp_dir):
+    """The README path: GeoJSON layers + trip CSV, projected, to text lines."""
+    import json
+    from blockwise.operators.spatial import ZoneIndex, project_edges, project_points
+    from blockwise.plans.jobs import zone_pair_lines
+
+    def square(x0, y0, d):
+        return [[x0, y0], [x0 + d, y0], [x0 + d, y0 + d], [x0, y0 + d], [x0, y0]]
+    boroughs = {"type": "FeatureCollection", "features": [
+        {"type": "Feature", "properties": {"boroname": "Manhattan"},
+         "geometry": {"type": "Polygon", "coordinates": [square(-74.02, 40.70, 0.1)]}}]}
+    hoods = {"type": "FeatureCollection", "features": [
+        {"type": "Feature", "properties": {"neighborhood": name},
+         "geometry": {"type": "Polygon", "coordinates": [square(-74.02 + 0.05 * i, 40.70, 0.05)]}}
+        for i, name in enumerate(["Midtown", "Harlem"])]}
+    for name, fc in (("boroughs", boroughs), ("neighborhoods", hoods)):
+        with open(f"{tmp_dir}/{name}.geojson", "w") as fh:
+            json.dump(fc, fh)
+    rows = [(-73.99, 40.75, -74.00, 40.72)] * 3 + [(-73.99, 40.75, -73.95, 40.72)] * 2 + \
+           [(-73.99, 40.75, -75.0, 40.0)]
+    lines = ["h" + ",h" * 10]
+    for plon, plat, dlon, dlat in rows:
+        cols = ["0"] * 11
+        cols[5], cols[6], cols[9], cols[10] = map(str, (plon, plat, dlon, dlat))
+        lines.append(",".join(cols))
+    _write(f"{tmp_dir}/trips/a.csv", "\n".join(lines) + "\n")
+    layers = {n: project_edges(files.read_geojson_edges(spark, f"{tmp_dir}/{n}.geojson", [a])
+                               .withColumnRenamed(a, "zone_name"))
+              for n, a in (("boroughs", "boroname"), ("neighborhoods", "neighborhood"))}
+    ix = ZoneIndex.build_many(layers)
+    trips = files.read_trips(spark, f"{tmp_dir}/trips")
+    trips = project_points(trips, "pickup_lon", "pickup_lat", x="px", y="py")
+    trips = project_points(trips, "dropoff_lon", "dropoff_lat", x="dx", y="dy")
+    out = zone_pair_lines(trips, ix["boroughs"], ix["neighborhoods"]).collect()
+    assert [r["line"] for r in out] == ["Manhattan,[('Midtown', 3), ('Harlem', 2)]"]
