@@ -131,3 +131,38 @@ def test_zone_pair_lines_from_files(spark, tmp_dir):
     trips = project_points(trips, "dropoff_lon", "dropoff_lat", x="dx", y="dy")
     out = zone_pair_lines(trips, ix["boroughs"], ix["neighborhoods"]).collect()
     assert [r["line"] for r in out] == ["Manhattan,[('Midtown', 3), ('Harlem', 2)]"]
+
+
+def test_keyword_rate_from_files(spark, tmp_dir):
+    import json
+    from blockwise.operators.spatial import ZoneIndex
+    from blockwise.plans.jobs import keyword_rate, keyword_rate_lines
+
+    def square(x0, y0, d):
+        return [[x0, y0], [x0 + d, y0], [x0 + d, y0 + d], [x0, y0 + d], [x0, y0]]
+    tracts = {"type": "FeatureCollection", "features": [
+        {"type": "Feature", "properties": {"tract": "T0", "pop": 4},
+         "geometry": {"type": "Polygon", "coordinates": [square(-74.0, 40.7, 0.1)]}},
+        {"type": "Feature", "properties": {"tract": "T1", "pop": 0},
+         "geometry": {"type": "Polygon", "coordinates": [square(-73.9, 40.7, 0.1)]}}]}
+    with open(f"{tmp_dir}/tracts.geojson", "w") as fh:
+        json.dump(tracts, fh)
+    _write(f"{tmp_dir}/sched2.txt", "oxycodone\nfentanyl\n")
+    _write(f"{tmp_dir}/illegal.txt", "heroin\n")
+    _write(f"{tmp_dir}/tweets/a.txt", "\n".join([
+        "1|40.75|-73.95|x|x|x|got some heroin today",
+        "2|40.75|-73.95|x|x|x|nothing here",
+        "3|40.75|-73.85|x|x|x|fentanyl again",
+        "4|40.75|-73.95|x|x|x|Heroin upper case",
+        "5|bad|-73.95|x|x|x|heroin",
+    ]) + "\n")
+    rings = files.read_geojson_rings(spark, f"{tmp_dir}/tracts.geojson", ["tract", "pop"])
+    population = rings.select("zone_id", F.col("pop").try_cast("long").alias("population"))
+    zones = ZoneIndex(files.read_geojson_edges(spark, f"{tmp_dir}/tracts.geojson", ["tract"]),
+                      attrs=("tract",))
+    terms = files.read_word_lists(spark, [f"{tmp_dir}/sched2.txt", f"{tmp_dir}/illegal.txt"])
+    posts = files.read_tweets(spark, f"{tmp_dir}/tweets")
+    rates = keyword_rate(posts, zones, population, terms, x="lon", y="lat")
+    got = {r["zone_id"]: (r["n"], r["rate"]) for r in rates.collect()}
+    assert got == {0: (1, 0.25), 1: (1, None)}
+    assert [r["line"] for r in keyword_rate_lines(rates).collect()] == ["0,0.25", "1,"]
