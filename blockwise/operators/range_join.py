@@ -141,8 +141,10 @@ def _side_classes(bucket_width: int, max_bucket_span: int, compare: str):
 
 
 def _valid_sides(sides: DataFrame) -> DataFrame:
-    return sides.where(F.col("street").isNotNull() & F.col("low_number").isNotNull()
-                       & F.col("high_number").isNotNull())
+    # A segment without an id cannot be reported (its counts would merge
+    # into the null row of unmatched records).
+    return sides.where(F.col("physical_id").isNotNull() & F.col("street").isNotNull()
+                       & F.col("low_number").isNotNull() & F.col("high_number").isNotNull())
 
 
 def _split_sides(sides: DataFrame, bucket_width: int, max_bucket_span: int,
@@ -213,10 +215,13 @@ def attribute_to_segments(records_agg: DataFrame, sides: DataFrame, *,
     if keep == "records":
         miss = (r.join(narrow_b.alias("s"), cond_n, "left_anti").alias("r")
                 .join(wide_b.alias("s"), cond_w, "left_anti"))
-        unmatched = miss.agg(*sums).select(F.lit(None).cast(matched.schema["physical_id"].dataType)
-                                           .alias("physical_id"), *count_cols)
+        unmatched = (miss.agg(*sums)
+                     .where(F.col(count_cols[0]).isNotNull())   # no row when all matched
+                     .select(F.lit(None).cast(matched.schema["physical_id"].dataType)
+                             .alias("physical_id"), *count_cols))
         return matched.unionByName(unmatched)
-    seg_ids = (segments if segments is not None else sides).select("physical_id").distinct()
+    seg_ids = ((segments if segments is not None else sides).select("physical_id")
+               .where(F.col("physical_id").isNotNull()).distinct())
     # ``matched`` has at most one row per segment id, so it is no larger than
     # the segment list whose size the broadcast check above already bounded.
     m = F.broadcast(matched) if is_bc else matched

@@ -158,3 +158,16 @@ def test_segment_sides_rows(spark):
     assert ("L", "ELM ST", "even") in by_id[3]
     raw = segment_sides(s, mode="pair", dedup=False).count()
     assert raw == 4 + 2 + 4
+
+
+def test_null_segment_id_and_all_matched(spark):
+    segs = SEGMENTS + [(None, "MAIN ST", "MAIN ST", 1, "1", "99", "2", "98")]
+    for kw in ({}, {"bucket_width": 1}):   # single-join path and wide-range path
+        got = spark_result(spark, RECORDS, segs, mode="pair", keep="records", **kw)
+        assert got == brute(RECORDS, SEGMENTS, "pair", "records"), kw
+        segs_only = spark_result(spark, RECORDS, segs, mode="pair", keep="segments", **kw)
+        assert None not in segs_only
+    matched_only = [r for r in RECORDS if r[0] == "MAIN ST" and r[2] in ("7", "8") and r[3] >= 2015]
+    for kw in ({}, {"bucket_width": 1}):
+        got = spark_result(spark, matched_only, SEGMENTS, mode="pair", keep="records", **kw)
+        assert None not in got, kw           # nothing unmatched: no null row
