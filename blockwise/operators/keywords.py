@@ -30,12 +30,31 @@ def _regex_literal(s: str) -> str:
     return "".join("\\" + ch if ch in r".^$*+?()[]{}|\\" else ch for ch in s)
 
 
+# Up to this many terms the test is a substring search per term; beyond it,
+# one split of the text and a hash lookup per token.
+MAX_SUBSTRING_TERMS = 16
+
+
 def has_any_term(text: Column | str, terms: Sequence[str]) -> Column:
-    """The token set of ``text`` shares at least one element with ``terms``."""
+    """The token set of ``text`` shares at least one element with ``terms``.
+
+    For a short list the text is not split at all: a term without a space is
+    a token exactly when ``' ' + term + ' '`` occurs in ``' ' + text + ' '``
+    (a plain substring search, no token array per row); a term holding a
+    space can never equal a token.  Longer lists split once and probe.
+    """
     terms = list(dict.fromkeys(terms))
-    if not terms:
-        return F.lit(False)
-    return F.arrays_overlap(tokens(text), F.array(*[F.lit(t) for t in terms]))
+    text = F.col(text) if isinstance(text, str) else text
+    if len(terms) > MAX_SUBSTRING_TERMS:
+        return F.arrays_overlap(tokens(text), F.array(*[F.lit(t) for t in terms]))
+    single = [t for t in terms if " " not in t]
+    if not single:
+        return F.when(text.isNotNull(), F.lit(False))
+    padded = F.concat(F.lit(" "), text, F.lit(" "))
+    hit = F.contains(padded, F.lit(f" {single[0]} "))
+    for t in single[1:]:
+        hit = hit | F.contains(padded, F.lit(f" {t} "))
+    return hit
 
 
 def terms_from_frame(terms: DataFrame, col: str | None = None,

@@ -90,3 +90,21 @@ def test_rate_lines(spark):
     from blockwise.plans.jobs import keyword_rate_lines
     rates = spark.createDataFrame([(2, 0.25), (0, 0.5), (1, None)], "zone_id long, rate double")
     assert [r["line"] for r in keyword_rate_lines(rates).collect()] == ["0,0.5", "1,", "2,0.25"]
+
+
+from hypothesis import given, settings  # noqa: E402
+from hypothesis import strategies as st  # noqa: E402
+
+WORDS = st.sampled_from(["a", "b", "ab", "the", "of", "", "x y", "B"])
+
+
+@settings(max_examples=25, deadline=None)
+@given(st.lists(st.text(alphabet="ab ofthe\\n", max_size=25), min_size=1, max_size=8),
+       st.lists(WORDS, min_size=1, max_size=4))
+def test_substring_form_equals_token_form(spark, texts, terms):
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "id int, text string")
+    short = {r["id"] for r in df.where(K.has_any_term("text", terms)).collect()}
+    want = {i for i, t in enumerate(texts) if set(t.split(" ")) & set(terms)}
+    assert short == want
+    many = terms + [f"zz{i}" for i in range(K.MAX_SUBSTRING_TERMS)]
+    assert {r["id"] for r in df.where(K.has_any_term("text", many)).collect()} == want
