@@ -6,7 +6,7 @@ Runs each job at ``$BENCH_SF_DIR`` (default /root/testdata/sf0.1) on
 
 Each query is materialised fully (every result row is produced and written
 to a no-op sink), once to warm up the JVM and the parquet footers, then timed
-as the best of ``$BENCH_REPEAT`` runs (default 5).
+as the best of ``$BENCH_REPEAT`` runs (default 7).
 """
 
 from __future__ import annotations
@@ -38,7 +38,7 @@ def _run(df) -> None:
 def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus = os.environ.get("BENCH_CPUS", "8")
-    repeat = int(os.environ.get("BENCH_REPEAT", "5"))
+    repeat = int(os.environ.get("BENCH_REPEAT", "7"))
     spark = get_session(f"local[{cpus}]", shuffle_partitions=int(cpus) * 2,
                         app_name="blockwise-bench",
                         extra={"spark.driver.memory": os.environ.get("BENCH_MEM", "16g")})
