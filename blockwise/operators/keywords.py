@@ -81,6 +81,8 @@ def keyword_semi_join(df: DataFrame, text: str, terms: DataFrame, keep: Sequence
                       broadcast_rows: int | None = DEFAULT_BROADCAST_ROWS) -> DataFrame:
     """J6 as a relational semi-join: distinct ``keep`` rows of texts with a hit.
 
+    For term lists too long to inline (``keyword_filter`` refuses them); for
+    short lists ``keyword_filter`` is cheaper, since it emits no token rows.
     Tokens are exploded next to the ``keep`` columns only (never the text),
     semi-joined with the term list (broadcast after a size check), and
     de-duplicated: the shuffle carries hit tokens' small columns, with
