@@ -94,6 +94,11 @@ def test_segment_trend_from_files(spark, tmp_dir):
                         record_cols={"date": "issue_date", "year": None}).collect()
     assert [(r["physical_id"], r["count_2015"], r["count_2019"], r["ols_coeff"]) for r in out] == \
         [(17, 1, 2, (-2 * 1 + 2 * 2) / 10)]
+    from blockwise.plans import cli
+    cli.main(["segment-trend", f"{tmp_dir}/v", f"{tmp_dir}/cl.csv", f"{tmp_dir}/out_trend"],
+             spark=spark)
+    lines = [r[0] for r in spark.read.text(f"{tmp_dir}/out_trend").collect()]
+    assert lines == ["17,1,0,0,0,2,0.2"]
 
 
 def test_zone_pair_lines_from_files(spark, tmp_dir):
@@ -166,3 +171,40 @@ def test_keyword_rate_from_files(spark, tmp_dir):
     got = {r["zone_id"]: (r["n"], r["rate"]) for r in rates.collect()}
     assert got == {0: (1, 0.25), 1: (1, None)}
     assert [r["line"] for r in keyword_rate_lines(rates).collect()] == ["0,0.25", "1,"]
+
+
+def test_cli_jobs(spark, tmp_dir, capsys):
+    import json
+    from blockwise.plans import cli
+
+    def square(x0, y0, d):
+        return [[x0, y0], [x0 + d, y0], [x0 + d, y0 + d], [x0, y0 + d], [x0, y0]]
+
+    def layer(path, prop, names):
+        fc = {"type": "FeatureCollection", "features": [
+            {"type": "Feature", "properties": {prop: n, "pop": 2},
+             "geometry": {"type": "Polygon", "coordinates": [square(-74.02 + 0.05 * i, 40.70, 0.05)]}}
+            for i, n in enumerate(names)]}
+        with open(path, "w") as fh:
+            json.dump(fc, fh)
+    layer(f"{tmp_dir}/b.geojson", "boroname", ["West", "East"])
+    layer(f"{tmp_dir}/n.geojson", "neighborhood", ["A", "B"])
+    rows = ["h" + ",h" * 10]
+    for plon, dlon in ((-74.00, -74.00), (-74.00, -73.95), (-73.96, -73.95)):
+        cols = ["0"] * 11
+        cols[5], cols[6], cols[9], cols[10] = str(plon), "40.72", str(dlon), "40.72"
+        rows.append(",".join(cols))
+    _write(f"{tmp_dir}/trips/a.csv", "\n".join(rows) + "\n")
+    cli.main(["--project", "zone-pairs", f"{tmp_dir}/trips", f"{tmp_dir}/b.geojson",
+              f"{tmp_dir}/n.geojson", f"{tmp_dir}/out_pairs"], spark=spark)
+    lines = [r[0] for r in spark.read.text(f"{tmp_dir}/out_pairs").collect()]
+    assert sorted(lines) == ["East,[('B', 1)]", "West,[('A', 1), ('B', 1)]"]
+    cli.main(["zone-count", f"{tmp_dir}/trips", f"{tmp_dir}/b.geojson", "--zone-attr", "boroname"],
+             spark=spark)
+    assert capsys.readouterr().out.split() == ["East,1", "West,2"]
+    _write(f"{tmp_dir}/tw/a.txt", "1|40.72|-74.00|x|x|x|some oxy\n2|40.72|-73.96|x|x|x|none\n")
+    _write(f"{tmp_dir}/terms.txt", "oxy\n")
+    cli.main(["keyword-rate", f"{tmp_dir}/tw", f"{tmp_dir}/b.geojson", f"{tmp_dir}/out_rate",
+              "--terms", f"{tmp_dir}/terms.txt", "--tract-attr", "boroname",
+              "--population-attr", "pop"], spark=spark)
+    assert [r[0] for r in spark.read.text(f"{tmp_dir}/out_rate").collect()] == ["West,0.5"]
