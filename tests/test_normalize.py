@@ -71,3 +71,19 @@ def test_safe_casts(spark):
     df = spark.createDataFrame([("12",), ("1.5",), ("x",), (None,)], "s string")
     r = df.select(N.safe_int("s").alias("i"), N.safe_double("s").alias("d")).collect()
     assert [(x["i"], x["d"]) for x in r] == [(12, 12.0), (None, 1.5), (None, None), (None, None)]
+
+
+from hypothesis import given, settings  # noqa: E402
+from hypothesis import strategies as st  # noqa: E402
+
+from test_segments import parse as model_parse  # noqa: E402
+
+
+@settings(max_examples=20, deadline=None)
+@given(st.lists(st.text(alphabet="0123456789 -A\n", max_size=14), min_size=1, max_size=30))
+def test_parse_matches_python_model(spark, texts):
+    df = spark.createDataFrame([(t,) for t in texts], "h string")
+    for mode in ("pair", "concat_text", "concat_int"):
+        got = [None if r[0] is None else (r[0]["block"], r[0]["number"])
+               for r in df.select(N.parse_house_number("h", mode)).collect()]
+        assert got == [model_parse(t, mode) for t in texts], mode
