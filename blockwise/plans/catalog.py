@@ -65,7 +65,7 @@ def range_join_keep_records(spark, sf):
 
 @query("range_join_keep_segments")
 def range_join_keep_segments(spark, sf):
-    """Text-concatenated numbers, every segment kept, PL's null policy."""
+    """Text-concatenated numbers, every segment kept, slope 0.0 when a count is null."""
     return _trend(spark, sf, mode="concat_text", keep="segments", null_policy="zero_slope")
 
 
