@@ -1,0 +1 @@
+"""Column -> Column builders: normalisation, slope, geometry."""

@@ -1,0 +1 @@
+"""DataFrame -> DataFrame operators: range join, segments, trend, zones, keywords, ranking."""
