@@ -44,15 +44,13 @@ def segment_sides(segments: DataFrame, *, mode: str = "pair",
                   sides: Sequence[tuple[str, str, str]] = (("L", "l_low", "l_high"),
                                                            ("R", "r_low", "r_high")),
                   borough: str = "borough", id_col: str = "physical_id",
-                  parity_of: str = "low", keep_invalid: bool = False,
-                  dedup: bool = True) -> DataFrame:
+                  parity_of: str = "low", dedup: bool = True) -> DataFrame:
     """U1 + U2 + A7: one row per (side, street name) of every segment.
 
     Parity of a side is that of its low number (``parity_of='high'`` for the
     high one).  A side whose bounds do not parse, or a null name, gives no
-    row; ``keep_invalid=True`` keeps one all-null row for such segments so a
-    segment-preserving join still sees them.  ``dedup=False`` keeps the
-    double row of a segment whose two names are equal (plain U2).
+    row.  ``dedup=False`` keeps the double row of a segment whose two names
+    are equal (plain U2).
     """
     parsed = _parse_bounds(segments, sides, names, borough, id_col, mode)
     rows = [_side_struct(s, f"_name_{i}", parity_of)
@@ -62,13 +60,6 @@ def segment_sides(segments: DataFrame, *, mode: str = "pair",
         arr = F.array_distinct(arr)
     valid = F.filter(arr, lambda r: r["street"].isNotNull() & r["low_number"].isNotNull()
                      & r["high_number"].isNotNull() & r["parity"].isNotNull())
-    if keep_invalid:
-        valid = F.when(F.size(valid) > 0, valid).otherwise(
-            F.array(F.struct(*[F.lit(None).cast(t).alias(c) for c, t in
-                               (("side", "string"), ("street", "string"), ("borough", "int"),
-                                ("parity", "string"), ("low_block", "int"),
-                                ("low_number", "int"), ("high_block", "int"),
-                                ("high_number", "int"))])))
     out = parsed.select("physical_id", F.explode(valid).alias("s"))
     return out.select("physical_id", "s.*")
 
