@@ -100,3 +100,29 @@ def on_boundary(edges: Column, px: Column, py: Column) -> Column:
 def contains(edges: Column, px: Column, py: Column) -> Column:
     """Strict point-in-polygon: odd crossings and not on the boundary."""
     return ((crossings(edges, px, py) % 2) == 1) & ~on_boundary(edges, px, py)
+
+
+# The same tests as SQL text.  A lambda built through the Column API costs
+# hundreds of Py4J round trips; as text it is one ``expr`` call.  The
+# arithmetic is written in the same order as above, so results are equal.
+def crossings_sql(edges: str, px: str, py: str, var: str = "_e") -> str:
+    """SQL for ``crossings``: ``edges`` an array<struct<x1,y1,x2,y2>> expression."""
+    e = var
+    return (f"size(filter({edges}, {e} -> CASE WHEN ({e}.y1 > {py}) <> ({e}.y2 > {py}) "
+            f"THEN {px} < ({e}.x2 - {e}.x1) * ({py} - {e}.y1) / ({e}.y2 - {e}.y1) + {e}.x1 "
+            f"ELSE false END))")
+
+
+def on_boundary_sql(edges: str, px: str, py: str, var: str = "_e") -> str:
+    """SQL for ``on_boundary``."""
+    e = var
+    return (f"exists({edges}, {e} -> ({px} - {e}.x1) * ({e}.y2 - {e}.y1) = "
+            f"({py} - {e}.y1) * ({e}.x2 - {e}.x1) "
+            f"AND {px} BETWEEN least({e}.x1, {e}.x2) AND greatest({e}.x1, {e}.x2) "
+            f"AND {py} BETWEEN least({e}.y1, {e}.y2) AND greatest({e}.y1, {e}.y2))")
+
+
+def contains_sql(edges: str, px: str, py: str) -> str:
+    """SQL for ``contains``."""
+    return (f"({crossings_sql(edges, px, py)} % 2 = 1 "
+            f"AND NOT {on_boundary_sql(edges, px, py)})")

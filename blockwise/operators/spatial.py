@@ -31,7 +31,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from blockwise.functions.geometry import LCC_NY_LONG_ISLAND, contains, crossings, project_lcc
+from blockwise.functions.geometry import (LCC_NY_LONG_ISLAND, contains_sql, crossings_sql,
+                                         project_lcc)
 from blockwise.operators.sizing import DEFAULT_BROADCAST_ROWS
 
 EDGE_COLUMNS = ("zone_id", "x1", "y1", "x2", "y2")
@@ -187,18 +188,16 @@ class ZoneIndex:
             F.collect_list(F.struct(F.col("rx0").alias("cx0"), F.col("rx1").alias("cx1"), "edge"))
             .alias("row_edges"),
             F.min("rx0").alias("gx0"), F.max("rx1").alias("gx1"), *attr_aggs)
-        boundary = F.array_distinct(F.flatten(F.transform(
-            "row_edges", lambda r: F.sequence(r["cx0"], r["cx1"]))))
+        boundary = F.expr("array_distinct(flatten(transform(row_edges, _r -> sequence(_r.cx0, _r.cx1))))")
         cells = rows.select("zone_id", *self.attrs, "gy", "row_edges",
                             boundary.alias("boundary"),
                             F.explode(F.sequence("gx0", "gx1")).alias("gx"))
         is_b = F.array_contains("boundary", F.col("gx"))
-        all_row = F.transform("row_edges", lambda r: r["edge"])
-        cx = (F.col("gx").cast("double") + F.lit(0.5)) * F.lit(s)
-        cy = (F.col("gy").cast("double") + F.lit(0.5)) * F.lit(s)
-        centre_in = (crossings(all_row, cx, cy) % 2) == 1
-        reach = F.transform(F.filter("row_edges", lambda r: r["cx1"] >= F.col("gx")),
-                            lambda r: r["edge"])
+        step = f"CAST('{float(s)!r}' AS DOUBLE)"   # exact round trip, any magnitude
+        cx = f"((CAST(gx AS DOUBLE) + 0.5D) * {step})"
+        cy = f"((CAST(gy AS DOUBLE) + 0.5D) * {step})"
+        centre_in = F.expr(f"{crossings_sql('transform(row_edges, _r -> _r.edge)', cx, cy)} % 2 = 1")
+        reach = F.expr("transform(filter(row_edges, _r -> _r.cx1 >= gx), _r -> _r.edge)")
         zone = F.struct(F.col("zone_id"), *[F.col(a) for a in self.attrs],
                         (~is_b).alias("interior"),
                         F.when(is_b, reach).otherwise(
@@ -267,8 +266,8 @@ class ZoneIndex:
             cond = (pts["_gx"] == cells["gx"]) & (pts["_gy"] == cells["gy"]) & \
                 (pts["_salt"] == cells["salt"])
         j = pts.join(cells, cond, "inner" if how == "inner" else "left")
-        px, py = F.col(x), F.col(y)
-        hits = F.filter(F.col("zones"), lambda z: z["interior"] | contains(z["edges"], px, py))
+        px, py = f"`{x}`", f"`{y}`"
+        hits = F.expr(f"filter(zones, _z -> _z.interior OR {contains_sql('_z.edges', px, py)})")
         found = F.transform(hits, lambda z: F.struct(
             z["zone_id"].alias("zone_id"), *[z[a].alias(a) for a in self.attrs]))
         if match == "first":
