@@ -61,10 +61,12 @@ def code_lookup(c: Column | str, mapping: dict | None = None) -> Column:
     whole-stage codegen.
     """
     mapping = COUNTY_CODES if mapping is None else mapping
-    kv = []
-    for k, v in mapping.items():
-        kv += [F.lit(k), F.lit(v)]
-    return F.try_element_at(F.create_map(*kv), _col(c))
+    pairs = ", ".join(f"'{_sql_str(k)}', {int(v)}" for k, v in mapping.items())
+    return F.try_element_at(F.expr(f"map({pairs})"), _col(c))
+
+
+def _sql_str(v: str) -> str:
+    return str(v).replace("\\", "\\\\").replace("'", "\\'")
 
 
 def year_from_text(c: Column | str, fmt: str = "M/d/yyyy") -> Column:
@@ -98,6 +100,9 @@ def parse_house_number(c: Column | str, mode: str = "pair") -> Column:
     """
     if mode not in HOUSE_MODES:
         raise ValueError(f"mode must be one of {HOUSE_MODES}, got {mode!r}")
+    if isinstance(c, str):
+        # Same expression as below, as SQL text: one call instead of dozens.
+        return F.expr(house_number_sql(f"`{c}`", mode))
     s = F.trim(_col(c).cast("string"))
     # regexp_extract compiles its (literal) pattern once per task; a regex
     # ``split`` would recompile it for every row.  No match gives ''.
@@ -120,6 +125,26 @@ def parse_house_number(c: Column | str, mode: str = "pair") -> Column:
     return F.when(block.isNotNull() & number.isNotNull(), value)
 
 
+def house_number_sql(c_sql: str, mode: str = "pair") -> str:
+    """SQL text of ``parse_house_number`` for the SQL expression ``c_sql``."""
+    s = f"trim(CAST({c_sql} AS STRING))"
+    pat = "r'" + HOUSE_NUMBER_GROUPS + "'"
+    g1, g2 = f"regexp_extract({s}, {pat}, 1)", f"regexp_extract({s}, {pat}, 2)"
+    two = f"({g2} <> '')"
+    first, second = f"try_cast({g1} AS INT)", f"try_cast({g2} AS INT)"
+    if mode == "concat_text":
+        block, number = "0", f"try_cast(concat({g1}, {g2}) AS INT)"
+    elif mode == "concat_int":
+        glued = (f"concat(CAST({first} AS STRING), "
+                 f"CASE WHEN {two} THEN CAST({second} AS STRING) ELSE '' END)")
+        block, number = "0", f"try_cast({glued} AS INT)"
+    else:
+        block = f"CASE WHEN {two} THEN {first} ELSE 0 END"
+        number = f"CASE WHEN {two} THEN {second} ELSE {first} END"
+    return (f"CASE WHEN ({block}) IS NOT NULL AND ({number}) IS NOT NULL THEN "
+            f"named_struct('block', CAST({block} AS INT), 'number', CAST({number} AS INT)) END")
+
+
 def parity(n: Column | str, even: str = "even", odd: str = "odd") -> Column:
     """Parity label of an integer; null stays null."""
     n = _col(n)

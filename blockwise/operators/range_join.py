@@ -43,7 +43,7 @@ def prepare_records(df: DataFrame, years: Sequence[int], *, mode: str = "pair",
     malformed house number are dropped (F1, F2, F4, F5, F7).  The year comes
     from an int column ``year`` or from date text ``date``.
     """
-    hn = parse_house_number(F.col(house), mode)
+    hn = parse_house_number(house, mode)
     yr = F.col(year).cast("int") if date is None else year_from_text(F.col(date), date_format)
     out = df.select(
         F.upper(F.col(street)).alias("street"),
@@ -88,7 +88,7 @@ def normalize_addresses(raw_counts: DataFrame, *, mode: str = "pair",
     counts = [c for c in raw_counts.columns if c.startswith("count_")]
     key = F.struct(F.upper(F.col("street_raw")).alias("street"),
                    code_lookup(F.col("county_raw"), county_map).cast("int").alias("borough"),
-                   parse_house_number(F.col("house_raw"), mode).alias("hn"))
+                   parse_house_number("house_raw", mode).alias("hn"))
     # The key is built once per row inside a one-element array and invalid
     # keys drop out of the explode.  A plain filter would be pushed below the
     # aggregate by the optimizer and re-run the parse once per raw record.

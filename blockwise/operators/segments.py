@@ -21,8 +21,8 @@ def _parse_bounds(segments: DataFrame, sides, names, borough: str, id_col: str,
     cols = [F.col(id_col).alias("physical_id"), F.col(borough).cast("int").alias("_borough")]
     cols += [F.upper(F.col(n)).alias(f"_name_{i}") for i, n in enumerate(names)]
     for side, lo, hi in sides:
-        cols += [parse_house_number(F.col(lo), mode).alias(f"_lo_{side}"),
-                 parse_house_number(F.col(hi), mode).alias(f"_hi_{side}")]
+        cols += [parse_house_number(lo, mode).alias(f"_lo_{side}"),
+                 parse_house_number(hi, mode).alias(f"_hi_{side}")]
     return segments.select(*cols)
 
 

@@ -87,3 +87,19 @@ def test_parse_matches_python_model(spark, texts):
         got = [None if r[0] is None else (r[0]["block"], r[0]["number"])
                for r in df.select(N.parse_house_number("h", mode)).collect()]
         assert got == [model_parse(t, mode) for t in texts], mode
+
+
+@settings(max_examples=10, deadline=None)
+@given(st.lists(st.text(alphabet="0123456789 -A", max_size=14), min_size=1, max_size=30))
+def test_sql_and_column_paths_agree(spark, texts):
+    df = spark.createDataFrame([(t,) for t in texts + [c[0] for c in HOUSE_CASES]], "h string")
+    for mode in ("pair", "concat_text", "concat_int"):
+        both = df.select(N.parse_house_number("h", mode).alias("a"),
+                         N.parse_house_number(F.col("h"), mode).alias("b")).collect()
+        assert all(r["a"] == r["b"] for r in both), mode
+
+
+def test_code_lookup_quotes(spark):
+    df = spark.createDataFrame([("O'X",), ("a\\b",), ("Q",)], "c string")
+    got = [r[0] for r in df.select(N.code_lookup("c", {"O'X": 7, "a\\b": 8})).collect()]
+    assert got == [7, 8, None]
