@@ -211,13 +211,15 @@ class ZoneIndex:
         first = F.col("zones").getItem(0)
         sure = F.when(first["interior"], F.struct(first["zone_id"].alias("zone_id"),
                                                    *[first[a].alias(a) for a in self.attrs]))
-        return by_cell.select("gx", "gy", "zones", sure.alias("sure"))
+        # Underscored names: the table is joined next to the caller's columns.
+        return by_cell.select(F.col("gx").alias("_cell_gx"), F.col("gy").alias("_cell_gy"),
+                              F.col("zones").alias("_zones"), sure.alias("_sure"))
 
     def cell_stats(self) -> dict:
         """Rows and edge entries of the cell table (one small job)."""
         r = self.cells.agg(
             F.count(F.lit(1)).alias("cells"),
-            F.sum(F.aggregate("zones", F.lit(0), lambda acc, z: acc + F.size(z["edges"]) + 1))
+            F.sum(F.aggregate("_zones", F.lit(0), lambda acc, z: acc + F.size(z["edges"]) + 1))
             .alias("entries")).first()
         return {"cells": int(r["cells"]), "entries": int(r["entries"] or 0)}
 
@@ -255,25 +257,25 @@ class ZoneIndex:
             (F.abs(F.col(x)) < F.lit(float("inf"))) & (F.abs(F.col(y)) < F.lit(float("inf")))
         pts = points.withColumn("_gx", F.when(finite, F.floor(F.col(x) / F.lit(s)))) \
                     .withColumn("_gy", F.when(finite, F.floor(F.col(y) / F.lit(s))))
-        cond = (pts["_gx"] == cells["gx"]) & (pts["_gy"] == cells["gy"])
+        cond = (pts["_gx"] == cells["_cell_gx"]) & (pts["_gy"] == cells["_cell_gy"])
         if not self._broadcast and self.salt > 1:
             # Deterministic salt (a hash of the point's columns), so a retried
             # task sends every point to the same replica again.
             pts = pts.withColumn("_salt", F.pmod(F.xxhash64(*[F.col(c) for c in points.columns]),
                                                  F.lit(self.salt)))
-            cells = cells.withColumn("salt", F.explode(F.sequence(F.lit(0).cast("long"),
+            cells = cells.withColumn("_cell_salt", F.explode(F.sequence(F.lit(0).cast("long"),
                                                                   F.lit(self.salt - 1).cast("long"))))
-            cond = (pts["_gx"] == cells["gx"]) & (pts["_gy"] == cells["gy"]) & \
-                (pts["_salt"] == cells["salt"])
+            cond = (pts["_gx"] == cells["_cell_gx"]) & (pts["_gy"] == cells["_cell_gy"]) & \
+                (pts["_salt"] == cells["_cell_salt"])
         j = pts.join(cells, cond, "inner" if how == "inner" else "left")
         px, py = f"`{x}`", f"`{y}`"
-        hits = F.expr(f"filter(zones, _z -> _z.interior OR {contains_sql('_z.edges', px, py)})")
+        hits = F.expr(f"filter(_zones, _z -> _z.interior OR {contains_sql('_z.edges', px, py)})")
         found = F.transform(hits, lambda z: F.struct(
             z["zone_id"].alias("zone_id"), *[z[a].alias(a) for a in self.attrs]))
         if match == "first":
             # The lambda test (interpreted by Spark) runs only where the cell
             # has no sure zone.
-            found = F.when(F.col("sure").isNotNull(), F.array(F.col("sure"))) \
+            found = F.when(F.col("_sure").isNotNull(), F.array(F.col("_sure"))) \
                      .otherwise(F.slice(found, 1, 1))
         # A generator materialises the match once: later projections and the
         # inner join's null test read the column instead of re-running the

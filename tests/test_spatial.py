@@ -97,8 +97,8 @@ def test_cell_table_marks_interior(spark):
     big = ring_edges(0, "big", [(0, 0), (10, 0), (10, 10), (0, 10)])
     idx = ZoneIndex(spark.createDataFrame(big, EDGE_SCHEMA), cell_size=1.0)
     rows = idx.cells.collect()
-    interior = [r for r in rows if r["zones"][0]["interior"]]
-    assert len(interior) > 0 and all(len(r["zones"][0]["edges"]) == 0 for r in interior)
+    interior = [r for r in rows if r["_zones"][0]["interior"]]
+    assert len(interior) > 0 and all(len(r["_zones"][0]["edges"]) == 0 for r in interior)
     assert idx.cell_stats()["cells"] == len(rows)
 
 
@@ -176,7 +176,7 @@ def test_sure_cells_and_single_test_in_plan(spark):
         ring_edges(1, "tilted", [(12, 0), (20, 4), (16, 12), (11, 6)])
     idx = ZoneIndex(spark.createDataFrame(big, EDGE_SCHEMA))
     cells = idx.cells.collect()
-    sure = sum(1 for r in cells if r["sure"] is not None)
+    sure = sum(1 for r in cells if r["_sure"] is not None)
     assert sure > 0.8 * len(cells)           # clipped edges mark few boundary cells
     pts = spark.createDataFrame([(1, 5.0, 5.0), (2, 15.0, 5.0), (3, 30.0, 30.0)], "pid int, x double, y double")
     out = idx.assign(pts, x="x", y="y", how="inner")
@@ -230,3 +230,12 @@ def test_projected_layer_and_points(spark):
     got = {r["pid"]: r["zone_name"] for r in out.collect()}
     assert got == {1: "north", 2: "south", 3: None, 4: None}
     assert idx.cell_size > 1.0   # grid in feet
+
+
+@pytest.mark.parametrize("broadcast", [True, False])
+def test_point_columns_named_like_cell_columns(spark, broadcast):
+    idx = ZoneIndex(spark.createDataFrame(EDGES, EDGE_SCHEMA), broadcast=broadcast)
+    pts = spark.createDataFrame([(0.5, 0.5, 1, 2, "a", "b", 3)],
+                                "gx double, gy double, zones int, sure int, salt string, z string, _e int")
+    r = idx.assign(pts, x="gx", y="gy", carry=("zone_name",)).first()
+    assert (r["zone_id"], r["zone_name"], r["zones"], r["sure"], r["salt"]) == (1, "holed", 1, 2, "a")
