@@ -61,3 +61,19 @@ def test_yearly_trend(spark):
     got = {r["s"]: (r["count_2015"], r["count_2019"], r["ols_coeff"])
            for r in T.yearly_trend(df, "s", "y", YEARS).collect()}
     assert got == {"a": (1, 2, (-2 + 4) / 10), "b": (0, 0, 0.0)}
+
+
+@settings(max_examples=100, deadline=None)
+@given(st.integers(1990, 2030), st.integers(2, 9), st.data())
+def test_weights_any_window(first, n, data):
+    xs = list(range(first, first + n))
+    ys = data.draw(st.lists(st.integers(0, 10**5), min_size=n, max_size=n))
+    w, d = slope_weights(xs)
+    assert abs(sum(a * b for a, b in zip(w, ys)) / d - np.polyfit(xs, ys, 1)[0]) < 1e-6 * max(1, max(ys))
+
+
+def test_slope_expression_other_window(spark):
+    xs = [2010, 2011, 2012]
+    df = spark.createDataFrame([(1, 4, 9)], "a bigint, b bigint, c bigint")
+    got = df.select(ols_slope(["a", "b", "c"], xs).alias("s")).first()["s"]
+    assert got == np.polyfit(xs, [1, 4, 9], 1)[0] or abs(got - 4.0) < 1e-12
