@@ -5,9 +5,15 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
+from functools import reduce
+from operator import or_
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+#: Keys up to this count are looked up in a bit table of 32 bits a key (16 MB at most); more are joined.
+BIT_TABLE_KEYS = 1 << 22
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -68,3 +74,44 @@ def tokenizer_file(name: str) -> str:
         return os.path.join(folder, name)
     import public_tokenizers
     return public_tokenizers.path(name)
+
+
+def tokenizer_pattern() -> str:
+    """The public pattern that splits text before the merges of the rank files."""
+    import public_tokenizers
+    return public_tokenizers.PATTERN
+
+
+def key_test(keys: DataFrame) -> Callable[[Column], Column] | None:
+    """A test whether a long is among ``keys`` (one long column), true for a few others too.
+
+    The test looks into a bit table of bounded size, so the tested rows need no shuffle.
+    None beyond ``BIT_TABLE_KEYS`` keys: then the caller joins.
+    """
+    key = F.col(keys.columns[0])
+    n = keys.count()
+    if n > BIT_TABLE_KEYS:
+        return None
+    words = 1 << max(6, (n // 2).bit_length())
+
+    def word(k: Column) -> Column:
+        return F.pmod(F.shiftright(k, 6), F.lit(words)).cast("int")
+
+    def bit(k: Column) -> Column:
+        return k.bitwiseAND(F.lit(63)).cast("int")
+
+    masks = keys.select(word(key).alias("word"), F.call_function("shiftleft", F.lit(1).cast("long"), bit(key)).alias("mask"))
+    masks = masks.groupBy("word").agg(F.bit_or("mask").alias("mask"))
+    every = keys.sparkSession.range(0, words, 1, 1).select(F.col("id").cast("int").alias("word")).join(masks, "word", "left")
+    table = every.agg(F.sort_array(F.collect_list(F.struct("word", F.coalesce("mask", F.lit(0).cast("long")).alias("mask")))).alias("t")).select("t.mask").scalar()
+    return lambda k: F.coalesce(F.call_function("getbit", F.get(table, word(k)), bit(k)) == 1, F.lit(False))
+
+
+def keep_keyed(rows: DataFrame, columns: list[Column], keys: DataFrame) -> DataFrame:
+    """Rows of which one of the ``columns`` is in ``keys``; by the bit table a few others may come along."""
+    test = key_test(keys)
+    if test is not None:
+        return rows.filter(reduce(or_, map(test, columns)))
+    key, mark = F.col(keys.columns[0]), scratch_column(rows, "key_")
+    numbered = rows.withColumn(mark, F.explode(F.array_distinct(F.array(*columns))))
+    return numbered.join(keys.select(key.alias(mark)), mark, "left_semi").drop(mark)
