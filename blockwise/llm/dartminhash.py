@@ -32,10 +32,10 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import keep_keyed, materialize, slices
+from .common import keep_keyed, key_test, materialize, scratch_column, slices
 
 COORDINATES = 128
 BAND_ROWS = 4
@@ -205,18 +205,18 @@ def components(edges: DataFrame) -> DataFrame:
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", threshold: float = THRESHOLD, words: int = WORDS,
                     k: int = COORDINATES, band_rows: int = BAND_ROWS, weighting: str = "binary") -> DataFrame:
-    """(id, class_id, text_id, n_links): the least id of the document's class, the least id of its equal texts,
-    and the verified links of its text to other texts (those found by the two rounds).  ``weighting`` is
+    """(id, class_id, text_id, n_links, n_rows): the least id of the document's class, the least id of its equal texts,
+    the rows with this id, and the verified links of its text to other texts (those found by the two rounds).  ``weighting`` is
     ``binary`` (shingle sets) or ``count`` (how often each shingle occurs)."""
     rows = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text")).filter("id IS NOT NULL")
     keyed = rows.withColumns({"th1": F.xxhash64("text"), "th2": F.xxhash64(F.lit(7), "text")})
     text = F.struct("th1", "th2", F.col("text").isNull().alias("void"))
     # equal texts: their least id stands for them; a null text only for itself
-    members = keyed.groupBy("id").agg(F.min(text).alias("t")).select("id", "t.*").withColumn("alone", F.when(F.col("void"), F.col("id")))
+    members = keyed.groupBy("id").agg(F.min(text).alias("t"), F.count("*").alias("n_rows")).select("id", "t.*", "n_rows").withColumn("alone", F.when(F.col("void"), F.col("id")))
     members = materialize(members, "members")
     least = members.groupBy("th1", "th2", "alone").agg(F.min("id").alias("text_id"))
     texts_of = members.alias("m").join(least.alias("l"), F.expr("m.th1 = l.th1 AND m.th2 = l.th2 AND m.alone <=> l.alone"))
-    texts_of = materialize(texts_of.select("m.id", "m.th1", "m.th2", "m.void", "l.text_id"), "text-classes")
+    texts_of = materialize(texts_of.select("m.id", "m.th1", "m.th2", "m.void", "m.n_rows", "l.text_id"), "text-classes")
     heads = texts_of.filter("id = text_id AND NOT void").select("id", "th1", "th2")
     keyed = keyed.filter("text IS NOT NULL")
     bands = sign(keyed, k, band_rows, words, weighting).filter("bands IS NOT NULL").join(heads, ["id", "th1", "th2"], "left_semi")
@@ -252,4 +252,18 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     links = materialize(links, "links")
     degree = links.select(F.explode(F.array("a", "b")).alias("text_id")).groupBy("text_id").agg(F.count("*").alias("n_links"))
     return (texts_of.join(components(links).withColumnRenamed("id", "text_id"), "text_id", "left").join(degree, "text_id", "left")
-            .select("id", F.coalesce("root", "text_id").alias("class_id"), "text_id", F.coalesce("n_links", F.lit(0).cast("long")).alias("n_links")))
+            .select("id", F.coalesce("root", "text_id").alias("class_id"), "text_id", F.coalesce("n_links", F.lit(0).cast("long")).alias("n_links"), "n_rows"))
+
+
+def keep_first(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """``docs`` with one document of each class, that of the least id, and one row of each id; rows without an id stay."""
+    classes = materialize(near_duplicates(docs, id_col, text_col), "classes")
+    later = classes.filter("id <> class_id").select("id")
+    touched = classes.filter("id <> class_id OR n_rows > 1").select("id")
+    mark, order = scratch_column(docs, "row_place"), Window.partitionBy(id_col).orderBy(F.xxhash64(text_col))
+    test = key_test(touched)
+    some = docs if test is None else docs.filter(test(F.col(id_col).cast("long")))
+    rest = docs.filter(F.col(id_col).isNull()) if test is None else docs.filter(~test(F.col(id_col).cast("long")))
+    some = (some.filter(F.col(id_col).isNotNull()).join(later.withColumnRenamed("id", mark), F.col(id_col) == F.col(mark), "left_anti")
+            .withColumn(mark, F.row_number().over(order)).filter(F.col(mark) == 1).drop(mark))
+    return some.unionByName(rest)

@@ -26,7 +26,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import slices
+from .common import scratch_column, slices
 
 BUCKET_BITS = 14
 ORDERS = (1, 2, 3)
@@ -214,3 +214,10 @@ def identify(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", la
     return (docs.select(F.col(id_col).alias("id"), F.coalesce(held_out(id_col), F.lit(False)).alias("held_out"),
                         prediction(F.col(text_col), model).alias("language"))
             .select("id", "held_out", "language.*"))
+
+
+def keep_identified(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> DataFrame:
+    """``docs`` without those that are ``und`` or ambiguous."""
+    mark = scratch_column(docs, "language")
+    found = docs.withColumn(mark, prediction(F.col(text_col), fit(docs, id_col, text_col, lang_col)))
+    return found.filter((F.col(f"{mark}.lang_pred") != UNKNOWN) & ~F.col(f"{mark}.ambiguous")).drop(mark)

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, dartminhash, divergence, fixity, langid, line_dedup, packing, vptree, wavelet
+from . import bpe, dartminhash, divergence, fixity, langid, line_dedup, packing, pii, vptree, wavelet
 from .common import tokenizer_file, tokenizer_pattern
 
 
@@ -111,7 +111,7 @@ FROM s QUALIFY rank <= 20
 
 
 def op7_dartminhash(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return dartminhash.near_duplicates(_table(spark, sf_dir, "documents")).withColumnRenamed("id", "doc_id")
+    return dartminhash.near_duplicates(_table(spark, sf_dir, "documents")).withColumnRenamed("id", "doc_id").drop("n_rows")
 
 
 def op8_nnls_pack(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -124,13 +124,17 @@ def op9_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
     return divergence.quality(_table(spark, sf_dir, "documents")).withColumnRenamed("id", "doc_id")
 
 
+def op10_bootstrapped_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.report(_table(spark, sf_dir, "documents")).withColumnRenamed("id", "doc_id")
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {"op1_merkle_fixity": op1_merkle_fixity, "op2_wavelet": op2_wavelet,
             "op3_line_neighbourhood": op3_line_neighbourhood, "op4_recursive_bpe": op4_recursive_bpe,
             "op5_ecoc_language": op5_ecoc_language, "op6_vptree_neighbours": op6_vptree_neighbours,
             "op7_dartminhash": op7_dartminhash,
             "op8_nnls_pack": op8_nnls_pack,
-            "op9_divergence": op9_divergence}
+            "op9_divergence": op9_divergence, "op10_bootstrapped_pii": op10_bootstrapped_pii}
 
 
 def oracle_sql() -> dict[str, str]:
