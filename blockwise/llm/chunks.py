@@ -10,19 +10,21 @@ from __future__ import annotations
 
 import os
 import re
+from array import array
 from collections.abc import Callable
 
 import numpy as np
 
-CACHE_CHUNKS = 400_000
+CACHE_CHUNKS = 550_000
 _BOUNDARY = re.compile(r"(?= \S)")
-_ODD_SPACE = re.compile(r" (?=\s|$)|^ ")
+_ODD_SPACE = re.compile(r" \s")
+_LATIN_WORD = re.compile(" ?[A-Za-z\u00C0-\u00D6\u00D8-\u00F6\u00F8-\u012F\u0131-\u024F]+")
 _TAIL = ".,;:!?*#$%&()|\""
 
 
 def split_chunks(text: str) -> list[str]:
     """Chunks of ``text``: cut before every space that a non-space follows."""
-    if _ODD_SPACE.search(text) is None:
+    if _ODD_SPACE.search(text) is None and not text.startswith(" ") and not text.endswith(" "):
         first, *rest = text.split(" ")
         return [first, *[" " + x for x in rest]]
     return _BOUNDARY.split(text)
@@ -31,29 +33,53 @@ def split_chunks(text: str) -> list[str]:
 class ChunkEncoder:
     """Encodes texts to little-endian id bytes through ``encode_many(list[str]) -> list[list[int]]``.
 
-    A chunk that ends in a letter or digit followed by ASCII punctuation is looked up as
-    its core and its tail, since both pre-tokenizers cut between them.
+    A new chunk is put together from its pieces (lines; words and the ASCII punctuation after
+    them), since the pre-tokenizers cut between these.
     """
 
-    def __init__(self, encode_many: Callable[[list[str]], list], dtype: str):
-        self.encode_many, self.dtype = encode_many, np.dtype(dtype)
+    def __init__(self, encode_many: Callable[[list[str]], list], dtype: str, encode_word: Callable[[str], list] | None = None):
+        """``encode_word``: a quicker way for words of Latin letters alone, with or without a space before."""
+        self.encode_many, self.encode_word, self.dtype = encode_many, encode_word, np.dtype(dtype)
         self.cache: dict[str, bytes] = {}
 
+    @staticmethod
+    def _pieces(chunk: str) -> list[str]:
+        """Parts that are pre-tokenized apart: lines within the chunk, and the punctuation after a letter or digit."""
+        lines = chunk.split("\n")
+        if len(lines) > 1 and not all(x and not x[-1].isspace() and (i == 0 or not x[0].isspace()) for i, x in enumerate(lines)):
+            return [chunk]
+        parts = []
+        for i, line in enumerate(lines):
+            if i:
+                parts.append("\n")
+            core = line.rstrip(_TAIL)
+            if core and len(core) < len(line) and core[-1].isalnum():
+                parts += [core, line[len(core):]]
+            else:
+                parts.append(line)
+        return parts
+
     def _add(self, missing: set[str]) -> None:
-        cores: dict[str, tuple[str, str]] = {}
-        for chunk in missing:
-            core = chunk.rstrip(_TAIL)
-            if core and len(core) < len(chunk) and core[-1].isalnum():
-                cores[chunk] = (core, chunk[len(core):])
-        plain = missing.difference(cores)
-        for core, tail in cores.values():
-            plain.add(core)
-            plain.add(tail)
-        new = [x for x in plain if x not in self.cache]
-        for chunk, ids in zip(new, self.encode_many(new)):
-            self.cache[chunk] = np.asarray(ids, dtype=self.dtype).tobytes()
-        for chunk, (core, tail) in cores.items():
-            self.cache[chunk] = self.cache[core] + self.cache[tail]
+        split = {chunk: self._pieces(chunk) for chunk in missing}
+        new = {x for parts in split.values() for x in parts if x not in self.cache}
+        if self.encode_word is not None:
+            words = [x for x in new if _LATIN_WORD.fullmatch(x)]
+            for word in words:
+                self.cache[word] = self._bytes(self.encode_word(word))
+            new.difference_update(words)
+        rest = list(new)
+        for chunk, ids in zip(rest, self.encode_many(rest)):
+            self.cache[chunk] = self._bytes(ids)
+        for chunk, parts in split.items():
+            if len(parts) > 1:
+                self.cache[chunk] = b"".join([self.cache[x] for x in parts])
+
+    def _bytes(self, ids: list) -> bytes:
+        return array(self._code, ids).tobytes() if isinstance(ids, list) else np.asarray(ids, self.dtype).tobytes()
+
+    @property
+    def _code(self) -> str:
+        return "H" if self.dtype.itemsize == 2 else "I"
 
     def encode(self, texts: list[str]) -> list[bytes]:
         if len(self.cache) > CACHE_CHUNKS:
@@ -72,6 +98,35 @@ class ChunkEncoder:
 _ENCODERS: dict[tuple[str, str], ChunkEncoder] = {}
 
 
+def _byte_letters() -> list[str]:
+    """The letter that stands for each byte in byte-level vocabularies: printable bytes for
+    themselves, the others for code points from 256 on, in order."""
+    printable = {*range(33, 127), *range(161, 173), *range(174, 256)}
+    others = iter(range(256, 512))
+    return [chr(b) if b in printable else chr(next(others)) for b in range(256)]
+
+
+def _word_encoder(tok) -> Callable[[str], list] | None:
+    """Ids of a word of Latin letters straight from the tokenizer's model.
+
+    Such a word is a single pre-token, so only normalisation and the byte alphabet come
+    before the model; whether this gives the tokenizer's own ids is tried on samples.
+    """
+    letters, model = _byte_letters(), tok.model
+
+    def direct(word: str) -> list:
+        return [t.id for t in model.tokenize("".join([letters[b] for b in word.encode()]))]
+
+    def normal(word: str) -> list:
+        return direct(tok.normalizer.normalize_str(word).strip())
+
+    samples = [" The", "the", " Straße", " ÉTÉ", "niño", " Über", "ciónmente", " x", " ǅ"]
+    for way in (direct, normal if tok.normalizer is not None else direct):
+        if all(way(w) == tok.encode(w, add_special_tokens=False).ids for w in samples):
+            return way
+    return None
+
+
 def tokenizers_encoder(path: str, dtype: str) -> ChunkEncoder:
     """The worker's encoder for a ``tokenizers`` file, without special tokens."""
     if (path, dtype) not in _ENCODERS:
@@ -83,7 +138,7 @@ def tokenizers_encoder(path: str, dtype: str) -> ChunkEncoder:
         def encode_many(chunks: list[str]) -> list:
             return [e.ids for e in tok.encode_batch_fast(chunks, add_special_tokens=False)]
 
-        _ENCODERS[path, dtype] = ChunkEncoder(encode_many, dtype)
+        _ENCODERS[path, dtype] = ChunkEncoder(encode_many, dtype, _word_encoder(tok))
     return _ENCODERS[path, dtype]
 
 
