@@ -27,10 +27,12 @@ from pyspark.sql import functions as F
 from .common import keep_keyed, key_test, materialize, scratch_column
 
 MIN_WORDS = 5
+REPLACE, DELETE, WHOLE = 0, 1, 2  # roles of a line at a key
 
 
 def _normal(line: Column) -> Column:
-    return F.trim(F.regexp_replace(line, "[ \\t\\r]+", " "))
+    odd = F.contains(line, F.lit("  ")) | F.contains(line, F.lit("\t")) | F.contains(line, F.lit("\r"))
+    return F.trim(F.when(odd, F.regexp_replace(line, "[ \\t\\r]+", " ")).otherwise(line))
 
 
 def _half_keys(line: Column, n: Column) -> Column:
@@ -86,32 +88,33 @@ def near_lines(lines: DataFrame, distinct: DataFrame) -> DataFrame:
         terms = F.transform("words", lambda w, i: F.xxhash64(i - shift, w))
         return F.aggregate(terms, F.lit(0).cast("long"), lambda x, y: x.bitwiseXOR(y))
 
-    words = (texts.select("h1", "h2", "first", F.size("words").alias("n"), total(0).alias("whole"), total(1).alias("shifted"), "words")
-             .select("h1", "h2", "first", "n", "whole", "shifted", F.posexplode("words").alias("p", "word"))
-             .select("h1", "h2", "first", "n", "whole", "shifted", "p", F.xxhash64("p", "word").alias("a"), F.xxhash64(F.col("p") - 1, "word").alias("b")))
-    along = Window.partitionBy("h1", "h2").orderBy("p")
+    # dealt by line once; the words of a line then stay in its task
+    words = (texts.select("first", F.size("words").alias("n"), total(0).alias("whole"), total(1).alias("shifted"), "words").repartition("first")
+             .select("first", "n", "whole", "shifted", F.posexplode("words").alias("p", "word"))
+             .select("first", "n", "whole", "shifted", "p", F.xxhash64("p", "word").alias("a"), F.xxhash64(F.col("p") - 1, "word").alias("b")))
+    along = Window.partitionBy("first").orderBy("p")
     before = F.coalesce(F.bit_xor("a").over(along.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
     until = F.bit_xor("b").over(along.rowsBetween(Window.unboundedPreceding, 0))
     variants = words.withColumns({"blanked": F.col("whole").bitwiseXOR(F.col("a")), "deleted": before.bitwiseXOR(F.col("shifted").bitwiseXOR(until))})
-    own = ["h1", "h2", "first"]
-    keyed = variants.select(*own, F.explode(F.array(
-        F.struct(F.lit("replace").alias("role"), F.xxhash64(F.lit("r"), "n", "p", "blanked").alias("key")),
-        F.struct(F.lit("delete").alias("role"), F.xxhash64(F.lit("d"), F.col("n") - 1, "deleted").alias("key")))).alias("v")).select(*own, "v.role", "v.key")
-    wholes = texts.select(*own, F.lit("whole").alias("role"), F.xxhash64(F.lit("d"), F.size("words"), total(0)).alias("key"))
+    # a line is known by its first place from here on
+    keyed = variants.select("first", F.explode(F.array(
+        F.struct(F.lit(REPLACE).alias("role"), F.xxhash64(F.lit("r"), "n", "p", "blanked").alias("key")),
+        F.struct(F.lit(DELETE).alias("role"), F.xxhash64(F.lit("d"), F.col("n") - 1, "deleted").alias("key")))).alias("v")).select("first", "v.role", "v.key")
+    wholes = texts.select("first", F.lit(WHOLE).alias("role"), F.xxhash64(F.lit("d"), F.size("words"), total(0)).alias("key"))
     keyed = materialize(keyed.unionByName(wholes), "line-variants")
-    line = F.struct("first", "h1", "h2")
-
-    def earliest(*roles: str) -> Column:
-        return F.min(F.when(F.col("role").isin(*roles), line))
-
-    groups = keyed.groupBy("key").agg(earliest("replace").alias("replace"), earliest("delete").alias("delete"), earliest("whole").alias("whole"),
-                                      F.min(line).alias("lo"), F.max(line).alias("hi")).filter("lo <> hi").drop("lo", "hi")
-    partner = F.when(F.col("role") == "replace", F.col("replace")).when(F.col("role") == "delete", F.col("whole")).otherwise(F.col("delete"))
-    pairs = (keyed.join(groups, "key").select(*own, partner.alias("partner")).filter(F.col("partner.first") < F.col("first"))
-             .groupBy("h1", "h2").agg(F.min("partner").alias("partner"))
-             .select("h1", "h2", F.col("partner.h1").alias("p1"), F.col("partner.h2").alias("p2")))
-    a, b = texts.select("h1", "h2", F.col("words").alias("wa")), texts.select(F.col("h1").alias("p1"), F.col("h2").alias("p2"), F.col("words").alias("wb"))
-    return pairs.join(a, ["h1", "h2"]).join(b, ["p1", "p2"]).filter(_alike(F.col("wa"), F.col("wb"))).select("h1", "h2")
+    mark = F.xxhash64("first")
+    met = (keyed.select("key", mark.alias("line")).groupBy("key").agg(F.min("line").alias("a"), F.max("line").alias("b")).filter("a <> b").select("key"))
+    keyed = materialize(keep_keyed(keyed, [F.col("key")], materialize(met, "shared-variants")), "met-variants")
+
+    def earliest(role: int) -> Column:
+        return F.min(F.when(F.col("role") == role, F.col("first")))
+
+    groups = keyed.groupBy("key").agg(earliest(REPLACE).alias("replaced"), earliest(DELETE).alias("deleted"), earliest(WHOLE).alias("whole"))
+    partner = F.when(F.col("role") == REPLACE, F.col("replaced")).when(F.col("role") == DELETE, F.col("whole")).otherwise(F.col("deleted"))
+    pairs = (keyed.join(groups, "key").select("first", partner.alias("partner")).filter(F.col("partner") < F.col("first"))
+             .groupBy("first").agg(F.min("partner").alias("partner")))
+    a, b = texts.select("h1", "h2", "first", F.col("words").alias("wa")), texts.select(F.col("first").alias("partner"), F.col("words").alias("wb"))
+    return pairs.join(a, "first").join(b, "partner").filter(_alike(F.col("wa"), F.col("wb"))).select("h1", "h2")
 
 
 def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", counts: bool = False) -> DataFrame:
