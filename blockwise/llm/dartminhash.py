@@ -14,9 +14,9 @@ Equal texts are put together first, and only one of them is signed.  Candidates
 verified by exact similarity, ``THRESHOLD`` or more, in two rounds that lose no
 candidate link and emit no group's pairs: every band's bucket is compared with its
 first document, which merges all but strangers; then those pairs of a bucket that are
-still in different classes are compared, unless their distances to the first document
-differ by more than 1 - threshold (Jaccard distance is a metric, so they cannot be
-near).  Classes are the connected components of the verified links.
+still in different classes are compared, unless their distances to the first document differ
+by more than 1 - threshold (Jaccard distance is a metric, so they cannot be near) or one of them has too many shingles that no other document of the buckets has.
+Classes are the connected components of the verified links.
 
 Nulls and edges: a null text is in a class of its own; texts of under five words are one
 shingle, their whole word sequence, and a text without words matches only its equals;
@@ -156,8 +156,8 @@ def sign(texts: DataFrame, k: int = COORDINATES, band_rows: int = BAND_ROWS, wor
     return texts.mapInPandas(apply, "id long, th1 long, th2 long, bands array<long>")
 
 
-def similarities(pairs: DataFrame, texts: DataFrame, words: int = WORDS, weighting: str = "binary") -> DataFrame:
-    """(a, b, similarity) of pairs of ids, exact on the shingle sets; ``texts``: (id, text)."""
+def shingle_sets(texts: DataFrame, words: int = WORDS, weighting: str = "binary") -> DataFrame:
+    """(id, elements, counts) of (id, text)."""
 
     def cut(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
@@ -165,8 +165,11 @@ def similarities(pairs: DataFrame, texts: DataFrame, words: int = WORDS, weighti
                 rows = [shingles(t, words) for t in batch["text"].iloc[lo:hi]]
                 yield pd.DataFrame({"id": batch["id"].iloc[lo:hi].to_numpy(), "elements": [e.view(np.int64) for e, _ in rows], "counts": [_weights(n, weighting).astype(np.int32) for _, n in rows]})
 
-    wanted = pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct()
-    sets = materialize(texts.join(wanted, "id", "left_semi").mapInPandas(cut, "id long, elements array<long>, counts array<int>"), "shingle-sets")
+    return texts.mapInPandas(cut, "id long, elements array<long>, counts array<int>")
+
+
+def similarities(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+    """(a, b, similarity) of pairs of ids, exact on their shingle sets."""
     a = sets.select(F.col("id").alias("a"), F.col("elements").alias("ea"), F.col("counts").alias("ca"))
     b = sets.select(F.col("id").alias("b"), F.col("elements").alias("eb"), F.col("counts").alias("cb"))
 
@@ -203,6 +206,25 @@ def components(edges: DataFrame) -> DataFrame:
         state = after.select("id", "root")
 
 
+def _possible(members: DataFrame, sets: DataFrame, threshold: float) -> DataFrame:
+    """The rows (key, id, ...) of bucket members that can have a partner in their bucket at all.
+
+    Of a set's weight n, let u lie in elements that no other member of any bucket has.  A
+    partner of weight s shares n - u at most, so the similarity is at most (n - u) / n if
+    s may be n - u or less, else (n - u) / (s + u) for the bucket's least s.
+    """
+    ids = members.select("id").distinct()
+    parts = sets.join(ids, "id", "left_semi").select("id", F.explode(F.arrays_zip("elements", "counts")).alias("x")).select("id", "x.elements", "x.counts")
+    own = parts.groupBy("elements").agg(F.count("*").alias("n"), F.first("id").alias("id"), F.first("counts").alias("w")).filter("n = 1")
+    unique = own.groupBy("id").agg(F.sum("w").alias("u"))
+    weights = sets.select("id", F.aggregate("counts", F.lit(0).cast("long"), lambda s, x: s + x).alias("n"))
+    rows = members.join(weights, "id").join(unique, "id", "left").withColumn("u", F.coalesce("u", F.lit(0).cast("long")))
+    least = rows.groupBy("key").agg(F.min("n").alias("least"))
+    shared = F.col("n") - F.col("u")
+    bound = F.when(F.col("least") <= shared, shared / F.col("n")).otherwise(shared / (F.col("least") + F.col("u")))
+    return rows.join(least, "key").filter(bound >= threshold - 1e-9).select(*members.columns)
+
+
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", threshold: float = THRESHOLD, words: int = WORDS,
                     k: int = COORDINATES, band_rows: int = BAND_ROWS, weighting: str = "binary") -> DataFrame:
     """(id, class_id, text_id, n_links, n_rows): the least id of the document's class, the least id of its equal texts,
@@ -227,19 +249,18 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     buckets = materialize(keep_keyed(signed, [F.col("key")], firsts.select("key")).join(firsts, "key").select("key", "pivot", "id"), "buckets")
     stars = materialize(buckets.filter("id <> pivot").select(F.col("pivot").alias("a"), F.col("id").alias("b")).distinct(), "star-pairs")
 
-    def measure(pairs: DataFrame) -> DataFrame:
-        wanted = materialize(pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct().join(heads, "id"), "wanted")
-        texts = keep_keyed(keyed, [F.col("id")], wanted.select("id")).join(wanted, ["id", "th1", "th2"], "left_semi")
-        return materialize(similarities(pairs, texts.dropDuplicates(["id"]).select("id", "text"), words, weighting), "similarities")
-
-    measured = measure(stars)
+    wanted = materialize(buckets.select("id").distinct().join(heads, "id"), "wanted")
+    texts = keep_keyed(keyed, [F.col("id")], wanted.select("id")).join(wanted, ["id", "th1", "th2"], "left_semi")
+    sets = materialize(shingle_sets(texts.dropDuplicates(["id"]).select("id", "text"), words, weighting), "shingle-sets")
+    measured = materialize(similarities(stars, sets), "similarities")
     links = measured.filter(F.col("similarity") >= threshold)
     placed = (buckets.join(measured.select(F.col("a").alias("pivot"), F.col("b").alias("id"), "similarity"), ["pivot", "id"], "left")
               .join(components(links), "id", "left")
               .select("key", "id", F.coalesce("root", "id").alias("root"), F.coalesce(F.col("similarity"), F.lit(1.0)).alias("near")))
     split = placed.groupBy("key").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).filter("lo <> hi").select("key")
     far = 1 - threshold
-    open_ = materialize(placed.join(split, "key", "left_semi").withColumn("zone", F.floor(F.col("near") / far)), "open-buckets")
+    open_ = materialize(placed.join(split, "key", "left_semi"), "open-buckets")
+    open_ = materialize(_possible(open_, sets, threshold).withColumn("zone", F.floor(F.col("near") / far)), "possible")
     # a document near the first has its class already, so one side is always a stranger to it
     left = (open_.filter(F.col("near") < threshold).withColumn("zone", F.explode(F.array(F.col("zone") - 1, F.col("zone"), F.col("zone") + 1)))
             .select("key", "zone", F.col("id").alias("x"), F.col("root").alias("rx"), F.col("near").alias("nx")))
@@ -248,7 +269,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     strangers = left.join(right, ["key", "zone"]).filter(apart).select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct()
     strangers = materialize(strangers.join(measured.select("a", "b"), ["a", "b"], "left_anti"), "strangers")
     if strangers.limit(1).count():
-        links = links.unionByName(measure(strangers).filter(F.col("similarity") >= threshold))
+        links = links.unionByName(similarities(strangers, sets).filter(F.col("similarity") >= threshold))
     links = materialize(links, "links")
     degree = links.select(F.explode(F.array("a", "b")).alias("text_id")).groupBy("text_id").agg(F.count("*").alias("n_links"))
     return (texts_of.join(components(links).withColumnRenamed("id", "text_id"), "text_id", "left").join(degree, "text_id", "left")
