@@ -29,7 +29,8 @@ HOUSE_NUMBER_PATTERN = r"^[0-9]+([ -]+[0-9]+)?\z"
 HOUSE_NUMBER_GROUPS = r"^([0-9]+)(?:[ -]+([0-9]+))?\z"
 # Date formats tried in order by the lenient year parser.
 LENIENT_DATE_FORMATS = ("M/d/yyyy", "yyyy-MM-dd", "yyyy/M/d", "M-d-yyyy",
-                        "yyyy-MM-dd HH:mm:ss", "M/d/yyyy H:mm")
+                        "yyyy-MM-dd HH:mm:ss", "M/d/yyyy H:mm", "M/d/yyyy H:mm:ss",
+                        "MMM d yyyy", "MMM d, yyyy")
 # ---------------------------------------------------------------------------
 
 HOUSE_MODES = ("pair", "concat_text", "concat_int")

@@ -13,11 +13,11 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from blockwise.operators.sizing import DEFAULT_BROADCAST_ROWS, maybe_broadcast, row_count_at_most
+from blockwise.operators.sizing import DEFAULT_BROADCAST_ROWS, maybe_broadcast
 
-# A term list up to this many entries is inlined as a literal array (a hash
-# lookup per token inside codegen); longer lists use the semi-join form.
-MAX_LITERAL_TERMS = 10_000
+# Terms of a frame are inlined as literals up to this many bytes in total; beyond
+# it (or when a term list grows with the data) texts meet them in a join.
+MAX_INLINE_BYTES = 1 << 20
 
 
 def tokens(text: Column | str, sep: str = " ") -> Column:
@@ -30,60 +30,63 @@ def _regex_literal(s: str) -> str:
     return "".join("\\" + ch if ch in r".^$*+?()[]{}|\\" else ch for ch in s)
 
 
-# Up to this many terms the test is a substring search per term; beyond it,
-# one split of the text and a hash lookup per token.
-MAX_SUBSTRING_TERMS = 16
-
-
 def has_any_term(text: Column | str, terms: Sequence[str]) -> Column:
     """The token set of ``text`` shares at least one element with ``terms``.
 
-    For a short list the text is not split at all: a term without a space is
-    a token exactly when ``' ' + term + ' '`` occurs in ``' ' + text + ' '``
-    (a plain substring search, no token array per row); a term holding a
-    space can never equal a token.  Longer lists split once and probe.
+    One form for every length: each token is looked up in the set of terms.
     """
-    terms = list(dict.fromkeys(terms))
     text = F.col(text) if isinstance(text, str) else text
-    if len(terms) > MAX_SUBSTRING_TERMS:
-        return F.arrays_overlap(tokens(text), F.array(*[F.lit(t) for t in terms]))
-    single = [t for t in terms if " " not in t]
-    if not single:
+    known = [F.lit(t) for t in dict.fromkeys(terms)]
+    if not known:
         return F.when(text.isNotNull(), F.lit(False))
-    padded = F.concat(F.lit(" "), text, F.lit(" "))
-    hit = F.contains(padded, F.lit(f" {single[0]} "))
-    for t in single[1:]:
-        hit = hit | F.contains(padded, F.lit(f" {t} "))
-    return hit
+    return F.exists(tokens(text), lambda t: t.isin(known))
 
 
 def terms_from_frame(terms: DataFrame, col: str | None = None,
-                     max_terms: int = MAX_LITERAL_TERMS) -> list[str] | None:
-    """The terms of a one-column frame, or None when there are too many to inline."""
+                     max_bytes: int = MAX_INLINE_BYTES) -> list[str] | None:
+    """The distinct terms of a one-column frame, or None when they exceed ``max_bytes``."""
     col = col or terms.columns[0]
-    if not row_count_at_most(terms, max_terms):
-        return None
-    return [r[0] for r in terms.select(col).where(F.col(col).isNotNull()).distinct().collect()]
+    distinct = terms.select(F.col(col).alias("term")).where(F.col(col).isNotNull()).distinct()
+    size = distinct.agg(F.sum(F.octet_length("term") + 8)).first()[0] or 0
+    return [r[0] for r in distinct.collect()] if size <= max_bytes else None
+
 
+def keyword_filter(df: DataFrame, text: str, terms: Sequence[str] | DataFrame,
+                   max_bytes: int = MAX_INLINE_BYTES) -> DataFrame:
+    """Rows whose text contains at least one term.
 
-def keyword_filter(df: DataFrame, text: str, terms: Sequence[str] | DataFrame) -> DataFrame:
-    """Rows whose text contains at least one term (narrow: no shuffle)."""
+    Literal terms and frames up to ``max_bytes`` are looked up in place (no
+    shuffle).  A longer frame is joined: the distinct tokens of each text meet
+    the terms, and rows keep by the hash pair of their text.
+    """
     if isinstance(terms, DataFrame):
-        inline = terms_from_frame(terms)
+        inline = terms_from_frame(terms, max_bytes=max_bytes)
         if inline is None:
-            raise ValueError("term list too long to inline; use keyword_semi_join")
+            return _keyword_join(df, text, terms)
         terms = inline
     return df.where(has_any_term(F.col(text), terms))
 
 
+def _keyword_join(df: DataFrame, text: str, terms: DataFrame) -> DataFrame:
+    """``keyword_filter`` for term frames of any size."""
+    taken = {c.lower() for c in df.columns}
+    h1, h2 = (next(n for n in (f"{p}{'_' * k}" for k in range(1, 99)) if n not in taken) for p in ("th1", "th2"))
+    hashes = {h1: F.xxhash64(F.col(text)), h2: F.xxhash64(F.lit(7), F.col(text))}
+    t = terms.select(F.col(terms.columns[0]).alias("_term")).where("_term IS NOT NULL").distinct()
+    found = df.where(F.col(text).isNotNull()).select(
+        F.explode(F.array_distinct(tokens(F.col(text)))).alias("_term"),
+        *[c.alias(n) for n, c in hashes.items()])
+    hits = found.join(t, "_term", "left_semi").select(h1, h2).distinct()
+    return df.withColumns(hashes).join(hits, [h1, h2], "left_semi").select(*df.columns)
+
+
 def keyword_semi_join(df: DataFrame, text: str, terms: DataFrame, keep: Sequence[str],
                       term_col: str | None = None,
                       broadcast_rows: int | None = DEFAULT_BROADCAST_ROWS) -> DataFrame:
     """J6 as a relational semi-join: distinct ``keep`` rows of texts with a hit.
 
-    For term lists too long to inline (``keyword_filter`` refuses them); for
-    short lists ``keyword_filter`` is cheaper, since it emits no token rows.
-    Tokens are exploded next to the ``keep`` columns only (never the text),
+    For short lists ``keyword_filter`` is cheaper, since it emits no token rows.
+    Distinct tokens of each text are exploded next to the ``keep`` columns only (never the text),
     semi-joined with the term list (broadcast after a size check), and
     de-duplicated: the shuffle carries hit tokens' small columns, with
     map-side de-duplication first.  ``keep`` must identify a text (an id).
@@ -91,7 +94,7 @@ def keyword_semi_join(df: DataFrame, text: str, terms: DataFrame, keep: Sequence
     term_col = term_col or terms.columns[0]
     t = terms.select(F.col(term_col).alias("_term")).where(F.col("_term").isNotNull()).distinct()
     t, _ = maybe_broadcast(t, broadcast_rows)
-    tok = df.select(*keep, F.explode(tokens(F.col(text))).alias("_tok"))
+    tok = df.select(*keep, F.explode(F.array_distinct(tokens(F.col(text)))).alias("_tok"))
     hits = tok.join(t, tok["_tok"] == t["_term"], "left_semi")
     return hits.select(*keep).dropDuplicates(list(keep))
 

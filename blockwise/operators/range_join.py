@@ -23,8 +23,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from blockwise.functions.normalize import (code_lookup, parity, parse_house_number,
-                                           year_from_text)
+from blockwise.functions.normalize import (LENIENT_DATE_FORMATS, code_lookup, parity, parse_house_number,
+                                           year_from_text, year_lenient)
 from blockwise.operators.sizing import DEFAULT_BROADCAST_ROWS, maybe_broadcast
 
 KEEP_MODES = ("matched", "records", "segments")
@@ -32,10 +32,24 @@ COMPARE_MODES = ("component", "lexicographic")
 RECORD_KEYS = ("street", "borough", "parity", "block", "number")
 
 
+def record_year(date: str, date_format: str | Sequence[str] = LENIENT_DATE_FORMATS) -> Column:
+    """Year of date text: one format, or the first of several that parses."""
+    if isinstance(date_format, str):
+        return year_from_text(F.col(date), date_format)
+    return year_lenient(F.col(date), date_format)
+
+
+def count_bad_dates(df: DataFrame, date: str,
+                    date_format: str | Sequence[str] = LENIENT_DATE_FORMATS) -> DataFrame:
+    """One row: n records, n_bad whose date text does not parse (null text counts)."""
+    return df.agg(F.count(F.lit(1)).alias("n"),
+                  F.count_if(record_year(date, date_format).isNull()).alias("n_bad"))
+
+
 def prepare_records(df: DataFrame, years: Sequence[int], *, mode: str = "pair",
                     street: str = "street_name", county: str = "county",
                     house: str = "house_no", year: str | None = "issue_year",
-                    date: str | None = None, date_format: str = "M/d/yyyy",
+                    date: str | None = None, date_format: str | Sequence[str] = LENIENT_DATE_FORMATS,
                     county_map: dict | None = None) -> DataFrame:
     """Clean raw records to (street, borough, parity, block, number, year).
 
@@ -44,7 +58,7 @@ def prepare_records(df: DataFrame, years: Sequence[int], *, mode: str = "pair",
     from an int column ``year`` or from date text ``date``.
     """
     hn = parse_house_number(house, mode)
-    yr = F.col(year).cast("int") if date is None else year_from_text(F.col(date), date_format)
+    yr = F.col(year).cast("int") if date is None else record_year(date, date_format)
     out = df.select(
         F.upper(F.col(street)).alias("street"),
         code_lookup(F.col(county), county_map).cast("int").alias("borough"),
@@ -60,7 +74,7 @@ def prepare_records(df: DataFrame, years: Sequence[int], *, mode: str = "pair",
 def count_raw_records(df: DataFrame, years: Sequence[int], *, street: str = "street_name",
                       county: str = "county", house: str = "house_no",
                       year: str | None = "issue_year", date: str | None = None,
-                      date_format: str = "M/d/yyyy") -> DataFrame:
+                      date_format: str | Sequence[str] = LENIENT_DATE_FORMATS) -> DataFrame:
     """Pre-aggregate raw records by their raw address text, one count per year.
 
     Runs before any text normalisation: partial aggregation map-side cuts
@@ -68,7 +82,7 @@ def count_raw_records(df: DataFrame, years: Sequence[int], *, street: str = "str
     lookup work of ``normalize_addresses`` runs once per distinct address,
     not once per record.  A hot street costs one row per distinct address.
     """
-    yr = F.col(year).cast("int") if date is None else year_from_text(F.col(date), date_format)
+    yr = F.col(year).cast("int") if date is None else record_year(date, date_format)
     lo, hi = min(years), max(years)
     keyed = df.select(F.col(street).alias("street_raw"), F.col(county).alias("county_raw"),
                       F.col(house).alias("house_raw"), yr.alias("year"))

@@ -2,8 +2,8 @@
 
 A centerline row carries two sides (left/right house-number ranges) and two
 street names.  ``segment_sides`` turns it into up to four rows in one narrow
-``explode`` (no shuffle); identical rows of one segment (both names equal)
-are removed inside the row with ``array_distinct`` before exploding.
+``explode``; identical rows are removed inside the row with ``array_distinct``
+first (both names equal), then over all rows (a centerline row that is repeated).
 """
 
 from __future__ import annotations
@@ -60,8 +60,8 @@ def segment_sides(segments: DataFrame, *, mode: str = "pair",
         arr = F.array_distinct(arr)
     valid = F.filter(arr, lambda r: r["street"].isNotNull() & r["low_number"].isNotNull()
                      & r["high_number"].isNotNull() & r["parity"].isNotNull())
-    out = parsed.select("physical_id", F.explode(valid).alias("s"))
-    return out.select("physical_id", "s.*")
+    out = parsed.select("physical_id", F.explode(valid).alias("s")).select("physical_id", "s.*")
+    return out.dropDuplicates() if dedup else out
 
 
 def segment_sides_union(segments: DataFrame, *, mode: str = "pair", name: str = "st_name",

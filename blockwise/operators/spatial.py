@@ -80,30 +80,32 @@ def entry_bound(stats: dict, cell_size: float) -> float:
             + 9 * float(stats["C"] or 0))
 
 
-def choose_cell_size(stats: dict, cells_per_zone: int = 256, max_cells: int = 500_000,
-                     cells_per_edge: int = 4, min_cells: int = 32_768) -> float:
+def choose_cell_size(stats: dict, cells_per_zone: int = 256, cells_per_edge: int = 4,
+                     min_cells: int = 32_768, broadcast_rows: int | None = None,
+                     least_cells_per_zone: int = 4) -> float:
     """Grid step for about ``cells_per_zone`` cells per zone bbox.
 
-    The budget grows with the layer's complexity (``cells_per_edge`` per
-    polygon edge, so a boundary cell lists few edges) and never drops below
-    ``min_cells`` (a few MB to broadcast; most points then land in interior
-    cells and need no test).  ``max_cells`` caps it so the cell table stays
-    broadcastable.  Estimated cells for step s: sum over zones of
-    (w/s + 1)(h/s + 1).
+    The step follows zone and edge density alone (``cells_per_edge`` per
+    polygon edge, so a boundary cell lists few edges; at least ``min_cells``
+    in all), whatever the number of zones.  Where a somewhat coarser grid lets
+    the cell table be broadcast (``entry_bound`` within ``broadcast_rows``) the
+    step grows, but never beyond ``least_cells_per_zone`` cells per zone: past
+    that the join shuffles, and a cell keeps a bounded number of zones.
     """
     n = max(int(stats["n"] or 0), 1)
     area = float(stats["area"] or 0.0)
-    perim = float(stats["perim"] or 0.0)
     edges = float(stats.get("C") or 0.0)
-    target = min(max(n * cells_per_zone, edges * cells_per_edge, min_cells), max_cells)
+    target = max(n * cells_per_zone, edges * cells_per_edge, min_cells)
     side = max(float(stats["max_w"] or 0.0), float(stats["max_h"] or 0.0), 1e-9)
     s = math.sqrt(area / target) if area > 0 else side / math.sqrt(cells_per_zone)
     s = max(s, side * 1e-6)
-
-    def estimate(step):
-        return area / step ** 2 + perim / step + n
-    while estimate(s) > max_cells:
-        s *= 1.25
+    if broadcast_rows is not None and area > 0:
+        coarsest = math.sqrt(area / (n * least_cells_per_zone))
+        step = s
+        while entry_bound(stats, step) > broadcast_rows and step * 1.25 <= coarsest:
+            step *= 1.25
+        if entry_bound(stats, step) <= broadcast_rows:
+            s = step
     return s
 
 
@@ -124,7 +126,6 @@ class ZoneIndex:
 
     def __init__(self, edges: DataFrame, *, attrs: Sequence[str] = ("zone_name",),
                  cell_size: float | None = None, cells_per_zone: int = 256,
-                 max_cells: int = 500_000,
                  broadcast_rows: int | None = DEFAULT_BROADCAST_ROWS,
                  broadcast: bool | None = None, salt: int = 16, stats: dict | None = None):
         self.salt = max(int(salt), 1)
@@ -134,7 +135,7 @@ class ZoneIndex:
         self._broadcast = broadcast
         if cell_size is None:
             stats = stats if stats is not None else _bbox_stats(self.edges)
-            cell_size = choose_cell_size(stats, cells_per_zone, max_cells)
+            cell_size = choose_cell_size(stats, cells_per_zone, broadcast_rows=broadcast_rows)
             # A proven bound under the limit settles the broadcast without
             # building the cell table an extra time.
             if broadcast is None and broadcast_rows is not None and \

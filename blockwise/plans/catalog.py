@@ -19,7 +19,7 @@ from blockwise.operators import ranking as R
 from blockwise.operators import segments as S
 from blockwise.operators import trend as T
 from blockwise.operators.cleaning import drop_incomplete, fill_zero, split_rejects
-from blockwise.operators.range_join import count_columns, prepare_records
+from blockwise.operators.range_join import count_bad_dates, count_columns, prepare_records
 from blockwise.operators.spatial import ZoneIndex
 from blockwise.plans import jobs
 from blockwise.sources import tables as TB
@@ -57,6 +57,36 @@ def segment_trend(spark, sf):
     return _trend(spark, sf, mode="pair", keep="matched")
 
 
+@query("segment_trend_dup")
+def segment_trend_dup(spark, sf):
+    """A7 inside job A: a third of the centerline rows repeated; counts stay single."""
+    s = TB.segments(spark, sf)
+    return jobs.segment_trend(TB.records(spark, sf), s.unionByName(s.where("physical_id % 3 = 0")), YEARS)
+
+
+@query("segment_trend_dated")
+def segment_trend_dated(spark, sf):
+    """P7 inside job A: years from date text of several shapes."""
+    r = TB.records(spark, sf).join(TB.records_dated(spark, sf), "record_id")
+    return jobs.segment_trend(r, TB.segments(spark, sf), YEARS,
+                              record_cols={"date": "issue_date", "year": None})
+
+
+@query("bad_dates")
+def bad_dates(spark, sf):
+    """records whose date text does not parse."""
+    return count_bad_dates(TB.records_dated(spark, sf), "issue_date")
+
+
+@query("keyword_long_list")
+def keyword_long_list(spark, sf):
+    """J6 with a word list taken from a table column (over 10,000 entries at scale), by join."""
+    posts = TB.table(spark, sf, "documents").select("doc_id", "text")
+    names = TB.table(spark, sf, "customer").select(F.col("c_name").alias("value"))
+    words = TB.table(spark, sf, "benchmark").select(F.explode(F.split("text", " ")).alias("value"))
+    return K.keyword_filter(posts, "text", K.union_terms(names, words), max_bytes=0).select("doc_id")
+
+
 @query("range_join_keep_records")
 def range_join_keep_records(spark, sf):
     """Parts glued as integers, unmatched records kept as a null segment."""

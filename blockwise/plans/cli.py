@@ -63,8 +63,8 @@ def keyword_rate(spark: SparkSession, a) -> None:
     zones = ZoneIndex(_layer(spark, a.tracts, a.tract_attr, a.project))
     posts = _points(files.read_tweets(spark, a.tweets), "lon", "lat", "x", "y", a.project)
     rates = jobs.keyword_rate(posts, zones, population, files.read_word_lists(spark, a.terms))
-    # Key the lines by the tract id (one row per zone on both sides).
-    keyed = rates.join(rings.select("zone_id", F.col(a.tract_attr).alias("tract")), "zone_id")
+    # A tract may be stored as several features: one line per tract and population.
+    keyed = jobs.merge_zones(rates, rings.select("zone_id", F.col(a.tract_attr).alias("tract")))
     sinks.write_lines(jobs.keyword_rate_lines(keyed, key="tract"), "line", a.out)
 
 

@@ -43,7 +43,7 @@ def segment_trend(records: DataFrame, segments: DataFrame, years: Sequence[int],
     id_col = sc.get("id_col", "physical_id")
     counts = attribute_to_segments(
         agg, sides, count_cols=count_columns(years), keep=keep, compare=compare,
-        segments=segments.select(F.col(id_col).alias("physical_id")),
+        segments=segments.select(F.col(id_col).alias("physical_id")).distinct(),
         bucket_width=bucket_width, **kw)
     return add_slope(counts, count_columns(years), years, null_policy=null_policy)
 
@@ -59,7 +59,9 @@ def zone_pair_top_k(trips: DataFrame, boroughs: ZoneIndex, neighborhoods: ZoneIn
                         carry=("zone_name",), prefix="pu_", how="inner")
     d = neighborhoods.assign(p, x=dropoff[0], y=dropoff[1], carry=("zone_name",),
                              prefix="do_", how="inner")
-    pairs = (d.groupBy(F.col("pu_zone_name").alias("group_name"),
+    # an unnamed zone takes no rank
+    named = d.where(F.col("pu_zone_name").isNotNull() & F.col("do_zone_name").isNotNull())
+    pairs = (named.groupBy(F.col("pu_zone_name").alias("group_name"),
                        F.col("do_zone_name").alias("zone_name"))
              .agg(F.count(F.lit(1)).alias("n")))
     return top_k(pairs, "group_name", k=k)
@@ -86,6 +88,18 @@ def keyword_rate(posts: DataFrame, zones: ZoneIndex, population: DataFrame,
     return zone_rate(counts, population)
 
 
+def merge_zones(rates: DataFrame, zones: DataFrame, *, key: str = "tract") -> DataFrame:
+    """Rates of zones that several features make up: counts summed by (``key``, population).
+
+    ``rates`` as of ``keyword_rate``, ``zones`` with zone_id and ``key``.
+    Output: ``key``, n, population, rate.
+    """
+    merged = (rates.join(zones.select("zone_id", key), "zone_id")
+              .groupBy(key, "population").agg(F.sum("n").alias("n")))
+    return merged.select(key, "n", "population", F.try_divide(
+        F.col("n").cast("double"), F.col("population").cast("double")).alias("rate"))
+
+
 def keyword_rate_lines(rates: DataFrame, *, key: str = "zone_id", value: str = "rate") -> DataFrame:
     """Job C as text lines ``key,rate`` in key order (K3 scalar form, O1).
 

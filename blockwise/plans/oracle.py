@@ -142,6 +142,20 @@ def slope_sql(years=YEARS) -> str:
     return f"cast(-2 * {c[0]} - {c[1]} + {c[3]} + 2 * {c[4]} AS double) / 10.0"
 
 
+DATES = """SELECT o_orderkey AS record_id,
+    CASE o_orderkey % 8 WHEN 0 THEN '13/45/2017' WHEN 1 THEN ''
+      WHEN 2 THEN cast(year(o_orderdate) AS varchar)
+      WHEN 3 THEN strftime(o_orderdate, '%m/%d/%Y')
+      WHEN 4 THEN strftime(o_orderdate, '%Y-%m-%d')
+      ELSE concat(cast(month(o_orderdate) AS varchar), '/', cast(day(o_orderdate) AS varchar), '/',
+                  cast(year(o_orderdate) AS varchar)) END AS issue_date
+  FROM orders"""
+LENIENT_YEAR = ("cast(year(coalesce(try_strptime(issue_date, '%m/%d/%Y'), "
+                "try_strptime(issue_date, '%Y-%m-%d'))) AS integer)")
+DATED_RECORDS = (f"SELECT v.* EXCLUDE (issue_year), {LENIENT_YEAR} AS issue_year "
+                 f"FROM records_v v JOIN ({DATES}) d USING (record_id)")
+
+
 def trend_sql(mode: str, keep: str, compare: str = "component", null_policy: str = "zero_fill") -> str:
     on = (f"r.street = s.street AND r.borough = s.borough AND r.parity = s.parity "
           f"AND {range_cond(compare)}")
@@ -232,6 +246,14 @@ _ok_pair = house_sql("house_no", "pair")
 
 ORACLE: dict[str, str] = {
     "segment_trend": trend_sql("pair", "matched"),
+    "segment_trend_dup": trend_sql("pair", "matched").replace(
+        "FROM segments_v", "FROM (SELECT * FROM segments_v UNION ALL SELECT * FROM segments_v WHERE physical_id % 3 = 0) dup"),
+    "segment_trend_dated": trend_sql("pair", "matched").replace("FROM records_v)", f"FROM ({DATED_RECORDS}) dated)"),
+    "bad_dates": f"SELECT count(*) AS n, count(*) FILTER ({LENIENT_YEAR} IS NULL) AS n_bad FROM ({DATES}) dates",
+    "keyword_long_list": """WITH terms AS (
+  SELECT c_name AS term FROM customer UNION SELECT unnest(string_split(text, ' ')) FROM benchmark)
+SELECT DISTINCT doc_id FROM (SELECT doc_id, unnest(string_split(text, ' ')) AS token FROM documents) t
+WHERE token IN (SELECT term FROM terms)""",
     "range_join_keep_records": trend_sql("concat_int", "records"),
     "range_join_keep_segments": trend_sql("concat_text", "segments", null_policy="zero_slope"),
     "range_join_split": trend_sql("pair", "matched", compare="lexicographic"),

@@ -2,9 +2,6 @@
 
 from __future__ import annotations
 
-import os
-import tempfile
-
 from pyspark.sql import SparkSession
 
 # Settings applied to sessions we create.  AQE re-plans joins from measured
@@ -24,33 +21,20 @@ DEFAULT_CONF = {
 }
 
 
-def get_session(master: str = "local[*]", shuffle_partitions: int = 8,
+def get_session(master: str = "local[*]", shuffle_partitions: int | None = None,
                 app_name: str = "blockwise", extra: dict | None = None) -> SparkSession:
     """Return a session with AQE on and the UI off.
 
-    ``spark.checkpoint.dir`` is left as the cluster sets it; only when it is
-    unset (local tests) a scratch folder of our own is used.
+    ``shuffle_partitions`` is for local runs; on a cluster leave it to the
+    cluster's own setting.
     """
     builder = SparkSession.builder.master(master).appName(app_name)
     conf = dict(DEFAULT_CONF)
-    conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
+    if shuffle_partitions is not None:
+        conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
     conf.update(extra or {})
     for k, v in conf.items():
         builder = builder.config(k, v)
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
-    ensure_checkpoint_dir(spark)
     return spark
-
-
-def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Use the cluster's ``spark.checkpoint.dir``; set a local one only if unset."""
-    sc = spark.sparkContext
-    path = sc.getConf().get("spark.checkpoint.dir", None) or spark.conf.get(
-        "spark.checkpoint.dir", None)
-    if not path:
-        path = tempfile.mkdtemp(prefix="blockwise-ckpt-")
-    if sc.getCheckpointDir() is None:
-        os.makedirs(path, exist_ok=True) if path.startswith("/") else None
-        sc.setCheckpointDir(path)
-    return path

@@ -11,7 +11,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, StringType, StructField, StructType
 
@@ -85,7 +85,8 @@ _MULTIPOLYGON = "array<array<array<array<double>>>>"
 def read_geojson_rings(spark: SparkSession, path: str, attrs: Sequence[str]) -> DataFrame:
     """A GeoJSON FeatureCollection -> one row per feature.
 
-    Columns: zone_id (feature index, 0-based), the ``attrs`` properties as
+    Columns: zone_id (0-based feature index; 2^32 more for each file before in a
+    layer of several files), the ``attrs`` properties as
     text, rings ``array<array<struct<x,y>>>`` holding every ring of every
     part (outer rings and holes alike).  Coordinates are read as raw JSON
     text and decoded per geometry type.
@@ -95,7 +96,12 @@ def read_geojson_rings(spark: SparkSession, path: str, attrs: Sequence[str]) ->
     feature = StructType([StructField("properties", props), StructField("geometry", geom)])
     schema = StructType([StructField("features", ArrayType(feature))])
     raw = spark.read.schema(schema).option("multiLine", True).json(path)
-    f = raw.select(F.posexplode("features").alias("zone_id", "f"))
+    # Files are numbered in name order; a lone file's ids are its feature positions.
+    named = raw.select(F.input_file_name().alias("_file"), F.posexplode("features").alias("_pos", "f"))
+    order = Window.orderBy("_file")  # one row per file
+    files = raw.select(F.input_file_name().alias("_file")).distinct().select(
+        "_file", (F.row_number().over(order) - 1).cast("long").alias("_number"))
+    f = named.join(files, "_file").withColumn("zone_id", F.col("_number") * (1 << 32) + F.col("_pos"))
     gtype, coords = F.col("f.geometry.type"), F.col("f.geometry.coordinates")
     rings = (F.when(gtype == "Polygon", F.from_json(coords, _POLYGON))
              .when(gtype == "MultiPolygon", F.flatten(F.from_json(coords, _MULTIPOLYGON))))

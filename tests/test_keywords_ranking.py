@@ -35,9 +35,15 @@ def test_semi_join_equals_filter_and_union_terms(spark):
     assert sorted(K.terms_from_frame(terms)) == sorted(TERMS)
 
 
-def test_word_list_too_long_is_refused(spark):
-    terms = spark.range(20).select(F.col("id").cast("string").alias("t"))
-    assert K.terms_from_frame(terms, max_terms=10) is None
+def test_long_word_list_is_joined(spark):
+    terms = spark.createDataFrame([(f"w{i}",) for i in range(500)] + [("b",), (None,)], "value string")
+    assert K.terms_from_frame(terms, max_bytes=100) is None
+    posts = spark.createDataFrame([(1, "a b", "x"), (2, "ab", None), (3, None, "y"), (4, "a b", "z"), (5, "w499 w499", "")],
+                                  "id int, text string, th1 string")
+    joined = K.keyword_filter(posts, "text", terms, max_bytes=0)
+    assert joined.columns == posts.columns
+    assert sorted(r["id"] for r in joined.collect()) == [1, 4, 5]
+    assert sorted(r["id"] for r in K.keyword_filter(posts, "text", terms).collect()) == [1, 4, 5]
 
 
 def test_zone_rate(spark):
@@ -101,10 +107,10 @@ WORDS = st.sampled_from(["a", "b", "ab", "the", "of", "", "x y", "B"])
 @settings(max_examples=25, deadline=None)
 @given(st.lists(st.text(alphabet="ab ofthe\\n", max_size=25), min_size=1, max_size=8),
        st.lists(WORDS, min_size=1, max_size=4))
-def test_substring_form_equals_token_form(spark, texts, terms):
+def test_term_test_equals_token_sets(spark, texts, terms):
     df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "id int, text string")
     short = {r["id"] for r in df.where(K.has_any_term("text", terms)).collect()}
     want = {i for i, t in enumerate(texts) if set(t.split(" ")) & set(terms)}
     assert short == want
-    many = terms + [f"zz{i}" for i in range(K.MAX_SUBSTRING_TERMS)]
+    many = terms + [f"zz{i}" for i in range(40)]
     assert {r["id"] for r in df.where(K.has_any_term("text", many)).collect()} == want
