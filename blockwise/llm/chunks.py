@@ -53,7 +53,8 @@ class ChunkEncoder:
             if i:
                 parts.append("\n")
             core = line.rstrip(_TAIL)
-            if core and len(core) < len(line) and core[-1].isalnum():
+            # lower-casing turns a dotted capital I into a letter and a mark, which is no letter
+            if core and len(core) < len(line) and core[-1].isalnum() and core[-1] != "\u0130":
                 parts += [core, line[len(core):]]
             else:
                 parts.append(line)

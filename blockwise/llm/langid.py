@@ -157,8 +157,10 @@ def calibrate(model: Model, known: DataFrame, rows: int) -> Model:
         for batch in batches:
             texts = [letters(t) for t in batch["text"]]
             kept = [i for i, t in enumerate(texts) if t]
+            if not kept:
+                continue
             margins = model.margins([texts[i] for i in kept])
-            own = model.code[[langs.index(batch["lang"].iloc[i]) for i in kept]] if kept else np.zeros((0, model.code.shape[1]))
+            own = model.code[[langs.index(batch["lang"].iloc[i]) for i in kept]]
             yield pd.DataFrame({"lang": [batch["lang"].iloc[i] for i in kept], "right": list((margins * own > 0).astype(float)), "size": list(np.abs(margins))})
 
     sums = (part.mapInPandas(measure, "lang string, right array<double>, size array<double>")
