@@ -1,3 +1,5 @@
+"""Fixtures with odd rows, imported by the tests of this folder."""
+
 import pytest
 
 ODD = [None, "", " ", "\n\n", "short text", "x" * 1_500, "word " * 6_000, "Ünï cödé 😀 text\twith\x1c odd  spaces \n and lines "]

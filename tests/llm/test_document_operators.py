@@ -11,6 +11,8 @@ from pyspark.sql import functions as F
 
 from blockwise.llm import dartminhash, divergence, fixity, langid, line_dedup, pii, vptree
 
+from odd_rows import no_docs, odd_docs  # noqa: E402, F401
+
 
 def edit1(a, b):
     if abs(len(a) - len(b)) > 1:

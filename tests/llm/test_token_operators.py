@@ -9,6 +9,8 @@ from pyspark.sql import functions as F
 from blockwise.llm import bpe, chunks, packing, wavelet
 from blockwise.llm.common import tokenizer_file, tokenizer_pattern
 
+from odd_rows import no_docs, odd_docs  # noqa: E402, F401
+
 
 def library(name):
     from tokenizers import Tokenizer
