@@ -207,7 +207,7 @@ def components(edges: DataFrame) -> DataFrame:
 
 
 def _possible(members: DataFrame, sets: DataFrame, threshold: float) -> DataFrame:
-    """The rows (key, id, ...) of bucket members that can have a partner in their bucket at all.
+    """The rows (key, id, ...) of bucket members that can have a partner in their bucket at all, with their weight n and the weight ``shared``.
 
     Of a set's weight n, let u lie in elements that no other member of any bucket has.  A
     partner of weight s shares n - u at most, so the similarity is at most (n - u) / n if
@@ -222,7 +222,7 @@ def _possible(members: DataFrame, sets: DataFrame, threshold: float) -> DataFram
     least = rows.groupBy("key").agg(F.min("n").alias("least"))
     shared = F.col("n") - F.col("u")
     bound = F.when(F.col("least") <= shared, shared / F.col("n")).otherwise(shared / (F.col("least") + F.col("u")))
-    return rows.join(least, "key").filter(bound >= threshold - 1e-9).select(*members.columns)
+    return rows.join(least, "key").filter(bound >= threshold - 1e-9).select(*members.columns, "n", shared.alias("shared"))
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", threshold: float = THRESHOLD, words: int = WORDS,
@@ -256,16 +256,24 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     links = measured.filter(F.col("similarity") >= threshold)
     placed = (buckets.join(measured.select(F.col("a").alias("pivot"), F.col("b").alias("id"), "similarity"), ["pivot", "id"], "left")
               .join(components(links), "id", "left")
-              .select("key", "id", F.coalesce("root", "id").alias("root"), F.coalesce(F.col("similarity"), F.lit(1.0)).alias("near")))
+              .select("key", "pivot", "id", F.coalesce("root", "id").alias("root"), F.coalesce(F.col("similarity"), F.lit(1.0)).alias("near")))
     split = placed.groupBy("key").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).filter("lo <> hi").select("key")
     far = 1 - threshold
-    open_ = materialize(placed.join(split, "key", "left_semi"), "open-buckets")
+    # the first document of a bucket has met the others, so it goes
+    open_ = materialize(placed.join(split, "key", "left_semi").filter("id <> pivot").drop("pivot"), "open-buckets")
     open_ = materialize(_possible(open_, sets, threshold).withColumn("zone", F.floor(F.col("near") / far)), "possible")
+    # every pair meets in the least of its buckets alone: what that bucket rules out is out in all
+    places = materialize(open_.groupBy("id").agg(F.sort_array(F.collect_set("key")).alias("keys")), "bucket-keys")  # one key a band at most
+    open_ = open_.join(places, "id")
     # a document near the first has its class already, so one side is always a stranger to it
     left = (open_.filter(F.col("near") < threshold).withColumn("zone", F.explode(F.array(F.col("zone") - 1, F.col("zone"), F.col("zone") + 1)))
-            .select("key", "zone", F.col("id").alias("x"), F.col("root").alias("rx"), F.col("near").alias("nx")))
-    right = open_.select("key", "zone", F.col("id").alias("y"), F.col("root").alias("ry"), F.col("near").alias("ny"))
+            .select("key", "zone", F.col("id").alias("x"), F.col("root").alias("rx"), F.col("near").alias("nx"), F.col("n").alias("wx"), F.col("shared").alias("sx"), F.col("keys").alias("kx")))
+    right = open_.select("key", "zone", F.col("id").alias("y"), F.col("root").alias("ry"), F.col("near").alias("ny"), F.col("n").alias("wy"), F.col("shared").alias("sy"), F.col("keys").alias("ky"))
     apart = (F.col("rx") != F.col("ry")) & (F.abs(F.col("nx") - F.col("ny")) <= far + 1e-9)
+    apart &= (F.col("ny") >= threshold) | (F.col("x") < F.col("y"))  # two strangers meet from either side
+    common = F.least("sx", "sy")  # what no other document has is in no intersection
+    apart &= common >= (threshold - 1e-9) * (F.col("wx") + F.col("wy") - common)
+    apart &= F.array_min(F.array_intersect("kx", "ky")) == F.col("key")
     strangers = left.join(right, ["key", "zone"]).filter(apart).select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct()
     strangers = materialize(strangers.join(measured.select("a", "b"), ["a", "b"], "left_anti"), "strangers")
     if strangers.limit(1).count():
