@@ -3,7 +3,8 @@
 Two lines are alike if they are equal, or differ by one word put in, left out or
 replaced (a word-level edit distance of ``1``) and have ``MIN_WORDS`` words or more.
 A line is dropped wherever an equal or alike line comes earlier, in order of
-(id, text hash, line number); the earliest stays.
+(id, text hash, line number); the earliest stays.  With ``short_repeats`` exact repeats
+of shorter lines are dropped by the same rule; the edit still needs ``MIN_WORDS`` words.
 
 Every variant within the bound is a hashed key: a line with word p blanked (a
 replacement), a line with word p deleted, and the line itself.  Lines that share a key
@@ -13,8 +14,8 @@ is emitted.  The partner is then verified on the words themselves.  Variants are
 only for lines that share a first or last half with another line, which alike lines
 always do.
 
-Nulls and edges: a null text stays null, an empty one empty; blank lines and lines under
-``MIN_WORDS`` words stay; rows that repeat both id and text count as one document and
+Nulls and edges: a null text stays null, an empty one empty; blank lines stay, and lines
+under ``MIN_WORDS`` words too unless ``short_repeats`` is set; rows that repeat both id and text count as one document and
 get the same result; a null id sorts first.  Work per line is linear in its words, so
 very long lines need nothing special.  Columns of any name pass through.
 """
@@ -52,12 +53,12 @@ def _half_keys(line: Column, n: Column) -> Column:
     return F.when(own == shorter, keys(own)).otherwise(F.concat(keys(own), keys(shorter)))
 
 
-def _lines(docs: DataFrame) -> DataFrame:
-    """(id, th, pos, line, n, h1, h2) of every line of ``MIN_WORDS`` words or more; docs has (id, th, text)."""
+def _lines(docs: DataFrame, short: bool = False) -> DataFrame:
+    """(id, th, pos, line, n, h1, h2) of every line of ``MIN_WORDS`` words or more, with ``short`` of every line that is not blank; docs has (id, th, text)."""
     lines = docs.select("id", "th", F.posexplode(F.split("text", "\n")).alias("pos", "raw"))
     lines = lines.select("id", "th", "pos", _normal(F.col("raw")).alias("line"))
     lines = lines.withColumn("n", F.length("line") - F.length(F.replace("line", F.lit(" "), F.lit(""))) + 1)
-    return lines.filter(F.col("n") >= MIN_WORDS).withColumns({"h1": F.xxhash64("line"), "h2": F.xxhash64(F.lit(7), "line")})
+    return lines.filter(F.col("line") != "" if short else F.col("n") >= MIN_WORDS).withColumns({"h1": F.xxhash64("line"), "h2": F.xxhash64(F.lit(7), "line")})
 
 
 def _alike(a: Column, b: Column) -> Column:
@@ -73,7 +74,7 @@ def _alike(a: Column, b: Column) -> Column:
 def near_lines(lines: DataFrame, distinct: DataFrame) -> DataFrame:
     """(h1, h2) of the lines that have an earlier line one edit away.
 
-    ``lines`` as of ``_lines``; ``distinct``: (h1, h2, first, copies, halves) of each distinct line.
+    ``lines`` as of ``_lines``; ``distinct``: (h1, h2, first, copies, halves) of each distinct line; the halves of a short line are null.
     """
     shared = (distinct.select(F.explode("halves").alias("key"), "h1").groupBy("key")
               .agg(F.min("h1").alias("a"), F.max("h1").alias("b")).filter("a <> b").select("key"))
@@ -117,13 +118,14 @@ def near_lines(lines: DataFrame, distinct: DataFrame) -> DataFrame:
     return pairs.join(a, "first").join(b, "partner").filter(_alike(F.col("wa"), F.col("wb"))).select("h1", "h2")
 
 
-def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", counts: bool = False) -> DataFrame:
-    """``docs`` with the lines dropped from ``text_col``; with ``counts`` also n_lines and n_dropped (renamed on a clash)."""
+def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", counts: bool = False, short_repeats: bool = False) -> DataFrame:
+    """``docs`` with the lines dropped from ``text_col``, with ``short_repeats`` also exact repeats of short lines; with ``counts`` also n_lines and n_dropped (renamed on a clash)."""
     text = F.col(text_col)
     keyed = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), F.col(id_col).alias("id"), F.xxhash64(text).alias("th"), text.alias("text"))
-    lines = _lines(keyed.select("id", "th", "text"))
+    lines = _lines(keyed.select("id", "th", "text"), short_repeats)
     place = F.struct("id", "th", "pos")
-    distinct = materialize(lines.groupBy("h1", "h2").agg(F.min(place).alias("first"), F.count("*").alias("copies"), F.first(_half_keys(F.col("line"), F.col("n"))).alias("halves")), "distinct-lines")
+    halves = F.when(F.col("n") >= MIN_WORDS, _half_keys(F.col("line"), F.col("n")))
+    distinct = materialize(lines.groupBy("h1", "h2").agg(F.min(place).alias("first"), F.count("*").alias("copies"), F.first(halves).alias("halves")), "distinct-lines")
     near = near_lines(lines, distinct).withColumn("near", F.lit(True))
     again = materialize(distinct.select("h1", "h2", "first", "copies").join(near, ["h1", "h2"], "left").filter("copies > 1 OR near"), "repeated-lines")
     seen = keep_keyed(lines.select("id", "th", "pos", "h1", "h2"), [F.col("h1")], again.select("h1"))

@@ -28,7 +28,7 @@ def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return _recounted(line_dedup.dedup_lines(docs))
+    return _recounted(line_dedup.dedup_lines(docs, short_repeats=True))
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
