@@ -1,8 +1,9 @@
 """Personal data by bootstrapped contextual extraction (operator 10).
 
 Fixed patterns find e-mail addresses, IP addresses, card and phone numbers; these are
-the seeds.  Words that look like identifiers (they hold a digit or an @) and their one
-or two words to the left make a graph of patterns and instances.  Rounds of scoring go
+the seeds, each whole with its spaces.  Words outside them that look like identifiers
+(they hold a digit or an @), with the digit groups that follow them, are the other
+instances.  Instances and their one or two words to the left make a graph.  Rounds of scoring go
 back and forth over it: a pattern's confidence is the share of all the words that follow
 it in the corpus which are trusted instances, and an unseen instance is trusted as far
 as its confident patterns make it.  Where a confident pattern with enough distinct seeds
@@ -93,15 +94,21 @@ def _valid(kind: str, value: Column) -> Column:
     return F.lit(True)
 
 
-def base_spans(text: Column) -> Column:
-    """Sorted array of (start, kind index, end) of the four fixed kinds."""
-    none = F.array().cast("array<struct<start:int,kind:int,end:int>>")
+def _seed_value(kind: str, value: Column) -> Column:
+    """One form of a seed, however it is written."""
+    return F.regexp_replace(value, "[^0-9]", "") if kind in ("card", "phone") else F.lower(value)
+
+
+def base_spans(text: Column, values: bool = False) -> Column:
+    """Sorted array of (start, kind index, end) of the four fixed kinds; with ``values`` also the seed's value."""
+    none = F.array().cast(f"array<struct<start:int,kind:int,end:int{',value:string' if values else ''}>>")
 
     def spans(k: int, kind: str) -> Column:
         before, match, test = _PATTERNS[kind]
         hits = F.filter(_matches(text, before, match), lambda m: _valid(kind, m["value"]))
         present = F.contains(text, F.lit(test)) if kind == "email" else F.rlike(text, F.lit(test))
-        return F.when(present, F.transform(hits, lambda m: F.struct(m["start"].alias("start"), F.lit(k).alias("kind"), m["end"].alias("end")))).otherwise(none)
+        return F.when(present, F.transform(hits, lambda m: F.struct(
+            m["start"].alias("start"), F.lit(k).alias("kind"), m["end"].alias("end"), *[_seed_value(kind, m["value"]).alias("value")] * values))).otherwise(none)
 
     return F.array_sort(F.concat(*[spans(k, kind) for k, kind in enumerate(_PATTERNS)]))
 
@@ -112,20 +119,48 @@ def span_text(spans: Column) -> Column:
     return F.array_join(F.transform(spans, lambda s: F.concat_ws(":", F.get(name, s["kind"]), s["start"].cast("string"), s["end"].cast("string"))), ",")
 
 
+#: A word with a digit or @, and the digit groups that follow a digit at its end by single spaces.
+_IDENTIFIER = "[^\\s0-9@]*+[0-9@]\\S*+(?:(?<=[0-9]|[0-9]\\)) \\(?[0-9][0-9().-]*+[^\\p{L}\\p{N}\\s]*+(?!\\S))*+"
+
+
 def identifiers(text: Column) -> Column:
-    """(start, end, value, left1, left2) of the words with a digit or @; punctuation around them is left off."""
-    found = F.when(F.rlike(text, F.lit("[0-9@]")), _matches(text, "\\s", "[^\\s0-9@]*+[0-9@]\\S*+"))
+    """(start, word_end, end, value, left1, left2) of the words with a digit or @ and the digit groups after them, where a word
+    stands to the left; word_end: the end of the first word."""
+    found = F.when(F.rlike(text, F.lit("[0-9@]")), _matches(text, "\\s", _IDENTIFIER))
 
-    def instance(m: Column) -> Column:
-        lead = F.length(F.regexp_extract(m["value"], "^[^\\p{L}\\p{N}]*+", 0))
-        core = F.regexp_replace(F.regexp_replace(m["value"], "^[^\\p{L}\\p{N}]++", ""), "[^\\p{L}\\p{N}]+$", "")
+    def run(m: Column) -> Column:
         words = F.filter(F.split(F.lower(F.right(m["gap"], F.lit(CONTEXT_CHARS))), "\\s+"), lambda w: w != "")
-        return let(F.struct(core.alias("core"), lead.alias("lead"), words.alias("words")), lambda x: F.struct(
-            (m["start"] + x["lead"]).alias("start"), (m["start"] + x["lead"] + F.length(x["core"])).alias("end"), F.lower(x["core"]).alias("value"),
-            F.coalesce(F.try_element_at(x["words"], F.lit(-1)), F.lit("#")).alias("left1"),
-            F.concat_ws(" ", F.coalesce(F.try_element_at(x["words"], F.lit(-2)), F.lit("#")), F.coalesce(F.try_element_at(x["words"], F.lit(-1)), F.lit("#"))).alias("left2")))
+        return let(words, lambda ws: F.struct(
+            m["start"].alias("start"), (m["start"] + F.length(F.substring_index(m["value"], " ", 1))).alias("word_end"), m["end"].alias("end"), m["value"].alias("value"),
+            F.coalesce(F.try_element_at(ws, F.lit(-1)), F.lit("#")).alias("left1"),
+            F.concat_ws(" ", F.coalesce(F.try_element_at(ws, F.lit(-2)), F.lit("#")), F.coalesce(F.try_element_at(ws, F.lit(-1)), F.lit("#"))).alias("left2")))
+
+    return F.filter(F.transform(found, run), lambda x: x["left1"] != "#")
+
+
+def instance(x: Column, spans: Column) -> Column:
+    """(seed, start, end, value) of one of the ``identifiers``, null if its first word is the rest of an earlier seed: the first seed that starts in its first word, or else the words up to the next seed, without punctuation around them."""
+    def candidate(raw: Column) -> Column:
+        lead = F.length(F.regexp_extract(raw, "^[^\\p{L}\\p{N}]*+", 0))
+        core = F.regexp_replace(F.regexp_replace(raw, "^[^\\p{L}\\p{N}]++", ""), "[^\\p{L}\\p{N}]+$", "")
+
+        def located(y: Column) -> Column:
+            digits = F.regexp_replace(y["core"], "[ ().+-]", "")
+            # a number as long as a phone's or card's has the seeds' form
+            value = F.when(F.rlike(digits, F.lit("^[0-9]{10,}$")), digits).otherwise(F.lower(y["core"]))
+            start = x["start"] + y["lead"]
+            return F.when(y["core"] != "", F.struct(F.lit(False).alias("seed"), start.alias("start"), (start + F.length(y["core"])).alias("end"), value.alias("value")))
+
+        return let(F.struct(core.alias("core"), lead.alias("lead")), located)
+
+    def choose(mine: Column) -> Column:
+        first = F.get(mine, F.lit(0))
+        seed = F.get(F.filter(mine, lambda s: (s["start"] >= x["start"]) & (s["start"] < x["word_end"])), F.lit(0))
+        upto = F.coalesce(first["start"] - x["start"], F.length(x["value"]))
+        return (F.when(seed.isNotNull(), F.struct(F.lit(True).alias("seed"), seed["start"].alias("start"), seed["end"].alias("end"), seed["value"].alias("value")))
+                .when(F.coalesce(first["start"] >= x["word_end"], F.lit(True)), candidate(F.left(x["value"], upto))))
 
-    return F.filter(F.transform(found, instance), lambda x: x["end"] > x["start"])
+    return let(F.filter(spans, lambda s: (s["start"] < x["end"]) & (s["end"] > x["start"])), choose)
 
 
 def _pattern_totals(texts: DataFrame, patterns: DataFrame) -> DataFrame:
@@ -174,16 +209,18 @@ def find(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_se
     text = F.coalesce(F.col(text_col), F.lit(""))
     rows = docs.select(F.col(id_col).alias("id"), F.xxhash64(text).alias("th"), text.alias("text"))
     # both extractions in one scan; only places and short values are stored
-    base = materialize(rows.select("id", "th", base_spans(F.col("text")).alias("base"), identifiers(F.col("text")).alias("ids")), "pii-spans")
+    base = materialize(rows.select("id", "th", base_spans(F.col("text"), values=True).alias("base"), identifiers(F.col("text")).alias("ids")), "pii-spans")
     each = (base.filter(F.size("ids") > 0).dropDuplicates(["id", "th"])
             .select("id", "th", "base", F.explode("ids").alias("x"))
-            .select("id", "th", F.exists("base", lambda s: (s["start"] < F.col("x.end")) & (s["end"] > F.col("x.start"))).alias("seed"), "x.*"))
+            .select("id", "th", instance(F.col("x"), F.col("base")).alias("i"), "x.left1", "x.left2").filter("i IS NOT NULL")
+            .select("id", "th", "i.*", "left1", "left2"))
     each = materialize(each, "pii-instances")
     trusted = confident_patterns(rows.select("id", "th", "text"), each, min_seeds, min_confidence)
     unseen = each.filter("NOT seed").withColumn("pattern", F.explode(F.array("left1", "left2")))
     learned = (unseen.join(trusted, "pattern", "left_semi")
                .groupBy("id", "th").agg(F.array_sort(F.collect_set(F.struct("start", F.lit(4).alias("kind"), "end"))).alias("learned")))
-    return base.drop("ids"), materialize(learned, "pii-learned")
+    places = F.transform("base", lambda s: F.struct(s["start"].alias("start"), s["kind"].alias("kind"), s["end"].alias("end")))
+    return base.select("id", "th", places.alias("base")), materialize(learned, "pii-learned")
 
 
 def report(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
