@@ -238,9 +238,15 @@ def report(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> D
 
 
 def mask(text: Column, spans: Column) -> Column:
-    """The text with every span replaced by its kind in angle brackets; of overlapping spans the first counts."""
+    """The text with every span replaced by its kind in angle brackets; overlapping spans are one, of the first's kind."""
     empty = F.array().cast("array<struct<start:int,kind:int,end:int>>")
-    apart = F.aggregate(spans, empty, lambda kept, s: F.when(F.coalesce(F.try_element_at(kept, F.lit(-1))["end"], F.lit(0)) <= s["start"], F.concat(kept, F.array(s))).otherwise(kept))
+
+    def add(kept: Column, s: Column) -> Column:
+        last = F.try_element_at(kept, F.lit(-1))
+        union = F.struct(last["start"].alias("start"), last["kind"].alias("kind"), F.greatest(last["end"], s["end"]).alias("end"))
+        return F.when(F.coalesce(last["end"], F.lit(0)) <= s["start"], F.concat(kept, F.array(s))).otherwise(F.concat(F.slice(kept, F.lit(1), F.size(kept) - 1), F.array(union)))
+
+    apart = F.aggregate(spans, empty, add)
     name = F.array(*[F.lit(f"<{k.upper()}>") for k in KINDS])
 
     def rebuild(spans_: Column) -> Column:

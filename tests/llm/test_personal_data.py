@@ -37,3 +37,10 @@ def test_long_runs_of_digit_groups(spark):
     texts = [f"my phone: +1 (017) 555-77{i:02}" for i in range(6)] + ["my phone: " + "1 " * 20_000]
     spans, _ = found(spark, texts)
     assert spans[6] == "learned:10:40009"
+
+
+def test_overlapping_spans_are_masked_whole(spark):
+    texts = ["from 10.0.0.21 9807915762804490 on", "call +1 555 123 4567@x.org now", "no 10.0.0.1 10.0.0.2 here", "10.0.0.21 9807915762804490, 10.0.0.5"]
+    spans, masked = found(spark, texts)
+    assert spans[0] == "ip:5:14,card:12:31" and masked[0] == "from <IP> on"
+    assert masked[1] == "call <PHONE> now" and masked[2] == "no <IP> <IP> here" and masked[3] == "<IP>, <IP>"
