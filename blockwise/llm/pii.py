@@ -125,17 +125,17 @@ _IDENTIFIER = "[^\\s0-9@]*+[0-9@]\\S*+(?:(?<=[0-9]|[0-9]\\)) \\(?[0-9][0-9().-]*
 
 def identifiers(text: Column) -> Column:
     """(start, word_end, end, value, left1, left2) of the words with a digit or @ and the digit groups after them, where a word
-    stands to the left; word_end: the end of the first word."""
+    stands to the left; word_end: the end of the first word; left2 is null after a single word."""
     found = F.when(F.rlike(text, F.lit("[0-9@]")), _matches(text, "\\s", _IDENTIFIER))
 
     def run(m: Column) -> Column:
         words = F.filter(F.split(F.lower(F.right(m["gap"], F.lit(CONTEXT_CHARS))), "\\s+"), lambda w: w != "")
         return let(words, lambda ws: F.struct(
             m["start"].alias("start"), (m["start"] + F.length(F.substring_index(m["value"], " ", 1))).alias("word_end"), m["end"].alias("end"), m["value"].alias("value"),
-            F.coalesce(F.try_element_at(ws, F.lit(-1)), F.lit("#")).alias("left1"),
-            F.concat_ws(" ", F.coalesce(F.try_element_at(ws, F.lit(-2)), F.lit("#")), F.coalesce(F.try_element_at(ws, F.lit(-1)), F.lit("#"))).alias("left2")))
+            F.try_element_at(ws, F.lit(-1)).alias("left1"),
+            F.concat(F.try_element_at(ws, F.lit(-2)), F.lit(" "), F.try_element_at(ws, F.lit(-1))).alias("left2")))
 
-    return F.filter(F.transform(found, run), lambda x: x["left1"] != "#")
+    return F.filter(F.transform(found, run), lambda x: x["left1"].isNotNull())
 
 
 def instance(x: Column, spans: Column) -> Column:
@@ -181,7 +181,7 @@ def confident_patterns(texts: DataFrame, instances: DataFrame, min_seeds: int =
     """
     edges = (instances.select("value", "seed", F.explode(F.array("left1", "left2")).alias("pattern"))
              .groupBy("pattern", "value").agg(F.count("*").alias("n"), F.max("seed").alias("seed")))
-    edges = materialize(edges.filter("pattern NOT LIKE '%#%'"), "pattern-instances")
+    edges = materialize(edges.filter("pattern IS NOT NULL"), "pattern-instances")
     supported = materialize(edges.filter("seed").groupBy("pattern").agg(F.count("*").alias("seeds")).filter(F.col("seeds") >= min_seeds).select("pattern"), "patterns")
     none = supported.limit(0).withColumn("confidence", F.lit(0.0))
     if not supported.limit(1).count():

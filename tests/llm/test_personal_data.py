@@ -1,5 +1,7 @@
 """Seeds with spaces, their contexts, and masks of spans that overlap."""
 
+from pyspark.sql import functions as F
+
 from blockwise.llm import pii
 
 
@@ -44,3 +46,16 @@ def test_overlapping_spans_are_masked_whole(spark):
     spans, masked = found(spark, texts)
     assert spans[0] == "ip:5:14,card:12:31" and masked[0] == "from <IP> on"
     assert masked[1] == "call <PHONE> now" and masked[2] == "no <IP> <IP> here" and masked[3] == "<IP>, <IP>"
+
+
+def test_cues_may_hold_a_number_sign(spark):
+    texts = [f"my acct# u{i}@mail.org x" for i in range(6)] + [f"ticket # v{i}@mail.org x" for i in range(6)] + ["my acct# AB-4471 x", "ticket # 123"]
+    spans, _ = found(spark, texts)
+    assert spans[12] == "learned:9:16" and spans[13] == "learned:9:12"
+
+
+def test_a_single_left_word_is_one_pattern(spark):
+    rows = pii.identifiers(F.col("text"))
+    docs = spark.createDataFrame([(" a 1",), ("5 b c 2",), ("3",), ("# 4",)], "text string")
+    got = [[(x["value"], x["left1"], x["left2"]) for x in r[0]] for r in docs.select(rows).collect()]
+    assert got == [[("1", "a", None)], [("2", "c", "b c")], [], [("4", "#", None)]]
