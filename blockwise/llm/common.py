@@ -36,14 +36,14 @@ def new_path(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark)}/blockwise-llm/{name}-{uuid.uuid4().hex}"
 
 
-def materialize(df: DataFrame, name: str) -> DataFrame:
+def materialize(df: DataFrame, name: str, compression: str = "snappy") -> DataFrame:
     """Write ``df`` as a table in the shared folder and read it back.
 
     Cuts the lineage: a lost executor rereads the table instead of recomputing what made it.
     """
     spark = df.sparkSession
     path = new_path(spark, name)
-    df.write.parquet(path)
+    df.write.option("compression", compression).parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 

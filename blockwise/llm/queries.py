@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, dartminhash, divergence, fixity, langid, line_dedup, packing, pii, vptree, wavelet
+from . import alignment, attention_lm, bpe, dartminhash, divergence, fixity, langid, line_dedup, packing, pii, runs, vptree, wavelet
 from .common import tokenizer_file, tokenizer_pattern
 
 
@@ -128,13 +128,50 @@ def op10_bootstrapped_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.report(_table(spark, sf_dir, "documents")).withColumnRenamed("id", "doc_id")
 
 
+def op11_attention_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    scored = attention_lm.score_texts(_table(spark, sf_dir, "documents"), "doc_id", "text",
+                                      tokenizer_file("byte_bpe_50k.tiktoken"), tokenizer_pattern())
+    return scored.withColumnRenamed("id", "doc_id")
+
+
+def op12_pair_bitmaps(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = alignment.invert(_table(spark, sf_dir, "documents"), "doc_id", "text",
+                            tokenizer_file("byte_bpe_50k.json"), tokenizer_file("piece_bpe_32k.model"), digest=True)
+    scored = alignment.score_documents(rows, alignment.pair_table(rows))
+    return scored.withColumnsRenamed({"id": "doc_id", "groups": "groups_sha256"})
+
+
+def with_planted_runs(docs: DataFrame) -> DataFrame:
+    """doc_id and text; texts whose h = crc32(doc_id) is divisible by 10 repeat, from a word on, the words
+    after it with a period, both chosen by g = h div 10."""
+    h, g = "crc32(CAST(doc_id AS STRING))", "(crc32(CAST(doc_id AS STRING)) DIV 10)"
+    chosen = docs.select("doc_id", "text", F.when(F.expr(f"{h} % 10 = 0"), F.regexp_extract_all("text", F.lit("([^\\x20\\x09-\\x0D]+)"), F.lit(1))).alias("w"))
+    sized = chosen.select("*", F.expr(f"CASE WHEN size(w) > 0 THEN CAST({g} % size(w) AS INT) END").alias("a"))
+    timed = sized.select("*", F.expr(f"CAST(1 + (size(w) - a) DIV (3 + {g} % 8) AS INT)").alias("p"))
+    planted = "array_join(transform(sequence(0, size(w) - 1), i -> w[CASE WHEN i < a THEN i ELSE a + (i - a) % p END]), ' ')"
+    return timed.select("doc_id", F.expr(f"CASE WHEN a IS NOT NULL THEN {planted} ELSE text END").alias("text"))
+
+
+def op13_maximal_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = with_planted_runs(_table(spark, sf_dir, "documents"))
+    found = docs.select("doc_id", runs.periodic_runs(F.col("text")).alias("f")).select("doc_id", "f.runs", "f.collapsed")
+    best = F.expr("aggregate(runs, CAST(NULL AS struct<start:long,length:long,period:long>), "
+                  "(m, r) -> IF(m IS NULL OR r.length * m.period > m.length * r.period, r, m))")
+    every = F.expr("array_join(transform(runs, r -> concat(r.start, ',', r.length, ',', r.period, '\n')), '')")
+    return found.withColumn("m", best).select(
+        "doc_id", F.size("runs").cast("long").alias("n_runs"), "m.start", "m.length", "m.period",
+        F.expr("1000 * m.length DIV m.period").alias("exponent_milli"),
+        F.sha2(every, 256).alias("runs_sha256"), F.sha2("collapsed", 256).alias("collapsed_sha256"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {"op1_merkle_fixity": op1_merkle_fixity, "op2_wavelet": op2_wavelet,
             "op3_line_neighbourhood": op3_line_neighbourhood, "op4_recursive_bpe": op4_recursive_bpe,
             "op5_ecoc_language": op5_ecoc_language, "op6_vptree_neighbours": op6_vptree_neighbours,
             "op7_dartminhash": op7_dartminhash,
             "op8_nnls_pack": op8_nnls_pack,
-            "op9_divergence": op9_divergence, "op10_bootstrapped_pii": op10_bootstrapped_pii}
+            "op9_divergence": op9_divergence, "op10_bootstrapped_pii": op10_bootstrapped_pii,
+            "op11_attention_lm": op11_attention_lm, "op12_pair_bitmaps": op12_pair_bitmaps, "op13_maximal_pairs": op13_maximal_pairs}
 
 
 def oracle_sql() -> dict[str, str]:
