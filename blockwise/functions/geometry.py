@@ -126,3 +126,21 @@ def contains_sql(edges: str, px: str, py: str) -> str:
     """SQL for ``contains``."""
     return (f"({crossings_sql(edges, px, py)} % 2 = 1 "
             f"AND NOT {on_boundary_sql(edges, px, py)})")
+
+
+def cell_contains_sql(zone: str, right: str, base: str, px: str, py: str) -> str:
+    """SQL for "the zone holds the point", from what one grid cell knows of the zone.
+
+    ``zone`` has ``edges`` (all that touch the cell) and ``odd``: whether an odd number of the
+    others, right of the cell, cross the line y = ``base`` at the cell's bottom.  Between that
+    line and the point's own the number of others changes only where one of them ends, right
+    of the cell (x > ``right``); at such a vertex as many of the cell's edges end, by parity,
+    as a closed ring has two edges at each vertex.  So the parity at the point is ``odd``, the
+    crossings of the cell's edges, and their ends between the two lines.  Only comparisons
+    decide which edges count: the answer is that of the test over all edges.
+    """
+    e = "_e"
+    ends = " + ".join(f"CAST({e}.x{i} > {right} AND ({e}.y{i} > {base}) <> ({e}.y{i} > {py}) AS INT)" for i in (1, 2))
+    moved = f"aggregate({zone}.edges, 0, (_n, {e}) -> _n + {ends})"
+    return (f"(({crossings_sql(f'{zone}.edges', px, py)} + {moved} + CAST({zone}.odd AS INT)) % 2 = 1 "
+            f"AND NOT {on_boundary_sql(f'{zone}.edges', px, py)})")

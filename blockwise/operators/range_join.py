@@ -8,28 +8,36 @@ Plan shape (segment trend):
    address, not one row per record.
 2. ``normalize_addresses`` parses and looks up each distinct address once.
 3. ``attribute_to_segments`` joins those counts to segment sides on
-   (street, borough, parity, range bucket) with the range test as residual.
-   The bucket (``number // bucket_width``) bounds the pairs compared inside a
-   hot street; a segment whose range spans more than ``max_bucket_span``
-   buckets goes to a second, un-bucketed join, so nothing is capped.  The
-   segment side is broadcast only after its row count is proven small;
-   otherwise the join shuffles on the composite key.
+   (street, borough, parity, dyadic node).  (block, number) is mapped to a
+   position, in steps of ``bucket_width`` numbers; a side's range of positions
+   is cut into its canonical dyadic intervals, two a level at most, and a
+   record has one interval a level that holds its position.  The intervals of a
+   range are disjoint, so a record meets a side at most once; the exact range
+   test is the residual.  Ranges of any width, within a block or across blocks,
+   take this one join, and a hot street is split by position.  The side table is
+   written once to the shared folder; its size and its levels come from the
+   write, and it is broadcast only if it is small.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from blockwise.functions.normalize import (LENIENT_DATE_FORMATS, code_lookup, parity, parse_house_number,
                                            year_from_text, year_lenient)
 from blockwise.operators.sizing import DEFAULT_BROADCAST_ROWS, maybe_broadcast
+from blockwise.scratch import stored
 
 KEEP_MODES = ("matched", "records", "segments")
 COMPARE_MODES = ("component", "lexicographic")
-RECORD_KEYS = ("street", "borough", "parity", "block", "number")
+KEYS = ("street", "borough", "parity")
+RECORD_KEYS = (*KEYS, "block", "number")
+SIDE_BOUNDS = ("low_block", "low_number", "high_block", "high_number")
+#: Bits of a position that tell the numbers of a block apart (numbers beyond them share the last bucket).
+NUMBER_BITS = 16
 
 
 def record_year(date: str, date_format: str | Sequence[str] = LENIENT_DATE_FORMATS) -> Column:
@@ -138,20 +146,24 @@ def _equi(r: str, s: str, cols: Sequence[str]) -> Column:
     return cond
 
 
-def _side_classes(bucket_width: int, max_bucket_span: int, compare: str):
-    """Bucket bounds and the bucketed / wide predicates of a side row."""
-    lo_b = F.floor(F.col("low_number") / F.lit(bucket_width))
-    hi_b = F.floor(F.col("high_number") / F.lit(bucket_width))
-    ordered = F.col("low_number") <= F.col("high_number")
-    bucketable = ordered & ((hi_b - lo_b) < F.lit(max_bucket_span))
-    if compare == "lexicographic":
-        # Numbers are ordered only within one block; ranges across blocks go
-        # to the un-bucketed join, whatever their numbers.
-        bucketable = bucketable & (F.col("low_block") == F.col("high_block"))
-        wide_rows = ~bucketable
-    else:
-        wide_rows = ordered & ~bucketable
-    return lo_b, hi_b, bucketable, wide_rows
+def position(block: Column, number: Column, bucket_width: int) -> Column:
+    """A long that never decreases with (block, number): ``bucket_width`` numbers of a block share one."""
+    bucket = F.least(F.floor(number / F.lit(bucket_width)), F.lit((1 << NUMBER_BITS) - 1).cast("long"))
+    return F.shiftleft(F.coalesce(block, F.lit(0)).cast("long"), NUMBER_BITS) + bucket
+
+
+def dyadic_cover(lo: str, hi: str) -> Column:
+    """The canonical dyadic intervals of [lo, hi], as (level, node): node * 2^level up to the next node.
+
+    They are disjoint and cover the range; a level has two at most, and a range of n positions
+    has levels up to log2(n).  Empty if lo > hi.
+    """
+    first = f"shiftright({lo} + shiftleft(1L, _l) - 1, _l)"    # the first whole interval of the level
+    end = f"shiftright({hi} + 1, _l)"                          # after the last one
+    left = f"named_struct('level', _l, 'node', CASE WHEN {first} < {end} AND {first} % 2 = 1 THEN {first} END)"
+    right = f"named_struct('level', _l, 'node', CASE WHEN {first} < {end} AND {end} % 2 = 1 THEN {end} - 1 END)"
+    levels = f"sequence(0, CAST(floor(log2({hi} - {lo} + 1)) AS INT) + 1)"
+    return F.expr(f"CASE WHEN {lo} <= {hi} THEN filter(flatten(transform({levels}, _l -> array({left}, {right}))), _n -> _n.node IS NOT NULL) END")
 
 
 def _valid_sides(sides: DataFrame) -> DataFrame:
@@ -161,28 +173,23 @@ def _valid_sides(sides: DataFrame) -> DataFrame:
                        & F.col("low_number").isNotNull() & F.col("high_number").isNotNull())
 
 
-def _split_sides(sides: DataFrame, bucket_width: int, max_bucket_span: int,
-                 compare: str) -> tuple[DataFrame, DataFrame]:
-    lo_b, hi_b, bucketable, wide_rows = _side_classes(bucket_width, max_bucket_span, compare)
+def side_table(sides: DataFrame, bucket_width: int = 100) -> tuple[DataFrame, int, list[int]]:
+    """Sides by their dyadic intervals, stored once; its rows and its levels, observed by the write."""
     base = _valid_sides(sides)
-    narrow = base.where(bucketable).withColumn("bucket", F.explode(F.sequence(lo_b, hi_b)))
-    return narrow, base.where(wide_rows)
-
-
-def _side_sizes(sides: DataFrame, bucket_width: int, max_bucket_span: int,
-                compare: str) -> tuple[int, int]:
-    """(rows of the bucketed side, rows of the wide side) in one small job."""
-    lo_b, hi_b, bucketable, wide_rows = _side_classes(bucket_width, max_bucket_span, compare)
-    row = _valid_sides(sides).agg(
-        F.sum(F.when(bucketable, hi_b - lo_b + 1).otherwise(0)).alias("n"),
-        F.count_if(wide_rows).alias("w")).first()
-    return int(row["n"] or 0), int(row["w"] or 0)
+    base = base.withColumn("_lo", position(F.col("low_block"), F.col("low_number"), bucket_width)) \
+               .withColumn("_hi", position(F.col("high_block"), F.col("high_number"), bucket_width))
+    nodes = base.select("physical_id", *KEYS, *SIDE_BOUNDS, F.explode(dyadic_cover("_lo", "_hi")).alias("_n"))
+    nodes = nodes.select("physical_id", *KEYS, *SIDE_BOUNDS, F.col("_n.level").alias("level"), F.col("_n.node").alias("node"))
+    seen = Observation()
+    kept = stored(nodes.observe(seen, F.count(F.lit(1)).alias("n"), F.bit_or(F.expr("shiftleft(1L, level)")).alias("levels")), "sides")
+    levels = seen.get["levels"] or 1
+    return kept, int(seen.get["n"] or 0), [k for k in range(63) if levels >> k & 1]
 
 
 def attribute_to_segments(records_agg: DataFrame, sides: DataFrame, *,
                           count_cols: Sequence[str], keep: str = "matched",
                           compare: str = "component", segments: DataFrame | None = None,
-                          bucket_width: int = 100, max_bucket_span: int = 64,
+                          bucket_width: int = 100,
                           broadcast_rows: int | None = DEFAULT_BROADCAST_ROWS,
                           broadcast: bool | None = None) -> DataFrame:
     """Per-segment sums of the record counts.
@@ -199,36 +206,33 @@ def attribute_to_segments(records_agg: DataFrame, sides: DataFrame, *,
         raise ValueError(f"keep must be one of {KEEP_MODES}")
     if compare not in COMPARE_MODES:
         raise ValueError(f"compare must be one of {COMPARE_MODES}")
-    narrow, wide = _split_sides(sides, bucket_width, max_bucket_span, compare)
-    # One pass over the segment side: rows the bucketed side will have and
-    # rows needing the un-bucketed join.  Wide ranges are rare, so the common
-    # case reads the records once, through a single join.
-    n_narrow, n_wide = _side_sizes(sides, bucket_width, max_bucket_span, compare)
-    has_wide = n_wide > 0
+    table, n_rows, levels = side_table(sides, bucket_width)
     if broadcast is None:
-        broadcast = broadcast_rows is not None and n_narrow + n_wide <= broadcast_rows
-    narrow_b, is_bc = maybe_broadcast(narrow, None, broadcast)
-    wide_b = maybe_broadcast(wide, None, broadcast)[0] if has_wide else None
-
-    r = records_agg.withColumn("bucket", F.floor(F.col("number") / F.lit(bucket_width))).alias("r")
-    keys = ("street", "borough", "parity")
-    cond_n = _equi("r", "s", keys + ("bucket",)) & _range_condition("r", "s", compare)
-    cond_w = _equi("r", "s", keys) & _range_condition("r", "s", compare)
+        broadcast = broadcast_rows is not None and n_rows <= broadcast_rows
+    side, is_bc = maybe_broadcast(table, None, broadcast)
+
+    at = position(F.col("block"), F.col("number"), bucket_width)
+    nodes = [F.struct(F.lit(k).alias("level"), F.shiftright(at, k).alias("node")) for k in levels]
+    placed = records_agg.withColumn("_n", nodes[0] if len(nodes) == 1 else F.explode(F.array(*nodes)))
+    r = placed.select("*", F.col("_n.level").alias("level"), F.col("_n.node").alias("node")).alias("r")
+    cond = _equi("r", "s", (*KEYS, "level", "node")) & _range_condition("r", "s", compare)
     pick = [F.col("s.physical_id").alias("physical_id")] + [F.col(f"r.{c}") for c in count_cols]
     sums = [F.sum(c).cast("bigint").alias(c) for c in count_cols]
-    if keep == "records" and not has_wide:
+    if keep == "records" and len(levels) == 1:
         # One left join: unmatched house-number keys land in the null group.
-        return r.join(narrow_b.alias("s"), cond_n, "left").select(*pick) \
+        return r.join(side.alias("s"), cond, "left").select(*pick) \
                 .groupBy("physical_id").agg(*sums)
-    hits = r.join(narrow_b.alias("s"), cond_n, "inner").select(*pick)
-    if has_wide:
-        hits = hits.unionByName(r.join(wide_b.alias("s"), cond_w, "inner").select(*pick))
-    matched = hits.groupBy("physical_id").agg(*sums)
+    hits = r.join(side.alias("s"), cond, "inner")
+    matched = hits.select(*pick).groupBy("physical_id").agg(*sums)
     if keep == "matched":
         return matched
     if keep == "records":
-        miss = (r.join(narrow_b.alias("s"), cond_n, "left_anti").alias("r")
-                .join(wide_b.alias("s"), cond_w, "left_anti"))
+        # A record has a row a level here, so those without any segment are found by address.
+        found = hits.select(*[F.col(f"r.{c}").alias(c) for c in RECORD_KEYS]).distinct().alias("f")
+        same = F.lit(True)
+        for c in RECORD_KEYS:
+            same = same & F.col(f"a.{c}").eqNullSafe(F.col(f"f.{c}"))
+        miss = records_agg.alias("a").join(found, same, "left_anti")
         unmatched = (miss.agg(*sums)
                      .where(F.col(count_cols[0]).isNotNull())   # no row when all matched
                      .select(F.lit(None).cast(matched.schema["physical_id"].dataType)

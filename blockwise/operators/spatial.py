@@ -3,11 +3,12 @@
 The polygon layer (edges: zone_id, x1, y1, x2, y2, attributes) is turned into
 a *cell table* keyed by integer grid cell (gx, gy).  For every grid row of a
 zone, each edge is clipped to the row band; a column that a clipped edge
-passes through is a *boundary* cell and keeps the edges that can decide its
-points (those in the row band reaching its column: a ray towards +x from a
-point in the cell can cross no other edge).  Every other column between the
-row's outermost edges is wholly inside or wholly outside the zone, decided
-once at its centre; inside ones are *interior* cells, outside ones dropped.
+passes through is a *boundary* cell and keeps that edge.  A running sum over
+the row's columns, from the right, gives every boundary cell the parity of the
+edges that lie right of it, which is all a point test needs besides the cell's
+own edges (see ``cell_contains_sql``); columns between two boundary cells are
+wholly inside or wholly outside by the same parity, inside ones are *interior*
+cells, outside ones dropped.
 
 Each cell row holds its candidate zones sorted by id and, when the lowest-id
 candidate is interior, that zone as the cell's ``sure`` answer.  Points
@@ -17,10 +18,13 @@ the exact even-odd test (higher-order functions over the cell's few edges),
 and the first matching zone (lowest id) wins.  With the cell table broadcast
 (after a size check) the whole assignment is map-only: no shuffle of points
 at all, whatever their skew.  Beyond the bound the join shuffles on the cell
-key, salted, and AQE splits what remains skewed.
+key, salted, and AQE splits what remains skewed; counting jobs first count the
+points of each exact coordinate (``weighted``), so a repeated one is one row.
 
 The cell table is built by Spark from the edge list (layer-sized work: one
-aggregation per zone row, one per cell).
+aggregation per cell and zone, one window over the cells of a zone row, one
+aggregation per cell).  Edges are gathered by cell, never by zone or row.
+``quadtree.QuadIndex`` is the form for layers that one grid step does not fit.
 """
 
 from __future__ import annotations
@@ -28,14 +32,14 @@ from __future__ import annotations
 import math
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from blockwise.functions.geometry import (LCC_NY_LONG_ISLAND, contains_sql, crossings_sql,
-                                         project_lcc)
+from blockwise.functions.geometry import LCC_NY_LONG_ISLAND, cell_contains_sql, project_lcc
 from blockwise.operators.sizing import DEFAULT_BROADCAST_ROWS
 
 EDGE_COLUMNS = ("zone_id", "x1", "y1", "x2", "y2")
+EDGES_TYPE = "array<struct<x1:double,y1:double,x2:double,y2:double>>"
 
 
 def layer_stats(layers: dict[str, DataFrame]) -> dict[str, dict]:
@@ -146,14 +150,14 @@ class ZoneIndex:
 
     # -- cell table ---------------------------------------------------------
     def _build_cells(self) -> DataFrame:
-        """Cell table from the edge list: one aggregation per (zone, grid row).
-
-        Within one grid row of a zone, cells left of every edge's column range
-        or right of it are outside (a ray that way crosses nothing), so only
-        the columns between the row's extreme edge columns are generated.  A
-        column touched by an edge's (slightly widened) box is a boundary cell
-        and keeps the edges reaching it; any other column is wholly inside or
-        wholly outside, decided once at its centre.
+        """Cell table from the edge list: scanline parity by a running sum over each zone row.
+
+        Within one grid row of a zone, every edge belongs to the columns its
+        (slightly widened) box within the row touches.  If it crosses the row's
+        bottom line it is an event at the first of these columns: the number of
+        events right of a column is the number of edges right of it that cross
+        the line.  The running sum streams over a row's cells; it also decides
+        the columns between two boundary cells, which no edge touches.
         """
         s = self.cell_size
         eps = s * 1e-6  # widen edge boxes so rounding never hides an edge
@@ -184,37 +188,39 @@ class ZoneIndex:
             "zone_id", *self.attrs, "edge", "gy",
             F.greatest(F.col("cx0"), F.floor((F.least(xa, xb) - eps) / s)).alias("rx0"),
             F.least(F.col("cx1"), F.floor((F.greatest(xa, xb) + eps) / s)).alias("rx1"))
-        attr_aggs = [F.first(a, ignorenulls=True).alias(a) for a in self.attrs]
-        rows = per_row.groupBy("zone_id", "gy").agg(
-            F.collect_list(F.struct(F.col("rx0").alias("cx0"), F.col("rx1").alias("cx1"), "edge"))
-            .alias("row_edges"),
-            F.min("rx0").alias("gx0"), F.max("rx1").alias("gx1"), *attr_aggs)
-        boundary = F.expr("array_distinct(flatten(transform(row_edges, _r -> sequence(_r.cx0, _r.cx1))))")
-        cells = rows.select("zone_id", *self.attrs, "gy", "row_edges",
-                            boundary.alias("boundary"),
-                            F.explode(F.sequence("gx0", "gx1")).alias("gx"))
-        is_b = F.array_contains("boundary", F.col("gx"))
-        step = f"CAST('{float(s)!r}' AS DOUBLE)"   # exact round trip, any magnitude
-        cx = f"((CAST(gx AS DOUBLE) + 0.5D) * {step})"
-        cy = f"((CAST(gy AS DOUBLE) + 0.5D) * {step})"
-        centre_in = F.expr(f"{crossings_sql('transform(row_edges, _r -> _r.edge)', cx, cy)} % 2 = 1")
-        reach = F.expr("transform(filter(row_edges, _r -> _r.cx1 >= gx), _r -> _r.edge)")
-        zone = F.struct(F.col("zone_id"), *[F.col(a) for a in self.attrs],
-                        (~is_b).alias("interior"),
-                        F.when(is_b, reach).otherwise(
-                            F.array().cast("array<struct<x1:double,y1:double,x2:double,y2:double>>")
-                        ).alias("edges"))
-        by_cell = (cells.where(is_b | centre_in)
-                   .select("gx", "gy", zone.alias("z"))
-                   .groupBy("gx", "gy").agg(F.array_sort(F.collect_list("z")).alias("zones")))
-        # When the lowest-id candidate covers the whole cell, every point of
-        # the cell belongs to it: no per-point test (the common case).
-        first = F.col("zones").getItem(0)
-        sure = F.when(first["interior"], F.struct(first["zone_id"].alias("zone_id"),
-                                                   *[first[a].alias(a) for a in self.attrs]))
+        base = F.col("gy").cast("double") * F.lit(s)
+        crosses = (y1 > base) != (y2 > base)
+        touched = per_row.select("zone_id", *self.attrs, "gy", "edge", "rx0", crosses.alias("crosses"),
+                                 F.explode(F.sequence("rx0", "rx1")).alias("gx"))
+        boundary = touched.groupBy("zone_id", "gy", "gx").agg(
+            F.collect_list("edge").alias("edges"),
+            F.count_if(F.col("crosses") & (F.col("gx") == F.col("rx0"))).alias("events"),
+            *[F.first(a, ignorenulls=True).alias(a) for a in self.attrs])
+        from_right = Window.partitionBy("zone_id", "gy").orderBy(F.col("gx").desc())
+        events = F.sum("events").over(from_right.rowsBetween(Window.unboundedPreceding, -1))
+        scanned = boundary.select("*", (F.coalesce(events, F.lit(0)) % 2 == 1).alias("odd"),
+                                  F.lag("gx").over(from_right).alias("next_gx"))
+        # A boundary cell, and the interior cells between it and the next one.
+        cells = scanned.withColumn("c", F.explode(F.expr(
+            "concat(array(struct(gx, false AS interior)), "
+            "CASE WHEN odd AND next_gx > gx + 1 THEN transform(sequence(gx + 1, next_gx - 1), _g -> struct(_g AS gx, true AS interior)) "
+            "ELSE CAST(array() AS array<struct<gx:bigint,interior:boolean>>) END)")))
+        interior = F.col("c.interior")
+        zone = F.struct("zone_id", *self.attrs, interior.alias("interior"), F.col("odd"),
+                        F.when(interior, F.array().cast(EDGES_TYPE)).otherwise(F.col("edges")).alias("edges"))
+        by_cell = cells.select(F.col("c.gx").alias("gx"), "gy", zone.alias("z")) \
+                       .groupBy("gx", "gy").agg(F.array_sort(F.collect_list("z")).alias("zones"))
         # Underscored names: the table is joined next to the caller's columns.
         return by_cell.select(F.col("gx").alias("_cell_gx"), F.col("gy").alias("_cell_gy"),
-                              F.col("zones").alias("_zones"), sure.alias("_sure"))
+                              ((F.col("gx").cast("double") + 1.0) * F.lit(s)).alias("_right"),
+                              (F.col("gy").cast("double") * F.lit(s)).alias("_base"),
+                              F.col("zones").alias("_zones"), self._sure().alias("_sure"))
+
+    def _sure(self) -> Column:
+        """The lowest-id candidate of ``zones`` where it covers the whole cell: no test there (the common case)."""
+        first = F.col("zones").getItem(0)
+        return F.when(first["interior"], F.struct(first["zone_id"].alias("zone_id"),
+                                                  *[first[a].alias(a) for a in self.attrs]))
 
     def cell_stats(self) -> dict:
         """Rows and edge entries of the cell table (one small job)."""
@@ -224,14 +230,15 @@ class ZoneIndex:
             .alias("entries")).first()
         return {"cells": int(r["cells"]), "entries": int(r["entries"] or 0)}
 
-    def _join_side(self) -> DataFrame:
+    @property
+    def is_broadcast(self) -> bool:
+        """Whether points meet the cell table without a shuffle (its size is counted once if no bound proved it)."""
         if self._broadcast is None:
-            ok = False
-            if self._broadcast_rows is not None:
-                st = self.cell_stats()
-                ok = st["entries"] <= self._broadcast_rows
-            self._broadcast = ok
-        return F.broadcast(self.cells) if self._broadcast else self.cells
+            self._broadcast = self._broadcast_rows is not None and self.cell_stats()["entries"] <= self._broadcast_rows
+        return self._broadcast
+
+    def _join_side(self) -> DataFrame:
+        return F.broadcast(self.cells) if self.is_broadcast else self.cells
 
     @classmethod
     def build_many(cls, layers: dict[str, DataFrame], **kw) -> dict[str, "ZoneIndex"]:
@@ -251,26 +258,39 @@ class ZoneIndex:
         """
         if match not in ("first", "all"):
             raise ValueError("match must be 'first' or 'all'")
-        s = self.cell_size
-        cells = self._join_side()
+        located = self._locate(points, x, y, how)
+        return self._resolve(located, points.columns, x, y, carry, prefix, how, match)
+
+    @staticmethod
+    def _finite(x: str, y: str) -> Column:
         # NaN or infinite coordinates get no cell (floor(NaN) would be cell 0).
-        finite = ~F.isnan(F.col(x)) & ~F.isnan(F.col(y)) & \
+        return ~F.isnan(F.col(x)) & ~F.isnan(F.col(y)) & \
             (F.abs(F.col(x)) < F.lit(float("inf"))) & (F.abs(F.col(y)) < F.lit(float("inf")))
+
+    def _salted(self, pts: DataFrame, cells: DataFrame, columns: Sequence[str]) -> tuple[DataFrame, DataFrame, Column | None]:
+        """In the shuffle form: points and cells with a salt, and the condition on it."""
+        if self.is_broadcast or self.salt <= 1:
+            return pts, cells, None
+        # Deterministic salt (a hash of the point's columns), so a retried
+        # task sends every point to the same replica again.
+        pts = pts.withColumn("_salt", F.pmod(F.xxhash64(*[F.col(c) for c in columns]), F.lit(self.salt)))
+        cells = cells.withColumn("_cell_salt", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(self.salt - 1).cast("long"))))
+        return pts, cells, pts["_salt"] == cells["_cell_salt"]
+
+    def _locate(self, points: DataFrame, x: str, y: str, how: str) -> DataFrame:
+        """Points beside the row of their cell."""
+        s, finite = self.cell_size, self._finite(x, y)
         pts = points.withColumn("_gx", F.when(finite, F.floor(F.col(x) / F.lit(s)))) \
                     .withColumn("_gy", F.when(finite, F.floor(F.col(y) / F.lit(s))))
+        pts, cells, salted = self._salted(pts, self._join_side(), points.columns)
         cond = (pts["_gx"] == cells["_cell_gx"]) & (pts["_gy"] == cells["_cell_gy"])
-        if not self._broadcast and self.salt > 1:
-            # Deterministic salt (a hash of the point's columns), so a retried
-            # task sends every point to the same replica again.
-            pts = pts.withColumn("_salt", F.pmod(F.xxhash64(*[F.col(c) for c in points.columns]),
-                                                 F.lit(self.salt)))
-            cells = cells.withColumn("_cell_salt", F.explode(F.sequence(F.lit(0).cast("long"),
-                                                                  F.lit(self.salt - 1).cast("long"))))
-            cond = (pts["_gx"] == cells["_cell_gx"]) & (pts["_gy"] == cells["_cell_gy"]) & \
-                (pts["_salt"] == cells["_cell_salt"])
-        j = pts.join(cells, cond, "inner" if how == "inner" else "left")
-        px, py = f"`{x}`", f"`{y}`"
-        hits = F.expr(f"filter(_zones, _z -> _z.interior OR {contains_sql('_z.edges', px, py)})")
+        return pts.join(cells, cond if salted is None else cond & salted, "inner" if how == "inner" else "left")
+
+    def _resolve(self, located: DataFrame, columns: Sequence[str], x: str, y: str, carry: Sequence[str],
+                 prefix: str, how: str, match: str) -> DataFrame:
+        """The zones of points that stand beside their cell."""
+        test = cell_contains_sql("_z", "_right", "_base", f"`{x}`", f"`{y}`")
+        hits = F.expr(f"filter(_zones, _z -> _z.interior OR {test})")
         found = F.transform(hits, lambda z: F.struct(
             z["zone_id"].alias("zone_id"), *[z[a].alias(a) for a in self.attrs]))
         if match == "first":
@@ -282,12 +302,23 @@ class ZoneIndex:
         # inner join's null test read the column instead of re-running the
         # test (a plain filter would be pushed below the projection).
         gen = F.explode_outer if how != "inner" else F.explode
-        out = j.select(*[F.col(c) for c in points.columns], gen(found).alias("_hit"))
-        cols = [F.col(c) for c in points.columns]
-        cols.append(F.col("_hit.zone_id").alias(f"{prefix}zone_id"))
-        cols += [F.col(f"_hit.{a}").alias(f"{prefix}{a}") for a in carry]
-        out = out.select(*cols)
-        return out
+        out = located.select(*[F.col(c) for c in columns], gen(found).alias("_hit"))
+        return out.select(*[F.col(c) for c in columns], F.col("_hit.zone_id").alias(f"{prefix}zone_id"),
+                          *[F.col(f"_hit.{a}").alias(f"{prefix}{a}") for a in carry])
+
+
+def weighted(points: DataFrame, columns: Sequence[str], indexes: Sequence[ZoneIndex], weight: str) -> DataFrame:
+    """``columns`` of the points with a count, for jobs that only count points.
+
+    Where one of the ``indexes`` joins by a shuffle, rows that agree in all ``columns`` are
+    counted first, so however often a coordinate stands among the points, one row of it is
+    shuffled and tested; the counts are partial before that shuffle.  Points that meet every
+    index in place need no shuffle, and each counts 1.
+    """
+    pts = points.select(*columns)
+    if all(ix.is_broadcast for ix in indexes):
+        return pts.withColumn(weight, F.lit(1).cast("long"))
+    return pts.groupBy(*columns).agg(F.count(F.lit(1)).alias(weight))
 
 
 def edges_from_rings(zones: DataFrame, *, id_col: str = "zone_id",

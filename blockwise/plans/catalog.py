@@ -20,6 +20,7 @@ from blockwise.operators import segments as S
 from blockwise.operators import trend as T
 from blockwise.operators.cleaning import drop_incomplete, fill_zero, split_rejects
 from blockwise.operators.range_join import count_bad_dates, count_columns, prepare_records
+from blockwise.operators.quadtree import QuadIndex
 from blockwise.operators.spatial import ZoneIndex
 from blockwise.plans import jobs
 from blockwise.sources import tables as TB
@@ -316,12 +317,24 @@ def pip_zone_count(spark, sf):
 @query("pip_pair_count")
 def pip_pair_count(spark, sf):
     """Trips per (pickup borough, drop-off neighborhood)."""
-    t = TB.trips(spark, sf)
-    b, n = both_layers(spark, sf)
-    p = b.assign(t, x="px", y="py", carry=("zone_name",), prefix="pu_", how="inner")
-    d = n.assign(p, x="dx", y="dy", carry=("zone_name",), prefix="do_", how="inner")
-    return d.groupBy(F.col("pu_zone_name").alias("group_name"),
-                     F.col("do_zone_name").alias("zone_name")).agg(F.count(F.lit(1)).alias("n"))
+    return jobs.zone_pairs(TB.trips(spark, sf), *both_layers(spark, sf))
+
+
+@query("zone_count_apart")
+def zone_count_apart(spark, sf):
+    """Job D where the cell table is joined by a shuffle: each exact coordinate is counted first."""
+    apart = ZoneIndex(TB.borough_edges(spark, sf), attrs=("zone_name",), broadcast=False)
+    return jobs.zone_count(TB.trips(spark, sf), apart, x="px", y="py")
+
+
+@query("mixed_layer_count")
+def mixed_layer_count(spark, sf):
+    """J4/J5 over one layer of big and small polygons: pickups per zone, in every zone that holds them."""
+    n, b = TB.neighborhood_edges(spark, sf), TB.borough_edges(spark, sf)
+    layer = n.unionByName(b.withColumn("zone_id", F.col("zone_id") + 1000))
+    t = TB.trips(spark, sf).select("px", "py")
+    found = QuadIndex(layer, attrs=("zone_name",)).assign(t, x="px", y="py", carry=("zone_name",), how="inner", match="all")
+    return found.groupBy("zone_id", "zone_name").agg(F.count(F.lit(1)).alias("n"))
 
 
 # Trip points read as degrees around the projection's origin.

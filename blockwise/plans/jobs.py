@@ -17,7 +17,7 @@ from blockwise.operators.range_join import (attribute_to_segments, count_columns
                                             count_raw_records, normalize_addresses)
 from blockwise.operators.ranking import format_topk_lines, nest_top_k, top_k
 from blockwise.operators.segments import segment_sides
-from blockwise.operators.spatial import ZoneIndex
+from blockwise.operators.spatial import ZoneIndex, weighted
 from blockwise.operators.trend import add_slope
 
 
@@ -55,16 +55,25 @@ def zone_pair_top_k(trips: DataFrame, boroughs: ZoneIndex, neighborhoods: ZoneIn
     Both lookups run on the same row, so no trip id is needed.
     Output: group_name, rank, zone_name, n (one row per kept pair).
     """
-    p = boroughs.assign(trips.select(*pickup, *dropoff), x=pickup[0], y=pickup[1],
-                        carry=("zone_name",), prefix="pu_", how="inner")
-    d = neighborhoods.assign(p, x=dropoff[0], y=dropoff[1], carry=("zone_name",),
-                             prefix="do_", how="inner")
-    # an unnamed zone takes no rank
-    named = d.where(F.col("pu_zone_name").isNotNull() & F.col("do_zone_name").isNotNull())
-    pairs = (named.groupBy(F.col("pu_zone_name").alias("group_name"),
-                       F.col("do_zone_name").alias("zone_name"))
-             .agg(F.count(F.lit(1)).alias("n")))
-    return top_k(pairs, "group_name", k=k)
+    return top_k(zone_pairs(trips, boroughs, neighborhoods, pickup=pickup, dropoff=dropoff), "group_name", k=k)
+
+
+def zone_pairs(trips: DataFrame, boroughs: ZoneIndex, neighborhoods: ZoneIndex, *,
+               pickup=("px", "py"), dropoff=("dx", "dy")) -> DataFrame:
+    """Trips per pickup borough and drop-off neighborhood (an unnamed zone takes no part).
+
+    In the shuffle form equal trips, then equal drop-offs of a borough, are counted before
+    they are looked up.  Output: group_name, zone_name, n.
+    """
+    t = weighted(trips, [*pickup, *dropoff], (boroughs, neighborhoods), "_n")
+    p = boroughs.assign(t, x=pickup[0], y=pickup[1], carry=("zone_name",), prefix="pu_", how="inner")
+    p = p.where(F.col("pu_zone_name").isNotNull()).select("pu_zone_name", *dropoff, "_n")
+    if not neighborhoods.is_broadcast:
+        p = p.groupBy("pu_zone_name", *dropoff).agg(F.sum("_n").alias("_n"))
+    d = neighborhoods.assign(p, x=dropoff[0], y=dropoff[1], carry=("zone_name",), prefix="do_", how="inner")
+    return (d.where(F.col("do_zone_name").isNotNull())
+            .groupBy(F.col("pu_zone_name").alias("group_name"), F.col("do_zone_name").alias("zone_name"))
+            .agg(F.sum("_n").alias("n")))
 
 
 def zone_pair_lines(trips: DataFrame, boroughs: ZoneIndex, neighborhoods: ZoneIndex,
@@ -83,8 +92,8 @@ def keyword_rate(posts: DataFrame, zones: ZoneIndex, population: DataFrame,
     Output: zone_id, n, population, rate.
     """
     hits = keyword_filter(posts, text, terms)
-    located = zones.assign(hits.select(x, y), x=x, y=y, how="inner")
-    counts = located.groupBy("zone_id").agg(F.count(F.lit(1)).alias("n"))
+    located = zones.assign(weighted(hits, [x, y], [zones], "_n"), x=x, y=y, how="inner")
+    counts = located.groupBy("zone_id").agg(F.sum("_n").alias("n"))
     return zone_rate(counts, population)
 
 
@@ -114,5 +123,5 @@ def keyword_rate_lines(rates: DataFrame, *, key: str = "zone_id", value: str = "
 def zone_count(points: DataFrame, zones: ZoneIndex, *, x: str, y: str,
                carry: str = "zone_name") -> DataFrame:
     """Job D: points per zone (by zone name).  Output: zone_name, n."""
-    located = zones.assign(points.select(x, y), x=x, y=y, carry=(carry,), how="inner")
-    return located.groupBy(carry).agg(F.count(F.lit(1)).alias("n"))
+    located = zones.assign(weighted(points, [x, y], [zones], "_n"), x=x, y=y, carry=(carry,), how="inner")
+    return located.groupBy(carry).agg(F.sum("_n").alias("n"))

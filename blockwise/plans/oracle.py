@@ -320,6 +320,12 @@ FROM d""",
     + "SELECT t.trip_id, pu.zone_id, pu.zone_name FROM trips_v t LEFT JOIN pu ON t.trip_id = pu.pid",
     "pip_zone_count": w(ZONE_EDGES, TRIPS, BORO, _pip("trips_v", "trip_id", "px", "py", "boro_v", "pu"))
     + "SELECT zone_name, count(*) AS n FROM pu GROUP BY zone_name",
+    "zone_count_apart": w(ZONE_EDGES, TRIPS, BORO, _pip("trips_v", "trip_id", "px", "py", "boro_v", "pu"))
+    + "SELECT zone_name, count(*) AS n FROM pu GROUP BY zone_name",
+    "mixed_layer_count": w(ZONE_EDGES, TRIPS, NBH, BORO, _pip("trips_v", "trip_id", "px", "py", "nbh_v", "pn"),
+                           _pip("trips_v", "trip_id", "px", "py", "boro_v", "pb"))
+    + "SELECT zone_id, zone_name, count(*) AS n FROM pn GROUP BY zone_id, zone_name "
+      "UNION ALL SELECT zone_id + 1000, zone_name, count(*) FROM pb GROUP BY zone_id, zone_name",
     "pip_pair_count": w(*TOP3[:-1]) + "SELECT group_name, zone_name, n FROM pairs",
     "project_lcc": w(TRIPS) + f"SELECT trip_id, round({_lx}, 3) AS x_ft, round({_ly}, 3) AS y_ft "
                               "FROM trips_v",

@@ -5,6 +5,7 @@ import re
 
 import pytest
 
+from blockwise.operators.range_join import attribute_to_segments, side_table
 from blockwise.operators.segments import segment_sides
 from blockwise.plans.jobs import segment_trend
 
@@ -171,3 +172,45 @@ def test_null_segment_id_and_all_matched(spark):
     for kw in ({}, {"bucket_width": 1}):
         got = spark_result(spark, matched_only, SEGMENTS, mode="pair", keep="records", **kw)
         assert None not in got, kw           # nothing unmatched: no null row
+
+
+def test_dyadic_cover_is_disjoint_and_whole(spark):
+    from blockwise.operators.range_join import dyadic_cover
+    rnd = random.Random(11)
+    ranges = [(0, 0), (5, 4), (0, 1023), (1, 1022), (7, 7)] + [(lo := rnd.randint(0, 3_000), lo + rnd.randint(-1, 3_000)) for _ in range(60)]
+    frame = spark.createDataFrame(ranges, "lo long, hi long").select("lo", "hi", dyadic_cover("lo", "hi").alias("n"))
+    for lo, hi, nodes in frame.collect():
+        held = [p for k, v in nodes or [] for p in range(v << k, (v + 1) << k)]
+        assert sorted(held) == list(range(lo, hi + 1)), (lo, hi)
+        assert len(nodes or []) <= 2 * max(1, (hi - lo + 1).bit_length())
+
+
+@pytest.mark.parametrize("compare", ["component", "lexicographic"])
+@pytest.mark.parametrize("keep", ["matched", "records", "segments"])
+def test_ranges_across_blocks_take_one_join(spark, compare, keep):
+    rnd = random.Random(5)
+
+    def bound():
+        return f"{rnd.randint(1, 40)}-{rnd.randint(0, 99):02d}"
+    segs = [(pid, rnd.choice(["A ST", "B ST"]), "C ST", 1, *sorted((bound(), bound())), *sorted((bound(), bound()))) for pid in range(40)]
+    recs = [(rnd.choice(["A ST", "B ST", "C ST"]), "NY", rnd.choice([bound(), f"{rnd.randint(1, 40)}-9999999", "12"]), rnd.randint(2015, 2019))
+            for _ in range(400)]
+    assert spark_result(spark, recs, segs, mode="pair", keep=keep, compare=compare) == brute(recs, segs, "pair", keep, compare)
+
+
+def test_one_join_and_no_square_on_a_long_street(spark):
+    """Cross-block ranges of one street meet their own positions, not the street."""
+    n = 3_000
+    sides = spark.range(n).selectExpr("id AS physical_id", "'LONG ST' AS street", "1 AS borough", "'odd' AS parity", "CAST(id AS INT) AS low_block",
+                                      "90 AS low_number", "CAST(id + 1 AS INT) AS high_block", "9 AS high_number")
+    recs = spark.range(n).selectExpr("'LONG ST' AS street", "1 AS borough", "'odd' AS parity", "CAST(id AS INT) AS block", "95 AS number", "1L AS count_2015")
+    out = attribute_to_segments(recs, sides, count_cols=["count_2015"], compare="lexicographic", broadcast=False)
+    assert out.count() == n and out.agg({"count_2015": "sum"}).first()[0] == n
+    plan = out._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Join ") == 1
+    join = next(line for line in plan.splitlines() if "Join " in line)
+    assert "node#" in join and "level#" in join
+    table, rows, levels = side_table(sides)
+    pairs = recs.crossJoin(spark.createDataFrame([(k,) for k in levels], "level int")).selectExpr("level", "shiftright(shiftleft(CAST(block AS BIGINT), 16), level) AS node") \
+        .join(table.select("level", "node"), ["level", "node"]).count()
+    assert rows <= 4 * n and pairs <= 8 * n
