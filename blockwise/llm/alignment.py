@@ -24,6 +24,7 @@ from __future__ import annotations
 import hashlib
 import re
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -32,11 +33,13 @@ from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import from_arrow_schema, to_arrow_type
 
 from . import chunks
-from .common import materialize
+from .common import materialize, tokenizer_pattern
 from .postings import Block, document_count, groups_of, incidences, occurrence_count, postings, record
 
 BATCH_CHARS = 2_000_000
 CACHE_CHUNKS = 200_000
+#: Longer chunks go to the tokenizer of A itself.
+QUICK_CHARS = 500
 #: Links of a group beyond which its ids are made distinct before they are paired.
 WIDE_GROUP = 1 << 12
 _UNEVEN = re.compile(r"\s | \s")
@@ -57,28 +60,58 @@ def ragged(starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
 
 
 class Tokens:
-    """One tokenizer: ids of many texts at once, and the bytes of each id."""
+    """One tokenizer: the ids of many texts one after another and how many each has, and the bytes of each id."""
 
     def __init__(self, encode, pieces: list[bytes]):
         self.encode, self.pieces = encode, pieces
         self.sizes = np.array([len(p) for p in pieces], np.int64)
 
+    def spell(self, ids: np.ndarray) -> bytes:
+        return b"".join(map(self.pieces.__getitem__, ids.tolist()))
+
+    def lengths(self, ids: np.ndarray, counts: np.ndarray) -> np.ndarray:
+        """The bytes of each text's tokens."""
+        ends = np.cumsum(counts)
+        total = np.r_[0, np.cumsum(self.sizes[ids])]
+        return total[ends] - total[ends - counts]
+
 
 def byte_level(path: str) -> Tokens:
-    """A: a byte-level ``tokenizers`` file; texts are given with their leading space."""
-    encoder = chunks.tokenizers_encoder(path, "<u2")
+    """A: a byte-level ``tokenizers`` file; texts are given with their leading space.
+
+    Chunks of ASCII that no white space ends go through ``tiktoken`` with the file's own vocabulary,
+    all in one call: its splitting and merging are the same there, and it ends a token where a
+    chunk ends.  The others go to the file's own tokenizer.
+    """
+    import tiktoken
     from tokenizers import Tokenizer
-    tok = Tokenizer.from_file(path)
+    encoder, tok = chunks.tokenizers_encoder(path, "<u2"), Tokenizer.from_file(path)
     byte_of = {letter: b for b, letter in enumerate(chunks._byte_letters())}
-    pieces = [bytes([byte_of[c] for c in tok.id_to_token(i)]) if all(c in byte_of for c in tok.id_to_token(i)) else tok.id_to_token(i).encode()
-              for i in range(tok.get_vocab_size())]
+    names = [tok.id_to_token(i) for i in range(tok.get_vocab_size())]
+    plain = [all(c in byte_of for c in x) and i not in tok.get_added_tokens_decoder() for i, x in enumerate(names)]
+    pieces = [bytes([byte_of[c] for c in x]) if p else x.encode() for x, p in zip(names, plain)]
+    ranks = {x: i for i, (x, p) in enumerate(zip(pieces, plain)) if p}
+    quick = tiktoken.Encoding("ascii", pat_str=tokenizer_pattern(), mergeable_ranks=ranks, special_tokens={})
 
-    def encode(texts: list[str]) -> list[np.ndarray]:
+    def encode(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         if len(encoder.cache) > CACHE_CHUNKS:
             encoder.cache.clear()
-        return [np.frombuffer(x, "<u2") for x in encoder.encode(texts)]
-
-    return Tokens(encode, pieces)
+        easy = np.array([t.isascii() and len(t) <= QUICK_CHARS and not t[-1].isspace() for t in texts], bool)
+        joined = [t for t, e in zip(texts, easy.tolist()) if e]
+        first = np.array(quick.encode_ordinary("".join(joined)), np.int64)
+        ends = np.searchsorted(np.cumsum(tokens.sizes[first]), np.cumsum([len(t) for t in joined]), "right")
+        rest = encoder.encode([t for t, e in zip(texts, easy.tolist()) if not e])
+        counts = np.zeros(len(texts), np.int64)
+        counts[easy] = np.diff(ends, prepend=0)
+        counts[~easy] = [len(x) // 2 for x in rest]
+        ids = np.r_[first, np.frombuffer(b"".join(rest), "<u2")]
+        starts = np.zeros(len(texts), np.int64)
+        starts[easy] = np.cumsum(counts[easy]) - counts[easy]
+        starts[~easy] = len(first) + np.cumsum(counts[~easy]) - counts[~easy]
+        return ids[ragged(starts, counts)], counts
+
+    tokens = Tokens(encode, pieces)
+    return tokens
 
 
 def sentence_pieces(path: str) -> Tokens:
@@ -88,8 +121,9 @@ def sentence_pieces(path: str) -> Tokens:
     names = [model.id_to_piece(i) for i in range(model.get_piece_size())]
     pieces = [bytes([int(x[3:5], 16)]) if model.is_byte(i) else x.replace("▁", " ").encode() for i, x in enumerate(names)]
 
-    def encode(texts: list[str]) -> list[np.ndarray]:
-        return [np.array(x, np.int64) for x in model.encode([t[1:] for t in texts], num_threads=1)]
+    def encode(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        found = model.encode([t[1:] for t in texts], num_threads=1)
+        return np.fromiter(chain.from_iterable(found), np.int64), np.array([len(x) for x in found], np.int64)
 
     return Tokens(encode, pieces)
 
@@ -111,10 +145,9 @@ class Aligned:
             setattr(self, name, np.r_[getattr(self, name), getattr(other, name)])
 
 
-def align(a_ids: list[np.ndarray], b_ids: list[np.ndarray], a: Tokens, b: Tokens) -> Aligned:
-    """Alignments of chunks whose tokens of A and of B spell the same bytes."""
-    n_a, n_b = np.array([len(x) for x in a_ids], np.int64), np.array([len(x) for x in b_ids], np.int64)
-    ia, ib = np.concatenate(a_ids).astype(np.int64), np.concatenate(b_ids).astype(np.int64)
+def align(a_ids: tuple[np.ndarray, np.ndarray], b_ids: tuple[np.ndarray, np.ndarray], a: Tokens, b: Tokens) -> Aligned:
+    """Alignments of chunks (ids and counts of both) whose tokens of A and of B spell the same bytes."""
+    (ia, n_a), (ib, n_b) = a_ids, b_ids
     end_a, end_b = np.cumsum(a.sizes[ia]), np.cumsum(b.sizes[ib])
     cuts = np.intersect1d(end_a, end_b, assume_unique=True)
     ga, gb = np.searchsorted(cuts, end_a), np.searchsorted(cuts, end_b)
@@ -165,29 +198,29 @@ class Aligner:
         self.number: dict[str, int] = {}
         self.known = Aligned()
 
-    def _spelt(self, texts: list[str], a_ids: list, b_ids: list) -> list[bool]:
+    def _spelt(self, texts: list[str], a_ids: tuple, b_ids: tuple) -> np.ndarray:
         """Whether the tokens of both spell each text."""
-        def joined(ids, pieces):
-            return b"".join([pieces[i] for x in ids for i in x.tolist()])
-
         raw = [t.encode("utf-8", "replace") for t in texts]
-        whole = b"".join(raw)
-        same = np.array([len(r) for r in raw]) == np.array([int(self.a.sizes[x].sum()) for x in a_ids])
-        if same.all() and joined(a_ids, self.a.pieces) == whole and joined(b_ids, self.b.pieces) == whole \
-                and all(len(r) == int(self.b.sizes[x].sum()) for r, x in zip(raw, b_ids)):
-            return [True] * len(texts)
-        return [joined([x], self.a.pieces) == r == joined([y], self.b.pieces) for r, x, y in zip(raw, a_ids, b_ids)]
+        whole, sizes = b"".join(raw), np.array([len(r) for r in raw], np.int64)
+        sides = [(self.a, *a_ids), (self.b, *b_ids)]
+        if all((tok.lengths(ids, n) == sizes).all() and tok.spell(ids) == whole for tok, ids, n in sides):
+            return np.ones(len(texts), bool)
+        ok = np.ones(len(texts), bool)
+        for tok, ids, n in sides:
+            ends = np.cumsum(n)
+            ok &= [tok.spell(ids[e - k:e]) == r for e, k, r in zip(ends.tolist(), n.tolist(), raw)]
+        return ok
 
     def _add(self, missing: list[str]) -> None:
         """Align new chunks; one that a tokenizer changes gets the number -1."""
         a_ids, b_ids = self.a.encode(missing), self.b.encode(missing)
         ok = self._spelt(missing, a_ids, b_ids)
-        good = [i for i, x in enumerate(ok) if x]
         base = len(self.known.texts)
-        self.number.update({t: -1 for t, x in zip(missing, ok) if not x})
-        self.number.update({missing[i]: base + k for k, i in enumerate(good)})
-        if good:
-            self.known.extend(align([a_ids[i] for i in good], [b_ids[i] for i in good], self.a, self.b))
+        self.number.update(zip(missing, np.where(ok, base + np.cumsum(ok) - 1, -1).tolist()))
+        if not ok.all():
+            a_ids, b_ids = ((ids[np.repeat(ok, n)], n[ok]) for ids, n in (a_ids, b_ids))
+        if ok.any():
+            self.known.extend(align(a_ids, b_ids, self.a, self.b))
 
     def documents(self, texts: list[str]) -> tuple[np.ndarray, list[bytes], np.ndarray, np.ndarray, np.ndarray]:
         """Counts (n_a, n_b, n_groups, n_links) and groups of each text, and (pair, text, links) of them all."""

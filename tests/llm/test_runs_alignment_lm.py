@@ -185,6 +185,17 @@ def test_wide_groups_pair_distinct_ids(monkeypatch):
         assert (one[0] == two[0]).all() and (one[1] == two[1]).all()
 
 
+def test_quick_ids_are_the_tokenizers_own():
+    from tokenizers import Tokenizer
+    rng, tok, a = random.Random(2), Tokenizer.from_file(A_FILE), alignment.byte_level(A_FILE)
+    tok.encode_special_tokens = True
+    texts = [" " + "".join(rng.choice("abcdefgtheTHE'sdrlv0123456789.,!?<|>_-\n\t\x0b\x1c \x00\x7f") for _ in range(rng.randint(1, 40))) for _ in range(4_000)]
+    chunks_ = [c for t in texts for c in alignment.cut(t[1:])]
+    ids, counts = a.encode(chunks_)
+    assert ids.tolist() == [i for c in chunks_ for i in tok.encode(c, add_special_tokens=False).ids]
+    assert counts.tolist() == [len(tok.encode(c, add_special_tokens=False).ids) for c in chunks_]
+
+
 def test_postings_round_trip():
     import pyarrow as pa
     rng = np.random.default_rng(5)
