@@ -31,8 +31,19 @@ HOUSE_NUMBER_GROUPS = r"^([0-9]+)(?:[ -]+([0-9]+))?\z"
 LENIENT_DATE_FORMATS = ("M/d/yyyy", "yyyy-MM-dd", "yyyy/M/d", "M-d-yyyy",
                         "yyyy-MM-dd HH:mm:ss", "M/d/yyyy H:mm", "M/d/yyyy H:mm:ss",
                         "MMM d yyyy", "MMM d, yyyy")
+# Month names, each also by its first three letters ("sept" as well).
+MONTH_NAMES = ("january", "february", "march", "april", "may", "june", "july", "august",
+               "september", "october", "november", "december")
+WEEKDAY_NAMES = ("monday", "tuesday", "wednesday", "thursday", "friday", "saturday", "sunday")
 # ---------------------------------------------------------------------------
 
+# Classes of a date text's tokens, one letter each: n number of one or two digits, y of four,
+# e of eight, x other numbers, M month, W weekday, P am/pm, T before a time, Z zone, O ordinal
+# ending, U anything else; a mark stands for itself.
+_TIME = "(,?T?(n:n(:n([.,][nyex])?)?P?|nP)(Z|[-+](n:n|y|n))?)?"
+_DATES = ("y[-/.]n[-/.]n", "n[-/.]n[-/.][ny]", "nO?[-/.]?M[.]?,?[-/.]?[ny]", "M[.]?[-/]?nO?,?[-/]?[ny]", "y[-/.]?M[.]?[-/.]?n", "e")
+DATE_SIGNATURE = f"^(W[.]?,?)?({'|'.join(_DATES)}){_TIME}$"
+
 HOUSE_MODES = ("pair", "concat_text", "concat_int")
 
 
@@ -84,6 +95,52 @@ def year_lenient(c: Column | str, formats: Sequence[str] = LENIENT_DATE_FORMATS)
     return F.year(F.coalesce(*[F.try_to_timestamp(_col(c), F.lit(f)) for f in formats]))
 
 
+def _sql_map(pairs: dict) -> str:
+    return "map(" + ", ".join(f"'{k}', {v!r}" for k, v in pairs.items()) + ")"
+
+
+def _let(value: str, name: str, body: str) -> str:
+    """SQL for ``body`` with ``name`` bound to ``value``, which is computed once."""
+    return f"transform(array({value}), {name} -> {body})[0]"
+
+
+def date_fields(c: str) -> Column:
+    """``struct<year, month, day>`` of a column of date text of any usual shape; other text -> null.
+
+    One pass cuts the text into numbers, words and marks and classes each; the classes in order
+    must be a date, after a weekday if any and before a time if any, and say which number is
+    which.  Read are year first (``2017-05-01``, ``2017/5/1``, ``20170501``), numbers ending in
+    the year (``1/5/2017``, ``1.5.17``), and month names before or after the day (``5 Jan 2017``,
+    ``January 5th, 2017``, ``05-May-17``), with times like ``T10:00``, ``10:00:30.5 PM``, ``10 pm``
+    and a zone behind.  Of two numbers before the year the first is the month, unless it is over
+    12 and the second is not.  Years of two digits: 00-68 are 2000-2068, 69-99 are 1969-1999.
+    The day must exist in the calendar.  The text is read once, however many shapes there are.
+    """
+    months = {n: i for i, m in enumerate(MONTH_NAMES, 1) for n in (m, m[:3])} | {"sept": 9}
+    words = {m: "M" for m in months} | {n: "W" for w in WEEKDAY_NAMES for n in (w, w[:3])}
+    words |= {"t": "T", "at": "T", "z": "Z", "utc": "Z", "gmt": "Z", "am": "P", "pm": "P", "st": "O", "nd": "O", "rd": "O", "th": "O"}
+    tokens = f"regexp_extract_all(lower(CAST(`{c}` AS STRING)), r'[a-z]+|[0-9]+|[^a-z0-9\\s]', 0)"
+    classes = ("transform(_t, _w -> CASE WHEN _w >= '0' AND _w < ':' THEN element_at(array('n', 'n', 'x', 'y', 'x', 'x', 'x', 'e', 'x'), least(length(_w), 9)) "
+               f"ELSE coalesce(try_element_at({_sql_map(words)}, _w), CASE WHEN _w IN ('-', '/', '.', ',', ':', '+') THEN _w ELSE 'U' END) END)")
+    fields = ("transform(filter(sequence(0, size(_t) - 1), _i -> _k[_i] IN ('n', 'y', 'M', 'e')), _i -> named_struct('c', _k[_i], "
+              f"'v', CASE WHEN _k[_i] = 'M' THEN try_element_at({_sql_map(months)}, _t[_i]) ELSE try_cast(_t[_i] AS INT) END))")
+    ordered = ("CASE WHEN _f[0].c = 'e' THEN named_struct('y', CAST(_f[0].v DIV 10000 AS INT), 'm', CAST(_f[0].v DIV 100 % 100 AS INT), 'd', _f[0].v % 100) "
+               "WHEN _f[0].c = 'y' THEN named_struct('y', _f[0].v, 'm', _f[1].v, 'd', _f[2].v) "
+               "WHEN _f[1].c = 'M' OR _f[0].c = 'n' AND _f[0].v > 12 AND _f[1].v <= 12 THEN named_struct('y', _f[2].v, 'm', _f[1].v, 'd', _f[0].v) "
+               "ELSE named_struct('y', _f[2].v, 'm', _f[0].v, 'd', _f[1].v) END")
+    year = "CASE WHEN _f[0].c IN ('n', 'M') AND _f[2].c = 'n' THEN _o.y + CASE WHEN _o.y < 69 THEN 2000 ELSE 1900 END ELSE _o.y END"
+    last = ("CASE WHEN _o.m IN (4, 6, 9, 11) THEN 30 WHEN _o.m <> 2 THEN 31 "
+            "WHEN _y % 4 = 0 AND (_y % 100 <> 0 OR _y % 400 = 0) THEN 29 ELSE 28 END")
+    real = f"CASE WHEN _y > 0 AND _o.m BETWEEN 1 AND 12 AND _o.d BETWEEN 1 AND {last} THEN named_struct('year', _y, 'month', _o.m, 'day', _o.d) END"
+    dated = _let(fields, "_f", _let(ordered, "_o", _let(year, "_y", real)))
+    return F.expr(_let(tokens, "_t", _let(classes, "_k", f"CASE WHEN array_join(_k, '') RLIKE '{DATE_SIGNATURE}' THEN {dated} END")))
+
+
+def year_any(c: str) -> Column:
+    """The year of a column of date text of any usual shape (see ``date_fields``)."""
+    return date_fields(c)["year"]
+
+
 def house_number_ok(c: Column | str) -> Column:
     """the trimmed text has an accepted house-number shape."""
     return F.trim(_col(c).cast("string")).rlike(HOUSE_NUMBER_PATTERN)

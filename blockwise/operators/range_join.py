@@ -26,7 +26,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
-from blockwise.functions.normalize import (LENIENT_DATE_FORMATS, code_lookup, parity, parse_house_number,
+from blockwise.functions.normalize import (code_lookup, parity, parse_house_number, year_any,
                                            year_from_text, year_lenient)
 from blockwise.operators.sizing import DEFAULT_BROADCAST_ROWS, maybe_broadcast
 from blockwise.scratch import stored
@@ -40,15 +40,17 @@ SIDE_BOUNDS = ("low_block", "low_number", "high_block", "high_number")
 NUMBER_BITS = 16
 
 
-def record_year(date: str, date_format: str | Sequence[str] = LENIENT_DATE_FORMATS) -> Column:
-    """Year of date text: one format, or the first of several that parses."""
+def record_year(date: str, date_format: str | Sequence[str] | None = None) -> Column:
+    """Year of date text: of any usual shape (default), in one format, or in the first of several that parses."""
+    if date_format is None:
+        return year_any(date)
     if isinstance(date_format, str):
         return year_from_text(F.col(date), date_format)
     return year_lenient(F.col(date), date_format)
 
 
 def count_bad_dates(df: DataFrame, date: str,
-                    date_format: str | Sequence[str] = LENIENT_DATE_FORMATS) -> DataFrame:
+                    date_format: str | Sequence[str] | None = None) -> DataFrame:
     """One row: n records, n_bad whose date text does not parse (null text counts)."""
     return df.agg(F.count(F.lit(1)).alias("n"),
                   F.count_if(record_year(date, date_format).isNull()).alias("n_bad"))
@@ -57,7 +59,7 @@ def count_bad_dates(df: DataFrame, date: str,
 def prepare_records(df: DataFrame, years: Sequence[int], *, mode: str = "pair",
                     street: str = "street_name", county: str = "county",
                     house: str = "house_no", year: str | None = "issue_year",
-                    date: str | None = None, date_format: str | Sequence[str] = LENIENT_DATE_FORMATS,
+                    date: str | None = None, date_format: str | Sequence[str] | None = None,
                     county_map: dict | None = None) -> DataFrame:
     """Clean raw records to (street, borough, parity, block, number, year).
 
@@ -82,7 +84,7 @@ def prepare_records(df: DataFrame, years: Sequence[int], *, mode: str = "pair",
 def count_raw_records(df: DataFrame, years: Sequence[int], *, street: str = "street_name",
                       county: str = "county", house: str = "house_no",
                       year: str | None = "issue_year", date: str | None = None,
-                      date_format: str | Sequence[str] = LENIENT_DATE_FORMATS) -> DataFrame:
+                      date_format: str | Sequence[str] | None = None) -> DataFrame:
     """Pre-aggregate raw records by their raw address text, one count per year.
 
     Runs before any text normalisation: partial aggregation map-side cuts

@@ -142,6 +142,19 @@ def date_year(spark, sf):
                     strict.between(min(YEARS), max(YEARS)).alias("in_window"))
 
 
+#: Shapes of date text that ``date_shapes`` writes the orders' dates in (Java patterns).
+DATE_SHAPES = ("M/d/yyyy", "yyyy-MM-dd'T'HH:mm", "d MMM yyyy", "MMMM d, yyyy", "M/d/yyyy h:mm a", "yyyyMMdd", "EEE, d MMMM yyyy HH:mm:ss", "MM/dd/yy")
+
+
+@query("date_shapes")
+def date_shapes(spark, sf):
+    """Year, month and day of dates written in eight shapes, one an order."""
+    o = TB.table(spark, sf, "orders").select("o_orderkey", F.col("o_orderdate").cast("timestamp").alias("t"))
+    text = F.element_at(F.array(*[F.date_format("t", p) for p in DATE_SHAPES]), (F.col("o_orderkey") % len(DATE_SHAPES) + 1).cast("int"))
+    d = o.select(F.col("o_orderkey").alias("record_id"), text.alias("issue_date"))
+    return d.select("record_id", "issue_date", N.date_fields("issue_date").alias("f")).select("record_id", "issue_date", "f.*")
+
+
 @query("safe_cast")
 def safe_cast(spark, sf):
     """Text -> int / double, null when it does not parse."""

@@ -275,6 +275,17 @@ SELECT record_id, issue_date, cast(year(try_strptime(issue_date, '%m/%d/%Y')) AS
     AS year_lenient,
   year(try_strptime(issue_date, '%m/%d/%Y')) BETWEEN 1996 AND 2000 AS in_window
 FROM d""",
+    "date_shapes": """SELECT o_orderkey AS record_id, CASE o_orderkey % 8
+    WHEN 0 THEN concat(month(o_orderdate), '/', day(o_orderdate), '/', year(o_orderdate))
+    WHEN 1 THEN strftime(o_orderdate, '%Y-%m-%dT%H:%M')
+    WHEN 2 THEN concat(day(o_orderdate), strftime(o_orderdate, ' %b %Y'))
+    WHEN 3 THEN concat(strftime(o_orderdate, '%B '), day(o_orderdate), strftime(o_orderdate, ', %Y'))
+    WHEN 4 THEN concat(month(o_orderdate), '/', day(o_orderdate), '/', year(o_orderdate), ' ', CASE WHEN hour(CAST(o_orderdate AS TIMESTAMP)) % 12 = 0 THEN 12 ELSE hour(CAST(o_orderdate AS TIMESTAMP)) % 12 END, strftime(o_orderdate, ':%M %p'))
+    WHEN 5 THEN strftime(o_orderdate, '%Y%m%d')
+    WHEN 6 THEN concat(strftime(o_orderdate, '%a, '), day(o_orderdate), strftime(o_orderdate, ' %B %Y %H:%M:%S'))
+    ELSE strftime(o_orderdate, '%m/%d/%y') END AS issue_date,
+  CAST(year(o_orderdate) AS INTEGER) AS year, CAST(month(o_orderdate) AS INTEGER) AS month, CAST(day(o_orderdate) AS INTEGER) AS day
+FROM orders""",
     "safe_cast": w(RECORDS) + "SELECT record_id, try_cast(house_no AS integer) AS house_int, "
                               "try_cast(house_no AS double) AS house_double FROM records_v",
     "house_concat_text": _house_q("concat_text"),
