@@ -29,6 +29,7 @@ def test_cases(spark):
     frame = spark.createDataFrame([(i, t) for i, (t, _) in enumerate(rows)], "i int, d string")
     got = {r["i"]: r["f"] and tuple(r["f"]) for r in frame.select("i", N.date_fields("d").alias("f")).collect()}
     assert {rows[i][0]: v for i, v in got.items()} == CASES
+    assert {rows[r["i"]][0]: r["y"] for r in frame.select("i", N.year_any("d").alias("y")).collect()} == {t: v and v[0] for t, v in CASES.items()}
     bad = count_bad_dates(frame, "d").first()
     assert (bad["n"], bad["n_bad"]) == (len(rows), sum(v is None for v in CASES.values()))
 
@@ -39,7 +40,9 @@ def test_every_day_and_no_other(spark, shape):
     days = [(rng.randint(1, 2100), rng.randint(1, 13), rng.randint(0, 33)) for _ in range(300)]
     names = ["?", *N.MONTH_NAMES, "nomonth"]
     frame = spark.createDataFrame([(k, shape.format(y=y, m=m, d=d, name=names[m])) for k, (y, m, d) in enumerate(days)], "k int, d string")
-    got = {r["k"]: r["f"] and tuple(r["f"]) for r in frame.select("k", N.date_fields("d").alias("f")).collect()}
+    both = frame.select("k", N.date_fields("d").alias("f"), N.year_any("d").alias("y")).collect()
+    assert all(r["y"] == (r["f"] and r["f"]["year"]) for r in both)
+    got = {r["k"]: r["f"] and tuple(r["f"]) for r in both}
     for k, (y, m, d) in enumerate(days):
         real = m <= 12 and 1 <= d <= calendar.monthrange(y, m)[1]
         if shape.startswith("{m}") and m == 13 and 1 <= d <= 12:
