@@ -26,6 +26,8 @@ def shared_dir(spark: SparkSession) -> str:
     if not path:
         path = sc.getCheckpointDir()
         if path is None:
+            if sc.master != "local" and not sc.master.startswith("local["):
+                raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
             path = tempfile.mkdtemp(prefix="blockwise-shared-")
             sc.setCheckpointDir(path)
     return path.rstrip("/")

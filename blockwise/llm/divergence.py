@@ -22,7 +22,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import slices
+from .common import materialize, slices
 
 COMMON_WORDS = 100
 MIN_CHAR_WORDS = 50      # words a document needs for the character-class distance to count
@@ -126,9 +126,8 @@ def references(docs: DataFrame, text_col: str, lang_col: str, common_words: int
             for text, lang in zip(batch["text"], batch["lang"]):
                 if not text:
                     continue
-                found = Counter(text.lower().split())
-                for w, n in found.items():
-                    words[lang, w.strip(STRIP)] += n
+                for w, n in Counter(text.encode("utf-8", "surrogatepass").split()).items():
+                    words[lang, w.decode("utf-8", "surrogatepass").lower().strip(STRIP)] += n
                 classes[lang] = classes.get(lang, 0) + class_counts(text)
                 if len(words) > FLUSH_WORDS:
                     yield flush()
@@ -139,6 +138,7 @@ def references(docs: DataFrame, text_col: str, lang_col: str, common_words: int
     known = docs.select(F.col(text_col).alias("text"), F.col(lang_col).cast("string").alias("lang")).filter("lang IS NOT NULL")
     counts = (known.mapInPandas(count, "lang string, kind string, key string, n long")
               .groupBy("lang", "kind", "key").agg(F.sum("n").alias("n")))
+    counts = materialize(counts, "reference-counts")  # read twice below
     top = Window.partitionBy("lang", "kind").orderBy(F.desc("n"), "key")
     rest = counts.groupBy("lang").agg(F.sum(F.when(F.col("kind") == "w", F.col("n"))).alias("words")).filter("words IS NOT NULL")
     kept = counts.filter("key <> ''").withColumn("place", F.row_number().over(top)).filter(F.col("place") <= max(common_words, len(CLASSES)))

@@ -246,3 +246,12 @@ def test_neighbours(spark, factor):
             assert [i for i, _ in by[q]] == want
     assert hits / total >= 0.9 and not set(by) & {2000, 2020, 2040, 2060, 2080, 2100, 2120}
     assert vptree.nearest(df.limit(0), "vec_id", "embedding", F.lit(True)).count() == 0
+
+
+def test_references_and_documents_split_words_alike(spark):
+    """Words end at the six ASCII spaces alone, in references and in documents."""
+    from blockwise.llm import divergence
+    text = "One\u00a0two three\x1cfour. \x0bFive\u2003six " * 3
+    refs = divergence.references(spark.createDataFrame([(1, text, "xx")], "doc_id long, text string, lang string"), "text", "lang")
+    counts = divergence.word_stats(text)[1]
+    assert dict(zip(refs["xx"][1], refs["xx"][2].tolist())) == counts
