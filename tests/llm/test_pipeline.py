@@ -34,6 +34,6 @@ def test_stages(spark, tmp_path):
 
 def test_one_query_per_operator():
     names = list(queries.queries())
-    assert [n.split("_")[0] for n in names] == [f"op{k}" for k in range(1, 11)]
+    assert [n.split("_")[0] for n in names] == [f"op{k}" for k in range(1, 14)]
     assert set(queries.oracle_sql()) <= set(names)
     assert "corpus_pipeline" in sys.modules
