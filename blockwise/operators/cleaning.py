@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -25,3 +25,8 @@ def split_rejects(df: DataFrame, valid: Column, flag: str = "rejected") -> DataF
     the same scan; nothing fails the job.
     """
     return df.withColumn(flag, ~F.coalesce(valid, F.lit(False)))
+
+
+def reject_reason(valid: Mapping[str, Column]) -> Column:
+    """the first name whose condition does not hold (null counts as failing), null for a clean row."""
+    return F.coalesce(*[F.when(~F.coalesce(ok, F.lit(False)), F.lit(name)) for name, ok in valid.items()])

@@ -13,7 +13,9 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from blockwise.operators.bloom import bloom_test
 from blockwise.operators.sizing import DEFAULT_BROADCAST_ROWS, maybe_broadcast
+from blockwise.scratch import stored
 
 # Terms of a frame are inlined as literals up to this many bytes in total; beyond
 # it (or when a term list grows with the data) texts meet them in a join.
@@ -56,8 +58,8 @@ def keyword_filter(df: DataFrame, text: str, terms: Sequence[str] | DataFrame,
     """Rows whose text contains at least one term.
 
     Literal terms and frames up to ``max_bytes`` are looked up in place (no
-    shuffle).  A longer frame is joined: the distinct tokens of each text meet
-    the terms, and rows keep by the hash pair of their text.
+    shuffle).  A longer frame is joined: the distinct tokens of each text that pass a
+    Bloom filter of the terms meet the terms, and rows keep by the hash pair of their text.
     """
     if isinstance(terms, DataFrame):
         inline = terms_from_frame(terms, max_bytes=max_bytes)
@@ -68,18 +70,28 @@ def keyword_filter(df: DataFrame, text: str, terms: Sequence[str] | DataFrame,
 
 
 def _keyword_join(df: DataFrame, text: str, terms: DataFrame) -> DataFrame:
-    """``keyword_filter`` for term frames of any size."""
+    """``keyword_filter`` for term frames of any size.
+
+    A Bloom filter of the terms is tested in the scan, so the tokens that are shuffled are
+    the hits and the filter's few errors; the join that follows is exact.
+    """
     taken = {c.lower() for c in df.columns}
     h1, h2 = (next(n for n in (f"{p}{'_' * k}" for k in range(1, 99)) if n not in taken) for p in ("th1", "th2"))
     hashes = {h1: F.xxhash64(F.col(text)), h2: F.xxhash64(F.lit(7), F.col(text))}
-    t = terms.select(F.col(terms.columns[0]).alias("_term")).where("_term IS NOT NULL").distinct()
-    found = df.where(F.col(text).isNotNull()).select(
-        F.explode(F.array_distinct(tokens(F.col(text)))).alias("_term"),
-        *[c.alias(n) for n, c in hashes.items()])
-    hits = found.join(t, "_term", "left_semi").select(h1, h2).distinct()
+    t = stored(terms.select(F.col(terms.columns[0]).alias("_term")).where("_term IS NOT NULL").distinct(), "terms")
+    hits = (candidate_tokens(df, text, hashes, t).join(t, "_term", "left_semi").select(h1, h2).distinct())
     return df.withColumns(hashes).join(hits, [h1, h2], "left_semi").select(*df.columns)
 
 
+def candidate_tokens(df: DataFrame, text: str, keys: dict[str, Column], terms: DataFrame) -> DataFrame:
+    """(``_term``, keys) of the distinct tokens of each text that pass the Bloom filter of ``terms``."""
+    # the keys are computed once a text, below the explode; the text itself ends there
+    each = df.where(F.col(text).isNotNull()).select(
+        *[c.alias(n) for n, c in keys.items()], F.array_distinct(tokens(F.col(text))).alias("_tokens"))
+    found = each.select(*keys, F.explode("_tokens").alias("_term"))
+    return found.where(bloom_test(terms)(F.col("_term")))
+
+
 def keyword_semi_join(df: DataFrame, text: str, terms: DataFrame, keep: Sequence[str],
                       term_col: str | None = None,
                       broadcast_rows: int | None = DEFAULT_BROADCAST_ROWS) -> DataFrame:

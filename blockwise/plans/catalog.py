@@ -18,7 +18,7 @@ from blockwise.operators import keywords as K
 from blockwise.operators import ranking as R
 from blockwise.operators import segments as S
 from blockwise.operators import trend as T
-from blockwise.operators.cleaning import drop_incomplete, fill_zero, split_rejects
+from blockwise.operators.cleaning import drop_incomplete, fill_zero, reject_reason, split_rejects
 from blockwise.operators.range_join import count_bad_dates, count_columns, prepare_records
 from blockwise.operators.quadtree import QuadIndex
 from blockwise.operators.spatial import ZoneIndex
@@ -266,6 +266,14 @@ def reject_split(spark, sf):
     return flagged.groupBy("rejected").agg(F.count(F.lit(1)).alias("n"))
 
 
+@query("reject_reasons")
+def reject_reasons(spark, sf):
+    """every record that a job would drop, with the first rule it breaks."""
+    reason = reject_reason({"street": F.col("street_name").isNotNull(), "county": N.code_lookup("county").isNotNull(),
+                            "house": N.parse_house_number("house_no", "pair").isNotNull()})
+    return TB.records(spark, sf).select("record_id", reason.alias("reason")).where("reason IS NOT NULL")
+
+
 # --------------------------------------------------------------------------
 # Segment fan-out
 # --------------------------------------------------------------------------
@@ -410,6 +418,14 @@ def topk_per_group(spark, sf):
     return _ranked(spark, sf).select("group_name", "rank", "zone_name", "n")
 
 
+@query("topk_salted")
+def topk_salted(spark, sf):
+    """The 5 largest orders of each priority, ranked within salts first."""
+    o = TB.table(spark, sf, "orders").select("o_orderpriority", "o_orderkey", F.round(F.col("o_totalprice") * 100).cast("bigint").alias("cents"))
+    ranked = R.top_k(o, "o_orderpriority", k=5, order=[F.col("cents").desc(), F.col("o_orderkey").asc()], salts=16)
+    return ranked.select("o_orderpriority", "rank", "o_orderkey", "cents")
+
+
 @query("topk_nested")
 def topk_nested(spark, sf):
     """The ranked lists nested per borough (shown as joined text)."""

@@ -7,6 +7,7 @@
     python -m blockwise.plans.cli zone-count TRIPS ZONES [--swap-xy]
 
 Inputs are the raw files (directories allowed); polygon layers are GeoJSON.
+``--rejects OUT`` also writes the rows that a job cannot read, with file, record and reason.
 ``--project`` reprojects lon/lat layers and points to EPSG:2263 feet first.
 Results are written by the executors (CSV or text lines); the zone count,
 a handful of rows, is printed.
@@ -24,7 +25,7 @@ from blockwise import sinks
 from blockwise.operators.spatial import ZoneIndex, project_edges, project_points
 from blockwise.plans import jobs
 from blockwise.session import get_session
-from blockwise.sources import files
+from blockwise.sources import files, rejects
 
 
 def _layer(spark, path, attr, project):
@@ -38,6 +39,19 @@ def _points(df, lon, lat, x, y, project):
     return df.withColumn(x, F.col(lon)).withColumn(y, F.col(lat))
 
 
+def _keep_rejects(spark: SparkSession, a) -> None:
+    """The dropped rows of a job's records, beside its result."""
+    if a.job == "segment-trend":
+        years = range(a.years[0], a.years[1] + 1)
+        rejected = rejects.violation_rejects(spark, a.violations, years, mode=a.mode)
+    elif a.job == "keyword-rate":
+        rejected = rejects.tweet_rejects(spark, a.tweets)
+    else:
+        positions = files.TRIP_POSITIONS if a.job == "zone-pairs" else rejects.PICKUP_POSITIONS
+        rejected = rejects.trip_rejects(spark, a.trips, positions=positions)
+    sinks.write_rejects(rejected, a.rejects)
+
+
 def segment_trend(spark: SparkSession, a) -> None:
     years = list(range(a.years[0], a.years[1] + 1))
     out = jobs.segment_trend(files.read_violations(spark, a.violations),
@@ -80,6 +94,7 @@ def parser() -> argparse.ArgumentParser:
     p = argparse.ArgumentParser(prog="blockwise")
     p.add_argument("--master", default=None, help="Spark master (default: the cluster's)")
     p.add_argument("--project", action="store_true", help="reproject lon/lat to EPSG:2263")
+    p.add_argument("--rejects", default=None, help="folder for the rows that cannot be read")
     sub = p.add_subparsers(dest="job", required=True)
     s = sub.add_parser("segment-trend")
     s.add_argument("violations"), s.add_argument("centerline"), s.add_argument("out")
@@ -112,6 +127,8 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> No
     if spark is None:
         spark = get_session(a.master) if a.master else SparkSession.builder.getOrCreate()
     RUNNERS[a.job](spark, a)
+    if a.rejects:
+        _keep_rejects(spark, a)
 
 
 if __name__ == "__main__":

@@ -321,6 +321,11 @@ FROM orders""",
     + " FROM (" + trend_sql("concat_text", "segments", null_policy="zero_slope") + ") t",
     "reject_split": w(RECORDS) + f"SELECT NOT coalesce({_ok_pair[0]} AND {county_case('county')} "
                                  f"IS NOT NULL, false) AS rejected, count(*) AS n FROM records_v GROUP BY 1",
+    "reject_reasons": w(RECORDS) + f"SELECT record_id, reason FROM (SELECT record_id, CASE WHEN street_name IS NULL THEN 'street' "
+                                   f"WHEN {county_case('county')} IS NULL THEN 'county' WHEN NOT coalesce({_ok_pair[0]}, false) THEN 'house' END "
+                                   f"AS reason FROM records_v) t WHERE reason IS NOT NULL",
+    "topk_salted": "SELECT o_orderpriority, cast(row_number() OVER (PARTITION BY o_orderpriority ORDER BY cents DESC, o_orderkey) AS integer) AS rank, "
+                   "o_orderkey, cents FROM (SELECT o_orderpriority, o_orderkey, cast(round(o_totalprice * 100) AS bigint) AS cents FROM orders) t QUALIFY rank <= 5",
     "segment_sides": w(SEGMENTS, segment_sides_sql("pair", names=("st_name",), distinct=False))
     + "SELECT physical_id, side, street, borough, parity, low_number, high_number FROM sides",
     "segment_alias_explode": w(SEGMENTS, segment_sides_sql("pair", distinct=False))

@@ -114,3 +114,37 @@ def test_term_test_equals_token_sets(spark, texts, terms):
     assert short == want
     many = terms + [f"zz{i}" for i in range(40)]
     assert {r["id"] for r in df.where(K.has_any_term("text", many)).collect()} == want
+
+
+def test_bloom_filter_keeps_all_keys_and_few_others(spark):
+    from blockwise.operators.bloom import bloom_test, filter_words
+    keys = spark.range(20_000).select(F.concat(F.lit("w"), "id").alias("k"))
+    values = spark.range(40_000).select("id", F.concat(F.lit("w"), "id").alias("v"))
+    passed = values.where(bloom_test(keys)(F.col("v")))
+    assert passed.where("id < 20000").count() == 20_000
+    assert passed.where("id >= 20000").count() < 600          # 1.2 % expected: 240
+    assert filter_words(10**12) * 8 == 8 << 20                # bounded, whatever the number of keys
+    tight = values.where(bloom_test(keys, max_bytes=1024)(F.col("v")))
+    assert tight.where("id < 20000").count() == 20_000        # a full filter only lets more pass
+    assert values.where(bloom_test(keys.limit(0))(F.col("v"))).count() == 0
+
+
+def test_long_list_shuffles_hits_only(spark):
+    posts = spark.range(2_000).select("id", F.concat_ws(" ", F.transform(F.sequence(F.lit(0), F.lit(49)), lambda i: F.concat(F.lit("t"), F.col("id") * 50 + i))).alias("text"))
+    terms = spark.range(0, 100_000, 1_000).select(F.concat(F.lit("t"), "id").alias("term"))
+    tokens = K.candidate_tokens(posts, "text", {"id": F.col("id")}, terms)
+    assert 100 <= tokens.count() < 100 + 100_000 * 0.03
+    got = K.keyword_filter(posts, "text", terms, max_bytes=0)
+    assert sorted(r["id"] for r in got.collect()) == list(range(0, 2_000, 20))
+
+
+def test_salted_top_k_equals_the_plain_one(spark):
+    rows = spark.range(3_000).select(F.when(F.col("id") % 3 < 2, "hot").otherwise(F.concat(F.lit("g"), F.col("id") % 7)).alias("g"),
+                                     F.concat(F.lit("z"), "id").alias("zone_name"), (F.col("id") % 11).alias("n"), F.lit("x").alias("salt"))
+    order = [F.col("n").desc(), F.col("zone_name").asc()]
+    for k in (1, 3, 1500):
+        plain, salted = (R.top_k(rows, "g", k=k, order=order, salts=s) for s in (0, 8))
+        assert salted.columns == plain.columns
+        assert sorted(map(tuple, salted.collect())) == sorted(map(tuple, plain.collect()))
+    plan = salted._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("row_number") >= 2 and "salt" in plan
