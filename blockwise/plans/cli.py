@@ -8,6 +8,7 @@
 
 Inputs are the raw files (directories allowed); polygon layers are GeoJSON.
 ``--rejects OUT`` also writes the rows that a job cannot read, with file, record and reason.
+``--split-layers`` reads each polygon layer by many tasks, for layers beyond one task's memory.
 ``--project`` reprojects lon/lat layers and points to EPSG:2263 feet first.
 Results are written by the executors (CSV or text lines); the zone count,
 a handful of rows, is printed.
@@ -25,11 +26,12 @@ from blockwise import sinks
 from blockwise.operators.spatial import ZoneIndex, project_edges, project_points
 from blockwise.plans import jobs
 from blockwise.session import get_session
-from blockwise.sources import files, rejects
+from blockwise.sources import files, geojson, rejects
 
 
-def _layer(spark, path, attr, project):
-    e = files.read_geojson_edges(spark, path, [attr]).withColumnRenamed(attr, "zone_name")
+def _layer(spark, path, attr, project, split=False):
+    source = geojson if split else files
+    e = source.read_geojson_edges(spark, path, [attr]).withColumnRenamed(attr, "zone_name")
     return project_edges(e) if project else e
 
 
@@ -62,8 +64,8 @@ def segment_trend(spark: SparkSession, a) -> None:
 
 
 def zone_pairs(spark: SparkSession, a) -> None:
-    ix = ZoneIndex.build_many({"b": _layer(spark, a.boroughs, a.borough_attr, a.project),
-                               "n": _layer(spark, a.neighborhoods, a.neighborhood_attr, a.project)})
+    ix = ZoneIndex.build_many({"b": _layer(spark, a.boroughs, a.borough_attr, a.project, a.split_layers),
+                               "n": _layer(spark, a.neighborhoods, a.neighborhood_attr, a.project, a.split_layers)})
     t = files.read_trips(spark, a.trips)
     t = _points(t, "pickup_lon", "pickup_lat", "px", "py", a.project)
     t = _points(t, "dropoff_lon", "dropoff_lat", "dx", "dy", a.project)
@@ -71,10 +73,10 @@ def zone_pairs(spark: SparkSession, a) -> None:
 
 
 def keyword_rate(spark: SparkSession, a) -> None:
-    rings = files.read_geojson_rings(spark, a.tracts, [a.tract_attr, a.population_attr])
+    rings = (geojson if a.split_layers else files).read_geojson_rings(spark, a.tracts, [a.tract_attr, a.population_attr])
     population = rings.select("zone_id", F.col(a.population_attr).try_cast("double")
                               .alias("population"))
-    zones = ZoneIndex(_layer(spark, a.tracts, a.tract_attr, a.project))
+    zones = ZoneIndex(_layer(spark, a.tracts, a.tract_attr, a.project, a.split_layers))
     posts = _points(files.read_tweets(spark, a.tweets), "lon", "lat", "x", "y", a.project)
     rates = jobs.keyword_rate(posts, zones, population, files.read_word_lists(spark, a.terms))
     # A tract may be stored as several features: one line per tract and population.
@@ -85,7 +87,7 @@ def keyword_rate(spark: SparkSession, a) -> None:
 def zone_count(spark: SparkSession, a) -> None:
     lon, lat = ("pickup_lat", "pickup_lon") if a.swap_xy else ("pickup_lon", "pickup_lat")
     pts = _points(files.read_trips(spark, a.trips), lon, lat, "x", "y", a.project)
-    zones = ZoneIndex(_layer(spark, a.zones, a.zone_attr, a.project))
+    zones = ZoneIndex(_layer(spark, a.zones, a.zone_attr, a.project, a.split_layers))
     for r in jobs.zone_count(pts, zones, x="x", y="y").orderBy("zone_name").collect():
         print(f"{r['zone_name']},{r['n']}")
 
@@ -94,6 +96,7 @@ def parser() -> argparse.ArgumentParser:
     p = argparse.ArgumentParser(prog="blockwise")
     p.add_argument("--master", default=None, help="Spark master (default: the cluster's)")
     p.add_argument("--project", action="store_true", help="reproject lon/lat to EPSG:2263")
+    p.add_argument("--split-layers", action="store_true", help="read each GeoJSON file by many tasks")
     p.add_argument("--rejects", default=None, help="folder for the rows that cannot be read")
     sub = p.add_subparsers(dest="job", required=True)
     s = sub.add_parser("segment-trend")

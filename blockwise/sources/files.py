@@ -82,6 +82,25 @@ _POLYGON = "array<array<array<double>>>"
 _MULTIPOLYGON = "array<array<array<array<double>>>>"
 
 
+def feature_schema(attrs: Sequence[str]) -> StructType:
+    """A feature's properties as text and its geometry with the coordinates as raw JSON text."""
+    props = StructType([StructField(a, StringType()) for a in attrs])
+    geom = StructType([StructField("type", StringType()), StructField("coordinates", StringType())])
+    return StructType([StructField("properties", props), StructField("geometry", geom)])
+
+
+def decode_feature(features: DataFrame, attrs: Sequence[str]) -> DataFrame:
+    """zone_id, ``attrs`` and rings from ``features`` (zone_id, f of ``feature_schema``)."""
+    gtype, coords = F.col("f.geometry.type"), F.col("f.geometry.coordinates")
+    rings = (F.when(gtype == "Polygon", F.from_json(coords, _POLYGON))
+             .when(gtype == "MultiPolygon", F.flatten(F.from_json(coords, _MULTIPOLYGON))))
+    as_xy = F.transform(rings, lambda ring: F.transform(
+        ring, lambda p: F.struct(p[0].alias("x"), p[1].alias("y"))))
+    return features.select(F.col("zone_id").cast("long").alias("zone_id"),
+                           *[F.col(f"f.properties.{a}").alias(a) for a in attrs],
+                           as_xy.alias("rings"))
+
+
 def read_geojson_rings(spark: SparkSession, path: str, attrs: Sequence[str]) -> DataFrame:
     """A GeoJSON FeatureCollection -> one row per feature.
 
@@ -91,10 +110,7 @@ def read_geojson_rings(spark: SparkSession, path: str, attrs: Sequence[str]) ->
     part (outer rings and holes alike).  Coordinates are read as raw JSON
     text and decoded per geometry type.
     """
-    props = StructType([StructField(a, StringType()) for a in attrs])
-    geom = StructType([StructField("type", StringType()), StructField("coordinates", StringType())])
-    feature = StructType([StructField("properties", props), StructField("geometry", geom)])
-    schema = StructType([StructField("features", ArrayType(feature))])
+    schema = StructType([StructField("features", ArrayType(feature_schema(attrs)))])
     raw = spark.read.schema(schema).option("multiLine", True).json(path)
     # Files are numbered in name order; a lone file's ids are its feature positions.
     named = raw.select(F.input_file_name().alias("_file"), F.posexplode("features").alias("_pos", "f"))
@@ -102,14 +118,7 @@ def read_geojson_rings(spark: SparkSession, path: str, attrs: Sequence[str]) ->
     files = raw.select(F.input_file_name().alias("_file")).distinct().select(
         "_file", (F.row_number().over(order) - 1).cast("long").alias("_number"))
     f = named.join(files, "_file").withColumn("zone_id", F.col("_number") * (1 << 32) + F.col("_pos"))
-    gtype, coords = F.col("f.geometry.type"), F.col("f.geometry.coordinates")
-    rings = (F.when(gtype == "Polygon", F.from_json(coords, _POLYGON))
-             .when(gtype == "MultiPolygon", F.flatten(F.from_json(coords, _MULTIPOLYGON))))
-    as_xy = F.transform(rings, lambda ring: F.transform(
-        ring, lambda p: F.struct(p[0].alias("x"), p[1].alias("y"))))
-    return f.select(F.col("zone_id").cast("long").alias("zone_id"),
-                    *[F.col(f"f.properties.{a}").alias(a) for a in attrs],
-                    as_xy.alias("rings"))
+    return decode_feature(f, attrs)
 
 
 def read_geojson_edges(spark: SparkSession, path: str, attrs: Sequence[str]) -> DataFrame:
