@@ -7,7 +7,7 @@ vocabulary and aggregates the bytes in order.  Spark partitions the texts; DuckD
 single-threaded in the worker's memory, a bounded slice of rows at a time.
 
 Nulls and edges: a null text is an empty text and has no ids; a text or a match of any
-length is encoded whole (a long match takes several bounded recursions); rows are
+length is encoded whole; rows are
 independent, so ties and repeated rows need nothing; an empty table gives no rows.
 """
 
@@ -25,27 +25,27 @@ from pyspark.sql import functions as F
 from . import chunks
 from .common import slices
 
-BATCH_CHARS = 2_000_000
-BATCH_POSITIONS = 150_000
-BATCH_TOKENS = 500_000
-DEPTH = 48
-MEMORY = "384MB"
+BATCH_CHARS = 1_000_000
+BATCH_POSITIONS = 100_000
+BATCH_TOKENS = 100_000
+CACHE_CHUNKS = 450_000
+MEMORY = "256MB"
 
-_ENCODE = f"""
-WITH RECURSIVE step(depth, word, pos, id) AS (
-  SELECT 0, word, pos, id FROM state
+#: The recursion's table holds one row a position, replaced at each contraction; a position that is merged away gets -1.
+_ENCODE = """
+WITH RECURSIVE step(word, pos, id) USING KEY (word, pos) AS (
+  SELECT word, pos, id FROM state
   UNION ALL
   (WITH p AS MATERIALIZED (
-     SELECT depth, word, pos, id, lead(id) OVER w AS next_id, lead(pos) OVER w AS next_pos
-     FROM step WINDOW w AS (PARTITION BY word ORDER BY pos)),
+     SELECT word, pos, id, lead(id) OVER w AS next_id, lead(pos) OVER w AS next_pos
+     FROM step WHERE id >= 0 WINDOW w AS (PARTITION BY word ORDER BY pos)),
    hit AS (
      SELECT p.word, min(m.merged * 4294967296 + p.pos) AS best, arg_min(p.next_pos, m.merged * 4294967296 + p.pos) AS gone
      FROM p JOIN merges m ON m.a = p.id AND m.b = p.next_id GROUP BY p.word)
-   SELECT p.depth + 1, p.word, p.pos, CASE WHEN p.pos = hit.best % 4294967296 THEN hit.best // 4294967296 ELSE p.id END
-   FROM p JOIN hit ON p.word = hit.word WHERE p.pos <> hit.gone AND p.depth < {DEPTH})
+   SELECT p.word, p.pos, CASE WHEN p.pos = hit.best % 4294967296 THEN hit.best // 4294967296 WHEN p.pos = hit.gone THEN -1 ELSE p.id END
+   FROM p JOIN hit ON p.word = hit.word)
 )
-SELECT word, pos, id, depth FROM (SELECT *, max(depth) OVER (PARTITION BY word) AS last FROM step) WHERE depth = last
-ORDER BY word, pos
+SELECT word, pos, id FROM step WHERE id >= 0 ORDER BY word, pos
 """
 
 _DECODE = """
@@ -60,62 +60,70 @@ def read_ranks(path: str) -> dict[bytes, int]:
 
 
 class Bpe:
-    """A worker's DuckDB connection with the merge table and the vocabulary, and its cache of chunks."""
+    """A worker's DuckDB connection, its merge table or vocabulary, made at the first use of each, and its cache of chunks."""
 
     def __init__(self, path: str, pattern: str):
         import duckdb
         import regex
-        self.ranks, self.pattern = read_ranks(path), regex.compile(pattern)
+        self.path, self.pattern = path, regex.compile(pattern)
         self.con = duckdb.connect(":memory:", config={"threads": "1", "memory_limit": MEMORY, "temp_directory": ""})
-        self.byte_ids = np.array([self.ranks[bytes([b])] for b in range(256)], np.int64)
-        pairs = [(self.ranks[token[:i]], self.ranks[token[i:]], rank) for token, rank in self.ranks.items()
-                 for i in range(1, len(token)) if token[:i] in self.ranks and token[i:] in self.ranks]
-        self._table("merge_pairs", dict(zip(("a", "b", "merged"), np.array(pairs, np.int64).reshape(-1, 3).T)))
-        self._table("pieces", {"id": np.array(list(self.ranks.values()), np.int64), "hex": [t.hex() for t in self.ranks]})
-        self.con.execute("CREATE TABLE merges AS SELECT * FROM merge_pairs")
-        self.con.execute("CREATE TABLE vocabulary AS SELECT * FROM pieces")
-        for view in ("merge_pairs", "pieces"):
-            self.con.unregister(view)
-        self.words: dict[str, bytes] = {}
-        self.encoder = chunks.ChunkEncoder(self._encode_chunks, "<u4")
+        self.byte_ids: np.ndarray | None = None
+        self.decodes = False
+        self.encoder = chunks.ChunkEncoder(self._encode_chunks, "<u4", cache_chunks=CACHE_CHUNKS)
+
+    def _ready_to_encode(self) -> None:
+        if self.byte_ids is None:
+            ranks = read_ranks(self.path)
+            pairs = [(ranks[token[:i]], ranks[token[i:]], rank) for token, rank in ranks.items()
+                     for i in range(1, len(token)) if token[:i] in ranks and token[i:] in ranks]
+            self._keep("merges", dict(zip(("a", "b", "merged"), np.array(pairs, np.int64).reshape(-1, 3).T)))
+            self.byte_ids = np.array([ranks[bytes([b])] for b in range(256)], np.int64)
+
+    def _ready_to_decode(self) -> None:
+        if not self.decodes:
+            ranks = read_ranks(self.path)
+            self._keep("vocabulary", {"id": np.array(list(ranks.values()), np.int64), "hex": [t.hex() for t in ranks]})
+            self.decodes = True
+
+    def _keep(self, name: str, columns: dict) -> None:
+        self._table("given", columns)
+        self.con.execute(f"CREATE TABLE {name} AS SELECT * FROM given")
+        self.con.unregister("given")
 
     def _table(self, name: str, columns: dict) -> None:
         self.con.register(name, pa.table(columns))
 
     def encode_words(self, words: list[str]) -> list[np.ndarray]:
         """Ids of each word by the recursive query; the words of one call share it."""
+        self._ready_to_encode()
         raw = [w.encode("utf-8", "replace") for w in words]
-        found: list = [None] * len(raw)
+        found: list = [np.zeros(0, np.int64)] * len(raw)
         for lo, hi in slices([len(x) for x in raw], BATCH_POSITIONS):
             sizes = np.array([len(x) for x in raw[lo:hi]], np.int64)
-            ids = self.byte_ids[np.frombuffer(b"".join(raw[lo:hi]), np.uint8)]
             word = np.repeat(np.arange(hi - lo, dtype=np.int64), sizes)
-            while len(word):
-                pos = np.arange(len(word), dtype=np.int64) - np.searchsorted(word, word)
-                self._table("state", {"word": word, "pos": pos, "id": ids})
-                out = self.con.execute(_ENCODE).fetchnumpy()
-                word, ids, open_ = out["word"], out["id"], out["depth"] >= DEPTH
-                starts = np.flatnonzero(np.r_[True, word[1:] != word[:-1]])
-                for a, b in zip(starts, np.r_[starts[1:], len(word)]):
-                    if not open_[a]:
-                        found[lo + int(word[a])] = np.array(ids[a:b], np.int64)
-                word, ids = np.asarray(word[open_], np.int64), np.asarray(ids[open_], np.int64)
-        return [np.zeros(0, np.int64) if x is None else x for x in found]
+            if not len(word):
+                continue
+            pos = np.arange(len(word), dtype=np.int64) - np.repeat(np.cumsum(sizes) - sizes, sizes)
+            ids = self.byte_ids[np.frombuffer(b"".join(raw[lo:hi]), np.uint8)]
+            self._table("state", {"word": word, "pos": pos, "id": ids})
+            out = self.con.execute(_ENCODE).fetchnumpy()
+            starts = np.flatnonzero(np.diff(out["word"], prepend=-1))
+            for w, part in zip(out["word"][starts].tolist(), np.split(out["id"].astype("<u4"), starts[1:])):
+                found[lo + w] = part
+        return found
 
     def _encode_chunks(self, parts: list[str]) -> list[np.ndarray]:
-        if len(self.words) > chunks.CACHE_CHUNKS:
-            self.words.clear()
         split = [self.pattern.findall(x) for x in parts]
-        new = list({w for ws in split for w in ws if w not in self.words})
-        for w, ids in zip(new, self.encode_words(new)):
-            self.words[w] = ids.astype("<u4").tobytes()
-        return [np.frombuffer(b"".join(map(self.words.__getitem__, ws)), "<u4") for ws in split]
+        new = list({w for ws in split for w in ws})
+        words = {w: ids.astype("<u4").tobytes() for w, ids in zip(new, self.encode_words(new))}
+        return [np.frombuffer(b"".join(map(words.__getitem__, ws)), "<u4") for ws in split]
 
     def encode(self, texts: list[str]) -> list[bytes]:
         return self.encoder.encode(texts)
 
     def decode(self, blobs: list[bytes]) -> list[bytes]:
         """The bytes of each row of ids (u32 little-endian), by ordered aggregation."""
+        self._ready_to_decode()
         sizes = np.array([len(b) // 4 for b in blobs], np.int64)
         doc = np.repeat(np.arange(len(blobs), dtype=np.int32), sizes)
         ids = np.frombuffer(b"".join(blobs), "<u4").astype(np.int32)

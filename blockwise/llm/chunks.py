@@ -37,8 +37,10 @@ class ChunkEncoder:
     them), since the pre-tokenizers cut between these.
     """
 
-    def __init__(self, encode_many: Callable[[list[str]], list], dtype: str, encode_word: Callable[[str], list] | None = None):
+    def __init__(self, encode_many: Callable[[list[str]], list], dtype: str, encode_word: Callable[[str], list] | None = None,
+                 cache_chunks: int = CACHE_CHUNKS):
         """``encode_word``: a quicker way for words of Latin letters alone, with or without a space before."""
+        self.cache_chunks = cache_chunks
         self.encode_many, self.encode_word, self.dtype = encode_many, encode_word, np.dtype(dtype)
         self.cache: dict[str, bytes] = {}
 
@@ -83,7 +85,7 @@ class ChunkEncoder:
         return "H" if self.dtype.itemsize == 2 else "I"
 
     def encode(self, texts: list[str]) -> list[bytes]:
-        if len(self.cache) > CACHE_CHUNKS:
+        if len(self.cache) > self.cache_chunks:
             self.cache.clear()
         split = [split_chunks(t) for t in texts]
         missing: set[str] = set()
