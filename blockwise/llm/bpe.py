@@ -49,7 +49,7 @@ SELECT word, pos, id FROM step WHERE id >= 0 ORDER BY word, pos
 """
 
 _DECODE = """
-SELECT t.doc, string_agg(v.hex, '' ORDER BY t.pos) AS hex
+SELECT t.doc, array_to_string(list(v.hex ORDER BY t.pos), '') AS hex
 FROM tokens t JOIN vocabulary v ON v.id = t.id GROUP BY t.doc
 """
 
@@ -167,3 +167,18 @@ def decode(ids: Column, path: str, pattern: str) -> Column:
             yield pd.Series([x for lo, hi in slices([len(b) // 4 for b in blobs], BATCH_TOKENS) for x in bpe.decode(blobs[lo:hi])], dtype=object)
 
     return apply(ids)
+
+
+def transcode(text: Column, path: str, pattern: str) -> Column:
+    """struct(ids, decoded): ``encode`` and ``decode`` of its ids by one worker, which spares the memory of a second."""
+
+    @F.pandas_udf("ids binary, decoded binary")
+    def apply(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+        bpe = worker(path, pattern)
+        for batch in batches:
+            texts = ["" if t is None else t for t in batch]
+            ids = [x for lo, hi in slices([len(t) for t in texts], BATCH_CHARS) for x in bpe.encode(texts[lo:hi])]
+            decoded = [x for lo, hi in slices([len(b) // 4 for b in ids], BATCH_TOKENS) for x in bpe.decode(ids[lo:hi])]
+            yield pd.DataFrame({"ids": ids, "decoded": decoded}, dtype=object)
+
+    return apply(text)

@@ -86,9 +86,9 @@ UNION ALL SELECT doc_id, text, 0, 0 FROM documents WHERE text IS NULL
 
 def op4_recursive_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     path, pattern = tokenizer_file("byte_bpe_50k.tiktoken"), tokenizer_pattern()
-    ids = _table(spark, sf_dir, "documents").select("doc_id", bpe.encode(F.col("text"), path, pattern).alias("ids"))
-    return ids.select("doc_id", (F.octet_length("ids") / 4).cast("long").alias("n_tokens"), F.sha2("ids", 256).alias("ids_sha256"),
-                      F.sha2(bpe.decode(F.col("ids"), path, pattern), 256).alias("decoded_sha256"))
+    both = _table(spark, sf_dir, "documents").select("doc_id", bpe.transcode(F.col("text"), path, pattern).alias("t"))
+    return both.select("doc_id", (F.octet_length("t.ids") / 4).cast("long").alias("n_tokens"), F.sha2("t.ids", 256).alias("ids_sha256"),
+                       F.sha2("t.decoded", 256).alias("decoded_sha256"))
 
 
 def op5_ecoc_language(spark: SparkSession, sf_dir: str) -> DataFrame:

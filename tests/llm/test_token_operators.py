@@ -78,6 +78,10 @@ def test_bpe_equals_the_library_and_decodes(odd_docs):
         text = r["text"] or ""
         assert np.frombuffer(r["ids"], "<u4").tolist() == tiktoken_encode(text)
         assert bytes(r["back"]) == text.encode()
+    both = odd_docs.select("text", bpe.transcode(F.col("text"), path, pattern).alias("t")).select("text", "t.*")
+    for r in both.collect():
+        text = r["text"] or ""
+        assert np.frombuffer(r["ids"], "<u4").tolist() == tiktoken_encode(text) and bytes(r["decoded"]) == text.encode()
 
 
 def test_bpe_on_noise():
