@@ -3,7 +3,8 @@
 Fixed patterns find e-mail addresses, IP addresses, card and phone numbers; these are
 the seeds, each whole with its spaces.  Words outside them that look like identifiers
 (they hold a digit or an @), with the digit groups that follow them, are the other
-instances.  Instances and their one or two words to the left make a graph.  Rounds of scoring go
+instances.  Instances and their one or two words to the left, of any length and whether
+identifiers themselves or not, make a graph.  Rounds of scoring go
 back and forth over it: a pattern's confidence is the share of all the words that follow
 it in the corpus which are trusted instances, and an unseen instance is trusted as far
 as its confident patterns make it.  Where a confident pattern with enough distinct seeds
@@ -30,7 +31,6 @@ from .common import key_test, keep_keyed, materialize
 MIN_SEEDS = 5          # distinct seeds that a pattern needs
 MIN_CONFIDENCE = 0.7   # share of trusted instances among all words that follow it
 ROUNDS = 3
-CONTEXT_CHARS = 80
 KINDS = ("email", "ip", "card", "phone", "learned")
 
 #: kind: (what must stand before a match unless it follows the last one, the match, a cheap test of the text)
@@ -123,19 +123,32 @@ def span_text(spans: Column) -> Column:
 _IDENTIFIER = "[^\\s0-9@]*+[0-9@]\\S*+(?:(?<=[0-9]|[0-9]\\)) \\(?[0-9][0-9().-]*+[^\\p{L}\\p{N}\\s]*+(?!\\S))*+"
 
 
+def _last_words(text: Column) -> Column:
+    """The last two words of a text, lower-cased, with one space between."""
+    return F.call_function("substring_index", F.trim(F.regexp_replace(F.lower(text), "\\s+", " ")), F.lit(" "), F.lit(-2))
+
+
 def identifiers(text: Column) -> Column:
     """(start, word_end, end, value, left1, left2) of the words with a digit or @ and the digit groups after them, where a word
-    stands to the left; word_end: the end of the first word; left2 is null after a single word."""
+    stands to the left, itself an identifier or not; word_end: the end of the first word; left2 is null after a single word."""
     found = F.when(F.rlike(text, F.lit("[0-9@]")), _matches(text, "\\s", _IDENTIFIER))
+    tails = F.transform(found, lambda m: F.struct(
+        m["start"].alias("start"), (m["start"] + F.length(F.substring_index(m["value"], " ", 1))).alias("word_end"), m["end"].alias("end"), m["value"].alias("value"),
+        _last_words(m["gap"]).alias("gap"), _last_words(m["value"]).alias("last")))
+
+    def runs(ms: Column) -> Column:
+        def run(m: Column, i: Column) -> Column:
+            # a match has a word at least, so two matches before reach back two words
+            left = F.concat_ws(" ", F.get(ms, i - 2)["last"], F.get(ms, i - 1)["gap"], F.get(ms, i - 1)["last"], m["gap"])
+            words = F.filter(F.split(left, " "), lambda w: w != "")
+            return let(words, lambda ws: F.struct(
+                m["start"].alias("start"), m["word_end"].alias("word_end"), m["end"].alias("end"), m["value"].alias("value"),
+                F.try_element_at(ws, F.lit(-1)).alias("left1"),
+                F.concat(F.try_element_at(ws, F.lit(-2)), F.lit(" "), F.try_element_at(ws, F.lit(-1))).alias("left2")))
 
-    def run(m: Column) -> Column:
-        words = F.filter(F.split(F.lower(F.right(m["gap"], F.lit(CONTEXT_CHARS))), "\\s+"), lambda w: w != "")
-        return let(words, lambda ws: F.struct(
-            m["start"].alias("start"), (m["start"] + F.length(F.substring_index(m["value"], " ", 1))).alias("word_end"), m["end"].alias("end"), m["value"].alias("value"),
-            F.try_element_at(ws, F.lit(-1)).alias("left1"),
-            F.concat(F.try_element_at(ws, F.lit(-2)), F.lit(" "), F.try_element_at(ws, F.lit(-1))).alias("left2")))
+        return F.transform(ms, run)
 
-    return F.filter(F.transform(found, run), lambda x: x["left1"].isNotNull())
+    return F.filter(let(tails, runs), lambda x: x["left1"].isNotNull())
 
 
 def instance(x: Column, spans: Column) -> Column:
@@ -167,9 +180,9 @@ def _pattern_totals(texts: DataFrame, patterns: DataFrame) -> DataFrame:
     """(pattern, total): how often any word follows each of the ``patterns``, over all ``texts``."""
     words = texts.select(F.filter(F.split(F.lower("text"), "\\s+"), lambda w: w != "").alias("w"))
     # the last word has no word after it
-    firsts = F.transform(F.slice("w", F.lit(1), F.greatest(F.size("w") - 1, F.lit(0))), lambda w: F.right(w, F.lit(CONTEXT_CHARS)))
+    firsts = F.slice("w", F.lit(1), F.greatest(F.size("w") - 1, F.lit(0)))
     ones = words.select(firsts.alias("w"))
-    ones = ones.select(F.explode(F.concat("w", F.zip_with("w", F.slice("w", F.lit(2), F.greatest(F.size("w") - 1, F.lit(0))), lambda a, b: F.concat_ws(" ", a, b)))).alias("pattern"))
+    ones = ones.select(F.explode(F.concat("w", F.zip_with("w", F.slice("w", F.lit(2), F.greatest(F.size("w") - 1, F.lit(0))), lambda a, b: F.concat(a, F.lit(" "), b)))).alias("pattern")).filter("pattern IS NOT NULL")
     kept = keep_keyed(ones.withColumn("key", F.xxhash64("pattern")), [F.col("key")], patterns.select(F.xxhash64("pattern").alias("key")))
     return kept.groupBy("pattern").agg(F.count("*").alias("total")).join(patterns, "pattern", "left_semi")
 
@@ -196,7 +209,7 @@ def confident_patterns(texts: DataFrame, instances: DataFrame, min_seeds: int =
         scores = (edges.join(trust, "value").groupBy("pattern").agg((F.sum(F.col("n") * F.col("trust")) / F.greatest(F.max("total"), F.sum("n"))).alias("confidence"))
                   .filter(F.col("confidence") >= min_confidence))
         scores = materialize(scores, "pattern-scores")
-        doubt = F.exp(F.sum(F.log(F.greatest(1 - F.col("confidence"), F.lit(1e-9)))))
+        doubt = F.exp(F.sum(F.log(F.greatest(1 - F.coalesce("confidence", F.lit(0.0)), F.lit(1e-9)))))
         trust = (edges.join(scores, "pattern", "left").groupBy("value")
                  .agg(F.max("seed").alias("seed"), doubt.alias("doubt"))
                  .select("value", F.when(F.col("seed"), 1.0).otherwise(1 - F.coalesce("doubt", F.lit(1.0))).alias("trust")))

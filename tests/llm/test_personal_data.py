@@ -59,3 +59,21 @@ def test_a_single_left_word_is_one_pattern(spark):
     docs = spark.createDataFrame([(" a 1",), ("5 b c 2",), ("3",), ("# 4",)], "text string")
     got = [[(x["value"], x["left1"], x["left2"]) for x in r[0]] for r in docs.select(rows).collect()]
     assert got == [[("1", "a", None)], [("2", "c", "b c")], [], [("4", "#", None)]]
+
+
+def test_cues_with_digits_and_long_cues(spark):
+    long = "c" * 90 + ":"
+    texts = [f"acct1 u{i}@mail.org" for i in range(8)] + [f"{long} v{i}@mail.org" for i in range(8)] + [f"account 5: w{i}@mail.org" for i in range(8)]
+    spans, _ = found(spark, texts + ["acct1 ZZ-55", f"{long} AB-9", "my account 5: AB-77"])
+    assert (spans[24], spans[25], spans[26]) == ("learned:6:11", "learned:92:96", "learned:14:19")
+
+
+def test_left_words_are_the_words_before(spark):
+    texts = ["a1 b2 c3 d", "x a1\t b2  y c3", "A1", "k a1 22 33 (4) w 5", "Ünit\n7 " * 3 + "q" * 500 + " 8"]
+    docs = spark.createDataFrame(list(enumerate(texts)), "id long, text string")
+    for i, got in docs.select("id", pii.identifiers(F.col("text"))).collect():
+        for x in got:
+            words = texts[i][:x["start"]].lower().split()
+            assert x["left1"] == words[-1] and x["left2"] == (" ".join(words[-2:]) if len(words) > 1 else None)
+            assert texts[i][x["start"]:x["end"]] == x["value"]
+        assert len(got) == (2, 3, 0, 2, 4)[i]
