@@ -13,7 +13,8 @@ exact; greater factors leave out more and may miss neighbours.
 
 Nulls and edges: vectors that are null, empty, zero or hold null or non-finite
 components take no part, neither as queries nor as candidates, nor do rows without an
-id; vectors meet only vectors of their own length; ties go to the smaller id; rows that
+id; vectors whose square overflows are compared one by one (a product that is minus
+infinity or no number is no find); vectors meet only vectors of their own length; ties go to the smaller id; rows that
 repeat an id and a vector are one candidate; an empty table gives no rows.
 """
 
@@ -39,7 +40,11 @@ class VpTree:
 
     def __init__(self, points: np.ndarray, ids: np.ndarray):
         self.points, self.ids = points, ids
-        self.root = self._build(np.arange(len(points)), np.random.default_rng(len(points)))
+        with np.errstate(over="ignore"):
+            self.squares_ = (points ** 2).sum(1)
+        held = np.isfinite(self.squares_)  # distances to the others overflow: they are compared one by one
+        self.others = np.flatnonzero(~held)
+        self.root = self._build(np.flatnonzero(held), np.random.default_rng(len(points)))
 
     def _build(self, rows: np.ndarray, rng: np.random.Generator):
         if len(rows) <= LEAF:
@@ -57,10 +62,10 @@ class VpTree:
         self.found = np.full((len(queries), k), -1, np.int64)
         self.reach = np.full(len(queries), np.inf)  # distance to the k-th found
         self.queries, self.own, self.factor = queries, ids, factor
-        norms = (queries ** 2).sum(1)
-        top = float((self.points ** 2).sum(1).max())
-        self.squares = norms + top
-        self._visit(self.root, np.arange(len(queries)))
+        with np.errstate(over="ignore", invalid="ignore"):
+            self.squares = (queries ** 2).sum(1) + self.squares_[np.isfinite(self.squares_)].max(initial=0.0)
+            for rows in (self.others, self.root):
+                self._visit(rows, np.arange(len(queries)))
         return self.found, self.best
 
     def _visit(self, node, q: np.ndarray) -> None:
@@ -81,7 +86,10 @@ class VpTree:
             self._visit(child, q)
 
     def _leaf(self, rows: np.ndarray, q: np.ndarray) -> None:
+        if not len(rows) or not len(q):
+            return
         scores = self.queries[q] @ self.points[rows].T
+        scores[np.isnan(scores)] = -np.inf
         some = scores.max(1) >= self.best[q, -1]
         q, scores = q[some], scores[some]
         if not len(q):
@@ -94,7 +102,7 @@ class VpTree:
         order = np.lexsort((ids, -scores), axis=1)[:, :k]
         self.best[q], self.found[q] = np.take_along_axis(scores, order, 1), np.take_along_axis(ids, order, 1)
         worst = self.best[q, -1]
-        self.reach[q] = np.where(np.isfinite(worst), np.sqrt(np.maximum(self.squares[q] - 2 * worst, 0)), np.inf)
+        self.reach[q] = np.where(np.isfinite(worst) & np.isfinite(self.squares[q]), np.sqrt(np.maximum(self.squares[q] - 2 * worst, 0)), np.inf)
 
 
 def products(a: np.ndarray, b: np.ndarray) -> np.ndarray:
@@ -119,17 +127,17 @@ def nearest(vectors: DataFrame, id_col: str, vector_col: str, is_query: Column,
     rows = rows.filter(F.col("vec_id").isNotNull() & usable(F.col("v"))).withColumn("dim", F.size("v"))
     norm = F.aggregate("v", F.lit(0.0), lambda s, x: s + x * x)
     rows = materialize(rows.groupBy("vec_id", "v", "dim").agg(F.max("asks").alias("asks")).withColumn("square", norm), "vectors")
-    sizes = rows.groupBy("dim").agg(F.count("*").alias("n"), F.count_if("asks").alias("asking"), F.max("square").alias("top"))
+    sizes = rows.groupBy("dim").agg(F.count("*").alias("n"), F.count_if("asks").alias("asking"), F.max(F.when(F.col("square") < float("inf"), F.col("square"))).alias("top"))
     sizes = [r for r in sizes.collect() if r["asking"]]  # one row per vector length
     if not sizes:
         return vectors.sparkSession.createDataFrame([], "query_id long, rank int, vec_id long, score double")
     parts = None
     for r in sizes:
-        shards, blocks, top = -(-r["n"] // shard_rows), -(-r["asking"] // block_queries), r["top"]
+        shards, blocks, top = -(-r["n"] // shard_rows), -(-r["asking"] // block_queries), r["top"] or 0.0
         own = rows.filter(F.col("dim") == r["dim"])
         shard = F.pmod(F.xxhash64("vec_id"), F.lit(shards)).cast("int")
         block = F.pmod(F.xxhash64("vec_id", F.lit("block")), F.lit(blocks)).cast("int")
-        pad = F.sqrt(F.greatest(F.lit(top) - F.col("square"), F.lit(0.0)))
+        pad = F.when(F.col("square") < float("inf"), F.sqrt(F.greatest(F.lit(top) - F.col("square"), F.lit(0.0)))).otherwise(0.0)
         every = lambda n: F.explode(F.sequence(F.lit(0), F.lit(n - 1)))
         points = own.select(F.lit(r["dim"]).alias("dim"), shard.alias("shard"), every(blocks).alias("block"), "vec_id", F.concat("v", F.array(pad)).alias("v"), F.lit(False).alias("asks"))
         queries = own.filter("asks").select(F.lit(r["dim"]).alias("dim"), every(shards).alias("shard"), block.alias("block"), "vec_id", F.concat("v", F.array(F.lit(0.0))).alias("v"), F.lit(True).alias("asks"))
@@ -143,7 +151,7 @@ def nearest(vectors: DataFrame, id_col: str, vector_col: str, is_query: Column,
         v, ids = np.stack(frame["v"].to_numpy()), frame["vec_id"].to_numpy()
         tree = VpTree(v[~asks], ids[~asks])
         found, scores = tree.search(v[asks], ids[asks], k, factor)
-        at = np.nonzero(np.isfinite(scores))
+        at = np.nonzero(scores > -np.inf)
         place = np.full(found.shape, -1)
         order = np.argsort(ids[~asks], kind="stable")
         place[at] = order[np.searchsorted(ids[~asks], found[at], sorter=order)]
@@ -151,6 +159,6 @@ def nearest(vectors: DataFrame, id_col: str, vector_col: str, is_query: Column,
 
     found = parts.groupBy("dim", "shard", "block").applyInPandas(search, FOUND)
     order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
-    once = found.groupBy("query_id", "vec_id").agg(F.max("score").alias("score"))
+    once = found.filter(~F.isnan("score")).groupBy("query_id", "vec_id").agg(F.max("score").alias("score"))
     return (once.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k)
             .select("query_id", F.col("rank").cast("int").alias("rank"), "vec_id", "score"))

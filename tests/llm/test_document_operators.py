@@ -248,6 +248,20 @@ def test_neighbours(spark, factor):
     assert vptree.nearest(df.limit(0), "vec_id", "embedding", F.lit(True)).count() == 0
 
 
+def test_neighbours_beside_huge_components(spark):
+    vectors = [(i, [math.sin(i), math.cos(3 * i)]) for i in range(400)]
+    huge = [(1000, [1e200, 1.0]), (1001, [-1e200, 1e200])]
+    frame = spark.createDataFrame(vectors + huge, "vec_id long, embedding array<double>")
+    got = {}
+    for r in sorted(vptree.nearest(frame, "vec_id", "embedding", F.col("vec_id") % 20 == 0, k=5, factor=1.0, shard_rows=150).collect(), key=lambda r: r["rank"]):
+        got.setdefault(r["query_id"], []).append(r["vec_id"])
+    rows = dict(vectors + huge)
+    for q in [i for i in rows if i % 20 == 0]:
+        product = lambda v: sum(a * b for a, b in zip(rows[q], v))
+        want = sorted((i for i in rows if i != q), key=lambda i: (-product(rows[i]), i))
+        assert got[q] == want[:5]
+
+
 def test_references_and_documents_split_words_alike(spark):
     """Words end at the six ASCII spaces alone, in references and in documents."""
     from blockwise.llm import divergence
