@@ -6,9 +6,9 @@ hidden layer over windows of ids; its output is a Huffman tree over the whole vo
 every text has a probability.  The tree and the biases of its nodes come from the counts of
 all training ids; the weights are trained by data-parallel rounds: every task starts from the
 same weights, takes its training windows of the round in small steps, and Spark averages the
-rows of the weight table that the tasks changed, each by how often it was used.  A window is
-trained on in one round, or none: a round takes one window of ``SHARE``, chosen by a hash, out
-of all training texts.  Scoring reads each text in overlapping windows: a window's first ids
+rows of the weight table that the tasks changed, each by how often it was used.  Every training
+window is trained on, in one round: a hash deals the windows of all training texts to the
+rounds.  Scoring reads each text in overlapping windows: a window's first ids
 are context that the window before has scored, so each id is scored once.
 
 Beside it stands the unigram base of the training words: counts by word over all training
@@ -43,8 +43,8 @@ from .postings import DOC_BITS, Block, groups_of, record
 #: Ids of a window, and how far the next window begins after it.
 WINDOW, STRIDE = 32, 24
 DIMS, HIDDEN = 8, 16
-#: Rounds of training, and the share of the training windows (one of so many) that each takes.
-ROUNDS, SHARE = 3, 32
+#: Rounds of training; a hash deals all training windows to them.
+ROUNDS = 3
 RATE = 0.1
 #: Windows of a training step, and of a batch that is scored.
 STEP_WINDOWS, SCORE_WINDOWS = 192, 512
@@ -175,6 +175,12 @@ def row_sums(rows: np.ndarray, values: np.ndarray, n: int) -> np.ndarray:
     return np.stack([np.bincount(rows, weights=c, minlength=n) for c in columns]).T
 
 
+def run_sums(values: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """Sums of the ``values`` (a row each) over runs of so many rows."""
+    columns = np.ascontiguousarray(values.T)
+    return np.add.reduceat(columns, np.cumsum(sizes) - sizes, axis=1).T
+
+
 class Step(NamedTuple):
     """What a batch asks of the weights: its log probability, and by row of the table the gradient and the uses."""
 
@@ -204,7 +210,7 @@ def gradients(tree: Tree, table: np.ndarray, inputs: np.ndarray, targets: np.nda
     node_rows, node_uses, node_place = used_rows(node, n_ids - 1)
     d_nodes = row_sums(node_place, odds * state, len(node_rows))
     d = np.zeros_like(states)
-    d[mark] = row_sums(who, odds * weight, len(logs))
+    d[mark] = run_sums(odds * weight, np.take(tree.sizes, targets.ravel()[mark]))
 
     shape = (*inputs.shape, DIMS)
     dr = (d @ w.narrow.T) * (r > 0)
@@ -424,12 +430,15 @@ def id_counts(rows: DataFrame, n_ids: int) -> np.ndarray:
     return counts
 
 
-def train(rows: DataFrame, tree: Tree, end: int, rounds: int = ROUNDS, share: int = SHARE) -> np.ndarray:
-    """The weight table after ``rounds`` rounds, each over one of ``share`` training windows."""
+def train(rows: DataFrame, tree: Tree, end: int, rounds: int = ROUNDS, share: int | None = None) -> np.ndarray:
+    """The weight table after ``rounds`` rounds, which together take every training window once.
+
+    The windows are dealt to ``share`` parts (``rounds`` of them, if not given) and the parts to the rounds."""
+    parts_ = max(rounds, share or rounds)
     table = initial_weights(len(tree.sizes))
     names = [f"d{k}" for k in range(DIMS)]
     texts = rows.where("doc IS NOT NULL AND NOT held_out").select("block", "doc", "ids")
-    for turn in range(min(rounds, share)):
+    for turn in range(rounds):
 
         def learn(batches: Iterator[pa.RecordBatch], turn: int = turn, table: np.ndarray = table) -> Iterator[pa.RecordBatch]:
             trainer = Trainer(tree, table)
@@ -440,7 +449,7 @@ def train(rows: DataFrame, tree: Tree, end: int, rounds: int = ROUNDS, share: in
                     stream = Stream.of(blobs[lo:hi], end)
                     text, place, first = windows(stream.sizes, WINDOW)
                     mixed = (marks[lo:hi][text].astype(np.uint64) * np.uint64(1_000_003) + place.astype(np.uint64)) * np.uint64(0x9E3779B97F4A7C15)
-                    chosen = np.flatnonzero((mixed >> np.uint64(33)) % np.uint64(share) == turn)
+                    chosen = np.flatnonzero((mixed >> np.uint64(33)) % np.uint64(parts_) % np.uint64(rounds) == turn)
                     for k in range(0, len(chosen), STEP_WINDOWS):
                         own = chosen[k:k + STEP_WINDOWS]
                         trainer.step(*stream.batch(text[own], place[own], 0 * place[own]))
@@ -496,8 +505,8 @@ def add_base(rows: DataFrame, scored: DataFrame) -> DataFrame:
 
 
 def score_texts(docs: DataFrame, id_col: str, text_col: str, path: str, pattern: str,
-                rounds: int = ROUNDS, share: int = SHARE) -> DataFrame:
-    """Train on the texts that are not held out and score all of them."""
+                rounds: int = ROUNDS, share: int | None = None) -> DataFrame:
+    """Train on all texts that are not held out and score all of them."""
     n_ids = len(read_ranks(path)) + 1
     end = n_ids - 1
     rows = read_corpus(docs, id_col, text_col, path, pattern, end)

@@ -268,6 +268,19 @@ def test_each_id_is_scored_once_with_its_context():
     assert got == pytest.approx([plain_score(tree, table, t, 39) for t in texts], rel=1e-5)
 
 
+def test_every_training_window_is_trained_on(spark):
+    rng = random.Random(3)
+    rows = [(i, " ".join("".join(rng.choices("abcdefghij", k=4)) for _ in range(30))) for i in range(60)]
+    path = tokenizer_file("byte_bpe_50k.tiktoken")
+    n_ids = len(lm.read_ranks(path)) + 1
+    found = lm.read_corpus(spark.createDataFrame(rows, "doc_id long, text string"), "doc_id", "text", path, tokenizer_pattern(), n_ids - 1)
+    tree = lm.huffman(lm.id_counts(found, n_ids))
+    changed = np.flatnonzero((lm.train(found, tree, n_ids - 1) != lm.initial_weights(n_ids)).any(1))
+    texts = [np.frombuffer(r["ids"], "<u2") for r in found.where("doc IS NOT NULL AND NOT held_out").collect()]
+    used = {int(node) for i in {i for ids in texts for i in ids.tolist()} for node in tree.nodes[tree.starts[i]:tree.starts[i] + tree.sizes[i]]}
+    assert used == {i - n_ids for i in changed.tolist() if n_ids <= i < 2 * n_ids - 1}
+
+
 def test_training_learns_and_op11_equals_the_plain_base(spark, odd_docs, no_docs, monkeypatch):
     words = ["alpha", "beta", "gamma", "delta"]
     rows = [(1_000 + i, " ".join(words[(i + k) % 4] for k in range(60))) for i in range(400)]
