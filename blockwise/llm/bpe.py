@@ -23,7 +23,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from . import chunks
-from .common import slices
+from .common import hold_cache, slices
 
 BATCH_CHARS = 1_000_000
 BATCH_POSITIONS = 100_000
@@ -138,6 +138,7 @@ _WORKERS: dict[tuple[str, str], Bpe] = {}
 
 
 def worker(path: str, pattern: str) -> Bpe:
+    hold_cache("bpe", _WORKERS.clear)
     if (path, pattern) not in _WORKERS:
         _WORKERS[path, pattern] = Bpe(path, pattern)
     return _WORKERS[path, pattern]

@@ -15,6 +15,8 @@ from collections.abc import Callable
 
 import numpy as np
 
+from .common import hold_cache
+
 CACHE_CHUNKS = 550_000
 _BOUNDARY = re.compile(r"(?= \S)")
 _ODD_SPACE = re.compile(r" \s")
@@ -132,6 +134,7 @@ def _word_encoder(tok) -> Callable[[str], list] | None:
 
 def tokenizers_encoder(path: str, dtype: str) -> ChunkEncoder:
     """The worker's encoder for a ``tokenizers`` file, without special tokens."""
+    hold_cache("chunks", _ENCODERS.clear)
     if (path, dtype) not in _ENCODERS:
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         from tokenizers import Tokenizer

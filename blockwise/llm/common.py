@@ -49,6 +49,17 @@ def materialize(df: DataFrame, name: str, compression: str = "snappy") -> DataFr
     return spark.read.schema(df.schema).parquet(path)
 
 
+_HELD: dict[str, Callable[[], None]] = {}
+
+
+def hold_cache(owner: str, clear: Callable[[], None]) -> None:
+    """Called in a task before its operator fills a cache of the Python worker; Spark gives workers to one operator
+    after another, so the caches that others left there are emptied first, and a worker holds those of one alone."""
+    for other in [x for x in _HELD if x != owner]:
+        _HELD.pop(other)()
+    _HELD[owner] = clear
+
+
 def slices(sizes: list[int], limit: int) -> Iterator[tuple[int, int]]:
     """Consecutive ranges of rows whose sizes sum to ``limit`` at most (one row at least)."""
     start, total = 0, 0

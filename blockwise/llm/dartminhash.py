@@ -35,15 +35,15 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import keep_keyed, key_test, materialize, scratch_column, slices
+from .common import hold_cache, keep_keyed, key_test, materialize, scratch_column, slices
 
 COORDINATES = 128
 BAND_ROWS = 4
 WORDS = 5
 THRESHOLD = 0.8
-BATCH_CHARS = 1_000_000
+BATCH_CHARS = 250_000
 LOWEST = -12  # the first interval of ranks is [0, 2^LOWEST)
-CACHE_WORDS = 500_000
+CACHE_WORDS = 200_000
 
 _MULT = tuple(np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xBF58476D1CE4E5B9, 0x94D049BB133111EB))
 _WORD_HASHES: dict[str, int] = {}
@@ -141,6 +141,7 @@ def sign(texts: DataFrame, k: int = COORDINATES, band_rows: int = BAND_ROWS, wor
     """(id, th1, th2, bands): a hash per band of each text's signature; null for texts without words."""
 
     def apply(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        hold_cache("dartminhash", _WORD_HASHES.clear)
         for batch in batches:
             for lo, hi in slices([len(t) for t in batch["text"]], BATCH_CHARS):
                 part = batch.iloc[lo:hi]
@@ -160,6 +161,7 @@ def shingle_sets(texts: DataFrame, words: int = WORDS, weighting: str = "binary"
     """(id, elements, counts) of (id, text)."""
 
     def cut(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        hold_cache("dartminhash", _WORD_HASHES.clear)
         for batch in batches:
             for lo, hi in slices([len(t) for t in batch["text"]], BATCH_CHARS):
                 rows = [shingles(t, words) for t in batch["text"].iloc[lo:hi]]

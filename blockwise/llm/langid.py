@@ -26,7 +26,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import scratch_column, slices
+from .common import hold_cache, scratch_column, slices
 
 BUCKET_BITS = 14
 ORDERS = (1, 2, 3)
@@ -115,6 +115,7 @@ def train(rows: DataFrame, text_col: str, lang_col: str, calibration_rows: int =
     size = 1 << BUCKET_BITS
 
     def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        hold_cache("langid", dict)  # it keeps none
         counts: dict[str, np.ndarray] = {}
         for batch in batches:
             for text, lang in zip(batch["text"], batch["lang"]):
@@ -184,6 +185,7 @@ def prediction(text: Column, model: Model | None) -> Column:
 
     @F.pandas_udf(PREDICTION)
     def apply(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+        hold_cache("langid", dict)
         for batch in batches:
             texts = [letters(t) for t in batch]
             langs = [UNKNOWN] * len(texts)

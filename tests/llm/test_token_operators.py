@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from blockwise.llm import bpe, chunks, packing, wavelet
-from blockwise.llm.common import tokenizer_file, tokenizer_pattern
+from blockwise.llm.common import hold_cache, tokenizer_file, tokenizer_pattern
 
 from odd_rows import no_docs, odd_docs  # noqa: E402, F401
 
@@ -91,6 +91,17 @@ def test_bpe_on_noise():
         assert np.frombuffer(raw, "<u4").tolist() == tiktoken_encode(text)
 
 
+def test_a_worker_holds_the_cache_of_one_operator():
+    encoder = chunks.tokenizers_encoder(tokenizer_file("byte_bpe_50k.json"), "<u2")
+    encoder.encode(["some words"])
+    assert chunks.tokenizers_encoder(tokenizer_file("byte_bpe_50k.json"), "<u2") is encoder
+    left = []
+    hold_cache("another", lambda: left.append(1))
+    assert not chunks._ENCODERS
+    chunks.tokenizers_encoder(tokenizer_file("byte_bpe_50k.json"), "<u2")
+    assert left == [1]
+
+
 def test_nnls_and_plan():
     rng = np.random.default_rng(2)
     a, x = rng.random((20, 8)), np.array([0, 1, 0, 2, 0, 0, 3, 0.5])
