@@ -15,7 +15,8 @@ verified by exact similarity, ``THRESHOLD`` or more, in two rounds that lose no
 candidate link and emit no group's pairs: every band's bucket is compared with its
 first document, which merges all but strangers; then those pairs of a bucket that are
 still in different classes are compared, unless their distances to the first document differ
-by more than 1 - threshold (Jaccard distance is a metric, so they cannot be near) or one of them has too many shingles that no other document of the buckets has.
+by more than 1 - threshold (Jaccard distance is a metric, so they cannot be near), one of them has too many shingles that no other document of the buckets has, or
+their sketches (a bit for each place that a shingle's hash falls on) differ in too many places for it.
 Classes are the connected components of the verified links.
 
 Nulls and edges: a null text is in a class of its own; texts of under five words are one
@@ -32,7 +33,7 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import xxhash
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import hold_cache, keep_keyed, key_test, materialize, scratch_column, slices
@@ -42,6 +43,7 @@ BAND_ROWS = 4
 WORDS = 5
 THRESHOLD = 0.8
 BATCH_CHARS = 250_000
+SKETCH_BITS = 2048
 LOWEST = -12  # the first interval of ranks is [0, 2^LOWEST)
 CACHE_WORDS = 200_000
 
@@ -158,16 +160,28 @@ def sign(texts: DataFrame, k: int = COORDINATES, band_rows: int = BAND_ROWS, wor
 
 
 def shingle_sets(texts: DataFrame, words: int = WORDS, weighting: str = "binary") -> DataFrame:
-    """(id, elements, counts) of (id, text)."""
+    """(id, elements, counts, bits) of (id, text); ``bits`` marks, of ``SKETCH_BITS`` places, those that an element's hash falls on."""
 
     def cut(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         hold_cache("dartminhash", _WORD_HASHES.clear)
         for batch in batches:
             for lo, hi in slices([len(t) for t in batch["text"]], BATCH_CHARS):
                 rows = [shingles(t, words) for t in batch["text"].iloc[lo:hi]]
-                yield pd.DataFrame({"id": batch["id"].iloc[lo:hi].to_numpy(), "elements": [e.view(np.int64) for e, _ in rows], "counts": [_weights(n, weighting).astype(np.int32) for _, n in rows]})
+                yield pd.DataFrame({"id": batch["id"].iloc[lo:hi].to_numpy(), "elements": [e.view(np.int64) for e, _ in rows], "counts": [_weights(n, weighting).astype(np.int32) for _, n in rows], "bits": [sketch(e) for e, _ in rows]})
 
-    return texts.mapInPandas(cut, "id long, elements array<long>, counts array<int>")
+    return texts.mapInPandas(cut, "id long, elements array<long>, counts array<int>, bits array<long>")
+
+
+def sketch(elements: np.ndarray) -> np.ndarray:
+    """A bit for each place of ``SKETCH_BITS`` that an element falls on, in longs."""
+    places = np.zeros(SKETCH_BITS, np.uint8)
+    places[elements % np.uint64(SKETCH_BITS)] = 1
+    return np.packbits(places, bitorder="little").view("<i8")
+
+
+def _beyond(a: str, b: str) -> Column:
+    """How many places of one sketch are not of the other: so many elements at least are in no intersection."""
+    return F.aggregate(F.zip_with(a, b, lambda x, y: F.bit_count(x.bitwiseAND(F.bitwise_not(y)))), F.lit(0), lambda s, x: s + x)
 
 
 def similarities(pairs: DataFrame, sets: DataFrame) -> DataFrame:
@@ -209,7 +223,7 @@ def components(edges: DataFrame) -> DataFrame:
 
 
 def _possible(members: DataFrame, sets: DataFrame, threshold: float) -> DataFrame:
-    """The rows (key, id, ...) of bucket members that can have a partner in their bucket at all, with their weight n and the weight ``shared``.
+    """The rows (key, id, ...) of bucket members that can have a partner in their bucket at all, with their weight n, the weight ``shared`` and their sketch.
 
     Of a set's weight n, let u lie in elements that no other member of any bucket has.  A
     partner of weight s shares n - u at most, so the similarity is at most (n - u) / n if
@@ -219,12 +233,12 @@ def _possible(members: DataFrame, sets: DataFrame, threshold: float) -> DataFram
     parts = sets.join(ids, "id", "left_semi").select("id", F.explode(F.arrays_zip("elements", "counts")).alias("x")).select("id", "x.elements", "x.counts")
     own = parts.groupBy("elements").agg(F.count("*").alias("n"), F.first("id").alias("id"), F.first("counts").alias("w")).filter("n = 1")
     unique = own.groupBy("id").agg(F.sum("w").alias("u"))
-    weights = sets.select("id", F.aggregate("counts", F.lit(0).cast("long"), lambda s, x: s + x).alias("n"))
+    weights = sets.select("id", "bits", F.aggregate("counts", F.lit(0).cast("long"), lambda s, x: s + x).alias("n"))
     rows = members.join(weights, "id").join(unique, "id", "left").withColumn("u", F.coalesce("u", F.lit(0).cast("long")))
     least = rows.groupBy("key").agg(F.min("n").alias("least"))
     shared = F.col("n") - F.col("u")
     bound = F.when(F.col("least") <= shared, shared / F.col("n")).otherwise(shared / (F.col("least") + F.col("u")))
-    return rows.join(least, "key").filter(bound >= threshold - 1e-9).select(*members.columns, "n", shared.alias("shared"))
+    return rows.join(least, "key").filter(bound >= threshold - 1e-9).select(*members.columns, "n", shared.alias("shared"), "bits")
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", threshold: float = THRESHOLD, words: int = WORDS,
@@ -269,13 +283,15 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     open_ = open_.join(places, "id")
     # a document near the first has its class already, so one side is always a stranger to it
     left = (open_.filter(F.col("near") < threshold).withColumn("zone", F.explode(F.array(F.col("zone") - 1, F.col("zone"), F.col("zone") + 1)))
-            .select("key", "zone", F.col("id").alias("x"), F.col("root").alias("rx"), F.col("near").alias("nx"), F.col("n").alias("wx"), F.col("shared").alias("sx"), F.col("keys").alias("kx")))
-    right = open_.select("key", "zone", F.col("id").alias("y"), F.col("root").alias("ry"), F.col("near").alias("ny"), F.col("n").alias("wy"), F.col("shared").alias("sy"), F.col("keys").alias("ky"))
+            .select("key", "zone", F.col("id").alias("x"), F.col("root").alias("rx"), F.col("near").alias("nx"), F.col("n").alias("wx"), F.col("shared").alias("sx"), F.col("keys").alias("kx"), F.col("bits").alias("bx")))
+    right = open_.select("key", "zone", F.col("id").alias("y"), F.col("root").alias("ry"), F.col("near").alias("ny"), F.col("n").alias("wy"), F.col("shared").alias("sy"), F.col("keys").alias("ky"), F.col("bits").alias("by"))
     apart = (F.col("rx") != F.col("ry")) & (F.abs(F.col("nx") - F.col("ny")) <= far + 1e-9)
     apart &= (F.col("ny") >= threshold) | (F.col("x") < F.col("y"))  # two strangers meet from either side
     common = F.least("sx", "sy")  # what no other document has is in no intersection
     apart &= common >= (threshold - 1e-9) * (F.col("wx") + F.col("wy") - common)
     apart &= F.array_min(F.array_intersect("kx", "ky")) == F.col("key")
+    common = F.least(F.col("wx") - _beyond("bx", "by"), F.col("wy") - _beyond("by", "bx"))
+    apart &= common >= (threshold - 1e-9) * (F.col("wx") + F.col("wy") - common)
     strangers = left.join(right, ["key", "zone"]).filter(apart).select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct()
     strangers = materialize(strangers.join(measured.select("a", "b"), ["a", "b"], "left_anti"), "strangers")
     if strangers.limit(1).count():

@@ -94,6 +94,25 @@ def test_near_duplicates_equal_model(spark):
     assert got == classes(texts)
 
 
+def test_strangers_in_a_bucket_are_compared_only_if_they_can_be_near(spark, monkeypatch):
+    rng, made, keep = random.Random(5), {}, dartminhash.materialize
+    base = [f"w{i}" for i in range(60)]
+    texts = {i: " ".join(f"x{rng.random()}" if rng.random() < 0.04 else w for w in base) for i in range(120)}
+
+    def counted(df, name, *args):
+        made[name] = keep(df, name, *args)
+        return made[name]
+
+    monkeypatch.setattr(dartminhash, "materialize", counted)
+    docs = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
+    dartminhash.near_duplicates(docs).count()
+    sets = {k: set(dartminhash.shingles(t)[0].tolist()) for k, t in texts.items()}
+    near = {(a, b) for a, b in itertools.combinations(texts, 2) if len(sets[a] & sets[b]) >= 0.8 * len(sets[a] | sets[b])}
+    compared = {(r["a"], r["b"]) for r in made["strangers"].collect()}
+    assert compared <= {(a, b) for a, b in itertools.combinations(texts, 2) if len(sets[a] & sets[b]) >= 0.7 * len(sets[a] | sets[b])}
+    assert {(r["a"], r["b"]) for r in made["links"].select("a", "b").collect()} <= near
+
+
 def test_signatures_estimate_weighted_similarity():
     rng = np.random.default_rng(0)
     elements, a, b = rng.integers(0, 2**63, 200, dtype=np.uint64), rng.integers(1, 9, 200), rng.integers(1, 9, 200)
