@@ -22,6 +22,7 @@ _BOUNDARY = re.compile(r"(?= \S)")
 _ODD_SPACE = re.compile(r" \s")
 _LATIN_WORD = re.compile(" ?[A-Za-z\u00C0-\u00D6\u00D8-\u00F6\u00F8-\u012F\u0131-\u024F]+")
 _TAIL = ".,;:!?*#$%&()|\""
+_ENDS = frozenset(_TAIL)
 
 
 def split_chunks(text: str) -> list[str]:
@@ -33,23 +34,23 @@ def split_chunks(text: str) -> list[str]:
 
 
 class ChunkEncoder:
-    """Encodes texts to little-endian id bytes through ``encode_many(list[str]) -> list[list[int]]``.
+    """Encodes texts to little-endian id bytes through ``encode_many(list[str])``, which gives a list of ids or their bytes for each.
 
     A new chunk is put together from its pieces (lines; words and the ASCII punctuation after
     them), since the pre-tokenizers cut between these.
     """
 
-    def __init__(self, encode_many: Callable[[list[str]], list], dtype: str, encode_word: Callable[[str], list] | None = None,
+    def __init__(self, encode_many: Callable[[list[str]], list], dtype: str, encode_words: Callable[[list[str]], list] | None = None,
                  cache_chunks: int = CACHE_CHUNKS):
-        """``encode_word``: a quicker way for words of Latin letters alone, with or without a space before."""
+        """``encode_words``: a quicker way for words of Latin letters alone, with or without a space before."""
         self.cache_chunks = cache_chunks
-        self.encode_many, self.encode_word, self.dtype = encode_many, encode_word, np.dtype(dtype)
+        self.encode_many, self.encode_words, self.dtype = encode_many, encode_words, np.dtype(dtype)
         self.cache: dict[str, bytes] = {}
 
     @staticmethod
     def _pieces(chunk: str) -> list[str]:
         """Parts that are pre-tokenized apart: lines within the chunk, and the punctuation after a letter or digit."""
-        lines = chunk.split("\n")
+        lines = chunk.split("\n") if "\n" in chunk else [chunk]
         if len(lines) > 1 and not all(x and not x[-1].isspace() and (i == 0 or not x[0].isspace()) for i, x in enumerate(lines)):
             return [chunk]
         parts = []
@@ -64,22 +65,28 @@ class ChunkEncoder:
                 parts.append(line)
         return parts
 
-    def _add(self, missing: set[str]) -> None:
-        split = {chunk: self._pieces(chunk) for chunk in missing}
-        new = {x for parts in split.values() for x in parts if x not in self.cache}
-        if self.encode_word is not None:
+    def _add(self, missing: list[str]) -> None:
+        cache, split, new = self.cache, [], set()
+        for chunk in missing:
+            if chunk[-1:] in _ENDS or "\n" in chunk:
+                parts = self._pieces(chunk)
+                if len(parts) > 1:
+                    split.append((chunk, parts))
+                    new.update([x for x in parts if x not in cache])
+                    continue
+            new.add(chunk)
+        if self.encode_words is not None:
             words = [x for x in new if _LATIN_WORD.fullmatch(x)]
-            for word in words:
-                self.cache[word] = self._bytes(self.encode_word(word))
+            cache.update(zip(words, map(self._bytes, self.encode_words(words))))
             new.difference_update(words)
         rest = list(new)
-        for chunk, ids in zip(rest, self.encode_many(rest)):
-            self.cache[chunk] = self._bytes(ids)
-        for chunk, parts in split.items():
-            if len(parts) > 1:
-                self.cache[chunk] = b"".join([self.cache[x] for x in parts])
+        cache.update(zip(rest, map(self._bytes, self.encode_many(rest))))
+        for chunk, parts in split:
+            cache[chunk] = b"".join([cache[x] for x in parts])
 
-    def _bytes(self, ids: list) -> bytes:
+    def _bytes(self, ids: list | bytes) -> bytes:
+        if isinstance(ids, bytes):
+            return ids
         return array(self._code, ids).tobytes() if isinstance(ids, list) else np.asarray(ids, self.dtype).tobytes()
 
     @property
@@ -90,10 +97,8 @@ class ChunkEncoder:
         if len(self.cache) > self.cache_chunks:
             self.cache.clear()
         split = [split_chunks(t) for t in texts]
-        missing: set[str] = set()
-        for chunks in split:
-            missing.update(chunks)
-        missing.difference_update(self.cache)
+        cache = self.cache
+        missing = [x for x in set().union(*split) if x not in cache]  # set.difference_update would walk the whole cache
         if missing:
             self._add(missing)
         get = self.cache.__getitem__
@@ -111,23 +116,33 @@ def _byte_letters() -> list[str]:
     return [chr(b) if b in printable else chr(next(others)) for b in range(256)]
 
 
-def _word_encoder(tok) -> Callable[[str], list] | None:
-    """Ids of a word of Latin letters straight from the tokenizer's model.
+def _word_encoder(tok) -> Callable[[list[str]], list] | None:
+    """Ids of words of Latin letters straight from the tokenizer's model.
 
     Such a word is a single pre-token, so only normalisation and the byte alphabet come
     before the model; whether this gives the tokenizer's own ids is tried on samples.
     """
-    letters, model = _byte_letters(), tok.model
+    letters, tokenize = _byte_letters(), tok.model.tokenize
+    table = {c: letters[c] for c in range(128)}
 
-    def direct(word: str) -> list:
-        return [t.id for t in model.tokenize("".join([letters[b] for b in word.encode()]))]
+    def spell(word: str) -> str:
+        return word.translate(table) if word.isascii() else "".join([letters[b] for b in word.encode()])
 
-    def normal(word: str) -> list:
-        return direct(tok.normalizer.normalize_str(word).strip())
+    def direct(words: list[str]) -> list:
+        return [[t.id for t in tokenize(spell(word))] for word in words]
+
+    def normal(words: list[str]) -> list:
+        """Normalised in one call, with spaces between the words, and words that become equal tokenized once."""
+        bare = [word.strip() for word in words]
+        plain = tok.normalizer.normalize_str(" ".join(bare)).split(" ") if words else []
+        if len(plain) != len(words):
+            plain = [tok.normalizer.normalize_str(word).strip() for word in bare]
+        once = list(dict.fromkeys(plain))
+        return list(map(dict(zip(once, direct(once))).__getitem__, plain))
 
     samples = [" The", "the", " Straße", " ÉTÉ", "niño", " Über", "ciónmente", " x", " ǅ"]
     for way in (direct, normal if tok.normalizer is not None else direct):
-        if all(way(w) == tok.encode(w, add_special_tokens=False).ids for w in samples):
+        if way(samples) == [tok.encode(w, add_special_tokens=False).ids for w in samples]:
             return way
     return None
 
