@@ -3,7 +3,7 @@
 Each task finds the pattern's matches of its texts and encodes the distinct ones: rows
 (word, position, id) join the merge table, and a recursive query contracts each word's
 leftmost pair of minimum rank until none is left.  Decoding joins ids with the
-vocabulary and aggregates the bytes in order.  Spark partitions the texts; DuckDB runs
+vocabulary, in order.  Spark partitions the texts; DuckDB runs
 single-threaded in the worker's memory, a bounded slice of rows at a time.
 
 Nulls and edges: a null text is an empty text and has no ids; a text or a match of any
@@ -31,26 +31,25 @@ BATCH_TOKENS = 100_000
 CACHE_CHUNKS = 450_000
 MEMORY = "256MB"
 
-#: The recursion's table holds one row a position, replaced at each contraction; a position that is merged away gets -1.
+#: The recursion's table holds one row a position (numbered across the words), replaced at each contraction; a position that is merged away gets -1.
 _ENCODE = """
-WITH RECURSIVE step(word, pos, id) USING KEY (word, pos) AS (
+WITH RECURSIVE step(word, pos, id) USING KEY (pos) AS (
   SELECT word, pos, id FROM state
   UNION ALL
   (WITH p AS MATERIALIZED (
-     SELECT word, pos, id, lead(id) OVER w AS next_id, lead(pos) OVER w AS next_pos
-     FROM step WHERE id >= 0 WINDOW w AS (PARTITION BY word ORDER BY pos)),
+     SELECT word, pos, id, lead(id) OVER w AS next_id, lead(pos) OVER w AS next_pos, lead(word) OVER w AS next_word
+     FROM step WHERE id >= 0 WINDOW w AS (ORDER BY pos)),
    hit AS (
      SELECT p.word, min(m.merged * 4294967296 + p.pos) AS best, arg_min(p.next_pos, m.merged * 4294967296 + p.pos) AS gone
-     FROM p JOIN merges m ON m.a = p.id AND m.b = p.next_id GROUP BY p.word)
+     FROM p JOIN merges m ON m.a = p.id AND m.b = p.next_id WHERE p.word = p.next_word GROUP BY p.word)
    SELECT p.word, p.pos, CASE WHEN p.pos = hit.best % 4294967296 THEN hit.best // 4294967296 WHEN p.pos = hit.gone THEN -1 ELSE p.id END
    FROM p JOIN hit ON p.word = hit.word)
 )
-SELECT word, pos, id FROM step WHERE id >= 0 ORDER BY word, pos
+SELECT word, id FROM step WHERE id >= 0 ORDER BY pos
 """
 
 _DECODE = """
-SELECT t.doc, array_to_string(list(v.hex ORDER BY t.pos), '') AS hex
-FROM tokens t JOIN vocabulary v ON v.id = t.id GROUP BY t.doc
+SELECT coalesce(v.raw, ''::BLOB) AS raw FROM tokens t LEFT JOIN vocabulary v ON v.id = t.id ORDER BY t.pos
 """
 
 
@@ -82,7 +81,7 @@ class Bpe:
     def _ready_to_decode(self) -> None:
         if not self.decodes:
             ranks = read_ranks(self.path)
-            self._keep("vocabulary", {"id": np.array(list(ranks.values()), np.int64), "hex": [t.hex() for t in ranks]})
+            self._keep("vocabulary", {"id": np.array(list(ranks.values()), np.int32), "raw": pa.array(list(ranks), pa.binary())})
             self.decodes = True
 
     def _keep(self, name: str, columns: dict) -> None:
@@ -95,43 +94,41 @@ class Bpe:
 
     def encode_words(self, words: list[str]) -> list[np.ndarray]:
         """Ids of each word by the recursive query; the words of one call share it."""
+        return [np.frombuffer(x, "<u4") for x in self._word_bytes(words)]
+
+    def _word_bytes(self, words: list[str]) -> list[bytes]:
         self._ready_to_encode()
         raw = [w.encode("utf-8", "replace") for w in words]
-        found: list = [np.zeros(0, np.int64)] * len(raw)
+        found = [b""] * len(raw)
         for lo, hi in slices([len(x) for x in raw], BATCH_POSITIONS):
             sizes = np.array([len(x) for x in raw[lo:hi]], np.int64)
             word = np.repeat(np.arange(hi - lo, dtype=np.int64), sizes)
             if not len(word):
                 continue
-            pos = np.arange(len(word), dtype=np.int64) - np.repeat(np.cumsum(sizes) - sizes, sizes)
             ids = self.byte_ids[np.frombuffer(b"".join(raw[lo:hi]), np.uint8)]
-            self._table("state", {"word": word, "pos": pos, "id": ids})
+            self._table("state", {"word": word, "pos": np.arange(len(word), dtype=np.int64), "id": ids})
             out = self.con.execute(_ENCODE).fetchnumpy()
-            starts = np.flatnonzero(np.diff(out["word"], prepend=-1))
-            for w, part in zip(out["word"][starts].tolist(), np.split(out["id"].astype("<u4"), starts[1:])):
-                found[lo + w] = part
+            blob, ends = out["id"].astype("<u4").tobytes(), np.cumsum(np.bincount(out["word"], minlength=hi - lo) * 4).tolist()
+            found[lo:hi] = [blob[a:b] for a, b in zip([0, *ends[:-1]], ends)]
         return found
 
-    def _encode_chunks(self, parts: list[str]) -> list[np.ndarray]:
+    def _encode_chunks(self, parts: list[str]) -> list[bytes]:
         split = [self.pattern.findall(x) for x in parts]
         new = list({w for ws in split for w in ws})
-        words = {w: ids.astype("<u4").tobytes() for w, ids in zip(new, self.encode_words(new))}
-        return [np.frombuffer(b"".join(map(words.__getitem__, ws)), "<u4") for ws in split]
+        words = dict(zip(new, self._word_bytes(new)))
+        return [b"".join([words[w] for w in ws]) if len(ws) != 1 else words[ws[0]] for ws in split]
 
     def encode(self, texts: list[str]) -> list[bytes]:
         return self.encoder.encode(texts)
 
     def decode(self, blobs: list[bytes]) -> list[bytes]:
-        """The bytes of each row of ids (u32 little-endian), by ordered aggregation."""
+        """The bytes of each row of ids (u32 little-endian): the vocabulary's bytes in the order of the ids."""
         self._ready_to_decode()
-        sizes = np.array([len(b) // 4 for b in blobs], np.int64)
-        doc = np.repeat(np.arange(len(blobs), dtype=np.int32), sizes)
         ids = np.frombuffer(b"".join(blobs), "<u4").astype(np.int32)
-        self._table("tokens", {"doc": doc, "pos": np.arange(len(doc), dtype=np.int32), "id": ids})
-        out = [b""] * len(blobs)
-        for i, text in self.con.execute(_DECODE).fetchall():
-            out[i] = bytes.fromhex(text)
-        return out
+        self._table("tokens", {"pos": np.arange(len(ids), dtype=np.int32), "id": ids})
+        parts = self.con.execute(_DECODE).fetchnumpy()["raw"].tolist()
+        ends = np.cumsum([len(b) // 4 for b in blobs]).tolist()
+        return [b"".join(parts[a:b]) for a, b in zip([0, *ends[:-1]], ends)]
 
 
 _WORKERS: dict[tuple[str, str], Bpe] = {}

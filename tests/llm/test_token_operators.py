@@ -91,6 +91,35 @@ def test_bpe_on_noise():
         assert np.frombuffer(raw, "<u4").tolist() == tiktoken_encode(text)
 
 
+def test_bpe_decodes_rows_of_any_ids():
+    worker = bpe.worker(tokenizer_file("byte_bpe_50k.tiktoken"), tokenizer_pattern())
+    a, b, none = worker.encode(["a word", "words of another", ""])
+    unknown = np.array([2 ** 31 - 1], "<u4").tobytes()
+    assert worker.decode([none, a, unknown, b, a + unknown + b]) == [b"", b"a word", b"", b"words of another", b"a wordwords of another"]
+    assert all(isinstance(x, bytes) for x in worker._encode_chunks([" word", "", " two words"]))
+
+
+def test_words_are_normalised_and_tokenized_together():
+    class Counting:
+        def __init__(self, tok):
+            self.tok, self.model, self.normalizer, self.calls = tok, tok.model, self, 0
+
+        def normalize_str(self, text):
+            self.calls += 1
+            return self.tok.normalizer.normalize_str(text)
+
+        def encode(self, *args, **kw):
+            return self.tok.encode(*args, **kw)
+
+    from tokenizers import Tokenizer
+    tok = Counting(Tokenizer.from_file(tokenizer_file("word_bpe_49k.json")))
+    words = [" Straße", "Straße", " ÉTÉ", "the", " The", "x"]
+    encode = chunks._word_encoder(tok)
+    tok.calls = 0
+    assert encode(words) == [tok.encode(w, add_special_tokens=False).ids for w in words] and tok.calls == 1
+    assert encode([]) == []
+
+
 def test_a_worker_holds_the_cache_of_one_operator():
     encoder = chunks.tokenizers_encoder(tokenizer_file("byte_bpe_50k.json"), "<u2")
     encoder.encode(["some words"])
