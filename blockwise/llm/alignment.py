@@ -94,8 +94,8 @@ def byte_level(path: str) -> Tokens:
     quick = tiktoken.Encoding("ascii", pat_str=tokenizer_pattern(), mergeable_ranks=ranks, special_tokens={})
 
     def encode(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        if len(encoder.cache) > CACHE_CHUNKS:
-            encoder.cache.clear()
+        if len(encoder.number) > CACHE_CHUNKS:
+            encoder.clear()
         easy = np.array([t.isascii() and len(t) <= QUICK_CHARS and not t[-1].isspace() for t in texts], bool)
         joined = [t for t, e in zip(texts, easy.tolist()) if e]
         first = np.array(quick.encode_ordinary("".join(joined)), np.int64)

@@ -1,26 +1,34 @@
-"""Whole-text tokenization from a per-worker cache of space-separated chunks.
+"""Whole-text tokenization from a per-worker table of pieces.
 
 The pre-tokenizers used here never join text across a single space that stands
-between a chunk and a non-space character, so a text's ids are the ids of its
-chunks one after another.  Each distinct chunk is encoded once per worker; the
-cache is emptied when it is full, so memory is bounded.
+between a chunk and a non-space character, nor a Latin or Cyrillic letter or digit
+and the punctuation after it, so a text's ids are the ids of its pieces one after
+another.  Each distinct piece is encoded once per worker; the table is emptied when
+it is full, so memory is bounded.
 """
 
 from __future__ import annotations
 
 import os
 import re
+import unicodedata
 from array import array
+from collections import defaultdict
 from collections.abc import Callable
+from itertools import chain, islice
 
 import numpy as np
 
 from .common import hold_cache
 
-CACHE_CHUNKS = 550_000
+CACHE_CHUNKS = 620_000
 _BOUNDARY = re.compile(r"(?= \S)")
 _ODD_SPACE = re.compile(r" \s")
+_TWO_SPACES = re.compile(r"\s\s")
 _LATIN_WORD = re.compile(" ?[A-Za-z\u00C0-\u00D6\u00D8-\u00F6\u00F8-\u012F\u0131-\u024F]+")
+_STOPS = ".,;:!?"
+#: Punctuation that may belong to what stands before it; dotted capital I is left out since lower-casing turns it into a letter and a mark, which is no letter.
+_JOINED_STOP = re.compile("[^0-9A-Za-z\u00C0-\u00D6\u00D8-\u00F6\u00F8-\u012F\u0131-\u024F\u0400-\u0481\u048A-\u052F][.,;:!?]")
 _TAIL = ".,;:!?*#$%&()|\""
 _ENDS = frozenset(_TAIL)
 
@@ -33,11 +41,22 @@ def split_chunks(text: str) -> list[str]:
     return _BOUNDARY.split(text)
 
 
+def split_pieces(text: str) -> list[str]:
+    """Chunks of ``text``, in plain text cut further around line ends and before the stops after a letter or digit."""
+    if "\0" in text or text[:1].isspace() or text[-1:].isspace() or _TWO_SPACES.search(text) or _JOINED_STOP.search(text):
+        return split_chunks(text)
+    text = text.replace(" ", "\0 ").replace("\n", "\0\n\0")
+    for stop in _STOPS:
+        text = text.replace(stop, "\0" + stop)
+    return text.split("\0")
+
+
 class ChunkEncoder:
     """Encodes texts to little-endian id bytes through ``encode_many(list[str])``, which gives a list of ids or their bytes for each.
 
-    A new chunk is put together from its pieces (lines; words and the ASCII punctuation after
-    them), since the pre-tokenizers cut between these.
+    Pieces are numbered as they come, and their ids stand one after another in an array.  A new chunk is put
+    together from its parts (lines; words and the ASCII punctuation after them), since the pre-tokenizers cut
+    between these.
     """
 
     def __init__(self, encode_many: Callable[[list[str]], list], dtype: str, encode_words: Callable[[list[str]], list] | None = None,
@@ -45,7 +64,12 @@ class ChunkEncoder:
         """``encode_words``: a quicker way for words of Latin letters alone, with or without a space before."""
         self.cache_chunks = cache_chunks
         self.encode_many, self.encode_words, self.dtype = encode_many, encode_words, np.dtype(dtype)
-        self.cache: dict[str, bytes] = {}
+        self.clear()
+
+    def clear(self) -> None:
+        self.number: defaultdict[str, int] = defaultdict()
+        self.number.default_factory = self.number.__len__
+        self.sizes, self.starts, self.ids = np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, self.dtype)
 
     @staticmethod
     def _pieces(chunk: str) -> list[str]:
@@ -58,31 +82,57 @@ class ChunkEncoder:
             if i:
                 parts.append("\n")
             core = line.rstrip(_TAIL)
-            # lower-casing turns a dotted capital I into a letter and a mark, which is no letter
-            if core and len(core) < len(line) and core[-1].isalnum() and core[-1] != "\u0130":
+            # lower-casing turns a dotted capital I into a letter and a mark, which is no letter, and NFC some Indic letters
+            if core and len(core) < len(line) and unicodedata.normalize("NFC", core[-1])[-1].isalnum() and core[-1] != "\u0130":
                 parts += [core, line[len(core):]]
             else:
                 parts.append(line)
         return parts
 
-    def _add(self, missing: list[str]) -> None:
-        cache, split, new = self.cache, [], set()
-        for chunk in missing:
+    def _learn(self) -> None:
+        """Ids of the pieces that were numbered since the last call."""
+        number, known = self.number, len(self.sizes)
+        if len(number) == known:
+            return
+        words, others, split = [], [], {}
+        self._sort(known, words, others)
+        at = len(number)
+        for chunk in others:
             if chunk[-1:] in _ENDS or "\n" in chunk:
                 parts = self._pieces(chunk)
                 if len(parts) > 1:
-                    split.append((chunk, parts))
-                    new.update([x for x in parts if x not in cache])
-                    continue
-            new.add(chunk)
-        if self.encode_words is not None:
-            words = [x for x in new if _LATIN_WORD.fullmatch(x)]
-            cache.update(zip(words, map(self._bytes, self.encode_words(words))))
-            new.difference_update(words)
-        rest = list(new)
-        cache.update(zip(rest, map(self._bytes, self.encode_many(rest))))
-        for chunk, parts in split:
-            cache[chunk] = b"".join([cache[x] for x in parts])
+                    split[chunk] = list(map(number.__getitem__, parts))
+        others = [x for x in others if x not in split]
+        self._sort(at, words, others)
+        found = self.encode_words(words) if words else []
+        self._keep(words, list(map(len, found)), np.fromiter(chain.from_iterable(found), self.dtype))
+        self._keep_bytes(others, list(map(self._bytes, self.encode_many(others))))
+        self._keep_bytes(list(split), [b"".join(map(self._of, parts)) for parts in split.values()])
+
+    def _sort(self, start: int, words: list[str], others: list[str]) -> None:
+        """Deals the pieces numbered from ``start`` on to the words of Latin letters and the others."""
+        new = islice(self.number, start, None)
+        if self.encode_words is None:
+            others.extend(new)
+            return
+        is_word = _LATIN_WORD.fullmatch
+        for piece in new:
+            (words if is_word(piece) else others).append(piece)
+
+    def _keep(self, pieces: list[str], sizes: list[int], ids: np.ndarray) -> None:
+        more = np.zeros(len(self.number) - len(self.sizes), np.int64)
+        self.sizes, self.starts = np.concatenate([self.sizes, more]), np.concatenate([self.starts, more])
+        at = np.fromiter(map(self.number.__getitem__, pieces), np.int64, len(pieces))
+        self.sizes[at] = sizes
+        self.starts[at] = len(self.ids) + np.cumsum(self.sizes[at]) - self.sizes[at]
+        self.ids = np.concatenate([self.ids, ids])
+
+    def _keep_bytes(self, pieces: list[str], blobs: list[bytes]) -> None:
+        self._keep(pieces, [len(b) // self.dtype.itemsize for b in blobs], np.frombuffer(b"".join(blobs), self.dtype))
+
+    def _of(self, number: int) -> bytes:
+        at = self.starts[number]
+        return self.ids[at:at + self.sizes[number]].tobytes()
 
     def _bytes(self, ids: list | bytes) -> bytes:
         if isinstance(ids, bytes):
@@ -94,15 +144,17 @@ class ChunkEncoder:
         return "H" if self.dtype.itemsize == 2 else "I"
 
     def encode(self, texts: list[str]) -> list[bytes]:
-        if len(self.cache) > self.cache_chunks:
-            self.cache.clear()
-        split = [split_chunks(t) for t in texts]
-        cache = self.cache
-        missing = [x for x in set().union(*split) if x not in cache]  # set.difference_update would walk the whole cache
-        if missing:
-            self._add(missing)
-        get = self.cache.__getitem__
-        return [b"".join(map(get, chunks)) for chunks in split]
+        if len(self.number) > self.cache_chunks:
+            self.clear()
+        split = [split_pieces(t) for t in texts]
+        lengths = np.fromiter(map(len, split), np.int64, len(split))
+        keys = np.fromiter(map(self.number.__getitem__, chain.from_iterable(split)), np.int64, int(lengths.sum()))
+        self._learn()
+        sizes = self.sizes[keys]
+        ends = np.cumsum(sizes)
+        raw = self.ids[np.repeat(self.starts[keys] - ends + sizes, sizes) + np.arange(sizes.sum())].tobytes()
+        cuts = (np.r_[0, ends][np.r_[0, np.cumsum(lengths)]] * self.dtype.itemsize).tolist()
+        return [raw[a:b] for a, b in zip(cuts, cuts[1:])]
 
 
 _ENCODERS: dict[tuple[str, str], ChunkEncoder] = {}
@@ -131,12 +183,21 @@ def _word_encoder(tok) -> Callable[[list[str]], list] | None:
     def direct(words: list[str]) -> list:
         return [[t.id for t in tokenize(spell(word))] for word in words]
 
+    # NFC and the like leave ASCII letters alone; where the normaliser lower-cases these and no more, Python does so too
+    ascii_letters = "abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ"
+    lowers = tok.normalizer is not None and all(tok.normalizer.normalize_str(x) == x.lower() for x in (ascii_letters, *ascii_letters))
+
+    def normalised(bare: list[str]) -> list[str]:
+        """Normalised in one call, with spaces between the words."""
+        plain = tok.normalizer.normalize_str(" ".join(bare)).split(" ") if bare else []
+        return plain if len(plain) == len(bare) else [tok.normalizer.normalize_str(word).strip() for word in bare]
+
     def normal(words: list[str]) -> list:
-        """Normalised in one call, with spaces between the words, and words that become equal tokenized once."""
+        """Words that become equal by normalisation are tokenized once."""
         bare = [word.strip() for word in words]
-        plain = tok.normalizer.normalize_str(" ".join(bare)).split(" ") if words else []
-        if len(plain) != len(words):
-            plain = [tok.normalizer.normalize_str(word).strip() for word in bare]
+        odd = [word for word in bare if not (lowers and word.isascii())]
+        other = dict(zip(odd, normalised(odd)))
+        plain = [other[word] if word in other else word.lower() for word in bare]
         once = list(dict.fromkeys(plain))
         return list(map(dict(zip(once, direct(once))).__getitem__, plain))
 
@@ -147,7 +208,7 @@ def _word_encoder(tok) -> Callable[[list[str]], list] | None:
     return None
 
 
-def tokenizers_encoder(path: str, dtype: str) -> ChunkEncoder:
+def tokenizers_encoder(path: str, dtype: str, cache_chunks: int = CACHE_CHUNKS) -> ChunkEncoder:
     """The worker's encoder for a ``tokenizers`` file, without special tokens."""
     hold_cache("chunks", _ENCODERS.clear)
     if (path, dtype) not in _ENCODERS:
@@ -159,7 +220,7 @@ def tokenizers_encoder(path: str, dtype: str) -> ChunkEncoder:
         def encode_many(chunks: list[str]) -> list:
             return [e.ids for e in tok.encode_batch_fast(chunks, add_special_tokens=False)]
 
-        _ENCODERS[path, dtype] = ChunkEncoder(encode_many, dtype, _word_encoder(tok))
+        _ENCODERS[path, dtype] = ChunkEncoder(encode_many, dtype, _word_encoder(tok), cache_chunks)
     return _ENCODERS[path, dtype]
 
 

@@ -38,6 +38,35 @@ def test_chunked_encoding_equals_the_library(name):
         assert np.frombuffer(raw, "<u2").tolist() == ids(text), repr(text)
 
 
+def test_plain_text_is_cut_into_words_and_stops_that_are_encoded_once():
+    assert chunks.split_pieces("One two.\nTwo, 3.5 ж!") == ["One", " two", ".", "\n", "Two", ",", " 3", ".5", " ж", "!"]
+    for odd in ("a..", "a  b", "a .", " a", "a\n", "a\n\nb", "a\0b", "İ.", "é́.", "क़.", "a\n .b"):
+        assert chunks.split_pieces(odd) == chunks.split_chunks(odd), odd
+    seen = []
+
+    def ids(pieces):
+        seen.extend(pieces)
+        return [[len(x)] for x in pieces]
+
+    encoder = chunks.ChunkEncoder(ids, "<u2")
+    assert [np.frombuffer(x, "<u2").tolist() for x in encoder.encode(["a bc.\na bc, a", "x bc.", "x.."])] == [[1, 3, 1, 1, 1, 3, 1, 2], [1, 3, 1], [1, 2]]
+    assert encoder.encode(["a bc!"]) and encoder.encode([]) == [] and sorted(seen) == sorted({*seen})
+
+
+@pytest.mark.parametrize("name", ["word_bpe_49k.json", "byte_bpe_50k.json"])
+def test_a_table_that_is_emptied_gives_the_same_ids(name):
+    ids, path = library(name), tokenizer_file(name)
+    rng = random.Random(7)
+    words = ["Straße", "the", "ÉTÉ", "don't", "they're", "x2", "42", "жук", "ĳ", "ǅ", "İ", "one\ttwo", "(a)", "b*", "n's", "_", "e\u0301", "\u0958", "\u85e4"]
+    texts = ["".join(rng.choice(words) + rng.choice([" ", " ", " ", ".", ", ", "\n", ".\n", "! ", "?", ";x", ": "]) for _ in range(40)) + "end." for _ in range(40)]
+    hold_cache("another", lambda: None)
+    encoder = chunks.tokenizers_encoder(path, "<u2", 30)
+    for lo in range(0, len(texts), 7):
+        for text, raw in zip(texts[lo:lo + 7], encoder.encode(texts[lo:lo + 7])):
+            assert np.frombuffer(raw, "<u2").tolist() == ids(text), repr(text)
+    hold_cache("another", lambda: None)
+
+
 def test_wavelet_matrix():
     rng = np.random.default_rng(1)
     for n, top in ((1, 1), (200, 3), (1000, 40_000), (65, 65_536)):
