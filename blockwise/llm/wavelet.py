@@ -29,6 +29,7 @@ from .common import new_path, slices
 MAGIC = b"WMX1"
 SHARD_TOKENS = 1 << 18
 BATCH_CHARS = 1_000_000
+CACHE_CHUNKS = 900_000
 SHARD_SCHEMA = "part int, shard int, n_docs int, n_tokens long, blob binary"
 
 
@@ -44,10 +45,10 @@ class WaveletMatrix:
     def build(cls, ids: np.ndarray, levels: int) -> WaveletMatrix:
         planes, a = [], ids
         for level in range(levels - 1, -1, -1):
-            bits = ((a >> level) & 1).astype(bool)
+            bits = (a & a.dtype.type(1 << level)) != 0
             packed = np.packbits(bits, bitorder="little")
             planes.append(np.concatenate((packed, np.zeros(-len(packed) % 8, np.uint8))))
-            a = np.concatenate((a[~bits], a[bits]))
+            a = np.concatenate((np.compress(~bits, a), np.compress(bits, a)))  # indexing by a mask is slower
         return cls(len(ids), planes)
 
     def _bits(self, level: int) -> np.ndarray:
@@ -128,8 +129,8 @@ class WaveletMatrix:
         a = np.zeros(self.n, np.uint32)
         for level in range(self.levels - 1, -1, -1):
             bits, up = self._bits(level), np.empty(self.n, np.uint32)
-            up[~bits] = a[: self.zeros[level]]
-            up[bits] = a[self.zeros[level]:] | np.uint32(1 << (self.levels - 1 - level))
+            up[np.flatnonzero(~bits)] = a[: self.zeros[level]]
+            up[np.flatnonzero(bits)] = a[self.zeros[level]:] | np.uint32(1 << (self.levels - 1 - level))
             a = up
         return a
 
@@ -172,7 +173,7 @@ def write_shards(docs: DataFrame, id_col: str, text_col: str, tokenizer: str, en
     def encode(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         from pyspark import TaskContext
         part, shard, total = TaskContext.get().partitionId(), 0, 0
-        encoder, end = chunks.tokenizers_encoder(tokenizer, dtype), np.array([end_id], dtype).tobytes()
+        encoder, end = chunks.tokenizers_encoder(tokenizer, dtype, CACHE_CHUNKS), np.array([end_id], dtype).tobytes()
         keys: list = []
         ids: list[np.ndarray] = []
 
