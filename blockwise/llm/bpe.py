@@ -28,7 +28,7 @@ from .common import hold_cache, slices
 BATCH_CHARS = 1_000_000
 BATCH_POSITIONS = 100_000
 BATCH_TOKENS = 100_000
-CACHE_CHUNKS = 450_000
+CACHE_CHUNKS = 600_000
 MEMORY = "256MB"
 
 #: The recursion's table holds one row a position (numbered across the words), replaced at each contraction; a position that is merged away gets -1.
