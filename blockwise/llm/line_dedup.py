@@ -31,9 +31,10 @@ MIN_WORDS = 5
 REPLACE, DELETE, WHOLE = 0, 1, 2  # roles of a line at a key
 
 
-def _normal(line: Column) -> Column:
-    odd = F.contains(line, F.lit("  ")) | F.contains(line, F.lit("\t")) | F.contains(line, F.lit("\r"))
-    return F.trim(F.when(odd, F.regexp_replace(line, "[ \\t\\r]+", " ")).otherwise(line))
+def _spaced(text: Column) -> Column:
+    """Text with one space for each stretch of spaces, tabs and carriage returns."""
+    odd = F.contains(text, F.lit("  ")) | F.contains(text, F.lit("\t")) | F.contains(text, F.lit("\r"))
+    return F.when(odd, F.regexp_replace(text, "[ \\t\\r]+", " ")).otherwise(text)
 
 
 def _half_keys(line: Column, n: Column) -> Column:
@@ -55,8 +56,8 @@ def _half_keys(line: Column, n: Column) -> Column:
 
 def _lines(docs: DataFrame, short: bool = False) -> DataFrame:
     """(id, th, pos, line, n, h1, h2) of every line of ``MIN_WORDS`` words or more, with ``short`` of every line that is not blank; docs has (id, th, text)."""
-    lines = docs.select("id", "th", F.posexplode(F.split("text", "\n")).alias("pos", "raw"))
-    lines = lines.select("id", "th", "pos", _normal(F.col("raw")).alias("line"))
+    # normalised before they are parted: filters on a line would otherwise normalise it again each time they name it
+    lines = docs.select("id", "th", F.posexplode(F.transform(F.split(_spaced(F.col("text")), "\n"), F.trim)).alias("pos", "line"))
     lines = lines.withColumn("n", F.length("line") - F.length(F.replace("line", F.lit(" "), F.lit(""))) + 1)
     return lines.filter(F.col("line") != "" if short else F.col("n") >= MIN_WORDS).withColumns({"h1": F.xxhash64("line"), "h2": F.xxhash64(F.lit(7), "line")})
 
@@ -125,10 +126,12 @@ def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     lines = _lines(keyed.select("id", "th", "text"), short_repeats)
     place = F.struct("id", "th", "pos")
     halves = F.when(F.col("n") >= MIN_WORDS, _half_keys(F.col("line"), F.col("n")))
-    distinct = materialize(lines.groupBy("h1", "h2").agg(F.min(place).alias("first"), F.count("*").alias("copies"), F.first(halves).alias("halves")), "distinct-lines")
+    # the texts are cut into lines once for all that hashes and places can answer
+    places = materialize(lines.select("id", "th", "pos", "h1", "h2", halves.alias("halves")), "line-places")
+    distinct = materialize(places.groupBy("h1", "h2").agg(F.min(place).alias("first"), F.count("*").alias("copies"), F.first("halves").alias("halves")), "distinct-lines")
     near = near_lines(lines, distinct).withColumn("near", F.lit(True))
     again = materialize(distinct.select("h1", "h2", "first", "copies").join(near, ["h1", "h2"], "left").filter("copies > 1 OR near"), "repeated-lines")
-    seen = keep_keyed(lines.select("id", "th", "pos", "h1", "h2"), [F.col("h1")], again.select("h1"))
+    seen = keep_keyed(places.select("id", "th", "pos", "h1", "h2"), [F.col("h1")], again.select("h1"))
     dropped = seen.join(again, ["h1", "h2"]).filter(F.col("near") | ~place.eqNullSafe(F.col("first")))
     drops = materialize(dropped.groupBy("id", "th").agg(F.collect_set("pos").alias("drop")), "dropped-lines")
     drops = drops.withColumn("mark", F.xxhash64("id", "th"))

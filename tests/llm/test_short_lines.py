@@ -3,6 +3,8 @@
 import random
 
 import corpus_pipeline
+from pyspark.sql import functions as F
+
 from blockwise.llm import line_dedup
 
 from test_document_operators import edit1
@@ -50,3 +52,12 @@ def test_pipeline_drops_short_repeats(spark):
     docs = spark.createDataFrame([(0, "Imprint\nfirst text"), (1, "second text\nImprint")], "doc_id long, text string")
     got = dict(dict(corpus_pipeline.STAGES)["lines"](spark, docs, "").collect())
     assert got == {0: "Imprint\nfirst text", 1: "second text"}
+
+
+def test_lines_are_normalised_once_a_pass(spark):
+    """A filter on a line's hash does not normalise the line again for each time that it names it."""
+    docs = spark.createDataFrame([(1, "a  b c d e\r\n\tf g h i j ", 5), (2, None, 6)], "id long, text string, th long")
+    lines = line_dedup._lines(docs)
+    plan = lines.filter(F.col("h1") % 7 != F.col("h1") % 5)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("regexp_replace(") == 1
+    assert [r["line"] for r in lines.orderBy("pos").collect()] == ["a b c d e", "f g h i j"]
