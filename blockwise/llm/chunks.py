@@ -19,7 +19,7 @@ from itertools import chain, islice
 
 import numpy as np
 
-from .common import hold_cache
+from .common import hold_cache, release_memory
 
 CACHE_CHUNKS = 620_000
 _BOUNDARY = re.compile(r"(?= \S)")
@@ -146,6 +146,7 @@ class ChunkEncoder:
     def encode(self, texts: list[str]) -> list[bytes]:
         if len(self.number) > self.cache_chunks:
             self.clear()
+            release_memory()
         split = [split_pieces(t) for t in texts]
         lengths = np.fromiter(map(len, split), np.int64, len(split))
         keys = np.fromiter(map(self.number.__getitem__, chain.from_iterable(split)), np.int64, int(lengths.sum()))

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 import os
 import tempfile
 import uuid
@@ -9,6 +10,7 @@ from collections.abc import Callable, Iterator
 from functools import reduce
 from operator import or_
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -49,14 +51,26 @@ def materialize(df: DataFrame, name: str, compression: str = "snappy") -> DataFr
     return spark.read.schema(df.schema).parquet(path)
 
 
+def release_memory() -> None:
+    """Gives back to the system what this process has freed; Arrow's pool and malloc keep it otherwise, and Spark holds on to idle workers."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # of glibc alone
+    if trim is not None:
+        trim(0)
+
+
 _HELD: dict[str, Callable[[], None]] = {}
 
 
 def hold_cache(owner: str, clear: Callable[[], None]) -> None:
     """Called in a task before its operator fills a cache of the Python worker; Spark gives workers to one operator
-    after another, so the caches that others left there are emptied first, and a worker holds those of one alone."""
-    for other in [x for x in _HELD if x != owner]:
+    after another, so the caches that others left there are emptied first, and a worker holds those of one alone.
+    Tasks without a cache of their own call it too, with ``dict``."""
+    others = [x for x in _HELD if x != owner]
+    for other in others:
         _HELD.pop(other)()
+    if others:
+        release_memory()
     _HELD[owner] = clear
 
 

@@ -190,6 +190,7 @@ def similarities(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     b = sets.select(F.col("id").alias("b"), F.col("elements").alias("eb"), F.col("counts").alias("cb"))
 
     def compare(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        hold_cache("similarities", dict)
         for batch in batches:
             found = []
             for ea, ca, eb, cb in zip(batch["ea"], batch["ca"], batch["eb"], batch["cb"]):

@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from . import chunks
-from .common import materialize, slices
+from .common import hold_cache, materialize, slices
 
 WINDOW = 2048
 GRANULE = 8
@@ -212,6 +212,7 @@ def pack(docs: DataFrame, id_col: str, text_col: str, tokenizer: str, end_id: in
               .select("id", "n_tokens", "n_full", (F.col("full_rank") + F.coalesce("full_base", F.lit(0)) + sequences).alias("full0"), "pieces", "ids"))
 
     def cut(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        hold_cache("packing", dict)
         unpress = zstandard.ZstdDecompressor().decompress
         for batch in batches:
             out = []

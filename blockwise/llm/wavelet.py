@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from . import chunks
-from .common import new_path, slices
+from .common import hold_cache, new_path, slices
 
 MAGIC = b"WMX1"
 SHARD_TOKENS = 1 << 18
@@ -217,6 +217,7 @@ def decode_documents(shards: DataFrame) -> DataFrame:
     """(id, start, n_tokens, ids): every document of the shard files; ids as little-endian u32 bytes."""
 
     def decode(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        hold_cache("wavelet", dict)
         for batch in batches:
             for blob, start in zip(batch["blob"], batch["start"]):
                 keys, lengths, wm = open_shard(blob)

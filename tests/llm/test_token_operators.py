@@ -6,7 +6,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from blockwise.llm import bpe, chunks, packing, wavelet
+from blockwise.llm import bpe, chunks, common, packing, wavelet
 from blockwise.llm.common import hold_cache, tokenizer_file, tokenizer_pattern
 
 from odd_rows import no_docs, odd_docs  # noqa: E402, F401
@@ -197,3 +197,23 @@ def test_empty_tables(no_docs):
     word, byte = tokenizer_file("word_bpe_49k.json"), tokenizer_file("byte_bpe_50k.json")
     assert wavelet.decode_documents(wavelet.token_file(no_docs, "doc_id", "text", word, 2)).count() == 0
     assert packing.pack(no_docs, "doc_id", "text", byte, 1).count() == 0
+
+
+def test_handed_on_worker_gives_memory_back(monkeypatch):
+    calls = []
+    monkeypatch.setattr(common, "release_memory", lambda: calls.append(1), raising=False)
+    hold_cache("one", dict)
+    calls.clear()
+    hold_cache("one", dict)
+    assert not calls
+    hold_cache("another", dict)
+    assert calls == [1]
+
+
+def test_full_table_gives_memory_back(monkeypatch):
+    calls = []
+    monkeypatch.setattr(chunks, "release_memory", lambda: calls.append(1), raising=False)
+    encoder = chunks.ChunkEncoder(lambda pieces: [[len(p)] for p in pieces], "<u2", cache_chunks=2)
+    first = encoder.encode(["a bb ccc dddd"])
+    assert not calls
+    assert encoder.encode(["a bb ccc dddd"]) == first and calls == [1]
