@@ -56,8 +56,9 @@ def _half_keys(line: Column, n: Column) -> Column:
 
 def _lines(docs: DataFrame, short: bool = False) -> DataFrame:
     """(id, th, pos, line, n, h1, h2) of every line of ``MIN_WORDS`` words or more, with ``short`` of every line that is not blank; docs has (id, th, text)."""
-    # normalised before they are parted: filters on a line would otherwise normalise it again each time they name it
-    lines = docs.select("id", "th", F.posexplode(F.transform(F.split(_spaced(F.col("text")), "\n"), F.trim)).alias("pos", "line"))
+    # normalised before they are parted: filters on a line would otherwise normalise it again each time they name it,
+    # and so would Spark's own filter before a generator that is not outer; the null line of a null text goes below
+    lines = docs.select("id", "th", F.posexplode_outer(F.transform(F.split(_spaced(F.col("text")), "\n"), lambda line: F.trim(line))).alias("pos", "line"))
     lines = lines.withColumn("n", F.length("line") - F.length(F.replace("line", F.lit(" "), F.lit(""))) + 1)
     return lines.filter(F.col("line") != "" if short else F.col("n") >= MIN_WORDS).withColumns({"h1": F.xxhash64("line"), "h2": F.xxhash64(F.lit(7), "line")})
 
