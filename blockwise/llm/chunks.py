@@ -28,7 +28,7 @@ _TWO_SPACES = re.compile(r"\s\s")
 _LATIN_WORD = re.compile(" ?[A-Za-z\u00C0-\u00D6\u00D8-\u00F6\u00F8-\u012F\u0131-\u024F]+")
 _STOPS = ".,;:!?"
 #: Punctuation that may belong to what stands before it; dotted capital I is left out since lower-casing turns it into a letter and a mark, which is no letter.
-_JOINED_STOP = re.compile("[^0-9A-Za-z\u00C0-\u00D6\u00D8-\u00F6\u00F8-\u012F\u0131-\u024F\u0400-\u0481\u048A-\u052F][.,;:!?]")
+_JOINED_STOP = re.compile("[.,;:!?](?<=[^0-9A-Za-z\u00C0-\u00D6\u00D8-\u00F6\u00F8-\u012F\u0131-\u024F\u0400-\u0481\u048A-\u052F][.,;:!?])")
 _TAIL = ".,;:!?*#$%&()|\""
 _ENDS = frozenset(_TAIL)
 
@@ -111,13 +111,14 @@ class ChunkEncoder:
 
     def _sort(self, start: int, words: list[str], others: list[str]) -> None:
         """Deals the pieces numbered from ``start`` on to the words of Latin letters and the others."""
-        new = islice(self.number, start, None)
+        new = list(islice(reversed(self.number), len(self.number) - start))  # not past all that are known
+        new.reverse()
         if self.encode_words is None:
             others.extend(new)
             return
         is_word = _LATIN_WORD.fullmatch
         for piece in new:
-            (words if is_word(piece) else others).append(piece)
+            (words if piece.removeprefix(" ").isalpha() and (piece.isascii() or is_word(piece)) else others).append(piece)
 
     def _keep(self, pieces: list[str], sizes: list[int], ids: np.ndarray) -> None:
         more = np.zeros(len(self.number) - len(self.sizes), np.int64)

@@ -217,3 +217,14 @@ def test_full_table_gives_memory_back(monkeypatch):
     first = encoder.encode(["a bb ccc dddd"])
     assert not calls
     assert encoder.encode(["a bb ccc dddd"]) == first and calls == [1]
+
+
+def test_learning_does_not_walk_what_is_known():
+    class Numbers(type(chunks.ChunkEncoder(None, "<u2").number)):
+        def __iter__(self):
+            raise AssertionError("walked")
+
+    encoder = chunks.ChunkEncoder(lambda pieces: [[len(p)] for p in pieces], "<u2", lambda words: [[len(w), 0] for w in words])
+    encoder.number = Numbers()
+    encoder.number.default_factory = encoder.number.__len__
+    assert [np.frombuffer(x, "<u2").tolist() for x in encoder.encode(["a bé c1", "c1 bé a  "])] == [[1, 0, 3, 0, 3], [2, 3, 0, 4]]
