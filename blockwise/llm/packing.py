@@ -21,10 +21,12 @@ from collections.abc import Iterator
 from itertools import combinations_with_replacement
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 import zstandard
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import from_arrow_schema
 
 from . import chunks
 from .common import hold_cache, materialize, slices
@@ -32,8 +34,9 @@ from .common import hold_cache, materialize, slices
 WINDOW = 2048
 GRANULE = 8
 DEPTH = 3
-BATCH_CHARS = 1_000_000
-RULE_SCHEMA = "bin int, lo long, hi long, sequence0 long, slot int, cut_from int, cut_to int"
+BATCH_CHARS = 500_000
+RULE_SCHEMA = pa.schema([("bin", pa.int32()), ("lo", pa.int64()), ("hi", pa.int64()), ("sequence0", pa.int64()), ("slot", pa.int32()),
+                         ("cut_from", pa.int32()), ("cut_to", pa.int32())])
 
 
 def nnls(a: np.ndarray, b: np.ndarray, steps: int = 600) -> np.ndarray:
@@ -151,23 +154,31 @@ def plan(histogram: dict[int, int], units: int, depth: int = DEPTH) -> tuple[lis
     return rules, sequences
 
 
+def _record(schema: pa.Schema, rows: list[tuple]) -> pa.RecordBatch:
+    columns = zip(*rows) if rows else ([] for _ in schema)
+    return pa.RecordBatch.from_arrays([pa.array(x, f.type) for x, f in zip(columns, schema)], schema=schema)
+
+
 def encode_documents(docs: DataFrame, id_col: str, text_col: str, tokenizer: str, end_id: int,
-                     window: int = WINDOW, granule: int = GRANULE) -> DataFrame:
+                     window: int = WINDOW, granule: int = GRANULE, cache_chunks: int = chunks.CACHE_CHUNKS) -> DataFrame:
     """One row per document: its ids (zstd), its length, and its remainder's bin and rank within its partition."""
     dtype = chunks.vocabulary_dtype(tokenizer)
 
-    def encode(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    schema = pa.schema([("part", pa.int32()), ("row", pa.int64()), ("id", pa.int64()), ("n_tokens", pa.int64()), ("n_full", pa.int64()),
+                        ("full_rank", pa.int64()), ("bin", pa.int32()), ("rank", pa.int64()), ("ids", pa.binary())])
+
+    def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
         part, row, full = TaskContext.get().partitionId(), 0, 0
         ranks: dict[int, int] = {}
-        encoder, end = chunks.tokenizers_encoder(tokenizer, dtype), np.array([end_id], dtype).tobytes()
+        encoder, end = chunks.tokenizers_encoder(tokenizer, dtype, cache_chunks), np.array([end_id], dtype).tobytes()
         press = zstandard.ZstdCompressor(level=1).compress
         for batch in batches:
-            texts = ["" if t is None else t for t in batch["text"]]
-            known = [None if pd.isna(k) else int(k) for k in batch["id"]]
-            for lo, hi in slices([len(t) for t in texts], BATCH_CHARS):
+            keys, texts = batch.column("id"), batch.column("text")
+            # no more of the batch than is encoded at a time becomes Python strings
+            for lo, hi in slices(pc.fill_null(pc.binary_length(texts), 0).to_pylist(), BATCH_CHARS):
                 out = []
-                for key, raw in zip(known[lo:hi], encoder.encode(texts[lo:hi])):
+                for key, raw in zip(keys[lo:hi].to_pylist(), encoder.encode([t or "" for t in texts[lo:hi].to_pylist()])):
                     raw += end
                     n = len(raw) // np.dtype(dtype).itemsize
                     n_full, rest = divmod(n, window)
@@ -175,18 +186,20 @@ def encode_documents(docs: DataFrame, id_col: str, text_col: str, tokenizer: str
                     out.append((part, row, key, n, n_full, full, size, ranks.get(size, 0), press(raw)))
                     full, row = full + n_full, row + 1
                     ranks[size] = ranks.get(size, 0) + 1
-                yield pd.DataFrame(out, columns=["part", "row", "id", "n_tokens", "n_full", "full_rank", "bin", "rank", "ids"]).astype({"id": "Int64"})
+                yield _record(schema, out)
 
     rows = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
-    return rows.mapInPandas(encode, "part int, row long, id long, n_tokens long, n_full long, full_rank long, bin int, rank long, ids binary")
+    return rows.mapInArrow(encode, from_arrow_schema(schema))
 
 
 def pack(docs: DataFrame, id_col: str, text_col: str, tokenizer: str, end_id: int,
-         window: int = WINDOW, granule: int = GRANULE, depth: int = DEPTH) -> DataFrame:
-    """(id, start, length, doc_tokens, sequence_id, offset, ids): one row per piece; ids as little-endian u32 bytes."""
+         window: int = WINDOW, granule: int = GRANULE, depth: int = DEPTH, cache_chunks: int = chunks.CACHE_CHUNKS) -> DataFrame:
+    """(id, start, length, doc_tokens, sequence_id, offset, ids): one row per piece; ids as little-endian u32 bytes.
+
+    ``cache_chunks``: pieces of text that a worker keeps the ids of; fewer take less memory and more time."""
     spark = docs.sparkSession
     dtype = chunks.vocabulary_dtype(tokenizer)
-    encoded = materialize(encode_documents(docs, id_col, text_col, tokenizer, end_id, window, granule), "token-ids")
+    encoded = materialize(encode_documents(docs, id_col, text_col, tokenizer, end_id, window, granule, cache_chunks), "token-ids")
     meta = encoded.drop("ids")
     # counts of each bin before each partition; bin -1 stands for full windows
     counts = (meta.groupBy("part", "bin").agg(F.count("*").alias("n")).filter("bin > 0")
@@ -195,7 +208,8 @@ def pack(docs: DataFrame, id_col: str, text_col: str, tokenizer: str, end_id: in
     bases = materialize(counts.select("part", "bin", "n", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("base")), "pack-bases")
     totals = {r["bin"]: r["n"] for r in bases.groupBy("bin").agg(F.sum("n").alias("n")).collect()}  # at most window / granule + 1 rows
     rules, sequences = plan({b: n for b, n in totals.items() if b > 0}, window // granule, depth)
-    rules_df = F.broadcast(spark.createDataFrame(rules, RULE_SCHEMA))  # bounded by the bins, not by the corpus
+    # bounded by the bins, not by the corpus; a list would go through Python workers of its own kind, which stay
+    rules_df = F.broadcast(spark.createDataFrame(pa.Table.from_batches([_record(RULE_SCHEMA, rules)])))
     small = bases.filter("bin > 0").select("part", "bin", "base")
     rest = (meta.filter("bin > 0").select("part", "row", "bin", "rank", "n_tokens", "n_full").join(small, ["part", "bin"])
             .withColumn("item", F.col("rank") + F.col("base"))
@@ -211,19 +225,22 @@ def pack(docs: DataFrame, id_col: str, text_col: str, tokenizer: str, end_id: in
     joined = (encoded.join(full_base, "part", "left").join(pieces, ["part", "row"], "left")
               .select("id", "n_tokens", "n_full", (F.col("full_rank") + F.coalesce("full_base", F.lit(0)) + sequences).alias("full0"), "pieces", "ids"))
 
-    def cut(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    schema = pa.schema([("id", pa.int64()), ("start", pa.int64()), ("length", pa.int64()), ("doc_tokens", pa.int64()), ("sequence_id", pa.int64()),
+                        ("offset", pa.int64()), ("ids", pa.binary())])
+
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hold_cache("packing", dict)
         unpress = zstandard.ZstdDecompressor().decompress
         for batch in batches:
-            out = []
-            for key, n, n_full, full0, rest, blob in batch.itertuples(index=False):
-                raw = np.frombuffer(unpress(blob), dtype).astype("<u4").tobytes()
-                key = None if pd.isna(key) else int(key)
-                for k in range(n_full):
-                    out.append((key, k * window, window, n, full0 + k, 0, raw[4 * k * window:4 * (k + 1) * window]))
-                for p in rest if rest is not None else ():
-                    a, size = p["start"], p["length"]
-                    out.append((key, a, size, n, p["sequence_id"], p["offset"], raw[4 * a:4 * (a + size)]))
-            yield pd.DataFrame(out, columns=["id", "start", "length", "doc_tokens", "sequence_id", "offset", "ids"]).astype({"id": "Int64"})
-
-    return joined.mapInPandas(cut, "id long, start long, length long, doc_tokens long, sequence_id long, offset long, ids binary")
+            for lo, hi in slices(batch.column("n_tokens").to_pylist(), BATCH_CHARS):
+                out = []
+                for key, n, n_full, full0, rest, blob in zip(*(c.to_pylist() for c in batch[lo:hi].columns)):
+                    raw = np.frombuffer(unpress(blob), dtype).astype("<u4").tobytes()
+                    for k in range(n_full):
+                        out.append((key, k * window, window, n, full0 + k, 0, raw[4 * k * window:4 * (k + 1) * window]))
+                    for p in rest if rest is not None else ():
+                        a, size = p["start"], p["length"]
+                        out.append((key, a, size, n, p["sequence_id"], p["offset"], raw[4 * a:4 * (a + size)]))
+                yield _record(schema, out)
+
+    return joined.mapInArrow(cut, from_arrow_schema(schema))

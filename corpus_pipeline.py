@@ -17,6 +17,9 @@ from blockwise.llm.common import materialize, tokenizer_file
 #: Byte-level BPE and near-duplicate classes have no SQL; tests/llm/test_pipeline.py holds the stages against brute force.
 ORACLE_SQL = None
 
+#: Pieces of text that a worker of ``pack`` keeps the ids of: by then the stages before have grown the executor's heap, so fewer than in operator 8 alone.
+CACHE_CHUNKS = 150_000
+
 
 def _recounted(docs: DataFrame) -> DataFrame:
     """``n_chars`` follows the text."""
@@ -41,7 +44,7 @@ def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One row per piece of a sequence, with its ids as little-endian u32 bytes."""
-    return packing.pack(docs, "doc_id", "text", tokenizer_file("byte_bpe_50k.json"), 1).withColumnRenamed("id", "doc_id")
+    return packing.pack(docs, "doc_id", "text", tokenizer_file("byte_bpe_50k.json"), 1, cache_chunks=CACHE_CHUNKS).withColumnRenamed("id", "doc_id")
 
 
 STAGES = [("language", language), ("lines", lines), ("near_duplicates", near_duplicates), ("personal_data", personal_data), ("pack", pack)]
