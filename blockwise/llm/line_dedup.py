@@ -37,20 +37,20 @@ def _spaced(text: Column) -> Column:
     return F.when(odd, F.regexp_replace(text, "[ \\t\\r]+", " ")).otherwise(text)
 
 
-def _half_keys(line: Column, n: Column) -> Column:
-    """Hashes of the first and last c words, for the largest step c <= n / 2 and, where the
-    step of n - 1 words is another, for that too: lines within the bound share one of them."""
-    def step(words: Column) -> Column:
-        half = F.floor(words / 2)
-        power = F.floor(F.log2(F.greatest(half, F.lit(1)).cast("double")) + F.lit(1e-9))
-        low = F.pow(F.lit(2.0), power)
-        return F.when(half >= low * 1.5, F.floor(low * 1.5)).otherwise(low).cast("int")
+def _half(words: Column) -> Column:
+    """The largest step (1, 2, 3, 4, 6, 8, 12, ...) up to half of so many words."""
+    half = F.greatest(F.shiftright(words, 1), F.lit(1))
+    low = F.call_function("shiftleft", F.lit(1), F.length(F.bin(half)) - 1)  # the power of two
+    return F.when(half >= low + F.shiftright(low, 1), low + F.shiftright(low, 1)).otherwise(low)
 
+
+def _half_keys(line: Column, own: Column, shorter: Column) -> Column:
+    """Hashes of the first and last c words, for the largest step c <= n / 2 (``own``) and, where the
+    step of n - 1 words (``shorter``) is another, for that too: lines within the bound share one of them."""
     def keys(c: Column) -> Column:
         return F.array(F.xxhash64(F.lit("first"), c, F.call_function("substring_index", line, F.lit(" "), c)),
                        F.xxhash64(F.lit("last"), c, F.call_function("substring_index", line, F.lit(" "), -c)))
 
-    own, shorter = step(n), step(n - 1)
     return F.when(own == shorter, keys(own)).otherwise(F.concat(keys(own), keys(shorter)))
 
 
@@ -59,7 +59,7 @@ def _lines(docs: DataFrame, short: bool = False) -> DataFrame:
     # normalised before they are parted: filters on a line would otherwise normalise it again each time they name it,
     # and so would Spark's own filter before a generator that is not outer; the null line of a null text goes below
     lines = docs.select("id", "th", F.posexplode_outer(F.transform(F.split(_spaced(F.col("text")), "\n"), lambda line: F.trim(line))).alias("pos", "line"))
-    lines = lines.withColumn("n", F.length("line") - F.length(F.replace("line", F.lit(" "), F.lit(""))) + 1)
+    lines = lines.withColumn("n", F.octet_length("line") - F.octet_length(F.replace("line", F.lit(" "), F.lit(""))) + 1)
     return lines.filter(F.col("line") != "" if short else F.col("n") >= MIN_WORDS).withColumns({"h1": F.xxhash64("line"), "h2": F.xxhash64(F.lit(7), "line")})
 
 
@@ -126,11 +126,14 @@ def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     keyed = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), F.col(id_col).alias("id"), F.xxhash64(text).alias("th"), text.alias("text"))
     lines = _lines(keyed.select("id", "th", "text"), short_repeats)
     place = F.struct("id", "th", "pos")
-    halves = F.when(F.col("n") >= MIN_WORDS, _half_keys(F.col("line"), F.col("n")))
+    halves = F.when(F.col("n") >= MIN_WORDS, _half_keys(F.col("line"), F.col("own"), F.col("shorter")))
+    # columns of their own: Spark works out again what stands several times within a condition
+    steps = lines.withColumns({"own": _half(F.col("n")), "shorter": _half(F.col("n") - 1)})
     # the texts are cut into lines once for all that hashes and places can answer
-    places = materialize(lines.select("id", "th", "pos", "h1", "h2", halves.alias("halves")), "line-places")
+    places = materialize(steps.select("id", "th", "pos", "h1", "h2", halves.alias("halves")), "line-places")
     distinct = materialize(places.groupBy("h1", "h2").agg(F.min(place).alias("first"), F.count("*").alias("copies"), F.first("halves").alias("halves")), "distinct-lines")
-    near = near_lines(lines, distinct).withColumn("near", F.lit(True))
+    # candidates are known by their hashes, so their words need no count
+    near = near_lines(_lines(keyed.select("id", "th", "text"), True), distinct).withColumn("near", F.lit(True))
     again = materialize(distinct.select("h1", "h2", "first", "copies").join(near, ["h1", "h2"], "left").filter("copies > 1 OR near"), "repeated-lines")
     seen = keep_keyed(places.select("id", "th", "pos", "h1", "h2"), [F.col("h1")], again.select("h1"))
     dropped = seen.join(again, ["h1", "h2"]).filter(F.col("near") | ~place.eqNullSafe(F.col("first")))
